@@ -14,7 +14,8 @@ from tidemark.operators.tables import LakeTable
 from tidemark.sources import storage
 from tidemark.sources.structured import scan_partitioned
 
-FILE_LOG_KEYS = ("dataset_name", "execution_date", "execution_cycle_id", "source_file_name")
+# The file log names the file in a column: a partition per source file would leave one
+# tiny file per source file, and every run reads this ledger.
 RUN_LOG_KEYS = ("dataset_name", "execution_date", "execution_cycle_id")
 PROCESS_LOG_KEYS = ("execution_date", "execution_cycle_id")
 QUALITY_LOG_KEYS = ("dataset_name", "ingestion_cycle_id", "stage")
@@ -28,7 +29,7 @@ def _strings(*names: str) -> list[T.StructField]:
 FILE_LOG = T.StructType(
     _strings("table_name", "run_id", "input_location_prefix", "file_name", "file_type")
     + [T.StructField("record_count", T.LongType())]
-    + _strings("execution_start_time", "execution_end_time", "ingestion_status")
+    + _strings("execution_start_time", "execution_end_time", "ingestion_status", "source_file_name")
 )
 INGESTION_LOG = T.StructType(
     _strings("table_name", "run_id", "application", "source_files", "static_file_pattern", "source_file_pattern")
@@ -61,7 +62,7 @@ class Ledgers:
 
     @property
     def file_log(self) -> LakeTable:
-        return self._table("file_log", FILE_LOG_KEYS)
+        return self._table("file_log", RUN_LOG_KEYS)
 
     @property
     def ingestion_log(self) -> LakeTable:
@@ -76,11 +77,11 @@ class Ledgers:
         return self._table("quality_log", QUALITY_LOG_KEYS)
 
 
-def write(table: LakeTable, schema: T.StructType, rows: DataFrame, append: bool = False) -> None:
-    """Add ledger rows: the partitions they name are replaced, or added to with ``append``."""
+def write(table: LakeTable, schema: T.StructType, rows: DataFrame) -> None:
+    """Add ledger rows. Runs that share a cycle share its partition, so nothing is replaced."""
     if not table.exists():
         table.register(schema)
-    table.land(scrub_null_token(rows), append=append)
+    table.land(scrub_null_token(rows), append=True)
 
 
 def write_quality_log(table: LakeTable, rows: DataFrame, stage: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -13,6 +13,9 @@ from tidemark.functions.names import quoted
 
 FAILED = "__failed_rules"
 
+# Paths are at most about a kilobyte, so this many verdicts stay below some 200 MB.
+BROADCAST_FILES = 200_000
+
 # Ledger vocabulary.
 INGESTED = "Ingested"
 INGESTED_VALID = "Ingested Valid Data"
@@ -70,6 +73,34 @@ def unique(qc_id: str, *columns: str, **kw) -> Rule:
     return Rule(qc_id, unique_columns=columns, **kw)
 
 
+def rules_from_document(doc: Sequence[Mapping]) -> list[Rule]:
+    """Rules from a JSON list of ``{qc_id, kind, column(s), ...}`` entries.
+
+    Kinds: ``not_null``, ``matches`` (regex), ``in_list`` (values), ``in_range`` (low,
+    high), ``unique`` (columns), ``expression`` (condition).
+    """
+    return [_rule(entry) for entry in doc]
+
+
+def _rule(entry: Mapping) -> Rule:
+    qc_id = entry["qc_id"]
+    common = {k: entry[k] for k in ("criticality", "message", "threshold") if k in entry}
+    match entry["kind"]:
+        case "not_null":
+            return not_null(qc_id, entry["column"], **common)
+        case "matches":
+            return matches(qc_id, entry["column"], entry["regex"], **common)
+        case "in_list":
+            return in_list(qc_id, entry["column"], entry["values"], **common)
+        case "in_range":
+            return in_range(qc_id, entry["column"], entry["low"], entry["high"], **common)
+        case "unique":
+            return unique(qc_id, *entry["columns"], **common)
+        case "expression":
+            return Rule(qc_id, entry["condition"], **common)
+    raise ValueError(f"rule {qc_id!r} has the unknown kind {entry['kind']!r}")
+
+
 def flag_failures(df: DataFrame, rules: Sequence[Rule], file_column: str, salts: int = 16) -> DataFrame:
     """Add the ids of the rules that each row breaks as an array column.
 
@@ -147,15 +178,21 @@ def route(
     return totals.withColumn("ingestion_status", decision.otherwise(INGESTED))
 
 
-def admitted(flagged: DataFrame, decisions: DataFrame, file_column: str) -> DataFrame:
+def admitted(flagged: DataFrame, decisions: DataFrame, file_column: str, files: int | None = None) -> DataFrame:
     """Rows that pass the gate, without the failure column.
 
-    Decisions hold one short row per file. Spark broadcasts them when they are small and
-    otherwise splits the partition of a hot file at run time (adaptive skew join).
+    Only files with a verdict other than "keep all" are joined in. ``files`` is the known
+    number of files: up to a bound their verdicts are broadcast, so the rows are not
+    shuffled. Beyond it, or without it, Spark chooses by size, and the adaptive skew join
+    splits the partition of a hot file.
     """
-    verdict = decisions.select("gated_file", F.col("ingestion_status").alias("__status"))
-    joined = flagged.join(verdict, quoted(file_column) == F.col("gated_file"))
-    kept = (F.col("__status") == INGESTED) | ((F.col("__status") == INGESTED_VALID) & (F.size(FAILED) == 0))
+    exceptions = decisions.where(F.col("ingestion_status") != INGESTED).select(
+        "gated_file", F.col("ingestion_status").alias("__status")
+    )
+    if files is not None and files <= BROADCAST_FILES:
+        exceptions = F.broadcast(exceptions)
+    joined = flagged.join(exceptions, quoted(file_column) == F.col("gated_file"), "left")
+    kept = F.col("__status").isNull() | ((F.col("__status") == INGESTED_VALID) & (F.size(FAILED) == 0))
     return joined.where(kept).drop("gated_file", "__status", FAILED)
 
 

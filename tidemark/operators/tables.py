@@ -80,6 +80,9 @@ class LakeTable:
             raise ValueError(f"data columns share a name with partition keys of {self.name}: {sorted(clash)}")
         created = "created"
         if self.exists():
+            partitioned = tuple(c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition)
+            if partitioned != self.keys:
+                raise ValueError(f"{self.name} is partitioned by {partitioned}, not by {self.keys}")
             now = [(f.name.lower(), f.dataType.simpleString()) for f in self.data_schema().fields]
             new = [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
             if now == new:

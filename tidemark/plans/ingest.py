@@ -116,6 +116,8 @@ def ingest(
     """Load the pending files of a dataset. None for a dataset that is switched off."""
     if not spec.active:
         return None
+    if (spec.gated and not rules) or (spec.checked_after and not post_rules):
+        raise ValueError(f"the spec of {spec.dataset!r} names a quality config, but no rules are given")
     started = run.now()
     table = staging_table(spark, spec)
     if spec.load_type == "FULL" and spec.archive and table.exists():
@@ -134,7 +136,7 @@ def ingest(
         if spec.drop_duplicates:
             rows = dedup_within_file(rows)
         if rules:
-            rows, statuses = _gate(rows, spec, run, ledgers, rules)
+            rows, statuses = _gate(rows, spec, run, ledgers, rules, len(paths))
         land_staged(table, rows, run)
 
     log = _log_files(table, spec, run, ledgers, files, statuses, started)
@@ -157,7 +159,7 @@ def ingest(
     return IngestResult(totals.records, totals.files - totals.skipped, totals.skipped)
 
 
-def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules) -> tuple[DataFrame, DataFrame]:
+def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -> tuple[DataFrame, DataFrame]:
     """Rows that pass and the verdict per file.
 
     The rules are evaluated twice over the files, once for the totals and once for the
@@ -175,7 +177,7 @@ def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules) -> tuple[Data
     ledger.write_quality_log(
         ledgers.quality_log, quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name), "pre_load"
     )
-    return quality.admitted(flagged, verdicts, LOCATION), verdicts
+    return quality.admitted(flagged, verdicts, LOCATION, files), verdicts
 
 
 def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuses, started: str) -> DataFrame:

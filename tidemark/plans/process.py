@@ -61,6 +61,8 @@ def process(
     """
     if not spec.active:
         return None
+    if spec.checked_after and not post_rules:
+        raise ValueError(f"the spec of {spec.dataset!r} names a quality config, but no rules are given")
     started = run.now()
     user_keys = {k: str(v) for k, v in (user_keys or {}).items()}
     if result is not None:
@@ -93,8 +95,7 @@ def process(
         execution_date=run.execution_date,
         execution_cycle_id=run.cycle_id,
     )
-    # Appended: datasets and slices that share a cycle share a ledger partition.
-    ledger.write(ledgers.process_log, ledger.PROCESS_LOG, row, append=True)
+    ledger.write(ledgers.process_log, ledger.PROCESS_LOG, row)
 
     if spec.archive:
         table.archive(run.cycle_id, spec.archive_location)

@@ -71,7 +71,7 @@ def pending(listing: DataFrame, done: DataFrame, identity: Sequence[str], forced
     if forced is not None:
         done = without_forced(done, forced)
     keys = list(identity)
-    return listing.join(done.select(*keys).distinct(), keys, "left_anti")
+    return listing.join(done.select(*keys), keys, "left_anti")
 
 
 def without_forced(done: DataFrame, forced: DataFrame) -> DataFrame:

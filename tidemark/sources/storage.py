@@ -55,6 +55,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Store a small document, replacing one of the same name."""
+    stream = _file_system(spark, path).create(_path(spark, path), True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
 def first_records(
     spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multiline: bool = False
 ) -> dict[str, str | None]:

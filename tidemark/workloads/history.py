@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import conform, incremental
 from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS
-from tidemark.plans.process import process, processed_table, run_sql
+from tidemark.plans.process import process, processed_table
 from tidemark.plans.spec import ProcessSpec
+from tidemark.sources import storage
 from tidemark.workloads.bench import DATE, Bench, query
 
 KEYS = list(CYCLE_KEYS)
@@ -149,11 +150,10 @@ def sql_script_processed(bench: Bench) -> DataFrame:
         SELECT o_custkey, count(*) AS orders, CAST(sum(o_totalprice) AS DECIMAL(28,2)) AS total FROM {source.name}
         WHERE execution_cycle_id IN (SELECT max(execution_cycle_id) FROM {source.name})
         GROUP BY o_custkey;"""
-    folder = f"{bench.root}/script"
-    bench.spark.createDataFrame([(script,)], "value string").coalesce(1).write.text(folder)
-    from tidemark.sources import storage
-
-    text = storage.read_text(bench.spark, storage.leaf_files(bench.spark, folder)[0])
-    spec = ProcessSpec("per_customer", True, bench.schema, "per_customer", f"{bench.root}/per_customer")
-    process(bench.spark, spec, bench.run, bench.ledgers, run_sql(bench.spark, text))
+    path = f"{bench.root}/per_customer.sql"
+    storage.write_text(bench.spark, path, script)
+    spec = ProcessSpec(
+        "per_customer", True, bench.schema, "per_customer", f"{bench.root}/per_customer", sql_script=path
+    )
+    process(bench.spark, spec, bench.run, bench.ledgers)
     return processed_table(bench.spark, spec).read().drop(*KEYS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental, quality
 from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS
-from tidemark.plans.ingest import ingest, landed, staging_table
+from tidemark.plans.ingest import ingest, staging_table
 from tidemark.plans.process import process, publish_table
 from tidemark.plans.spec import ProcessSpec
 from tidemark.sources.delimited import LOCATION

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, reprocess
-from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS, materialize, publish
-from tidemark.plans.ingest import ingest, landed, pending_files as files_to_load, staging_table
+from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS, materialize
+from tidemark.plans.ingest import ingest, staging_table
 from tidemark.plans.process import process, processed_table, publish_table
 from tidemark.plans.spec import ProcessSpec
+from tidemark.sources import listing
 from tidemark.sources.delimited import LOCATION
 from tidemark.sources.structured import scan_partitioned
 from tidemark.workloads.bench import CYCLE, DATASET, DATE, TIME, Bench, query
@@ -288,8 +289,6 @@ def reprocess_plan(bench: Bench) -> DataFrame:
     document = {DATE: {DATASET: {"file_name": ["no_such_file"]}, "includes_skipped_files": "Y"}}
     plan = reprocess.plan_for(document, DATE, DATASET)
     forced = reprocess.forced_files(bench.spark, plan, done)
-    from tidemark.sources import listing
-
     return listing.pending(named, done, ["file_name"], forced).select(F.col("o_custkey").alias("file_key"), "seen")
 
 
