@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 
-FAILED = "__failed_rules"
+FAILED = "__failed"
 
 # Paths are at most about a kilobyte, so this many verdicts stay below some 200 MB.
 BROADCAST_FILES = 200_000
@@ -102,13 +102,12 @@ def _rule(entry: Mapping) -> Rule:
 
 
 def flag_failures(df: DataFrame, rules: Sequence[Rule], file_column: str, salts: int = 16) -> DataFrame:
-    """Add the ids of the rules that each row breaks as an array column.
+    """Add which rules each row breaks, as one struct of booleans.
 
     Plain rules add no shuffle. A unique rule counts keys with map-side combine and
     joins the repeated keys back, salted so that one hot key spreads over tasks.
     """
-    broken: list[Column] = []
-    helpers = []
+    broken, helpers = [], []
     for n, rule in enumerate(rules):
         if rule.unique_columns:
             flag = f"__repeated_{n}"
@@ -117,9 +116,12 @@ def flag_failures(df: DataFrame, rules: Sequence[Rule], file_column: str, salts:
             bad = F.col(flag).isNotNull()
         else:
             bad = ~F.coalesce(F.expr(rule.condition), F.lit(False))
-        broken.append(F.when(bad, F.lit(rule.qc_id)))
-    failed = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
-    return df.withColumn(FAILED, failed).drop(*helpers)
+        broken.append(bad.alias(f"rule_{n}"))
+    return df.withColumn(FAILED, F.struct(*broken)).drop(*helpers)
+
+
+def _valid(flagged: DataFrame) -> Column:
+    return ~reduce(Column.__or__, [F.col(f"{FAILED}.{name}") for name in flagged.schema[FAILED].dataType.names])
 
 
 def _mark_repeated(df: DataFrame, keys: Sequence[str], flag: str, salts: int) -> DataFrame:
@@ -139,10 +141,10 @@ def _mark_repeated(df: DataFrame, keys: Sequence[str], flag: str, salts: int) ->
 
 def rule_totals(flagged: DataFrame, rules: Sequence[Rule], file_column: str | None) -> DataFrame:
     """Rows, valid rows and failures per rule: one aggregate, one row per file (or one in all)."""
-    sums = [F.count_if(F.array_contains(FAILED, r.qc_id)).alias(f"errors_{i}") for i, r in enumerate(rules)]
+    sums = [F.count_if(F.col(f"{FAILED}.rule_{i}")).alias(f"errors_{i}") for i in range(len(rules))]
     aggregates = [
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.size(FAILED) == 0).alias("valid_records"),
+        F.count_if(_valid(flagged)).alias("valid_records"),
         *sums,
     ]
     by = [quoted(file_column).alias("gated_file")] if file_column else [F.lit(None).cast("string").alias("gated_file")]
@@ -192,7 +194,7 @@ def admitted(flagged: DataFrame, decisions: DataFrame, file_column: str, files:
     if files is not None and files <= BROADCAST_FILES:
         exceptions = F.broadcast(exceptions)
     joined = flagged.join(exceptions, quoted(file_column) == F.col("gated_file"), "left")
-    kept = F.col("__status").isNull() | ((F.col("__status") == INGESTED_VALID) & (F.size(FAILED) == 0))
+    kept = F.col("__status").isNull() | ((F.col("__status") == INGESTED_VALID) & _valid(flagged))
     return joined.where(kept).drop("gated_file", "__status", FAILED)
 
 
