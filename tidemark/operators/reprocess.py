@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import SKIPPED
 from tidemark.operators.tables import LakeTable, materialize
 from tidemark.sources import storage
+from tidemark.sources.listing import without
 
 FORCED = "file_name string, input_location_prefix string"
 
@@ -76,12 +77,9 @@ def clean_staged(table: LakeTable, plan: ReprocessPlan, forced: DataFrame | None
     hit = F.col("source_file_name").isin(names)
     kept = None
     if any(prefix for _, prefix in plan.files):
-        f = forced.select(F.col("file_name").alias("f_name"), F.col("input_location_prefix").alias("f_prefix"))
-        same = (F.col("source_file_name") == F.col("f_name")) & (
-            F.col("f_prefix").isNull()
-            | (storage.folder_name(F.col("source_file_location")) == F.col("f_prefix"))
-        )
-        others = table.read().where(hit).join(f, same, "left_anti")
+        folder = storage.folder_name(F.col("source_file_location"))
+        staged = table.read().where(hit).withColumn("__folder", folder)
+        others = without(staged, forced, "source_file_name", "__folder").drop("__folder")
         if not others.isEmpty():
             kept = materialize(others, "kept-rows")
     folders = table.purge(hit)

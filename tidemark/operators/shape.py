@@ -65,6 +65,15 @@ def dedup_within_file(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def gather(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring rows of one partition folder together before a partitioned write.
+
+    Keeps a write after a shuffle from leaving a file per task in every folder. Spark
+    sizes the pieces at run time and splits those of a hot value.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def all_strings(df: DataFrame) -> DataFrame:
     return df.select([quoted(c).cast("string").alias(c) for c in df.columns])
 

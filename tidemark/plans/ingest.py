@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import masks
 from tidemark.operators import ledger, quality, reprocess
-from tidemark.operators.shape import dedup_within_file, scrub_null_token
+from tidemark.operators.shape import dedup_within_file, gather, scrub_null_token
 from tidemark.operators.tables import STAGING_KEYS, LakeTable, materialize
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.sources import delimited, listing, storage, structured, workbook
@@ -124,39 +124,35 @@ def ingest(
         table.detach()
     todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens)
     # The paths have to come to the driver: Spark's readers take them from there.
-    paths = [r.source_path for r in todo.orderBy("source_path").collect()]
+    paths = listing.checked_paths(todo)
     if not paths:
         raise NothingToIngest(f"no files to load for dataset {spec.dataset!r}")
     files = listing.listing_frame(spark, paths)
-    listing.require_legal(files)
 
     rows = read_files(spark, spec, paths)
     statuses = None
     if rows is not None:
         if spec.drop_duplicates:
             rows = dedup_within_file(rows)
+            if not rules:
+                rows = gather(rows, LOCATION)
         if rules:
             rows, statuses = _gate(rows, spec, run, ledgers, rules, len(paths))
         land_staged(table, rows, run)
 
-    log = _log_files(table, spec, run, ledgers, files, statuses, started)
-    totals = log.agg(
-        F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
-        F.count_if(F.col("ingestion_status") == quality.SKIPPED).alias("skipped"),
-        F.count(F.lit(1)).alias("files"),
-    ).first()
-    _log_run(spec, run, ledgers, paths, totals.records, table, started)
+    result = _log_files(table, spec, run, ledgers, files, statuses, started)
+    _log_run(spec, run, ledgers, paths, result.record_count, table, started)
 
     if spec.archive and spec.load_type in ("FULL", "ROLLING") and table.exists():
         table.archive(run.cycle_id, spec.archive_location)
     if post_rules:
-        if totals.skipped == totals.files and totals.records == 0:
+        if result.loaded_files == 0:
             raise NothingToIngest(f"every file of dataset {spec.dataset!r} was skipped")
         check = quality.post_load_log(landed(table, run), post_rules, spec.dataset, run.cycle_id, spec.target_table)
         ledger.write_quality_log(ledgers.quality_log, check, "post_load")
-        if totals.records == 0:
+        if result.record_count == 0:
             raise NothingToIngest(f"no records loaded for dataset {spec.dataset!r}")
-    return IngestResult(totals.records, totals.files - totals.skipped, totals.skipped)
+    return result
 
 
 def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -> tuple[DataFrame, DataFrame]:
@@ -168,7 +164,7 @@ def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -
     """
     flagged = quality.flag_failures(rows, rules, LOCATION)
     if spec.drop_duplicates or any(r.unique_columns for r in rules):
-        flagged = materialize(flagged, "flagged-rows")
+        flagged = materialize(gather(flagged, LOCATION), "flagged-rows")
     totals = quality.rule_totals(flagged, rules, LOCATION)
     verdicts = materialize(
         quality.route(totals, spec.skip_file, spec.skip_on_non_critical, spec.write_valid), "file-verdicts"
@@ -180,7 +176,8 @@ def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -
     return quality.admitted(flagged, verdicts, LOCATION, files), verdicts
 
 
-def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuses, started: str) -> DataFrame:
+def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuses, started: str) -> IngestResult:
+    """Write the file log; the totals of the run are observed on the way."""
     if table.exists():
         counts = landed(table, run).groupBy(LOCATION).agg(F.count(F.lit(1)).alias("record_count"))
     else:
@@ -201,9 +198,16 @@ def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuse
             "execution_cycle_id": run.cycle_id,
         },
     )
-    log = materialize(rows, "file-log")
-    ledger.write(ledgers.file_log, ledger.FILE_LOG, log)
-    return log
+    skipped = F.count_if(F.col("ingestion_status") == quality.SKIPPED)
+    seen = Observation()
+    observed = rows.observe(
+        seen,
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
+        (F.count(F.lit(1)) - skipped).alias("loaded"),
+        skipped.alias("skipped"),
+    )
+    ledger.write(ledgers.file_log, ledger.FILE_LOG, observed)
+    return IngestResult(seen.get["records"], seen.get["loaded"], seen.get["skipped"])
 
 
 def _log_run(spec: IngestSpec, run: RunContext, ledgers, paths, records: int, table, started: str) -> None:

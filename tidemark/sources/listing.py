@@ -45,19 +45,22 @@ def masked(listing: DataFrame, mask: str | None, custom: bool = False, tokens=ma
     return listing.where(masks.mask_matches(name, mask))
 
 
-def require_legal(listing: DataFrame) -> None:
-    offenders = [r.file_name for r in listing.where(~masks.legal_name(F.col("file_name"))).limit(20).collect()]
+def checked_paths(listing: DataFrame) -> list[str]:
+    """Paths of the listed files, for Spark's readers. Raises when a name is not allowed."""
+    name = F.col("file_name")
+    found = listing.select("source_path", "file_name", masks.legal_name(name).alias("legal")).collect()
+    offenders = sorted(r.file_name for r in found if not r.legal)
     if offenders:
-        raise ValueError(f"file names with characters that are not allowed (first 20): {offenders}")
+        raise ValueError(f"{len(offenders)} file names with characters that are not allowed: {offenders[:20]}")
+    return sorted(r.source_path for r in found)
 
 
 def by_location(listing: DataFrame, prefixes: str | Sequence[str]) -> list[str]:
     """Columns that identify a file: the name alone for one flat prefix, else the folder too."""
     if isinstance(prefixes, str):
-        nested = listing.select("input_location_prefix").distinct().limit(2).count() > 1
-        root = prefixes.rstrip("/").rsplit("/", 1)[-1]
-        outside = listing.where(~F.col("input_location_prefix").endswith(f"/{root}/")).limit(1).count()
-        if not nested and not outside:
+        root = "/" + prefixes.rstrip("/").rsplit("/", 1)[-1] + "/"
+        elsewhere = ~F.col("input_location_prefix").endswith(root)
+        if not listing.agg(F.coalesce(F.bool_or(elsewhere), F.lit(False))).first()[0]:
             return ["file_name"]
     return ["input_location_prefix", "file_name"]
 
@@ -69,14 +72,22 @@ def pending(listing: DataFrame, done: DataFrame, identity: Sequence[str], forced
     the same columns, and a NULL prefix there stands for any folder.
     """
     if forced is not None:
-        done = without_forced(done, forced)
-    keys = list(identity)
-    return listing.join(done.select(*keys), keys, "left_anti")
+        done = without(done, forced)
+    todo = listing.join(done.select(*identity), list(identity), "left_anti")
+    if "input_location_prefix" in identity:
+        # A ledger taken over from the former layout knows no folders.
+        todo = todo.join(done.where("input_location_prefix = ''").select("file_name"), "file_name", "left_anti")
+    return todo
+
 
+def without(rows: DataFrame, forced: DataFrame, name: str = "file_name", prefix: str = "input_location_prefix") -> DataFrame:
+    """Rows whose file is not forced.
 
-def without_forced(done: DataFrame, forced: DataFrame) -> DataFrame:
-    f = forced.select(F.col("file_name").alias("f_name"), F.col("input_location_prefix").alias("f_prefix"))
-    same = (F.col("file_name") == F.col("f_name")) & (
-        F.col("f_prefix").isNull() | (F.col("input_location_prefix") == F.col("f_prefix"))
-    )
-    return done.join(f, same, "left_anti")
+    Two joins on equal keys, with and without folder: one join on the name alone would
+    compare all files of one name with each other.
+    """
+    f_name, f_prefix = F.col("file_name").alias("f_name"), F.col("input_location_prefix").alias("f_prefix")
+    placed = forced.where("input_location_prefix IS NOT NULL").select(f_name, f_prefix)
+    anywhere = forced.where("input_location_prefix IS NULL").select(f_name)
+    rest = rows.join(placed, (F.col(name) == F.col("f_name")) & (F.col(prefix) == F.col("f_prefix")), "left_anti")
+    return rest.join(anywhere, F.col(name) == F.col("f_name"), "left_anti")

@@ -9,7 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-IO_THREADS = 16
+# Each call is a short wait on the file system, so many may be under way at once.
+IO_THREADS = 48
 
 
 def _path(spark: SparkSession, path: str):

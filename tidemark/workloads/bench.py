@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ledger import Ledgers
+from tidemark.operators.shape import gather
 from tidemark.operators.tables import CYCLE_KEYS, LakeTable
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.session import scratch_path
@@ -100,14 +101,14 @@ class Bench:
             *[F.expr(f"'orders_' || {ORDER_YEAR} || '.csv'").alias(k) for k in keys if k not in CYCLE_KEYS],
         )
         table.register(rows.drop(*keys).schema)
-        table.land(rows)
+        table.land(gather(rows, *keys))
         return table
 
     def export(self, df: DataFrame, split: str, file_format: str = "csv", folder: str = "src", **options) -> str:
         """Write rows as source files below one folder per value of ``split``."""
         path = f"{self.root}/{folder}"
         kept = df.withColumn("split", F.col(split))
-        kept.write.partitionBy("split").options(**options).format(file_format).save(path)
+        gather(kept, "split").write.mode("append").partitionBy("split").options(**options).format(file_format).save(path)
         return path
 
     def spec(self, **changes) -> IngestSpec:

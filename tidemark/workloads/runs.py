@@ -196,8 +196,7 @@ def ingest_end_to_end(bench: Bench) -> DataFrame:
     bench.export(rows.where("o_orderstatus <> 'F'"), "o_orderstatus", header=True)
     spec = order_spec(bench, skip_file=True)
     ingest(bench.spark, spec, bench.run, bench.ledgers, rules=FEED_RULES)
-    late = rows.where("o_orderstatus = 'F'").withColumn("split", F.lit("F"))
-    late.write.mode("append").option("header", True).partitionBy("split").csv(f"{bench.root}/src")
+    bench.export(rows.where("o_orderstatus = 'F'"), "o_orderstatus", header=True)
     second = replace(bench.run, cycle_id=f"{CYCLE[:-1]}2")
     ingest(bench.spark, spec, second, bench.ledgers, rules=FEED_RULES)
     return (
@@ -230,8 +229,7 @@ def process_publish_end_to_end(bench: Bench) -> DataFrame:
     staged_name = staging_table(bench.spark, spec).name
     unwanted = [LOCATION, "processed_time", "o_totalprice", "o_orderdate", "o_orderpriority"]
     for n, arriving in ((1, "o_orderstatus = 'F'"), (2, "o_orderstatus <> 'F'")):
-        part = rows.where(arriving).withColumn("split", F.col("o_orderstatus"))
-        part.write.mode("append").option("header", True).partitionBy("split").csv(f"{bench.root}/src")
+        bench.export(rows.where(arriving), "o_orderstatus", header=True)
         run = replace(bench.run, cycle_id=f"{CYCLE[:-1]}{n}")
         ingest(bench.spark, spec, run, bench.ledgers)
         history = incremental.previous_history(

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import masks
 from tidemark.functions.names import column_listing as columns_of
 from tidemark.functions.names import lowercase_names, standardize_names
-from tidemark.operators.shape import cast_declared, dedup_within_file as drop_repeated, scrub_null_token
+from tidemark.operators.shape import cast_declared, gather, scrub_null_token
+from tidemark.operators.shape import dedup_within_file as drop_repeated
 from tidemark.plans.ingest import ingest, landed, staging_table
 from tidemark.sources import delimited, listing, storage, structured, workbook
 from tidemark.sources.delimited import LOCATION
@@ -239,7 +240,7 @@ def partitioned_scan(bench: Bench) -> DataFrame:
     rows = bench.read("orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("execution_date")
     )
-    rows.write.partitionBy("execution_date", "o_orderstatus").parquet(f"{bench.root}/scan")
+    gather(rows, "execution_date", "o_orderstatus").write.partitionBy("execution_date", "o_orderstatus").parquet(f"{bench.root}/scan")
     return structured.scan_partitioned(bench.spark, f"{bench.root}/scan").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "execution_date"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, reprocess
+from tidemark.operators.shape import gather
 from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS, materialize
 from tidemark.plans.ingest import ingest, staging_table
 from tidemark.plans.process import process, processed_table, publish_table
@@ -107,7 +108,7 @@ def register_table(bench: Bench) -> DataFrame:
         F.col("o_orderpriority").alias("execution_cycle_id"),
     )
     table = bench.lake("registered")
-    rows.write.partitionBy(*CYCLE_KEYS).parquet(table.location)
+    gather(rows, *CYCLE_KEYS).write.partitionBy(*CYCLE_KEYS).parquet(table.location)
     table.register(rows.drop(*CYCLE_KEYS).schema)
     table.add_partition({"execution_date": "F", "execution_cycle_id": "1-URGENT"})
     return table.read()
