@@ -78,8 +78,11 @@ def test_admitted_rows(spark, rows):
 def test_unique_rule_with_one_hot_key(spark):
     hot = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), F.lit("f").alias("file"))
     rules = [q.unique("u", "k")]
-    row = q.rule_totals(q.flag_failures(hot, rules, "file"), rules, "file").first()
-    assert (row.total_records, row.valid_records) == (3000, 2000)
+    for hot_rows in (2, 1000, 10**6):
+        flagged = q.flag_failures(hot, rules, "file", salts=7, hot_rows=hot_rows)
+        row = q.rule_totals(flagged, rules, "file").first()
+        assert (row.total_records, row.valid_records) == (3000, 2000)
+        assert flagged.columns == ["k", "file", q.FAILED]
 
 
 def test_unknown_rule_kind():

@@ -365,3 +365,41 @@ def test_stream_repeats_nothing(lake, spark, rows):
         (1, "f1.csv"),
         (2, "f2.csv"),
     ]
+
+
+def test_jobs_do_not_grow_with_files(lake, spark):
+    def jobs(dataset, count):
+        for n in range(count):
+            lake.put(f"{dataset}/f{n}.csv", f"Id\n{n}\n")
+        spec = lake.spec(
+            dataset=dataset,
+            source_prefixes=f"{lake.src}/{dataset}",
+            target_table=dataset,
+            target_location=f"{lake.root}/{dataset}",
+        )
+        spark.sparkContext.setJobGroup(f"{lake.schema}-{dataset}", dataset)
+        try:
+            assert ingest(spark, spec, lake.run(), lake.ledgers).record_count == count
+        finally:
+            spark.sparkContext.setJobGroup("other", "other")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{lake.schema}-{dataset}"))
+
+    jobs("warm", 1)  # creates the ledgers
+    # Spark lists more than 32 paths in a job of its own, whatever their number.
+    assert jobs("many", 60) <= jobs("few", 3) + 3
+
+
+def test_repeated_cycle_of_a_history_job(lake, spark):
+    from tidemark.operators import incremental
+    from tidemark.operators.tables import CYCLE_KEYS
+
+    spec = ProcessSpec("h", True, lake.schema, "h", f"{lake.root}/h")
+    for n in (1, 2, 2):
+        name = f"{lake.schema}.h"
+        staged_rows = spark.createDataFrame([(n,)], "n int")
+        if processed_table(spark, spec).exists():
+            history = incremental.previous_history(spark, name, CYCLE_KEYS)
+            staged_rows = history.unionByName(staged_rows).distinct()
+        process(spark, spec, lake.run(str(n)), lake.ledgers, staged_rows)
+    newest = incremental.previous_history(spark, f"{lake.schema}.h", CYCLE_KEYS)
+    assert sorted(r.n for r in newest.collect()) == [1, 2]

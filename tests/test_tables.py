@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import incremental, ledger
 from tidemark.operators.conform import conform
-from tidemark.operators.tables import LakeTable, drop_materialized, materialize, publish
+from tidemark.operators.tables import LakeTable, TempTables, publish
 
 KEYS = ("execution_date", "execution_cycle_id")
 
@@ -102,12 +102,29 @@ def test_publish_snapshot_replaces_also_other_dates(spark, lake, rows):
     assert rows(target.read()) == [("d22", "d2", "2")]
 
 
-def test_materialize(spark):
-    kept = materialize(spark.range(10).where("id > 3"), "t", "kept_view")
-    assert spark.sql("SELECT count(*) FROM kept_view").first()[0] == 6
-    folder = kept.inputFiles()[0].removeprefix("file:").lstrip("/").rsplit("/", 1)[0]
-    drop_materialized(kept)
-    assert not os.path.exists("/" + folder)
+def test_temp_tables(spark):
+    with TempTables(spark) as temp:
+        temp.keep(spark.range(10).where("id > 3"), "t", "kept_view")
+        assert spark.sql("SELECT count(*) FROM kept_view").first()[0] == 6
+        assert os.path.exists(temp.root.removeprefix("file:"))
+    assert not os.path.exists(temp.root.removeprefix("file:"))
+
+
+def test_partition_rewritten_from_itself_with_new_columns(spark, lake, rows):
+    t = table(lake, keys=("d",))
+    t.land_partition(spark.createDataFrame([(1,), (2,)], "n int"), {"d": "1"})
+    grown = t.read().where("d = '1'").select("n", (F.col("n") * 10).alias("m"))
+    assert t.land_partition(grown, {"d": "1"}) == 2
+    assert t.land_partition(t.read().where("n = 2"), {"d": "1"}) == 1
+    assert rows(t.read()) == [(2, 20, "1")]
+
+
+def test_failed_write_leaves_the_partition(spark, lake, rows):
+    t = fill(lake)
+    broken = spark.range(100, numPartitions=4).select(F.expr("IF(id = 99, raise_error('no'), cast(id AS int))").alias("n"))
+    with pytest.raises(Exception, match="no"):
+        t.land_partition(broken, {"execution_date": "20240101", "execution_cycle_id": "01"})
+    assert rows(t.read(), "n") == [(1,), (2,), (3,)]
 
 
 # -- newest partitions ---------------------------------------------------------

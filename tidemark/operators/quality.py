@@ -101,17 +101,19 @@ def _rule(entry: Mapping) -> Rule:
     raise ValueError(f"rule {qc_id!r} has the unknown kind {entry['kind']!r}")
 
 
-def flag_failures(df: DataFrame, rules: Sequence[Rule], file_column: str, salts: int = 16) -> DataFrame:
+def flag_failures(
+    df: DataFrame, rules: Sequence[Rule], file_column: str, salts: int = 64, hot_rows: int = 1_000_000
+) -> DataFrame:
     """Add which rules each row breaks, as one struct of booleans.
 
     Plain rules add no shuffle. A unique rule counts keys with map-side combine and
-    joins the repeated keys back, salted so that one hot key spreads over tasks.
+    joins the repeated keys back, salting hot keys so that one key spreads over tasks.
     """
     broken, helpers = [], []
     for n, rule in enumerate(rules):
         if rule.unique_columns:
             flag = f"__repeated_{n}"
-            df = _mark_repeated(df, [file_column, *rule.unique_columns], flag, salts)
+            df = _mark_repeated(df, [file_column, *rule.unique_columns], flag, salts, hot_rows)
             helpers.append(flag)
             bad = F.col(flag).isNotNull()
         else:
@@ -124,19 +126,26 @@ def _valid(flagged: DataFrame) -> Column:
     return ~reduce(Column.__or__, [F.col(f"{FAILED}.{name}") for name in flagged.schema[FAILED].dataType.names])
 
 
-def _mark_repeated(df: DataFrame, keys: Sequence[str], flag: str, salts: int) -> DataFrame:
+def _mark_repeated(df: DataFrame, keys: Sequence[str], flag: str, salts: int, hot_rows: int) -> DataFrame:
+    """Set ``flag`` on rows whose key occurs more than once.
+
+    Keys of at least ``hot_rows`` rows are spread over ``salts`` join keys. There are at
+    most ``rows / hot_rows`` such keys, so they are broadcast to salt the rows.
+    """
     named = [f"__key_{i}" for i in range(len(keys))]
-    repeated = (
-        df.groupBy(*[quoted(k).alias(n) for k, n in zip(keys, named)])
-        .count()
-        .where(F.col("count") > 1)
-        .select(*named, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__key_salt"), F.lit(True).alias(flag))
-    )
-    salted = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-    same = reduce(
-        Column.__and__, [quoted(k) == F.col(n) for k, n in zip(keys, named)], F.col("__salt") == F.col("__key_salt")
+    counted = df.groupBy(*[quoted(k).alias(n) for k, n in zip(keys, named)]).count().where(F.col("count") > 1)
+    is_hot = F.col("count") >= hot_rows
+    last_salt = F.when(is_hot, salts - 1).otherwise(0)
+    repeated = counted.select(
+        *named, F.explode(F.sequence(F.lit(0), last_salt)).alias("__key_salt"), F.lit(True).alias(flag)
     )
-    return salted.join(repeated, same, "left").drop("__salt", "__key_salt", *named)
+    hot = counted.where(is_hot).select(*[F.col(n).alias(f"{n}_hot") for n in named], F.lit(True).alias("__hot"))
+    same_hot = [quoted(k) == F.col(f"{n}_hot") for k, n in zip(keys, named)]
+    salt = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int")
+    salted = df.join(F.broadcast(hot), reduce(Column.__and__, same_hot), "left").withColumn("__salt", salt)
+    same = [quoted(k) == F.col(n) for k, n in zip(keys, named)] + [F.col("__salt") == F.col("__key_salt")]
+    marked = salted.join(repeated, reduce(Column.__and__, same), "left")
+    return marked.drop("__salt", "__key_salt", "__hot", *named, *[f"{n}_hot" for n in named])
 
 
 def rule_totals(flagged: DataFrame, rules: Sequence[Rule], file_column: str | None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import SKIPPED
-from tidemark.operators.tables import LakeTable, materialize
+from tidemark.operators.tables import LakeTable, TempTables
 from tidemark.sources import storage
 from tidemark.sources.listing import without
 
@@ -75,16 +75,17 @@ def clean_staged(table: LakeTable, plan: ReprocessPlan, forced: DataFrame | None
         return table.purge()
     names = sorted({name for name, _ in plan.files})
     hit = F.col("source_file_name").isin(names)
-    kept = None
-    if any(prefix for _, prefix in plan.files):
-        folder = storage.folder_name(F.col("source_file_location"))
-        staged = table.read().where(hit).withColumn("__folder", folder)
-        others = without(staged, forced, "source_file_name", "__folder").drop("__folder")
-        if not others.isEmpty():
-            kept = materialize(others, "kept-rows")
-    folders = table.purge(hit)
-    if kept is not None:
-        table.land(kept)
+    with TempTables(table.spark, "kept-rows") as temp:
+        kept = None
+        if any(prefix for _, prefix in plan.files):
+            folder = storage.folder_name(F.col("source_file_location"))
+            staged = table.read().where(hit).withColumn("__folder", folder)
+            others = without(staged, forced, "source_file_name", "__folder").drop("__folder")
+            if not others.isEmpty():
+                kept = temp.keep(others, "others")
+        folders = table.purge(hit)
+        if kept is not None:
+            table.land(kept)
     return folders
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,6 @@ STAGING_KEYS = (*CYCLE_KEYS, "source_file_name")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 DDL_BATCH = 200
 
-# Characters that Spark escapes in partition folder names.
-ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(n) for n in range(1, 32)}
-
-
 def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -31,15 +28,6 @@ def _name(*parts: str) -> str:
     return ".".join("`" + p.strip("`").replace("`", "``") + "`" for p in parts)
 
 
-def folder_of(spec: Mapping[str, str]) -> str:
-    """Folder of one partition below the table's location."""
-
-    def escape(text: str) -> str:
-        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
-
-    return "/".join(f"{escape(k)}={escape(v)}" for k, v in spec.items())
-
-
 @dataclass
 class LakeTable:
     """An external Parquet table whose partition columns are all strings."""
@@ -123,15 +111,22 @@ class LakeTable:
             align(df, columns).write.insertInto(self.name, overwrite=not append)
 
     def land_partition(self, df: DataFrame, spec: Mapping[str, str]) -> int:
-        """Write rows as exactly one partition and return their number, counted by the write."""
-        spec = {k: spec[k] for k in self.keys}
+        """Write rows as exactly one partition and return their number, counted by the write.
+
+        The rows may come from this very table or partition: the old files stay until
+        the new ones are complete. The count is taken in the writing stage itself, where
+        a repeated task counts once.
+        """
+        data = df.drop(*self.keys)
+        self.register(data.schema)
         counted = Observation()
-        rows = df.drop(*self.keys).observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{self.location}/{folder_of(spec)}")
-        self.register(rows.schema)
-        self.add_partition(spec)
-        self.spark.catalog.refreshTable(self.name)
-        return counted.get["rows"]
+        rows = data.observe(counted, F.count(F.lit(1)).alias("rows"))
+        self.land(rows.withColumns({k: F.lit(spec[k]) for k in self.keys}))
+        count = counted.get["rows"]
+        if count == 0:
+            self.purge(reduce(Column.__and__, [F.col(k) == spec[k] for k in self.keys]))
+            self.add_partition(spec)
+        return count
 
     # -- partitions -----------------------------------------------------------
 
@@ -218,19 +213,29 @@ def publish(
     return count
 
 
-def materialize(df: DataFrame, label: str = "temp", view: str | None = None) -> DataFrame:
-    """Cut the lineage of a result by writing it to the shared folder as Parquet."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    if view:
-        stored.createOrReplaceTempView(view)
-    return stored
+class TempTables:
+    """Results stored as Parquet in the shared folder to cut their lineage.
+
+    As a context manager it deletes them at the end of the block.
+    """
+
+    def __init__(self, spark: SparkSession, label: str = "temp") -> None:
+        self.spark = spark
+        self.root = scratch_path(spark, label)
+
+    def keep(self, df: DataFrame, name: str, view: str | None = None) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        if view:
+            stored.createOrReplaceTempView(view)
+        return stored
+
+    def clear(self) -> None:
+        storage.delete(self.spark, [self.root])
 
+    def __enter__(self) -> TempTables:
+        return self
 
-def drop_materialized(df: DataFrame) -> None:
-    """Delete the files behind a result of :func:`materialize`."""
-    spark = df.sparkSession
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    storage.delete(spark, folders)
+    def __exit__(self, *_) -> None:
+        self.clear()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import masks
 from tidemark.operators import ledger, quality, reprocess
 from tidemark.operators.shape import dedup_within_file, gather, scrub_null_token
-from tidemark.operators.tables import STAGING_KEYS, LakeTable, materialize
+from tidemark.operators.tables import STAGING_KEYS, LakeTable, TempTables
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.sources import delimited, listing, storage, structured, workbook
 from tidemark.sources.delimited import LOCATION
@@ -129,18 +129,18 @@ def ingest(
         raise NothingToIngest(f"no files to load for dataset {spec.dataset!r}")
     files = listing.listing_frame(spark, paths)
 
-    rows = read_files(spark, spec, paths)
-    statuses = None
-    if rows is not None:
-        if spec.drop_duplicates:
-            rows = dedup_within_file(rows)
-            if not rules:
+    with TempTables(spark, "ingest") as temp:
+        rows = read_files(spark, spec, paths)
+        statuses = None
+        if rows is not None:
+            if spec.drop_duplicates:
+                rows = dedup_within_file(rows)
+            if rules:
+                rows, statuses = _gate(rows, spec, run, ledgers, rules, len(paths), temp)
+            elif spec.drop_duplicates:
                 rows = gather(rows, LOCATION)
-        if rules:
-            rows, statuses = _gate(rows, spec, run, ledgers, rules, len(paths))
-        land_staged(table, rows, run)
-
-    result = _log_files(table, spec, run, ledgers, files, statuses, started)
+            land_staged(table, rows, run)
+        result = _log_files(table, spec, run, ledgers, files, statuses, started)
     _log_run(spec, run, ledgers, paths, result.record_count, table, started)
 
     if spec.archive and spec.load_type in ("FULL", "ROLLING") and table.exists():
@@ -155,7 +155,7 @@ def ingest(
     return result
 
 
-def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -> tuple[DataFrame, DataFrame]:
+def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int, temp: TempTables) -> tuple[DataFrame, DataFrame]:
     """Rows that pass and the verdict per file.
 
     The rules are evaluated twice over the files, once for the totals and once for the
@@ -164,9 +164,9 @@ def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int) -
     """
     flagged = quality.flag_failures(rows, rules, LOCATION)
     if spec.drop_duplicates or any(r.unique_columns for r in rules):
-        flagged = materialize(gather(flagged, LOCATION), "flagged-rows")
+        flagged = temp.keep(gather(flagged, LOCATION), "flagged-rows")
     totals = quality.rule_totals(flagged, rules, LOCATION)
-    verdicts = materialize(
+    verdicts = temp.keep(
         quality.route(totals, spec.skip_file, spec.skip_on_non_critical, spec.write_valid), "file-verdicts"
     )
     file_name = storage.base_name(F.col("gated_file"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ledger, reprocess
 from tidemark.operators.shape import gather
-from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS, materialize
+from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS, TempTables
 from tidemark.plans.ingest import ingest, staging_table
 from tidemark.plans.process import process, processed_table, publish_table
 from tidemark.plans.spec import ProcessSpec
@@ -153,7 +153,8 @@ def schema_evolution(bench: Bench) -> DataFrame:
 @query("SELECT o_orderstatus, count(*) AS orders, min(o_orderkey) AS first_key FROM orders GROUP BY o_orderstatus")
 def temp_materialize(bench: Bench) -> DataFrame:
     view = f"{bench.schema}_kept"
-    materialize(bench.read("orders").select("o_orderkey", "o_orderstatus"), "orders", view)
+    temp = TempTables(bench.spark, bench.label)
+    temp.keep(bench.read("orders").select("o_orderkey", "o_orderstatus"), "orders", view)
     return bench.spark.sql(
         f"SELECT o_orderstatus, count(*) AS orders, min(o_orderkey) AS first_key FROM {view} GROUP BY o_orderstatus"
     )
