@@ -66,10 +66,10 @@ def test_differing_headers_in_one_run(lake):
     assert len(delimited.header_groups(lake.spark, paths)) == 3
     with pytest.raises(ValueError, match="not allowed"):
         ingest(lake.spark, lake.spec(), lake.run(), lake.ledgers)
-    os.rename(f"{lake.src}/c d+e%.csv", f"{lake.src}/c d+e.csv")
+    os.rename(f"{lake.src}/c d+e%.csv", f"{lake.src}/c d+e [1].csv")
     result = ingest(lake.spark, lake.spec(), lake.run(), lake.ledgers)
     assert result.record_count == 3
-    assert staged(lake, "id", "name", "source_file_name") == [("1", "x", "a.csv"), ("2", "y", "b.csv"), ("3", "z", "c d+e.csv")]
+    assert staged(lake, "id", "name", "source_file_name") == [("1", "x", "a.csv"), ("2", "y", "b.csv"), ("3", "z", "c d+e [1].csv")]
     merged = delimited.read_header_strings(lake.spark, storage.leaf_files(lake.spark, lake.src), schema_mode="merge")
     assert sorted(merged.columns) == ["extra", "id", "name", "source_file_location"]
 
@@ -92,6 +92,22 @@ def test_declared_schema_and_bad_dates(lake):
     assert [(i, str(d)) for i, d in staged(lake, "id", "day")] == [(1, "2024-01-31"), (2, "None")]
 
 
+def test_encoding_and_declared_json(lake):
+    path = lake.put("a.csv", "")
+    with open(path, "wb") as file:
+        file.write("Größe;Ort\n1;Köln\n".encode("iso-8859-1"))
+    spec = lake.spec(options={"encoding": "ISO-8859-1", "delimiter": ";"}, mask="a.csv")
+    ingest(lake.spark, spec, lake.run(), lake.ledgers)
+    assert staged(lake, "gr__e", "ort") == [("1", "Köln")]
+    lake.put("doc.json", '[\n{"id": 1, "lines": [{"p": 1.005}]},\n{"id": 2, "unknown": 5}\n]')
+    spec = lake.spec(
+        dataset="docs", file_type="json", mask="*.json", options={"multiline": "true"}, target_table="J",
+        target_location=f"{lake.root}/j", schema_doc={"id": "long", "lines": [{"p": "decimal|6,3"}]},
+    )
+    ingest(lake.spark, spec, lake.run(), lake.ledgers)
+    assert sorted(((i, str(p)) for i, p in staged(lake, "id", "p", spec=spec))) == [(1, "1.005"), (2, "None")]
+
+
 def test_duplicates_within_a_file(lake):
     lake.put("a.csv", "Id\n1\n1\n2\n")
     lake.put("b.csv", "Id\n1\n")
@@ -146,6 +162,9 @@ def test_reprocess_some_skipped_and_all(lake):
     document = {"20240601": {"feed": {"file_name": ["a.csv"], "includes_skipped_files": "Y"}}}
     ingest(spark, spec, lake.run("2"), lake.ledgers, reprocess_doc=document)
     assert staged(lake, "id", "execution_cycle_id") == [("a2", "2"), ("b", "1"), ("late", "2")]
+    # A file that was skipped once and loaded since is not a skipped file any more.
+    ingest(spark, spec, lake.run("21"), lake.ledgers, reprocess_doc=document)
+    assert staged(lake, "id", "execution_cycle_id") == [("a2", "21"), ("b", "1"), ("late", "2")]
     ingest(spark, spec, lake.run("3"), lake.ledgers, reprocess_doc={"20240601": {"feed": {"file_name": "ALL"}}})
     assert staged(lake, "id", "execution_cycle_id") == [("a2", "3"), ("b", "3"), ("late", "3")]
     with pytest.raises(NothingToIngest):
@@ -287,6 +306,9 @@ def test_spec_documents(lake):
     assert several.source_prefixes == ["s3a://raw/a", "s3a://raw/b"]
     without = {k: v for k, v in document.items() if k != "multiline"}
     assert "multiline" not in IngestSpec.from_document(without, aliases).options
+    nested = {**document, "file_type": "json", "schema_location_key": "s.json"}
+    assert IngestSpec.from_document(nested, aliases, lambda key: {"a": "int"}).schema_doc is None
+    assert IngestSpec.from_document({**nested, "infer_schema": "n"}, aliases, lambda key: {"a": "int"}).schema_doc == {"a": "int"}
     declared = {**document, "header": "false", "schema_location_key": "s.json"}
     assert IngestSpec.from_document(declared, aliases, lambda key: DOC).schema_doc == DOC
     for change, message in [

@@ -197,6 +197,8 @@ def test_append_history_by_name(spark, rows):
     staged = spark.createDataFrame([(2, "x"), (2, "x")], "n int, s string")
     got = incremental.append_history(history, staged, "loaded", F.lit("t1"))
     assert rows(got, "s", "n", "loaded") == [("h", 1, "t0"), ("x", 2, "t1")]
+    unstamped = incremental.append_history(history.select("s"), staged, "loaded", F.lit("t1"))
+    assert rows(unstamped, "s", "n", "loaded") == [("h", None, "t1"), ("x", 2, "t1")]
 
 
 # -- conform -------------------------------------------------------------------

@@ -167,10 +167,12 @@ def latest_staging(
 
 
 def append_history(history: DataFrame, staging: DataFrame, load_column: str, load_time: Column) -> DataFrame:
-    """History with the distinct staging rows appended, stamped with their load time."""
-    fresh = staging.distinct()
-    if load_column not in fresh.columns:
-        fresh = fresh.withColumn(load_column, load_time)
+    """History with the distinct staging rows appended, stamped with their load time.
+
+    History that has no load time yet gets the same one. Columns go by name, and one that
+    is missing on a side is NULL there.
+    """
     if load_column not in history.columns:
-        history = history.withColumn(load_column, F.lit(None).cast(fresh.schema[load_column].dataType))
+        history = history.withColumn(load_column, load_time)
+    fresh = staging.drop(load_column).distinct().withColumn(load_column, load_time)
     return history.unionByName(fresh, allowMissingColumns=True)

@@ -125,14 +125,18 @@ def file_log_rows(
 
 
 def done_files(file_log: LakeTable, dataset: str) -> DataFrame:
-    """Files the ledger holds for a dataset, skipped ones included; empty before the first run."""
+    """Files the ledger holds for a dataset with their last status; empty before the first run.
+
+    Skipped files are among them: they are not tried again unless forced.
+    """
     if not file_log.exists():
         return file_log.spark.createDataFrame([], "input_location_prefix string, file_name string, status string")
+    latest = F.max_by("ingestion_status", F.struct("execution_date", "execution_cycle_id"))
     return (
         file_log.read()
         .where(F.col("dataset_name") == dataset)
-        .select("input_location_prefix", "file_name", F.col("ingestion_status").alias("status"))
-        .distinct()
+        .groupBy("input_location_prefix", "file_name")
+        .agg(latest.alias("status"))
     )
 
 

@@ -98,7 +98,7 @@ class IngestSpec:
         if file_type in ("csv", "txt", "excel"):
             header = str(_required(doc, "header")).lower() == "true"
             schema_doc = cls._flat_document(doc, header, load_document)
-        elif file_type == "json" and doc.get("schema_location_key"):
+        elif file_type == "json" and str(doc.get("infer_schema")).upper() == "N":
             schema_doc = cls._document(doc, load_document)
         address = doc.get("excel_data_address") or {}
         archive = _flag(doc, "archive")

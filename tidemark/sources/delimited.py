@@ -31,7 +31,7 @@ def read_declared(
 ) -> DataFrame:
     """Files of one declared schema; columns are taken by position."""
     reader = spark.read.options(**(options or {})).option("header", header).schema(flat_schema(schema_doc))
-    typed = cast_declared(with_location(reader.csv(list(paths))), schema_doc)
+    typed = cast_declared(with_location(reader.csv([storage.literal_path(p) for p in paths])), schema_doc)
     return standardize_names(typed)
 
 
@@ -52,7 +52,7 @@ def header_groups(
             groups.setdefault(head, []).append(path)
     ordered = sorted(groups.values(), key=lambda group: max(p.rsplit("/", 1)[-1] for p in group))
     reader = spark.read.options(**options).option("header", True)
-    return [(reader.csv(group[0]).columns, group) for group in ordered]
+    return [(reader.csv(storage.literal_path(group[0])).columns, group) for group in ordered]
 
 
 def read_header_strings(
@@ -73,7 +73,7 @@ def read_header_strings(
         # Read under the final names: the header line is skipped and columns go by position.
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         reader = spark.read.options(**(options or {})).option("header", True).schema(schema)
-        parts.append(with_location(reader.csv(group)))
+        parts.append(with_location(reader.csv([storage.literal_path(p) for p in group])))
     return combine(parts, schema_mode)
 
 

@@ -106,6 +106,11 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(remove, paths))
 
 
+def literal_path(path: str) -> str:
+    """A path for Spark's readers, which would take brackets in a file name for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def plain_path(encoded: Column) -> Column:
     """Undo the URL encoding that file metadata columns use (a ``+`` stays a ``+``)."""
     decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))

@@ -10,6 +10,7 @@ from tidemark.functions.names import standardize_names
 from tidemark.operators.schema import json_schema
 from tidemark.operators.shape import flatten
 from tidemark.session import string_partition_values
+from tidemark.sources import storage
 from tidemark.sources.delimited import LOCATION, with_location
 
 
@@ -23,7 +24,7 @@ def read_json(
     reader = spark.read.options(**(options or {}))
     if schema_doc is not None:
         reader = reader.schema(json_schema(schema_doc))
-    located = with_location(reader.json(list(paths)))
+    located = with_location(reader.json([storage.literal_path(p) for p in paths]))
     return standardize_names(flatten(standardize_names(located), keep=(LOCATION,)))
 
 
@@ -37,6 +38,7 @@ def read_parquet(
 
     ``latest`` reads one footer, ``merge`` reads all of them.
     """
+    paths = [storage.literal_path(p) for p in paths]
     reader = spark.read.options(**(options or {}))
     if schema_mode == "merge":
         df = reader.option("mergeSchema", True).parquet(*paths)

@@ -22,7 +22,7 @@ from tidemark.functions.names import quoted, require_distinct, standard_name, st
 from tidemark.operators.schema import flat_schema
 from tidemark.operators.shape import cast_declared
 from tidemark.sources.delimited import LOCATION
-from tidemark.sources.storage import plain_path
+from tidemark.sources.storage import literal_path, plain_path
 
 BATCH_ROWS = 5_000
 
@@ -175,7 +175,7 @@ def read_workbooks(
     schema_doc: Sequence[Mapping[str, str]] | None = None,
 ) -> DataFrame:
     """Sheet rows of many workbook files, declared or inferred."""
-    workbooks = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    workbooks = spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("path", "content")
     return parse_workbooks(workbooks, sheet, start, header, schema_doc)
 
 
