@@ -425,3 +425,33 @@ def test_repeated_cycle_of_a_history_job(lake, spark):
         process(spark, spec, lake.run(str(n)), lake.ledgers, staged_rows)
     newest = incremental.previous_history(spark, f"{lake.schema}.h", CYCLE_KEYS)
     assert sorted(r.n for r in newest.collect()) == [1, 2]
+
+
+def test_files_without_rows_do_not_change_the_table(lake):
+    lake.put("a.csv", "Id,Name\n1,x\n")
+    lake.put("z.csv", "Other\n")
+    ingest(lake.spark, lake.spec(), lake.run("1"), lake.ledgers)
+    assert staged(lake, "id", "name") == [("1", "x")]
+    lake.put("zz.csv", "Another\n")
+    ingest(lake.spark, lake.spec(), lake.run("2"), lake.ledgers)
+    assert staged(lake, "id", "name") == [("1", "x")]
+    lake.put("e.json", "")
+    spec = lake.spec(dataset="j", file_type="json", mask="*.json", options={})
+    assert ingest(lake.spark, spec, lake.run("3"), lake.ledgers).skipped_files == 1
+    assert staged(lake, "id", "name") == [("1", "x")]
+
+
+def test_skipped_files_do_not_change_the_table(lake):
+    lake.put("a.csv", "Id,Name\n1,x\n")
+    lake.put("b.csv", "Id,Name,More\nbad,x,y\n")
+    rules = [quality.matches("num", "id", "^[0-9]+$")]
+    ingest(lake.spark, lake.spec(skip_file=True), lake.run("1"), lake.ledgers, rules=rules)
+    assert staged(lake, "id", "name") == [("1", "x")]
+    assert "more" not in staging_table(lake.spark, lake.spec()).read().columns
+    # Rules see columns that only older headers have; the newest kept header decides the table.
+    lake.put("c.csv", "Id,Name\n2,y\n")
+    lake.put("d.csv", "Id\n3\n")
+    rules.append(quality.not_null("named", "name", criticality="non-critical"))
+    ingest(lake.spark, lake.spec(write_valid=True), lake.run("2"), lake.ledgers, rules=rules)
+    assert staged(lake, "id", "source_file_name") == [("1", "a.csv"), ("2", "c.csv")]
+    assert [s for s in statuses(lake) if s[0] == "2"] == [("2", "c.csv", 1, "Ingested"), ("2", "d.csv", 0, "File Skipped")]

@@ -82,3 +82,26 @@ def test_inferred_and_declared_ingest(lake):
     ingest(lake.spark, declared, lake.run(), lake.ledgers)
     got = staging_table(lake.spark, declared).read().select("who", "born", "score").distinct().collect()
     assert sorted((r.who, str(r.born), r.score) for r in got) == [("", "None", 7), ("Ada", "2024-01-01", 5)]
+
+
+def test_workbooks_with_differing_headers(lake):
+    def sheet(header, values):
+        def cells(row, texts):
+            return "".join(f'<c r="{c}{row}" t="inlineStr"><is><t>{t}</t></is></c>' for c, t in zip("ABC", texts))
+
+        return workbook(f'<row r="1">{cells(1, header)}</row><row r="2">{cells(2, values)}</row>')
+
+    put(lake, "a.xlsx", sheet(["Id", "Name", "Old"], ["1", "x", "o"]))
+    put(lake, "b.xlsx", sheet(["Name", "Id"], ["y", "2"]))
+    spec = lake.spec(file_type="excel", options={}, sheet="Data")
+    ingest(lake.spark, spec, lake.run(), lake.ledgers)
+    read = staging_table(lake.spark, spec).read()
+    assert read.columns[:2] == ["name", "id"] and "old" not in read.columns
+    assert sorted((r.id, r.name) for r in read.collect()) == [("1", "x"), ("2", "y")]
+    merged = lake.spec(
+        dataset="m", file_type="excel", options={}, sheet="Data", schema_mode="merge", target_table="M",
+        target_location=f"{lake.root}/m",
+    )
+    ingest(lake.spark, merged, lake.run(), lake.ledgers)
+    got = staging_table(lake.spark, merged).read()
+    assert sorted((r.id, r.name, r.old) for r in got.collect()) == [("1", "x", "o"), ("2", "y", None)]

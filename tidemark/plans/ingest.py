@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import masks
 from tidemark.operators import ledger, quality, reprocess
-from tidemark.operators.shape import dedup_within_file, gather, scrub_null_token
+from tidemark.operators.shape import align, dedup_within_file, gather, scrub_null_token
 from tidemark.operators.tables import STAGING_KEYS, LakeTable, TempTables
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.sources import delimited, listing, storage, structured, workbook
@@ -47,7 +47,9 @@ def read_files(spark: SparkSession, spec: IngestSpec, paths: Sequence[str]) -> D
             return delimited.read_declared(spark, paths, spec.schema_doc, spec.header, spec.options)
         return delimited.read_header_strings(spark, paths, spec.options, spec.schema_mode)
     if spec.file_type == "excel":
-        return workbook.read_workbooks(spark, paths, spec.sheet, spec.start_cell, spec.header, spec.schema_doc)
+        return workbook.read_workbooks(
+            spark, paths, spec.sheet, spec.start_cell, spec.header, spec.schema_doc, spec.schema_mode
+        )
     if spec.file_type == "json":
         return structured.read_json(spark, paths, spec.options, spec.schema_doc)
     return structured.read_parquet(spark, paths, spec.options, spec.schema_mode)
@@ -130,15 +132,9 @@ def ingest(
     files = listing.listing_frame(spark, paths)
 
     with TempTables(spark, "ingest") as temp:
-        rows = read_files(spark, spec, paths)
-        statuses = None
+        load = _gated_rows if rules else _plain_rows
+        rows, statuses = load(spark, spec, paths, run, ledgers, rules, temp)
         if rows is not None:
-            if spec.drop_duplicates:
-                rows = dedup_within_file(rows)
-            if rules:
-                rows, statuses = _gate(rows, spec, run, ledgers, rules, len(paths), temp)
-            elif spec.drop_duplicates:
-                rows = gather(rows, LOCATION)
             land_staged(table, rows, run)
         result = _log_files(table, spec, run, ledgers, files, statuses, started)
     _log_run(spec, run, ledgers, paths, result.record_count, table, started)
@@ -155,15 +151,34 @@ def ingest(
     return result
 
 
-def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int, temp: TempTables) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass and the verdict per file.
+def _plain_rows(spark, spec: IngestSpec, paths, *_) -> tuple[DataFrame | None, None]:
+    """All rows of the files; None when there is no row, so that no table is made or changed."""
+    rows = read_files(spark, spec, paths)
+    if rows is None or rows.isEmpty():
+        return None, None
+    return (gather(dedup_within_file(rows), LOCATION) if spec.drop_duplicates else rows), None
 
-    The rules are evaluated twice over the files, once for the totals and once for the
-    rows, which is cheaper than storing every row in between. Only where the rows come
-    out of a shuffle are they stored once and read twice.
+
+def _gated_rows(
+    spark, spec: IngestSpec, paths, run: RunContext, ledgers, rules, temp: TempTables
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows that pass the gate and the verdict per file.
+
+    Rules see the columns of all files. They are evaluated twice, once for the totals and
+    once for the rows of the files that are kept, which is cheaper than storing every row
+    in between. Rows that come out of a shuffle are stored once and read twice instead.
     """
-    flagged = quality.flag_failures(rows, rules, LOCATION)
-    if spec.drop_duplicates or any(r.unique_columns for r in rules):
+    wide = replace(spec, schema_mode="merge")
+    rows = read_files(spark, wide, paths)
+    if rows is None or rows.isEmpty():
+        return None, None
+
+    def flag(rows: DataFrame) -> DataFrame:
+        return quality.flag_failures(dedup_within_file(rows) if spec.drop_duplicates else rows, rules, LOCATION)
+
+    flagged = flag(rows)
+    stored = spec.drop_duplicates or any(r.unique_columns for r in rules)
+    if stored:
         flagged = temp.keep(gather(flagged, LOCATION), "flagged-rows")
     totals = quality.rule_totals(flagged, rules, LOCATION)
     verdicts = temp.keep(
@@ -173,7 +188,19 @@ def _gate(rows, spec: IngestSpec, run: RunContext, ledgers, rules, files: int, t
     ledger.write_quality_log(
         ledgers.quality_log, quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name), "pre_load"
     )
-    return quality.admitted(flagged, verdicts, LOCATION, files), verdicts
+    # As many verdicts as there are paths, which are on the driver already.
+    passed = {r.gated_file for r in verdicts.where(F.col("ingestion_status") != quality.SKIPPED).collect()}
+    kept = [p for p in paths if p in passed]
+    if not kept:
+        return None, verdicts
+    # Skipped files are not read again, unless their schema would have to be inferred again.
+    fixed_schema = spec.schema_doc is not None or spec.file_type in ("csv", "txt", "parquet")
+    if not stored and fixed_schema:
+        flagged = flag(read_files(spark, wide, kept))
+    rows = quality.admitted(flagged, verdicts, LOCATION, len(paths))
+    if fixed_schema:
+        rows = align(rows, read_files(spark, spec, kept).schema)
+    return rows, verdicts
 
 
 def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuses, started: str) -> IngestResult:

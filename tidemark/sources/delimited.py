@@ -74,6 +74,9 @@ def read_header_strings(
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         reader = spark.read.options(**(options or {})).option("header", True).schema(schema)
         parts.append(with_location(reader.csv([storage.literal_path(p) for p in group])))
+    if len(parts) > 1:
+        # Files with nothing but a header have no say in the columns.
+        parts = [p for p in parts if not p.isEmpty()] or parts[-1:]
     return combine(parts, schema_mode)
 
 

@@ -33,18 +33,22 @@ def read_parquet(
     paths: Sequence[str],
     options: Mapping[str, str] | None = None,
     schema_mode: str = "latest",
-) -> DataFrame:
+) -> DataFrame | None:
     """Parquet files under the schema of the newest one, or of all with ``merge``.
 
-    ``latest`` reads one footer, ``merge`` reads all of them.
+    The newest file with rows decides. ``latest`` reads its footer only, ``merge`` all.
     """
     paths = [storage.literal_path(p) for p in paths]
     reader = spark.read.options(**(options or {}))
     if schema_mode == "merge":
         df = reader.option("mergeSchema", True).parquet(*paths)
     else:
-        newest = max(paths, key=lambda p: p.rsplit("/", 1)[-1])
-        df = reader.schema(spark.read.parquet(newest).schema).parquet(*paths)
+        newest_first = sorted(paths, key=lambda p: p.rsplit("/", 1)[-1], reverse=True)
+        single = (spark.read.parquet(p) for p in newest_first)
+        newest = next((df for df in single if not df.isEmpty()), None)
+        if newest is None:
+            return None
+        df = reader.schema(newest.schema).parquet(*paths)
     return standardize_names(with_location(df))
 
 

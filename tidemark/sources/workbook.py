@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.names import quoted, require_distinct, standard_name, standardize_names
+from tidemark.functions.names import require_distinct, standard_name, standardize_names
 from tidemark.operators.schema import flat_schema
 from tidemark.operators.shape import cast_declared
 from tidemark.sources.delimited import LOCATION
@@ -139,14 +139,23 @@ def _cast(text: Column, dtype: T.DataType) -> Column:
     return text.try_cast(dtype)
 
 
-def infer_columns(workbooks: DataFrame, sheet: str, start: str) -> list[tuple[str, T.DataType]]:
-    """Names from the newest workbook's header, types from the cells of all workbooks."""
+def _header(row: list[tuple[str, str]]) -> list[str]:
+    originals = [text for _, text in row]
+    names = [standard_name(text) or f"_c{i}" for i, text in enumerate(originals)]
+    require_distinct(originals, names)
+    return names
+
+
+def infer_columns(
+    workbooks: DataFrame, sheet: str, start: str, schema_mode: str = "latest"
+) -> list[tuple[str, T.DataType]]:
+    """Columns of the newest workbook's header (or of all with ``merge``), typed by all cells below."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 rows = sheet_rows(content, sheet, start)
-                header = [text for _, text in next(rows, [])]
+                header = _header(next(rows, []))
                 kinds: list[set[str]] = [set() for _ in header]
                 for row in rows:
                     for seen, (kind, _) in zip(kinds, row):
@@ -156,14 +165,22 @@ def infer_columns(workbooks: DataFrame, sheet: str, start: str) -> list[tuple[st
                 )
 
     found = workbooks.mapInPandas(describe, "path string, position int, name string, kinds array<string>")
-    name_of_newest = F.max_by("name", F.substring_index("path", "/", -1))
-    columns = found.groupBy("position").agg(
-        name_of_newest.alias("name"), F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds")
+    age = F.struct(F.substring_index("path", "/", -1).alias("base"), F.col("path"))
+    columns = (
+        found.groupBy("name")
+        .agg(
+            F.max(age).alias("newest"),
+            F.max_by("position", age).alias("position"),
+            F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds"),
+        )
+        .collect()
     )
-    return [
-        (r.name, INFERRED.get(frozenset(r.kinds) - {"empty"}, T.StringType()))
-        for r in columns.orderBy("position").collect()
-    ]
+    if not columns:
+        return []
+    newest = max(c.newest for c in columns)
+    kept = [c for c in columns if c.newest == newest or schema_mode == "merge"]
+    kept.sort(key=lambda c: (c.newest != newest, c.position, c.name))
+    return [(c.name, INFERRED.get(frozenset(c.kinds) - {"empty"}, T.StringType())) for c in kept]
 
 
 def read_workbooks(
@@ -173,10 +190,11 @@ def read_workbooks(
     start: str = "A1",
     header: bool = True,
     schema_doc: Sequence[Mapping[str, str]] | None = None,
-) -> DataFrame:
+    schema_mode: str = "latest",
+) -> DataFrame | None:
     """Sheet rows of many workbook files, declared or inferred."""
     workbooks = spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("path", "content")
-    return parse_workbooks(workbooks, sheet, start, header, schema_doc)
+    return parse_workbooks(workbooks, sheet, start, header, schema_doc, schema_mode)
 
 
 def parse_workbooks(
@@ -185,31 +203,41 @@ def parse_workbooks(
     start: str = "A1",
     header: bool = True,
     schema_doc: Sequence[Mapping[str, str]] | None = None,
-) -> DataFrame:
-    """Sheet rows of workbooks given as ``path, content``."""
+    schema_mode: str = "latest",
+) -> DataFrame | None:
+    """Sheet rows of workbooks given as ``path, content``.
+
+    Declared columns go by position, inferred ones by the name in each workbook's header.
+    None when columns are to be inferred and no workbook has a header.
+    """
     if schema_doc is not None:
         columns = [(f.name, f.dataType) for f in flat_schema(schema_doc).fields]
     elif header:
-        columns = infer_columns(workbooks, sheet, start)
+        columns = infer_columns(workbooks, sheet, start, schema_mode)
+        if not columns:
+            return None
     else:
         raise ValueError("a workbook without header needs a declared schema")
-    names = [standard_name(n) for n, _ in columns]
-    require_distinct([n for n, _ in columns], names)
-    width = len(columns)
+    names, width, by_name = [n for n, _ in columns], len(columns), schema_doc is None
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def frame(path: str, rows: list[list[str]]) -> pd.DataFrame:
+        def frame(path: str, rows: list[list[str | None]]) -> pd.DataFrame:
             data = pd.DataFrame(rows, columns=[f"c{i}" for i in range(width)], dtype=object)
             return data.assign(path=path)
 
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows: list[list[str]] = []
-                for n, row in enumerate(sheet_rows(content, sheet, start)):
-                    if header and n == 0:
-                        continue
-                    texts = [text for _, text in row[:width]]
-                    rows.append(texts + [""] * (width - len(texts)))
+                cells = sheet_rows(content, sheet, start)
+                places: list[int | None] = list(range(width))
+                if header:
+                    found = next(cells, [])
+                    if by_name:
+                        at = {name: i for i, name in enumerate(_header(found))}
+                        places = [at.get(name) for name in names]
+                rows: list[list[str | None]] = []
+                for row in cells:
+                    # A cell that is not there is empty, a column that is not there is NULL.
+                    rows.append([None if p is None else row[p][1] if p < len(row) else "" for p in places])
                     if len(rows) == BATCH_ROWS:
                         yield frame(path, rows)
                         rows = []

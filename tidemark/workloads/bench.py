@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,10 +59,16 @@ class Bench:
     label: str
 
     def __post_init__(self) -> None:
-        self.schema = f"{self.label}_{uuid.uuid4().hex[:8]}"
         self.root = scratch_path(self.spark, self.label)
         self.run = RunContext(DATE, CYCLE, TIME, run_id="run-1")
 
+    @cached_property
+    def schema(self) -> str:
+        """A catalog schema of this call's own, made when first asked for."""
+        name = f"{self.label}_{uuid.uuid4().hex[:8]}"
+        self.spark.sql(f"CREATE DATABASE `{name}` LOCATION '{self.root}/catalog'")
+        return name
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
@@ -76,9 +83,6 @@ class Bench:
             "o_orderpriority",
         )
 
-    def create_schema(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.schema}`")
-
     def lake(self, name: str, keys: Sequence[str] = CYCLE_KEYS) -> LakeTable:
         return LakeTable(self.spark, self.schema, name, f"{self.root}/{name}", tuple(keys))
 

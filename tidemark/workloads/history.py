@@ -113,7 +113,6 @@ def hist_append(bench: Bench) -> DataFrame:
 )
 def conform_union(bench: Bench) -> DataFrame:
     """Customers and suppliers as one all-string party table."""
-    bench.create_schema()
     for name in ("customer", "supplier"):
         bench.spark.sql(f"CREATE TABLE `{bench.schema}`.{name} USING parquet LOCATION '{bench.sf_dir}/{name}.parquet'")
     mapped = [
