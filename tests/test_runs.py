@@ -135,7 +135,7 @@ def test_subfolders_and_flat_identity(lake):
     lake.put("a.csv", "Id\n1\n")
     flat = listing.source_files(lake.spark, lake.src)
     assert listing.by_location(flat, lake.src) == ["file_name"]
-    lake.put("sub/a.csv", "Id\n2\n")
+    lake.put("sub/src/a.csv", "Id\n2\n")
     nested = listing.source_files(lake.spark, lake.src)
     assert listing.by_location(nested, lake.src) == ["input_location_prefix", "file_name"]
     assert ingest(lake.spark, lake.spec(), lake.run(), lake.ledgers).record_count == 2
@@ -455,3 +455,28 @@ def test_skipped_files_do_not_change_the_table(lake):
     ingest(lake.spark, lake.spec(write_valid=True), lake.run("2"), lake.ledgers, rules=rules)
     assert staged(lake, "id", "source_file_name") == [("1", "a.csv"), ("2", "c.csv")]
     assert [s for s in statuses(lake) if s[0] == "2"] == [("2", "c.csv", 1, "Ingested"), ("2", "d.csv", 0, "File Skipped")]
+
+
+def test_gate_on_nested_files(lake):
+    lake.put("a.json", '{"id": 1, "lines": [{"n": 5}, {"n": 6}]}\n')
+    lake.put("b.json", '{"id": 2, "lines": [{"n": -1}, {"n": 7}]}\n')
+    lake.put("c.json", '{"id": 3, "lines": [{"n": -1}]}\n')
+    spec = lake.spec(file_type="json", mask="*.json", options={}, write_valid=True)
+    rules = [quality.in_range("r", "n", 0, 9)]
+    ingest(lake.spark, spec, lake.run(), lake.ledgers, rules=rules)
+    assert staged(lake, "id", "n", spec=spec) == [(1, 5), (1, 6), (2, 7)]
+    assert [s[1:] for s in statuses(lake)] == [
+        ("a.json", 2, "Ingested"),
+        ("b.json", 1, "Ingested Valid Data"),
+        ("c.json", 0, "File Skipped"),
+    ]
+
+
+def test_gate_with_unique_rule_and_duplicates(lake):
+    lake.put("a.csv", "Id,Name\n1,x\n1,x\n2,y\n2,z\n")
+    lake.put("b.csv", "Id,Name\n1,x\n")
+    rules = [quality.unique("u", "id", threshold=70)]
+    spec = lake.spec(drop_duplicates=True)
+    assert ingest(lake.spark, spec, lake.run(), lake.ledgers, rules=rules).record_count == 4
+    log = {r.pre_ingestion_dqm_file: r.errored_record_count for r in lake.ledgers.quality_log.read().collect()}
+    assert log == {"a.csv": 2, "b.csv": 0}

@@ -131,7 +131,7 @@ def done_files(file_log: LakeTable, dataset: str) -> DataFrame:
     """
     if not file_log.exists():
         return file_log.spark.createDataFrame([], "input_location_prefix string, file_name string, status string")
-    latest = F.max_by("ingestion_status", F.struct("execution_date", "execution_cycle_id"))
+    latest = F.max_by("ingestion_status", F.struct("execution_date", "execution_cycle_id", "execution_end_time"))
     return (
         file_log.read()
         .where(F.col("dataset_name") == dataset)

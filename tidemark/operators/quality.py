@@ -244,7 +244,7 @@ def post_load_log(rows: DataFrame, rules: Sequence[Rule], dataset: str, cycle_id
 
     Unique rules still look inside one source file where the rows name it.
     """
-    file_column = "source_file_name" if "source_file_name" in rows.columns else "__scope"
+    file_column = next((c for c in ("source_file_location", "source_file_name") if c in rows.columns), "__scope")
     if file_column == "__scope":
         rows = rows.withColumn("__scope", F.lit(scope))
     totals = rule_totals(flag_failures(rows, rules, file_column), rules, None)

@@ -58,8 +58,8 @@ def checked_paths(listing: DataFrame) -> list[str]:
 def by_location(listing: DataFrame, prefixes: str | Sequence[str]) -> list[str]:
     """Columns that identify a file: the name alone for one flat prefix, else the folder too."""
     if isinstance(prefixes, str):
-        root = "/" + prefixes.rstrip("/").rsplit("/", 1)[-1] + "/"
-        elsewhere = ~F.col("input_location_prefix").endswith(root)
+        root = storage.qualified(listing.sparkSession, prefixes).rstrip("/") + "/"
+        elsewhere = F.col("input_location_prefix") != root
         if not listing.agg(F.coalesce(F.bool_or(elsewhere), F.lit(False))).first()[0]:
             return ["file_name"]
     return ["input_location_prefix", "file_name"]
