@@ -92,9 +92,9 @@ def test_workbooks_with_differing_headers(lake):
         return workbook(f'<row r="1">{cells(1, header)}</row><row r="2">{cells(2, values)}</row>')
 
     put(lake, "a.xlsx", sheet(["Id", "Name", "Old"], ["1", "x", "o"]))
-    put(lake, "b.xlsx", sheet(["Name", "Id"], ["y", "2"]))
+    put(lake, "b c+d [1].xlsx", sheet(["Name", "Id"], ["y", "2"]))
     spec = lake.spec(file_type="excel", options={}, sheet="Data")
-    ingest(lake.spark, spec, lake.run(), lake.ledgers)
+    assert ingest(lake.spark, spec, lake.run(), lake.ledgers).loaded_files == 2
     read = staging_table(lake.spark, spec).read()
     assert read.columns[:2] == ["name", "id"] and "old" not in read.columns
     assert sorted((r.id, r.name) for r in read.collect()) == [("1", "x"), ("2", "y")]

@@ -114,7 +114,9 @@ def literal_path(path: str) -> str:
 def plain_path(encoded: Column) -> Column:
     """Undo the URL encoding that file metadata columns use (a ``+`` stays a ``+``)."""
     decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(F.when(encoded.contains("%"), decoded).otherwise(encoded), "^file:/+", "file:/")
+    plain = F.when(encoded.contains("%"), decoded).otherwise(encoded)
+    # The regular expression is only paid for by local files.
+    return F.when(encoded.startswith("file://"), F.regexp_replace(plain, "^file:/+", "file:/")).otherwise(plain)
 
 
 def base_name(path: Column) -> Column:

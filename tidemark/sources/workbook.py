@@ -22,7 +22,7 @@ from tidemark.functions.names import require_distinct, standard_name, standardiz
 from tidemark.operators.schema import flat_schema
 from tidemark.operators.shape import cast_declared
 from tidemark.sources.delimited import LOCATION
-from tidemark.sources.storage import literal_path, plain_path
+from tidemark.sources.storage import literal_path
 
 BATCH_ROWS = 5_000
 
@@ -248,7 +248,7 @@ def parse_workbooks(
     raw = workbooks.mapInPandas(parse, raw_schema)
     typed = raw.select(
         *[_cast(F.col(f"c{i}"), dtype).alias(name) for i, (name, dtype) in enumerate(columns)],
-        plain_path(F.col("path")).alias(LOCATION),
+        F.col("path").alias(LOCATION),
     )
     if schema_doc is not None:
         typed = cast_declared(typed, schema_doc)
