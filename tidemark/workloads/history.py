@@ -139,7 +139,8 @@ def conform_union(bench: Bench) -> DataFrame:
 
 
 @query(
-    f"""SELECT o_custkey, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders
+    f"""SELECT o_custkey, count(*) AS orders,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders
         WHERE {NEWEST_SQL} GROUP BY o_custkey"""
 )
 def sql_script_processed(bench: Bench) -> DataFrame:

@@ -119,7 +119,7 @@ def csv_multiline_escape(bench: Bench) -> DataFrame:
 
 
 @query(
-    """SELECT l_orderkey AS line_order, l_linenumber AS line_number, l_suppkey AS line_supplier_key,
+    """SELECT l_orderkey AS line_order, CAST(l_linenumber AS BIGINT) AS line_number, l_suppkey AS line_supplier_key,
               a.kind AS amounts_kind, a.cents AS amounts_cents, f AS flags
        FROM lineitem,
             unnest([{'kind': 'price', 'cents': CAST(round(l_extendedprice * 100) AS BIGINT)},

@@ -235,7 +235,7 @@ def publish_slices(bench: Bench) -> DataFrame:
 @query(
     f"""SELECT CASE WHEN {YEAR_SQL} = (SELECT max({YEAR_SQL}) FROM orders) THEN 'live' ELSE 'archive' END AS side,
                {YEAR_SQL} || '0101' AS execution_date, count(*) AS orders,
-               sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1, 2"""
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders GROUP BY 1, 2"""
 )
 def archive_cycles(bench: Bench) -> DataFrame:
     """All cycles but the newest move to the archive with their partition folders."""
