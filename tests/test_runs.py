@@ -480,3 +480,39 @@ def test_gate_with_unique_rule_and_duplicates(lake):
     assert ingest(lake.spark, spec, lake.run(), lake.ledgers, rules=rules).record_count == 4
     log = {r.pre_ingestion_dqm_file: r.errored_record_count for r in lake.ledgers.quality_log.read().collect()}
     assert log == {"a.csv": 2, "b.csv": 0}
+
+
+def test_datasets_of_one_cycle_side_by_side(lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = [f"side{n}" for n in range(6)]
+    for name in names:
+        lake.put(f"{name}/a.csv", f"Id\n{name}\n")
+    lake.put("first/a.csv", "Id\n0\n")
+
+    def load(name):
+        spec = lake.spec(
+            dataset=name, source_prefixes=f"{lake.src}/{name}", target_table=name, target_location=f"{lake.root}/{name}"
+        )
+        return ingest(lake.spark, spec, lake.run(), lake.ledgers).record_count
+
+    load("first")
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(load, names)) == [1] * 6
+    for log in (lake.ledgers.file_log, lake.ledgers.ingestion_log):
+        assert sorted(r.dataset_name for r in log.read().collect()) == sorted([*names, "first"])
+
+
+def test_one_big_file_is_read_by_many_tasks(lake, spark):
+    lake.put("big.csv", "Id,Name\n" + "".join(f"{i},name {i}\n" for i in range(40_000)))
+    lake.put("small.csv", "Id,Name\n-1,x\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        paths = storage.leaf_files(spark, lake.src)
+        assert delimited.read_header_strings(spark, paths).rdd.getNumPartitions() > 5
+        assert ingest(spark, lake.spec(), lake.run(), lake.ledgers).record_count == 40_001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    folder = f"{lake.root}/staged/execution_date=20240601/execution_cycle_id=1/source_file_name=big.csv"
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 5, "each task wrote what it read"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +19,7 @@ from tidemark.sources.structured import scan_partitioned
 # The file log names the file in a column: a partition per source file would leave one
 # tiny file per source file, and every run reads this ledger.
 RUN_LOG_KEYS = ("dataset_name", "execution_date", "execution_cycle_id")
-PROCESS_LOG_KEYS = ("execution_date", "execution_cycle_id")
+OLD_KEYS = ("execution_date", "execution_cycle_id", "source_file_name")
 QUALITY_LOG_KEYS = ("dataset_name", "ingestion_cycle_id", "stage")
 
 
@@ -39,7 +41,7 @@ INGESTION_LOG = T.StructType(
     + _strings("execution_start_datetime", "execution_end_time")
 )
 PROCESS_LOG = T.StructType(
-    _strings("dataset_name", "application", "table_location", "table_schema", "table_name")
+    _strings("application", "table_location", "table_schema", "table_name")
     + [T.StructField("processed_table_record_count", T.LongType())]
     + _strings("publish_table_schema", "publish_table_name")
     + [T.StructField("publish_table_record_count", T.LongType())]
@@ -70,25 +72,30 @@ class Ledgers:
 
     @property
     def process_log(self) -> LakeTable:
-        return self._table("processed_table_log", PROCESS_LOG_KEYS)
+        return self._table("processed_table_log", RUN_LOG_KEYS)
 
     @property
     def quality_log(self) -> LakeTable:
         return self._table("quality_log", QUALITY_LOG_KEYS)
 
 
-def write(table: LakeTable, schema: T.StructType, rows: DataFrame) -> None:
-    """Add ledger rows. Runs that share a cycle share its partition, so nothing is replaced."""
+def write(table: LakeTable, schema: T.StructType, rows: DataFrame, partition: Mapping[str, str]) -> None:
+    """Add rows to one partition of a ledger, keeping those that are there.
+
+    The small partition is rewritten as a whole. Unlike appends to a shared table, jobs of
+    different partitions do not meet in one working folder and may run side by side.
+    """
     if not table.exists():
         table.register(schema)
-    table.land(scrub_null_token(rows), append=True)
+    mine = reduce(Column.__and__, [F.col(k) == v for k, v in partition.items()])
+    fresh = scrub_null_token(rows).withColumns({k: F.lit(v) for k, v in partition.items()})
+    table.land(table.read().where(mine).unionByName(fresh, allowMissingColumns=True))
 
 
-def write_quality_log(table: LakeTable, rows: DataFrame, stage: str) -> None:
-    schema = T.StructType(
-        [f for f in rows.sparkSession.createDataFrame([], QUALITY_LOG).schema.fields if f.name not in table.keys]
-    )
-    write(table, schema, rows.withColumn("stage", F.lit(stage)))
+def write_quality_log(table: LakeTable, rows: DataFrame, dataset: str, cycle_id: str, stage: str) -> None:
+    everything = rows.sparkSession.createDataFrame([], QUALITY_LOG).schema
+    schema = T.StructType([f for f in everything.fields if f.name not in table.keys])
+    write(table, schema, rows, {"dataset_name": dataset, "ingestion_cycle_id": cycle_id, "stage": stage})
 
 
 def one_row(spark: SparkSession, **values) -> DataFrame:
@@ -145,7 +152,7 @@ def migrate_file_log(old_location: str, table: LakeTable, remove_old: bool = Fal
 
     The former ``dataset_name`` becomes ``table_name``; a missing run id becomes ``NA``.
     """
-    old = scan_partitioned(table.spark, old_location)
+    old = scan_partitioned(table.spark, old_location, OLD_KEYS)
     rows = old.withColumnRenamed("dataset_name", "table_name").withColumns(
         {
             "dataset_name": F.col("table_name"),
@@ -157,7 +164,7 @@ def migrate_file_log(old_location: str, table: LakeTable, remove_old: bool = Fal
 
 
 def migrate_ingestion_log(old_location: str, table: LakeTable, remove_old: bool = False) -> int:
-    old = scan_partitioned(table.spark, old_location)
+    old = scan_partitioned(table.spark, old_location, OLD_KEYS)
     rows = old.withColumnRenamed("dataset_name", "table_name").withColumn("dataset_name", F.col("table_name"))
     return _migrate(rows, INGESTION_LOG, table, old_location, remove_old)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.shape import align
-from tidemark.session import dynamic_overwrite, scratch_path
+from tidemark.session import many_open_writers, scratch_path
 from tidemark.sources import storage
 from tidemark.sources.structured import scan_partitioned
 
@@ -81,7 +81,9 @@ class LakeTable:
         columns += [f"{_name(k)} STRING" for k in self.keys]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(self.schema)}")
         self.spark.sql(
-            f"CREATE TABLE {self.name} ({', '.join(columns)}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}) USING parquet "
+            # On the table, not the session: overlapping jobs must not change it for each other.
+            f"OPTIONS (partitionOverwriteMode 'dynamic') "
             f"PARTITIONED BY ({', '.join(_name(k) for k in self.keys)}) LOCATION {_literal(self.location)}"
         )
         if storage.exists(self.spark, self.location):
@@ -99,16 +101,16 @@ class LakeTable:
 
     # -- landing --------------------------------------------------------------
 
-    def land(self, df: DataFrame, append: bool = False) -> None:
+    def land(self, df: DataFrame) -> None:
         """Write rows into the partitions their key columns name, replacing only those.
 
         No shuffle: each task writes the rows it read. The insert registers partitions.
-        With ``append`` rows that are there already stay.
+        Overwriting is dynamic by the table's own option.
         """
         columns = T.StructType(self.data_schema().fields + [T.StructField(k, T.StringType()) for k in self.keys])
-        # The settings of the rows' own session count: a stream's batches have one to themselves.
-        with dynamic_overwrite(df.sparkSession):
-            align(df, columns).write.insertInto(self.name, overwrite=not append)
+        # The rows' own session counts: a stream's batches have one to themselves.
+        with many_open_writers(df.sparkSession):
+            align(df, columns).write.insertInto(self.name, overwrite=True)
 
     def land_partition(self, df: DataFrame, spec: Mapping[str, str]) -> int:
         """Write rows as exactly one partition and return their number, counted by the write.
@@ -186,9 +188,10 @@ class LakeTable:
         }
         if not folders:
             return 0
-        rows = scan_partitioned(self.spark, self.location, *sorted(folders), merge_schema=True)
-        with dynamic_overwrite(self.spark):
-            rows.write.mode("overwrite").partitionBy(*self.keys).parquet(archive_location)
+        rows = scan_partitioned(self.spark, self.location, self.keys, sorted(folders), merge_schema=True)
+        with many_open_writers(self.spark):
+            dynamic = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            dynamic.partitionBy(*self.keys).parquet(archive_location)
         self.purge(old, depth=2)
         return len(folders)
 

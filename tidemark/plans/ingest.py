@@ -145,7 +145,7 @@ def ingest(
         if result.loaded_files == 0:
             raise NothingToIngest(f"every file of dataset {spec.dataset!r} was skipped")
         check = quality.post_load_log(landed(table, run), post_rules, spec.dataset, run.cycle_id, spec.target_table)
-        ledger.write_quality_log(ledgers.quality_log, check, "post_load")
+        ledger.write_quality_log(ledgers.quality_log, check, spec.dataset, run.cycle_id, "post_load")
         if result.record_count == 0:
             raise NothingToIngest(f"no records loaded for dataset {spec.dataset!r}")
     return result
@@ -185,9 +185,8 @@ def _gated_rows(
         quality.route(totals, spec.skip_file, spec.skip_on_non_critical, spec.write_valid), "file-verdicts"
     )
     file_name = storage.base_name(F.col("gated_file"))
-    ledger.write_quality_log(
-        ledgers.quality_log, quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name), "pre_load"
-    )
+    log = quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name)
+    ledger.write_quality_log(ledgers.quality_log, log, spec.dataset, run.cycle_id, "pre_load")
     # As many verdicts as there are paths, which are on the driver already.
     passed = {r.gated_file for r in verdicts.where(F.col("ingestion_status") != quality.SKIPPED).collect()}
     kept = [p for p in paths if p in passed]
@@ -220,9 +219,6 @@ def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuse
             "file_type": spec.file_type,
             "execution_start_time": started,
             "execution_end_time": run.now(),
-            "dataset_name": spec.dataset,
-            "execution_date": run.execution_date,
-            "execution_cycle_id": run.cycle_id,
         },
     )
     skipped = F.count_if(F.col("ingestion_status") == quality.SKIPPED)
@@ -233,7 +229,7 @@ def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuse
         (F.count(F.lit(1)) - skipped).alias("loaded"),
         skipped.alias("skipped"),
     )
-    ledger.write(ledgers.file_log, ledger.FILE_LOG, observed)
+    ledger.write(ledgers.file_log, ledger.FILE_LOG, observed, run.partition(spec.dataset))
     return IngestResult(seen.get["records"], seen.get["loaded"], seen.get["skipped"])
 
 
@@ -257,8 +253,5 @@ def _log_run(spec: IngestSpec, run: RunContext, ledgers, paths, records: int, ta
         record_count=records,
         execution_start_datetime=started,
         execution_end_time=run.now(),
-        dataset_name=spec.dataset,
-        execution_date=run.execution_date,
-        execution_cycle_id=run.cycle_id,
     )
-    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, row)
+    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, row, run.partition(spec.dataset))

@@ -81,7 +81,6 @@ def process(
 
     row = ledger.one_row(
         spark,
-        dataset_name=spec.dataset,
         application=ledgers.application,
         table_location=spec.processed_location,
         table_schema=spec.processed_schema,
@@ -92,10 +91,8 @@ def process(
         publish_table_record_count=published,
         execution_start_time=started,
         execution_end_time=run.now(),
-        execution_date=run.execution_date,
-        execution_cycle_id=run.cycle_id,
     )
-    ledger.write(ledgers.process_log, ledger.PROCESS_LOG, row)
+    ledger.write(ledgers.process_log, ledger.PROCESS_LOG, row, run.partition(spec.dataset))
 
     if spec.archive:
         table.archive(run.cycle_id, spec.archive_location)
@@ -104,5 +101,5 @@ def process(
             (F.col("execution_date") == run.execution_date) & (F.col("execution_cycle_id") == run.cycle_id)
         )
         check = quality.post_load_log(rows, post_rules, spec.dataset, run.cycle_id, spec.processed_table)
-        ledger.write_quality_log(ledgers.quality_log, check, "post_load")
+        ledger.write_quality_log(ledgers.quality_log, check, spec.dataset, run.cycle_id, "post_load")
     return ProcessResult(records, published)

@@ -19,6 +19,14 @@ class RunContext:
     run_id: str = "NA"
     clock: Callable[[], str] | None = None
 
+    def partition(self, dataset: str) -> dict[str, str]:
+        """The ledger partition of a dataset in this run."""
+        return {
+            "dataset_name": dataset,
+            "execution_date": self.execution_date,
+            "execution_cycle_id": self.cycle_id,
+        }
+
     def now(self) -> str:
         return self.clock() if self.clock else self.processed_time
 

@@ -71,21 +71,10 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.set(key, value)
 
 
-def dynamic_overwrite(spark: SparkSession):
-    """Overwrite only the partitions that the written rows belong to.
+def many_open_writers(spark: SparkSession):
+    """Let a task keep several partition files open instead of sorting its rows first.
 
-    Concurrent writers spare the sort by partition value as long as one task touches
-    few partitions; Spark falls back to the sort by itself beyond that number.
+    Spark falls back to the sort by itself when one task touches more partitions. Only
+    speed depends on the setting, so jobs that share a session may overlap in it.
     """
-    return session_conf(
-        spark,
-        {
-            "spark.sql.sources.partitionOverwriteMode": "dynamic",
-            "spark.sql.maxConcurrentOutputFileWriters": "64",
-        },
-    )
-
-
-def string_partition_values(spark: SparkSession):
-    """Read partition values from directory names as the strings they are."""
-    return session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"})
+    return session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "64"})

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.functions.names import standardize_names
 from tidemark.operators.schema import json_schema
 from tidemark.operators.shape import flatten
-from tidemark.session import string_partition_values
 from tidemark.sources import storage
 from tidemark.sources.delimited import LOCATION, with_location
 
@@ -52,8 +52,15 @@ def read_parquet(
     return standardize_names(with_location(df))
 
 
-def scan_partitioned(spark: SparkSession, base: str, *folders: str, merge_schema: bool = False) -> DataFrame:
-    """Parquet below ``base`` with the partition columns of its folder names, as strings."""
-    with string_partition_values(spark):
-        reader = spark.read.option("basePath", base).option("mergeSchema", merge_schema)
-        return reader.parquet(*(f"{base}/{f}" for f in folders)) if folders else reader.parquet(base)
+def scan_partitioned(
+    spark: SparkSession, base: str, keys: Sequence[str], folders: Sequence[str] = (), merge_schema: bool = False
+) -> DataFrame:
+    """Parquet below ``base`` with the partition columns of its folder names, as strings.
+
+    Left to itself Spark would turn dates and cycles into numbers and lose leading zeros.
+    """
+    paths = [f"{base}/{f}" for f in folders] or [base]
+    reader = spark.read.option("basePath", base)
+    found = reader.option("mergeSchema", merge_schema).parquet(*paths).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name in keys else f for f in found.fields]
+    return reader.schema(T.StructType(fields)).parquet(*paths)

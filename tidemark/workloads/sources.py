@@ -241,7 +241,9 @@ def partitioned_scan(bench: Bench) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("execution_date")
     )
     gather(rows, "execution_date", "o_orderstatus").write.partitionBy("execution_date", "o_orderstatus").parquet(f"{bench.root}/scan")
-    return structured.scan_partitioned(bench.spark, f"{bench.root}/scan").select(
+    return structured.scan_partitioned(
+        bench.spark, f"{bench.root}/scan", ["execution_date", "o_orderstatus"]
+    ).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "execution_date"
     )
 

@@ -124,7 +124,7 @@ def detach_partitions(bench: Bench) -> DataFrame:
     """Detached partitions leave the table; their files stay."""
     table = bench.yearly_orders()
     table.detach(F.col("execution_date") < "19980101")
-    disk = scan_partitioned(bench.spark, table.location)
+    disk = scan_partitioned(bench.spark, table.location, table.keys)
     return (
         table.read()
         .select(F.lit("attached").alias("side"), "execution_date")
@@ -242,8 +242,8 @@ def archive_cycles(bench: Bench) -> DataFrame:
     table = bench.yearly_orders()
     newest = table.partitions().agg(F.max("execution_cycle_id")).first()[0]
     table.archive(newest, f"{bench.root}/archive")
-    live = scan_partitioned(bench.spark, table.location).withColumn("side", F.lit("live"))
-    old = scan_partitioned(bench.spark, f"{bench.root}/archive").withColumn("side", F.lit("archive"))
+    live = scan_partitioned(bench.spark, table.location, table.keys).withColumn("side", F.lit("live"))
+    old = scan_partitioned(bench.spark, f"{bench.root}/archive", table.keys).withColumn("side", F.lit("archive"))
     return (
         live.unionByName(old)
         .groupBy("side", "execution_date")
