@@ -32,6 +32,18 @@ def test_landing_replaces_only_its_partitions(spark, lake, rows):
     assert with_static_session.lower() == "static", "the table's option decides, not the session"
 
 
+def test_table_made_by_someone_else(spark, lake, rows):
+    t = table(lake, keys=("d",))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.schema}")
+    spark.sql(f"CREATE TABLE {t.name} (n int, d string) USING parquet PARTITIONED BY (d) LOCATION '{t.location}'")
+    spark.sql(f"INSERT INTO {t.name} VALUES (1, 'a'), (2, 'b')")
+    t.land_partition(spark.createDataFrame([(3,)], "n int"), {"d": "b"})
+    t.land_partition(spark.createDataFrame([(4,)], "n int"), {"d": "c"})
+    assert rows(t.read()) == [(1, "a"), (3, "b"), (4, "c")]
+    altered = spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").where("data_type LIKE '%partitionOverwriteMode%'")
+    assert altered.count() == 1
+
+
 def test_odd_partition_values(spark, lake, rows):
     t = table(lake, keys=("part",))
     values = ["a b", "a/b", "a:b", "50%", "x'y", "a+b", "k=v", "ü", "back\\slash"]

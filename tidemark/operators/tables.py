@@ -74,6 +74,7 @@ class LakeTable:
             now = [(f.name.lower(), f.dataType.simpleString()) for f in self.data_schema().fields]
             new = [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
             if now == new:
+                self._overwrite_dynamically()
                 return "unchanged"
             self.spark.sql(f"DROP TABLE {self.name}")
             created = "recreated"
@@ -90,6 +91,13 @@ class LakeTable:
             self.repair()
         return created
 
+    def _overwrite_dynamically(self) -> None:
+        """Give a table that someone else created the option that :meth:`land` relies on."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
+        told = F.col("data_type").contains("partitionOverwriteMode=dynamic")
+        if described.where((F.col("col_name") == "Storage Properties") & told).isEmpty():
+            self.spark.sql(f"ALTER TABLE {self.name} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+
     def repair(self) -> None:
         """Register every partition found on disk."""
         self.spark.sql(f"MSCK REPAIR TABLE {self.name}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import conform, incremental
+from tidemark.operators.shape import gather
 from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS
 from tidemark.plans.process import process, processed_table
 from tidemark.plans.spec import ProcessSpec
@@ -60,6 +61,30 @@ def stg_default(bench: Bench) -> DataFrame:
     return incremental.latest_staging(bench.spark, bench.yearly_orders().name, "", KEYS)
 
 
+@query(f"SELECT {STAGED_SQL} FROM orders WHERE {YEAR_SQL} = '1996'")
+def stg_pinned_partition(bench: Bench) -> DataFrame:
+    pinned = {"execution_date": "19960101", "execution_cycle_id": "19960101000000000000"}
+    return incremental.latest_staging(bench.spark, bench.yearly_orders().name, "", KEYS, override=pinned)
+
+
+@query(
+    f"""WITH newest AS (SELECT {YEAR_SQL} AS y, o_orderpriority AS p FROM orders ORDER BY y DESC, p DESC LIMIT 1)
+        SELECT o_orderkey, o_custkey FROM orders, newest WHERE {YEAR_SQL} = y AND o_orderpriority = p"""
+)
+def hist_latest_tuple(bench: Bench) -> DataFrame:
+    """The greatest combination of year and priority that exists, not each maximum by itself."""
+    table = bench.lake("by_year_and_priority")
+    rows = bench.read("orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.date_format("o_orderdate", "yyyy").alias("execution_date"),
+        F.col("o_orderpriority").alias("execution_cycle_id"),
+    )
+    table.register(rows.drop(*KEYS).schema)
+    table.land(gather(rows, *KEYS))
+    return incremental.previous_history(bench.spark, table.name, KEYS, mode="tuple")
+
+
 @query(f"SELECT {STAGED_SQL} FROM orders")
 def stg_full(bench: Bench) -> DataFrame:
     """A history override of full load turns any load type into a full one."""

@@ -207,6 +207,52 @@ def ingest_end_to_end(bench: Bench) -> DataFrame:
     )
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, 'second' AS cycle FROM orders"""
+)
+def ingest_reprocess(bench: Bench) -> DataFrame:
+    """Everything is loaded, then forced again: each order is there once, in the second cycle."""
+    export_orders(bench)
+    spec = order_spec(bench)
+    ingest(bench.spark, spec, bench.run, bench.ledgers)
+    second = replace(bench.run, cycle_id=f"{CYCLE[:-1]}2")
+    document = {DATE: {DATASET: {"file_name": "all"}}}
+    ingest(bench.spark, spec, second, bench.ledgers, reprocess_doc=document)
+    cycle = F.when(F.col("execution_cycle_id") == CYCLE, "first").otherwise("second").alias("cycle")
+    return staging_table(bench.spark, spec).read().select("o_orderkey", "o_custkey", "o_orderstatus", cycle)
+
+
+@query(
+    """SELECT o_orderkey AS order_key, o_orderstatus AS status, o_custkey AS customer, NULL AS note FROM orders
+       WHERE o_orderstatus = 'F'
+       UNION ALL
+       SELECT o_orderkey, o_orderstatus, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'"""
+)
+def ingest_differing_headers(bench: Bench) -> DataFrame:
+    """Files of two headers, in another order and with a new column, in one run."""
+    rows = bench.orders()
+    older = rows.where("o_orderstatus = 'F'").select(
+        F.col("o_orderstatus").alias("Status"), F.col("o_custkey").alias("Customer"), F.col("o_orderkey").alias("Order Key")
+    )
+    newer = rows.where("o_orderstatus <> 'F'").select(
+        F.col("o_orderkey").alias("order_key"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_custkey").alias("customer"),
+        F.col("o_orderpriority").alias("note"),
+    )
+    older.write.option("header", True).csv(f"{bench.root}/src/older")
+    newer.write.option("header", True).csv(f"{bench.root}/src/newer")
+    spec = bench.spec(schema_mode="merge")
+    ingest(bench.spark, spec, bench.run, bench.ledgers)
+    staged = staging_table(bench.spark, spec).read()
+    return staged.select(
+        F.col("order_key").cast("bigint").alias("order_key"),
+        "status",
+        F.col("customer").cast("bigint").alias("customer"),
+        "note",
+    )
+
+
 @query(
     """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'load 1' ELSE 'load 2' END AS loaded
        FROM orders"""
