@@ -105,3 +105,15 @@ def test_workbooks_with_differing_headers(lake):
     ingest(lake.spark, merged, lake.run(), lake.ledgers)
     got = staging_table(lake.spark, merged).read()
     assert sorted((r.id, r.name, r.old) for r in got.collect()) == [("1", "x", "o"), ("2", "y", None)]
+
+
+def test_worker_code_needs_no_package_on_executors(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    code = "import sys, pickle; f = pickle.load(sys.stdin.buffer); print(list(f(open('b', 'rb').read(), 'Data', 'B4'))[1][2])"
+    (tmp_path / "b").write_bytes(workbook(ROWS))
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(sheet_rows), capture_output=True, cwd=tmp_path)
+    assert done.stdout.decode().strip() == "('number', '7')", done.stderr.decode()
