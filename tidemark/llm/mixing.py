@@ -177,7 +177,8 @@ def mix(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         "target",
         F.round(_rate(F.col("multiplier"), F.col("size"), F.col("scale"), limit), 9).alias("rate"),
     )
-    plan = rated.groupBy("source").applyInPandas(_round_rates, rated.schema.add("whole", "long").add("extra", "long"))
+    fields = ", ".join(f"{name} {kind}" for name, kind in rated.dtypes)
+    plan = rated.groupBy("source").applyInPandas(_round_rates, f"{fields}, whole long, extra long")
     plan = plan.select(
         F.col("source").alias("_source"),
         F.col("size").alias("_size"),
