@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, simhash, tokens
+from tidemark.llm import chat, mixing, quality, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
     "op4_mixing": mixing.op4_mixing,
+    "op5_quality_rules": quality.op5_quality_rules,
     "op6_bpe": tokens.op6_bpe,
     "op8_chat_format": chat.op8_chat_format,
 }
