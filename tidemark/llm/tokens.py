@@ -23,6 +23,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import numbered, table
 
 #: Pieces a worker keeps before it starts its table anew.
-TABLE_ROWS = 400_000
+TABLE_ROWS = 300_000
 
 
 def default_tokenizer() -> str:
@@ -55,18 +56,27 @@ class Tables:
     def __init__(self, description: str):
         import public_tokenizers
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         spec = json.loads(description)
         spec["truncation"] = spec["padding"] = None
-        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         letters = _byte_letters()
-        self.bytes_of = {i: bytes(letters[c] for c in piece) for piece, i in spec["model"]["vocab"].items()}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of |= {i: text.encode() for text, i in self.special.items()}
+        pieces = {bytes(letters[c] for c in piece): i for piece, i in spec["model"]["vocab"].items()}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {text: np.array([i], "<i4").tobytes() for text, i in special.items()}
+        self.bytes_of = np.empty(max([*pieces.values(), *special.values()]) + 1, object)
+        for piece, i in [*pieces.items(), *((text.encode(), i) for text, i in special.items())]:
+            self.bytes_of[i] = piece
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
-        self.ids_of: dict[str, tuple[int, ...]] = {}
+        self.split_special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split
+        if _in_id_order(spec["model"]):
+            # The same merges as ranks; several times faster on single pieces.
+            self._encode = tiktoken.Encoding("piece", pat_str="(?s:.+)", mergeable_ranks=pieces, special_tokens={}).encode_ordinary
+        else:
+            whole = Tokenizer.from_str(json.dumps(spec))
+            self._encode = lambda piece: whole.encode(piece, add_special_tokens=False).ids
+        self.ids_of: dict[str, bytes] = dict(self.special)
 
     @classmethod
     def get(cls, description: str) -> Tables:
@@ -83,22 +93,29 @@ class Tables:
             found += [part] if part in self.special else self.cut(part)
         return found
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces that are not in the table yet, each once."""
-        new = [p for p in pieces if p not in self.ids_of]
-        if len(self.ids_of) + len(new) > TABLE_ROWS:
-            self.ids_of.clear()
-            new = list(pieces)
-        for piece, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.ids_of[piece] = tuple(coded.ids)
+    def coded(self, piece: str) -> bytes:
+        """Ids of one piece, packed as little-endian 32-bit numbers."""
+        return np.array(self._encode(piece), "<i4").tobytes()
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """Packed ids: each piece that is new to the table is encoded once, then all are joined by position."""
         pieces = self.pieces(text)
-        self.learn(set(pieces))
-        return [i for p in pieces for i in self.ids_of[p]]
+        new = [p for p in set(pieces) if p not in self.ids_of]
+        if len(self.ids_of) + len(new) > TABLE_ROWS:
+            self.ids_of = dict(self.special)
+            new = [p for p in set(pieces) if p not in self.special]
+        for piece in new:
+            self.ids_of[piece] = self.coded(piece)
+        return b"".join(map(self.ids_of.__getitem__, pieces))
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(self.bytes_of[ids].tolist()).decode("utf-8", errors="replace")
+
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
+def _in_id_order(model: dict) -> bool:
+    """Whether the n-th merge makes the n-th id after the single bytes, so that ids are ranks."""
+    made = [a + b for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
+    return all(model["vocab"].get(piece) == 256 + i for i, piece in enumerate(made))
 
 
 def read_description(path: str) -> str:
@@ -107,16 +124,25 @@ def read_description(path: str) -> str:
         return file.read()
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, so that few long texts are in memory as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None):
     """Return ``keep`` and ids (array of int)."""
     shared = docs.sparkSession.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.get(shared.value)
-        for batch in batches:
-            ids = [tables.encode(t or "") for t in batch.column(len(keep)).to_pylist()]
+        for batch in small(batches):
+            packed = [tables.encode(t or "") for t in batch.column(len(keep)).to_pylist()]
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.list_(pa.int32()))], [*keep, "ids"])
+            yield pa.RecordBatch.from_arrays([*columns, ids], [*keep, "ids"])
 
     used = docs.select(*keep, F.col(text).alias("_text"))
     fields = ", ".join(f"`{name}` {kind}" for name, kind in used.drop("_text").dtypes)
@@ -129,8 +155,9 @@ def decode(coded: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.get(shared.value)
-        for batch in batches:
-            texts = [tables.decode(i or []) for i in batch.column(len(keep)).to_pylist()]
+        for batch in small(batches):
+            lists = batch.column(len(keep))
+            texts = [tables.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, int)) for x in lists]
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*keep, "decoded"])
 
@@ -149,9 +176,8 @@ def encode_by_join(docs: DataFrame, text: str = "text", tokenizer: str | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.get(shared.value)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            coded = tables.tokenizer.encode_batch(words, add_special_tokens=False)
-            ids = pa.array([c.ids for c in coded], pa.list_(pa.int32()))
+            coded = [tables.special.get(p) or tables.coded(p) for p in batch.column(0).to_pylist()]
+            ids = pa.array([np.frombuffer(c, "<i4") for c in coded], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["piece", "word_ids"])
 
     words = places.select("piece").distinct().mapInArrow(run, "piece string, word_ids array<int>")
