@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, quality, simhash, tokens
+from tidemark.llm import chat, factors, mixing, quality, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffixes.op1_suffix_dedup,
     "op2_simhash": simhash.op2_simhash,
+    "op3_rlz_dedup": factors.op3_rlz_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_bpe": tokens.op6_bpe,
