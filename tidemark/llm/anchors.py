@@ -119,12 +119,13 @@ class Chunk:
         return np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
 
 
-def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
+def chunked(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[int, Chunk]]:
     """Chunks of a partition's rows (doc_id, text) and their numbers; the same ones whenever it is read."""
     first = TaskContext.get().partitionId() << 32
     ids: list = []
     texts: list[bytes] = []
     size = made = 0
+    most = most or CHUNK_BYTES
 
     def close() -> tuple[int, Chunk]:
         keys = np.array([NO_ID if i is None else i for i in ids], np.int64)
@@ -139,7 +140,7 @@ def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
                 ids.append(i)
                 texts.append(text or b"")
                 size += len(texts[-1]) + 16
-                if size >= CHUNK_BYTES:
+                if size >= most:
                     yield close()
                     ids, texts, size, made = [], [], 0, made + 1
     if ids:

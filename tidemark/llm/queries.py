@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, factors, mixing, quality, simhash, suffixes, tokens
+from tidemark.llm import chat, factors, mixing, ngrams, quality, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffixes.op1_suffix_dedup,
@@ -15,9 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_bpe": tokens.op6_bpe,
+    "op7_lm_scores": ngrams.op7_lm_scores,
     "op8_chat_format": chat.op8_chat_format,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_lm_scores": ngrams.op7_lm_scores,
     "op8_chat_format": chat.ORACLE,
 }
