@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, factors, mixing, ngrams, quality, simhash, suffixes, tokens
+from tidemark.llm import chat, factors, mixing, neighbours, ngrams, quality, resample, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffixes.op1_suffix_dedup,
@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": tokens.op6_bpe,
     "op7_lm_scores": ngrams.op7_lm_scores,
     "op8_chat_format": chat.op8_chat_format,
+    "op9_quality_classifier": resample.op9_quality_classifier,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {
