@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, stored
+from tidemark.llm.common import numbered, partitions, stored
 
 CHUNK_BYTES = 2_000_000
 #: Windows looked at in one go.
@@ -100,19 +100,20 @@ def unpack(block: bytes) -> list[np.ndarray]:
 
 @dataclass
 class Chunk:
-    """Some documents: ids (``NO_ID`` for null), sorted, ties as in the table; their bytes, one after another."""
+    """Some documents: ids (``NO_ID`` for null), sorted, ties as in the table; their bytes, one after another; row numbers."""
 
     ids: np.ndarray
     ends: np.ndarray
     data: bytes
+    rows: np.ndarray
 
     def pack(self) -> bytes:
-        return pack(self.ids, self.ends, np.frombuffer(self.data, np.uint8))
+        return pack(self.ids, self.ends, np.frombuffer(self.data, np.uint8), self.rows)
 
     @staticmethod
     def unpack(block: bytes) -> Chunk:
-        ids, ends, data = unpack(block)
-        return Chunk(ids, ends, data.tobytes())
+        ids, ends, data, rows = unpack(block)
+        return Chunk(ids, ends, data.tobytes(), rows)
 
     @property
     def starts(self) -> np.ndarray:
@@ -120,9 +121,10 @@ class Chunk:
 
 
 def chunked(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[int, Chunk]]:
-    """Chunks of a partition's rows (doc_id, text) and their numbers; the same ones whenever it is read."""
+    """Chunks of a partition's rows (doc_id, text, row) and their numbers; the same ones whenever it is read."""
     first = TaskContext.get().partitionId() << 32
     ids: list = []
+    rows: list[int] = []
     texts: list[bytes] = []
     size = made = 0
     most = most or CHUNK_BYTES
@@ -131,18 +133,20 @@ def chunked(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Itera
         keys = np.array([NO_ID if i is None else i for i in ids], np.int64)
         order = np.argsort(keys, kind="stable")
         ends = np.cumsum([len(texts[i]) for i in order], dtype=np.int64)
-        return first + made, Chunk(keys[order], ends, b"".join([texts[i] for i in order]))
+        return first + made, Chunk(keys[order], ends, b"".join([texts[i] for i in order]), np.array(rows, np.int64)[order])
 
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            for i, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+            texts_of = part.column(1).cast(pa.binary()).to_pylist()
+            for i, text, row in zip(part.column(0).to_pylist(), texts_of, part.column(2).to_pylist()):
                 ids.append(i)
+                rows.append(row)
                 texts.append(text or b"")
                 size += len(texts[-1]) + 16
                 if size >= most:
                     yield close()
-                    ids, texts, size, made = [], [], 0, made + 1
+                    ids, rows, texts, size, made = [], [], [], 0, made + 1
     if ids:
         yield close()
 
@@ -273,10 +277,16 @@ class Method:
         raise NotImplementedError
 
 
+def scanned(docs: DataFrame) -> DataFrame:
+    """doc_id, text, _row: what ``chunked`` reads."""
+    used = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return numbered(used, "_row")
+
+
 def repeated(docs: DataFrame, method: Method, schema: str) -> DataFrame:
     """Run the three steps over ``docs`` (doc_id, text); ``schema`` is that of ``method.finish``."""
     shards = 4 * partitions(docs.sparkSession)
-    used = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    used = scanned(docs)
 
     def texts(batches):
         for number, chunk in chunked(batches):

@@ -129,25 +129,25 @@ class Phrases(Method):
         steps[repeats + self.length] -= 1
         gone = np.cumsum(steps[:-1]) > 0
         rows = []
-        for i, start, end, low, high in zip(chunk.ids, seq.starts, seq.ends, chunk.starts, chunk.ends):
+        for r, i, start, end, low, high in zip(chunk.rows, chunk.ids, seq.starts, seq.ends, chunk.starts, chunk.ends):
             words = chunk.data[low:high].split()
             removed = int(gone[start:end].sum())
             if removed:
                 words = [w for w, g in zip(words, gone[start:end]) if not g]
             kept = b" ".join(words)
-            row = [None if i == NO_ID else i, end - start, removed, hashlib.sha256(kept).hexdigest()]
+            row = [r, None if i == NO_ID else i, end - start, removed, hashlib.sha256(kept).hexdigest()]
             rows.append([*row, kept.decode()] if self.with_text else row)
-        names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * self.with_text
+        names = ["_row", "doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * self.with_text
         return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
 
-SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+SCHEMA = "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def phrase_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Return doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept."""
+    """Return _row, doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept."""
     return repeated(docs, Phrases(with_text), SCHEMA + ", kept string" * with_text)
 
 
 def op3_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrase_dedup(table(spark, sf_dir, "documents"))
+    return phrase_dedup(table(spark, sf_dir, "documents")).drop("_row")

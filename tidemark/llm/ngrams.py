@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.anchors import NO_ID, Chunk, chunked, mix, pack, unpack
+from tidemark.llm.anchors import NO_ID, Chunk, chunked, mix, pack, scanned, unpack
 from tidemark.llm.common import partitions, stored, table
 from tidemark.llm.factors import words_of
 
@@ -183,7 +183,7 @@ class Grams:
     """Tokens of a chunk and its distinct words, bigrams and trigrams."""
 
     def __init__(self, chunk: Chunk):
-        words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower()))
+        words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower(), chunk.rows))
         docs = len(chunk.ids)
         counts = words.ends - words.starts + 1
         self.ends = np.cumsum(counts)
@@ -255,7 +255,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     """Return doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     shards = 2 * partitions(spark)
-    used = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    used = scanned(docs)
     fields = "shard long, chunk long, block binary"
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, stored, table
+from tidemark.llm.common import numbered, partitions, stored, table
 from tidemark.llm.components import components
 
 #: Fixed value: the seed of the shingle hash.
@@ -250,14 +250,26 @@ def bits_for(similarity: float) -> int:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, chain: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Return doc_id, fp, component_id and ``keep``: the class of every document."""
+    """Return doc_id, fp, root, component_id and ``keep``: the class of every document.
+
+    ``root`` is the smallest fingerprint of the class, ``component_id`` its smallest id.
+    """
     marked = stored(fingerprints(docs, shingle, ("doc_id", *keep)), "simhash")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), bits, chain))
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = linked.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id", *keep)
+    classes = linked.select("fp", "root").join(names, "root")
+    return marked.join(classes, "fp").select("doc_id", "fp", "root", "component_id", *keep)
+
+
+def one_of_each(docs: DataFrame, shingle: int, bits: int, chain: int) -> DataFrame:
+    """The document with the smallest id of each class (no id: last; then the first in the table), with all columns."""
+    rows = numbered(docs, "_row")
+    classes = near_duplicates(rows.select("doc_id", "text", "_row"), shingle, bits, chain, ("_row",))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
+    chosen = classes.groupBy("root").agg(first.alias("_row")).select("_row")
+    return rows.join(chosen, "_row", "left_semi").select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

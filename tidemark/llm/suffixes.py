@@ -108,22 +108,22 @@ class Bytes(Method):
         steps[repeats + self.length] -= 1
         gone = np.cumsum(steps[:-1]) > 0
         data, rows = seq.symbols, []
-        for i, start, end in zip(chunk.ids, seq.starts, seq.ends):
+        for r, i, start, end in zip(chunk.rows, chunk.ids, seq.starts, seq.ends):
             cover = gone[start:end]
             kept = data[start:end][~cover].tobytes()
             spans = int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum()) if end > start else 0
-            row = [None if i == NO_ID else i, end - start, int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()]
+            row = [r, None if i == NO_ID else i, end - start, int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()]
             rows.append([*row, kept.decode("utf-8", errors="ignore")] if self.with_text else row)
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * self.with_text
+        names = ["_row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * self.with_text
         made = pd.DataFrame(rows, columns=names)
         return made.astype({"doc_id": "Int64"})
 
 
-SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+SCHEMA = "_row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def substring_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Return doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept.
+    """Return _row, doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept.
 
     ``kept`` is text: bytes of characters that a removed stretch cuts through are left out of it; the
     digest is of the remaining bytes as they are.
@@ -132,4 +132,4 @@ def substring_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("_row")
