@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, resample, simhash, suffixes, tokens
-from tidemark.llm.common import numbered, stored, table
+from tidemark.llm.common import Sealed, numbered, stored, table
 
-#: Near duplicates are told by shingles of five words. A distance of 6 of 64 bits is expected at a similarity of
-#: 0.91; at 9 bits (similarity 0.8) unrelated texts of a large corpus would start to be linked by chance.
-SHINGLE, BITS, CHAIN = 5, 6, 2
+#: Near duplicates: shingles of five words, similarity of 0.8 or more. At that similarity 9 of 64 bits are expected
+#: to differ, so candidates are fingerprints up to 10 bits apart; each link is checked on the texts.
+SHINGLE, SIMILARITY, BITS, CHAIN = 5, 0.8, 10, 2
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,23 +24,24 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
-    return simhash.one_of_each(docs, SHINGLE, BITS, CHAIN)
+    return simhash.one_of_each(docs, SHINGLE, BITS, CHAIN, SIMILARITY)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that stand earlier are cut out; n_chars follows the text. No row goes."""
-    found = suffixes.substring_dedup(docs, with_text=True).select(F.col("_row").alias("_kept_row"), F.col("kept").alias("_kept"))
-    rest = numbered(docs, "_row").drop("text", "n_chars")
-    joined = rest.join(found, F.col("_row") == F.col("_kept_row"))
-    values = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return joined.select(*(values[c].alias(c) if c in values else F.col(c) for c in docs.columns))
+    sealed = Sealed(docs, ("doc_id", "text", "n_chars"))
+    found = suffixes.substring_dedup(sealed.rows, with_text=True).select("_row", F.col("kept").alias("text"))
+    rest = numbered(sealed.rows, "_row").drop("text").join(found, "_row")
+    if "n_chars" in rest.columns:
+        rest = rest.withColumn("n_chars", F.length("text").cast(dict(rest.dtypes)["n_chars"]))
+    return sealed.open(rest)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; documents taken no time go."""
-    plan = mixing.mix(docs).filter("copies > 0").select(F.col("_row").alias("_mix_row"), "copies")
-    rows = numbered(docs, "_row").join(plan, F.col("_row") == F.col("_mix_row"))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    sealed = Sealed(docs, ("doc_id", "text", "source"))
+    plan = mixing.mix(sealed.rows).filter("copies > 0").select("_row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_each"))
+    return sealed.open(numbered(sealed.rows, "_row").join(plan, "_row").withColumn("_copy", F.explode("_each")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

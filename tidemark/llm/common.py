@@ -35,3 +35,14 @@ def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Sealed:
+    """A table whose other columns are out of the way: those not in ``used`` get neutral names until ``open``."""
+
+    def __init__(self, docs: DataFrame, used: tuple[str, ...]):
+        self.names = {c: c if c in used else f"c{i}" for i, c in enumerate(docs.columns)}
+        self.rows = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in self.names.items()))
+
+    def open(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col(name).alias(c) for c, name in self.names.items()))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import Sums, mix
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import Sealed, stored, table
 
 BUCKETS = 1 << 18
 TOKENS = 200.0
@@ -193,9 +193,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents kept, with the columns of ``docs``."""
-    names = docs.columns
-    inner = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), "doc_id", "text")
-    return classify(inner, labels).filter("kept").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
+    sealed = Sealed(docs, ("doc_id", "text"))
+    return sealed.open(classify(sealed.rows, labels).filter("kept"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import numbered, partitions, stored, table
+from tidemark.llm.common import Sealed, numbered, partitions, stored, table
 from tidemark.llm.components import components
 
 #: Fixed value: the seed of the shingle hash.
@@ -76,24 +76,38 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("do
     return used.mapInArrow(run, f"{fields}, fp long")
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Reduce links to one per node: from the smallest node of its component."""
-    if not len(a):
-        return a, b
-    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = place[: len(a)], place[len(a) :]
-    label = np.arange(len(nodes))
+def _joined(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Smallest node of each node's component."""
+    label = np.arange(n)
     while True:
         low = np.minimum(label[u], label[v])
         new = label.copy()
         np.minimum.at(new, label[u], low)
         np.minimum.at(new, label[v], low)
-        new = np.minimum(new[new], new[label])
+        new = new[new]
         if np.array_equal(new, label):
-            break
+            return label
         label = new
-    off = label != np.arange(len(nodes))
-    return nodes[label[off]], nodes[off]
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those links that join the components already, the closest ones first: every component picks its first
+    link, components merge, and so on."""
+    order = np.argsort(np.bitwise_count(a ^ b), kind="stable")
+    a, b = a[order], b[order]
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = place[: len(a)], place[len(a) :]
+    label, used = np.arange(len(nodes)), np.zeros(len(a), bool)
+    left = np.arange(len(a))
+    while True:
+        left = left[label[u[left]] != label[v[left]]]
+        if not len(left):
+            return a[used], b[used]
+        first = np.full(len(nodes), len(a))
+        np.minimum.at(first, label[u[left]], left)
+        np.minimum.at(first, label[v[left]], left)
+        used[first[first < len(a)]] = True
+        label = _joined(len(nodes), u[used], v[used])
 
 
 class Linker:
@@ -141,6 +155,7 @@ class Linker:
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         if len(a):
+            a, b = np.minimum(a, b), np.maximum(a, b)
             self.a.append(a)
             self.b.append(b)
             self.held += len(a)
@@ -249,27 +264,82 @@ def bits_for(similarity: float) -> int:
     return int(WIDTH * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, chain: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of a text's distinct shingles, sorted."""
+    words = (text or "").encode().lower().split()
+    n = max(len(words) - shingle + 1, 1 if words else 0)
+    found = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)), "<u8", n)
+    return np.unique(found)
+
+
+def similar(edges: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links whose texts have at least this Jaccard similarity; one text stands for each fingerprint.
+
+    ``marked`` has fp and _row, ``docs`` _row and text. Only texts with a link are read again.
+    """
+    ends = edges.select(F.col("a").alias("fp")).unionByName(edges.select(F.col("b").alias("fp"))).distinct()
+    texts = marked.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("_row").alias("_row"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [shingle_set(t, shingle).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["fp", "shingles"])
+
+    known = stored(docs.join(texts, "_row").select("fp", "text").mapInArrow(sets, "fp long, shingles binary"), "shingles")
+    left = known.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"))
+    right = known.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
+    pairs = edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(near, "a long, b long")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    shingle: int = 3,
+    bits: int = 2,
+    chain: int = 1,
+    keep: tuple[str, ...] = (),
+    similarity: float | None = None,
+) -> DataFrame:
     """Return doc_id, fp, root, component_id and ``keep``: the class of every document.
 
-    ``root`` is the smallest fingerprint of the class, ``component_id`` its smallest id.
+    ``root`` is the smallest fingerprint of the class, ``component_id`` its smallest id. With ``similarity``, ``docs`` and
+    ``keep`` have a _row, and links of less similar texts are left out: of the closest links that
+    join a class, those that fail are cut.
     """
     marked = stored(fingerprints(docs, shingle, ("doc_id", *keep)), "simhash")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), bits, chain))
+    edges = links(distinct.select("fp"), bits, chain)
+    if similarity is not None:
+        edges = similar(stored(edges.distinct(), "links"), marked, docs.select("_row", "text"), shingle, similarity)
+    roots = components(edges)
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = linked.select("fp", "root").join(names, "root")
     return marked.join(classes, "fp").select("doc_id", "fp", "root", "component_id", *keep)
 
 
-def one_of_each(docs: DataFrame, shingle: int, bits: int, chain: int) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int, bits: int, chain: int, similarity: float) -> DataFrame:
     """The document with the smallest id of each class (no id: last; then the first in the table), with all columns."""
-    rows = numbered(docs, "_row")
-    classes = near_duplicates(rows.select("doc_id", "text", "_row"), shingle, bits, chain, ("_row",))
+    sealed = Sealed(docs, ("doc_id", "text"))
+    rows = numbered(sealed.rows, "_row")
+    classes = near_duplicates(rows.select("doc_id", "text", "_row"), shingle, bits, chain, ("_row",), similarity)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
     chosen = classes.groupBy("root").agg(first.alias("_row")).select("_row")
-    return rows.join(chosen, "_row", "left_semi").select(*docs.columns)
+    return sealed.open(rows.join(chosen, "_row", "left_semi"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
