@@ -70,7 +70,7 @@ def test_admitted_rows(spark, rows):
     flagged = q.flag_failures(frame(spark), rules, "file")
     verdicts = q.route(q.rule_totals(flagged, rules, "file"), write_valid=True)
     assert q.admitted(flagged, verdicts, "file").count() == 5
-    assert q.admitted(flagged, verdicts, "file", files=2).columns == ["s", "n", "k", "file"]
+    assert q.admitted(flagged, verdicts, "file").columns == ["s", "n", "k", "file"]
     skipping = q.route(q.rule_totals(flagged, rules, "file"), skip_file=True)
     assert rows(q.admitted(flagged, skipping, "file").select("file").distinct()) == [("f2",)]
 

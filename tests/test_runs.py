@@ -389,6 +389,154 @@ def test_stream_repeats_nothing(lake, spark, rows):
     ]
 
 
+def stream_table(lake):
+    from tidemark.operators.tables import STAGING_KEYS, LakeTable
+
+    return LakeTable(lake.spark, lake.schema, "picked", f"{lake.root}/picked", STAGING_KEYS)
+
+
+def test_stream_takes_old_files_and_many_batches(lake, spark, rows):
+    import os
+
+    table, schema = stream_table(lake), "Id int"
+    schema = spark.createDataFrame([], schema).schema
+    for n in range(5):
+        lake.put(f"f{n}.csv", f"{n}\n")
+    lake.put("sub/f0.csv", "50\n")
+    pick_up_available(spark, lake.src, "csv", schema, table, lake.run("1"), f"{lake.root}/ckpt", max_files_per_batch=2)
+    assert rows(table.read().where("execution_cycle_id = '1'"), "id") == [(0,), (1,), (2,), (3,), (4,), (50,)]
+    old = lake.put("old.csv", "99\n")
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    pick_up_available(spark, lake.src, "csv", schema, table, lake.run("2"), f"{lake.root}/ckpt", max_files_per_batch=2)
+    assert rows(table.read().where("execution_cycle_id = '2'"), "id") == [(99,)]
+
+
+def test_stream_failure_after_landing_repeats_nothing(lake, spark, rows, monkeypatch):
+    from tidemark.streaming import pickup
+
+    table, schema = stream_table(lake), spark.createDataFrame([], "Id int").schema
+    for n in range(3):
+        lake.put(f"f{n}.csv", f"{n}\n")
+    plain = pickup.land_staged
+
+    def fails(*args):
+        plain(*args)
+        raise RuntimeError("after landing")
+
+    monkeypatch.setattr(pickup, "land_staged", fails)
+    with pytest.raises(Exception, match="after landing"):
+        pick_up_available(spark, lake.src, "csv", schema, table, lake.run("1"), f"{lake.root}/ckpt")
+    monkeypatch.setattr(pickup, "land_staged", plain)
+    lake.put("late.csv", "9\n")
+    pick_up_available(spark, lake.src, "csv", schema, table, lake.run("2"), f"{lake.root}/ckpt")
+    assert rows(table.read(), "id") == [(0,), (1,), (2,), (9,)]
+
+
+def test_stream_and_ingest_share_a_ledger(lake, spark):
+    spec = lake.spec(header=False, schema_doc=[{"column_name": "Id", "column_data_type": "int"}])
+    table, schema = staging_table(spark, spec), spark.createDataFrame([], "Id int").schema
+    lake.put("a.csv", "1\n")
+    ingest(spark, spec, lake.run("1"), lake.ledgers)
+    lake.put("b.csv", "2\n")
+    share = {"ledgers": lake.ledgers, "dataset": spec.dataset}
+    pick_up_available(spark, lake.src, "csv", schema, table, lake.run("2"), f"{lake.root}/ckpt", **share)
+    assert staged(lake, "id", "execution_cycle_id") == [(1, "1"), (2, "2")]
+    lake.put("c.csv", "3\n")
+    ingest(spark, spec, lake.run("3"), lake.ledgers)
+    assert staged(lake, "id", "execution_cycle_id") == [(1, "1"), (2, "2"), (3, "3")]
+
+
+def test_same_name_in_one_cycle(lake, spark):
+    """Two folders, one file name, two runs of one cycle: both stay, and the report tells them apart."""
+    rules = [quality.not_null("n", "id")]
+    spec = lake.spec(source_prefixes=[f"{lake.src}/a", f"{lake.src}/b"])
+    lake.put("a/x.csv", "Id\n1\n2\n3\n")
+    lake.put("b/other.csv", "Id\n8\n")
+    ingest(spark, spec, lake.run("1"), lake.ledgers, rules=rules)
+    lake.put("b/x.csv", "Id\n9\n")
+    ingest(spark, spec, lake.run("1"), lake.ledgers, rules=rules)
+    assert [r[0] for r in staged(lake, "id")] == ["1", "2", "3", "8", "9"]
+    found = quality.report(lake.ledgers.quality_log.read(), lake.ledgers.file_log.read(), "feed", "1").collect()
+    assert sorted((r.file_name, r.record_count, r.total_record_count) for r in found) == [
+        ("other.csv", 1, 1),
+        ("x.csv", 1, 1),
+        ("x.csv", 3, 3),
+    ]
+
+
+def test_failed_reprocess_keeps_old_rows(lake, spark, monkeypatch):
+    from tidemark.operators.tables import LakeTable
+
+    spec = lake.spec(source_prefixes=[f"{lake.src}/a", f"{lake.src}/b"], skip_file=True)
+    for folder in "ab":
+        lake.put(f"{folder}/x.csv", f"Id\n{folder}1\n")
+    rules = [quality.matches("m", "id", "^[ab]")]
+    ingest(spark, spec, lake.run("1"), lake.ledgers, rules=rules)
+    force = {"20240601": {"feed": {"file_name": [{"name": "x.csv", "prefix": f"{lake.src}/a"}]}}}
+    before = [("a1", "1"), ("b1", "1")]
+    with monkeypatch.context() as patch:
+        patch.setattr(LakeTable, "land", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest(spark, spec, lake.run("2"), lake.ledgers, rules=rules, reprocess_doc=force)
+    assert staged(lake, "id", "execution_cycle_id") == before
+    lake.put("a/x.csv", "Id\n?\n")
+    ingest(spark, spec, lake.run("3"), lake.ledgers, rules=rules, reprocess_doc=force)
+    assert staged(lake, "id", "execution_cycle_id") == before
+    lake.put("a/x.csv", "Id\na2\n")
+    ingest(spark, spec, lake.run("4"), lake.ledgers, rules=rules, reprocess_doc=force)
+    assert staged(lake, "id", "execution_cycle_id") == [("a2", "4"), ("b1", "1")]
+
+
+def test_full_load_without_rows_keeps_the_table(lake):
+    spec = lake.spec(load_type="FULL", archive=True, archive_location=f"{lake.root}/arch", skip_file=True)
+    rules = [quality.matches("m", "id", "^[0-9]+$")]
+    lake.put("a.csv", "Id\n1\n")
+    ingest(lake.spark, spec, lake.run("1"), lake.ledgers, rules=rules)
+    with pytest.raises(NothingToIngest):
+        ingest(lake.spark, spec, lake.run("2"), lake.ledgers, rules=rules)
+    lake.put("b.csv", "Id\nbad\n")
+    assert ingest(lake.spark, spec, lake.run("3"), lake.ledgers, rules=rules).skipped_files == 1
+    assert staged(lake, "id", "execution_cycle_id") == [("1", "1")]
+
+
+def test_audit_names_are_refused(lake):
+    lake.put("a.csv", "Id,Processed Time\n1,2\n")
+    with pytest.raises(ValueError, match="processed_time"):
+        ingest(lake.spark, lake.spec(), lake.run("1"), lake.ledgers)
+    lake.put("p/x.csv", "Source_File_Location\n1\n")
+    with pytest.raises(ValueError, match="source_file_location"):
+        ingest(lake.spark, lake.spec(source_prefixes=f"{lake.src}/p"), lake.run("1"), lake.ledgers)
+
+
+def test_header_with_escaped_quote(lake):
+    lake.put("a.csv", '"size 5\\" wide",Id\n1,2\n"3",4\n')
+    spec = lake.spec(options={"delimiter": ",", "multiline": "true", "escape": "\\"})
+    assert ingest(lake.spark, spec, lake.run("1"), lake.ledgers).record_count == 2
+
+
+def test_runs_of_one_cycle_log_side_by_side(lake, spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tidemark.operators import ledger
+
+    log = lake.ledgers.process_log
+    log.register(ledger.PROCESS_LOG)
+
+    def write(n):
+        ledger.write(log, ledger.PROCESS_LOG, ledger.one_row(spark, table_name=str(n)), lake.run("1").partition("d"))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(6)))
+    assert sorted(r.table_name for r in log.read().collect()) == [str(n) for n in range(6)]
+
+
+def test_duplicates_with_maps(spark):
+    from tidemark.operators.shape import dedup_within_file
+
+    df = spark.sql("SELECT * FROM VALUES (1, map('a', 1, 'b', 2)), (1, map('b', 2, 'a', 1)), (1, map('a', 2)), (1, NULL) AS t(id, m)")
+    assert dedup_within_file(df).count() == 3 and dedup_within_file(df).columns == ["id", "m"]
+
+
 def test_jobs_do_not_grow_with_files(lake, spark):
     def jobs(dataset, count):
         for n in range(count):

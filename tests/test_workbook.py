@@ -15,12 +15,12 @@ STYLES = (
 )
 
 
-def workbook(rows: str, sheet: str = "Data", styles: str = STYLES) -> bytes:
+def workbook(rows: str, sheet: str = "Data", styles: str = STYLES, properties: str = "") -> bytes:
     content = io.BytesIO()
     with zipfile.ZipFile(content, "w") as book:
         book.writestr(
             "xl/workbook.xml",
-            f'<workbook {MAIN} {RELS}><sheets><sheet name="Other" sheetId="1" r:id="rId1"/>'
+            f'<workbook {MAIN} {RELS}>{properties}<sheets><sheet name="Other" sheetId="1" r:id="rId1"/>'
             f'<sheet name="{sheet}" sheetId="2" r:id="rId2"/></sheets></workbook>',
         )
         book.writestr(
@@ -117,3 +117,26 @@ def test_worker_code_needs_no_package_on_executors(tmp_path):
     (tmp_path / "b").write_bytes(workbook(ROWS))
     done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(sheet_rows), capture_output=True, cwd=tmp_path)
     assert done.stdout.decode().strip() == "('number', '7')", done.stderr.decode()
+
+
+def test_date_cells_formats_and_date_systems(lake):
+    rows = (
+        '<row r="1"><c r="A1" t="inlineStr"><is><t>Who</t></is></c><c r="B1" t="inlineStr"><is><t>Born</t></is></c></row>'
+        '<row r="2"><c r="A2" t="inlineStr"><is><t>cell</t><rPh sb="0" eb="1"><t>hint</t></rPh></is></c><c r="B2" s="1"><v>{day}</v></c></row>'
+        '<row r="3"><c r="A3" t="inlineStr"><is><t>text</t></is></c><c r="B3" t="inlineStr"><is><t>01.02.2024</t></is></c></row>'
+        '<row r="4"><c r="A4" t="inlineStr"><is><t>bad</t></is></c><c r="B4" t="inlineStr"><is><t>2024-02-01</t></is></c></row>'
+    )
+    put(lake, "a.xlsx", workbook(rows.format(day=45292)))
+    put(lake, "b.xlsx", workbook(rows.format(day=45292 - 1462), properties='<workbookPr date1904="1"/>'))
+    doc = [
+        {"column_name": "Who", "column_data_type": "string"},
+        {"column_name": "Born", "column_data_type": "date", "data_format": "dd.MM.yyyy"},
+    ]
+    spec = lake.spec(file_type="excel", options={}, sheet="Data", schema_doc=doc)
+    ingest(lake.spark, spec, lake.run(), lake.ledgers)
+    got = staging_table(lake.spark, spec).read().select("source_file_name", "who", "born").collect()
+    assert sorted((r.source_file_name, r.who, str(r.born)) for r in got) == [
+        (name, who, born)
+        for name in ("a.xlsx", "b.xlsx")
+        for who, born in (("bad", "None"), ("cell", "2024-01-01"), ("text", "2024-02-01"))
+    ]

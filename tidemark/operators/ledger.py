@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.quality import QUALITY_LOG, SKIPPED
+from tidemark.operators.quality import LOCATED_QUALITY_LOG, SKIPPED
 from tidemark.operators.shape import align, scrub_null_token
 from tidemark.operators.tables import LakeTable
 from tidemark.sources import storage
@@ -27,25 +26,28 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
+def _fields(text: str) -> T.StructType:
+    kinds = {"string": T.StringType(), "bigint": T.LongType()}
+    return T.StructType([T.StructField(n, kinds[kind]) for n, kind in (c.split() for c in text.split(", "))])
+
+
 # Counts are bigint: one file may hold more rows than an int can count.
-FILE_LOG = T.StructType(
-    _strings("table_name", "run_id", "input_location_prefix", "file_name", "file_type")
-    + [T.StructField("record_count", T.LongType())]
-    + _strings("execution_start_time", "execution_end_time", "ingestion_status", "source_file_name")
+# Columns of the run ledgers, in their order.
+FILE_LOG = _fields(
+    "table_name string, run_id string, input_location_prefix string, file_name string, file_type string, "
+    "record_count bigint, execution_start_time string, execution_end_time string, ingestion_status string, "
+    "source_file_name string"
 )
-INGESTION_LOG = T.StructType(
-    _strings("table_name", "run_id", "application", "source_files", "static_file_pattern", "source_file_pattern")
-    + _strings("file_type", "encoding", "escape", "multiline", "delimiter", "table_location")
-    + _strings("target_schema", "target_table")
-    + [T.StructField("record_count", T.LongType())]
-    + _strings("execution_start_datetime", "execution_end_time")
+INGESTION_LOG = _fields(
+    "table_name string, run_id string, application string, source_files string, static_file_pattern string, "
+    "source_file_pattern string, file_type string, encoding string, escape string, multiline string, "
+    "delimiter string, table_location string, target_schema string, target_table string, record_count bigint, "
+    "execution_start_datetime string, execution_end_time string"
 )
-PROCESS_LOG = T.StructType(
-    _strings("application", "table_location", "table_schema", "table_name")
-    + [T.StructField("processed_table_record_count", T.LongType())]
-    + _strings("publish_table_schema", "publish_table_name")
-    + [T.StructField("publish_table_record_count", T.LongType())]
-    + _strings("execution_start_time", "execution_end_time")
+PROCESS_LOG = _fields(
+    "application string, table_location string, table_schema string, table_name string, "
+    "processed_table_record_count bigint, publish_table_schema string, publish_table_name string, "
+    "publish_table_record_count bigint, execution_start_time string, execution_end_time string"
 )
 
 
@@ -82,18 +84,19 @@ class Ledgers:
 def write(table: LakeTable, schema: T.StructType, rows: DataFrame, partition: Mapping[str, str]) -> None:
     """Add rows to one partition of a ledger, keeping those that are there.
 
-    The small partition is rewritten as a whole. Unlike appends to a shared table, jobs of
-    different partitions do not meet in one working folder and may run side by side.
+    The rows are written to a folder of their own, and the complete files, whose names are
+    unique, are moved into the partition. Nothing that is there is read or replaced, so runs of one
+    dataset and cycle may log side by side.
     """
     if not table.exists():
         table.register(schema)
-    mine = reduce(Column.__and__, [F.col(k) == v for k, v in partition.items()])
-    fresh = scrub_null_token(rows).withColumns({k: F.lit(v) for k, v in partition.items()})
-    table.land(table.read().where(mine).unionByName(fresh, allowMissingColumns=True))
+    wanted = T.StructType(table.data_schema().fields + _strings(*table.keys))
+    fresh = align(scrub_null_token(rows).withColumns({k: F.lit(v) for k, v in partition.items()}), wanted)
+    table.add_files(fresh, partition)
 
 
 def write_quality_log(table: LakeTable, rows: DataFrame, dataset: str, cycle_id: str, stage: str) -> None:
-    everything = rows.sparkSession.createDataFrame([], QUALITY_LOG).schema
+    everything = rows.sparkSession.createDataFrame([], LOCATED_QUALITY_LOG).schema
     schema = T.StructType([f for f in everything.fields if f.name not in table.keys])
     write(table, schema, rows, {"dataset_name": dataset, "ingestion_cycle_id": cycle_id, "stage": stage})
 

@@ -13,8 +13,8 @@ from tidemark.functions.names import quoted
 
 FAILED = "__failed"
 
-# Paths are at most about a kilobyte, so this many verdicts stay below some 200 MB.
-BROADCAST_FILES = 200_000
+# Keys of a unique rule that are salted: never more than this many, so their table may be broadcast.
+MOST_HOT = 10_000
 
 # Ledger vocabulary.
 INGESTED = "Ingested"
@@ -26,6 +26,8 @@ QUALITY_LOG = (
     "total_record_count bigint, validated_record_count bigint, errored_record_count bigint, message string, "
     "error_percentage double, threshold double, qc_passed_flag string, ingestion_cycle_id string"
 )
+# Beside them, the file's folder: thousands of files may share a name.
+LOCATED_QUALITY_LOG = f"{QUALITY_LOG}, input_location_prefix string"
 
 
 @dataclass(frozen=True)
@@ -129,19 +131,29 @@ def _valid(flagged: DataFrame) -> Column:
 def _mark_repeated(df: DataFrame, keys: Sequence[str], flag: str, salts: int, hot_rows: int) -> DataFrame:
     """Set ``flag`` on rows whose key occurs more than once.
 
-    Keys of at least ``hot_rows`` rows are spread over ``salts`` join keys. There are at
-    most ``rows / hot_rows`` such keys, so they are broadcast to salt the rows.
+    Keys of at least ``hot_rows`` rows, or a ``1 / MOST_HOT`` share of all repeated rows if that is more,
+    are spread over ``salts`` join keys. So there are ``MOST_HOT`` of them at most, and they are broadcast
+    to salt the rows. Rows with a NULL in the key match nothing; they are spread over all salts.
     """
     named = [f"__key_{i}" for i in range(len(keys))]
-    counted = df.groupBy(*[quoted(k).alias(n) for k, n in zip(keys, named)]).count().where(F.col("count") > 1)
-    is_hot = F.col("count") >= hot_rows
+    no_null = reduce(Column.__and__, [quoted(k).isNotNull() for k in keys])
+    counted = (
+        df.where(no_null)
+        .groupBy(*[quoted(k).alias(n) for k, n in zip(keys, named)])
+        .count()
+        .where(F.col("count") > 1)
+    )
+    bound = counted.agg((F.coalesce(F.sum("count"), F.lit(0)) / MOST_HOT).alias("__bound"))
+    counted = counted.crossJoin(F.broadcast(bound))  # one row
+    is_hot = F.col("count") >= F.greatest(F.lit(float(hot_rows)), F.col("__bound"))
     last_salt = F.when(is_hot, salts - 1).otherwise(0)
     repeated = counted.select(
         *named, F.explode(F.sequence(F.lit(0), last_salt)).alias("__key_salt"), F.lit(True).alias(flag)
     )
     hot = counted.where(is_hot).select(*[F.col(n).alias(f"{n}_hot") for n in named], F.lit(True).alias("__hot"))
     same_hot = [quoted(k) == F.col(f"{n}_hot") for k, n in zip(keys, named)]
-    salt = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int")
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    salt = F.when(F.col("__hot") | ~no_null, spread).otherwise(0).cast("int")
     salted = df.join(F.broadcast(hot), reduce(Column.__and__, same_hot), "left").withColumn("__salt", salt)
     same = [quoted(k) == F.col(n) for k, n in zip(keys, named)] + [F.col("__salt") == F.col("__key_salt")]
     marked = salted.join(repeated, reduce(Column.__and__, same), "left")
@@ -189,26 +201,30 @@ def route(
     return totals.withColumn("ingestion_status", decision.otherwise(INGESTED))
 
 
-def admitted(flagged: DataFrame, decisions: DataFrame, file_column: str, files: int | None = None) -> DataFrame:
+def admitted(flagged: DataFrame, decisions: DataFrame, file_column: str) -> DataFrame:
     """Rows that pass the gate, without the failure column.
 
-    Only files with a verdict other than "keep all" are joined in. ``files`` is the known
-    number of files: up to a bound their verdicts are broadcast, so the rows are not
-    shuffled. Beyond it, or without it, Spark chooses by size, and the adaptive skew join
-    splits the partition of a hot file.
+    Only files with a verdict other than "keep all" are joined in. Spark chooses the join by their
+    size: few are broadcast, and for many the adaptive skew join splits the partition of a hot file.
     """
     exceptions = decisions.where(F.col("ingestion_status") != INGESTED).select(
         "gated_file", F.col("ingestion_status").alias("__status")
     )
-    if files is not None and files <= BROADCAST_FILES:
-        exceptions = F.broadcast(exceptions)
     joined = flagged.join(exceptions, quoted(file_column) == F.col("gated_file"), "left")
     kept = F.col("__status").isNull() | ((F.col("__status") == INGESTED_VALID) & _valid(flagged))
     return joined.where(kept).drop("gated_file", "__status", FAILED)
 
 
-def quality_log(totals: DataFrame, rules: Sequence[Rule], dataset: str, cycle_id: str, file_name: Column) -> DataFrame:
-    """One log row per file and rule."""
+def quality_log(
+    totals: DataFrame,
+    rules: Sequence[Rule],
+    dataset: str,
+    cycle_id: str,
+    file_name: Column,
+    folder: Column | None = None,
+) -> DataFrame:
+    """One log row per file and rule. ``folder`` tells files of one name apart."""
+    folder = F.lit(None).cast("string") if folder is None else folder
     checks = F.array(
         *[
             F.struct(
@@ -222,7 +238,9 @@ def quality_log(totals: DataFrame, rules: Sequence[Rule], dataset: str, cycle_id
             for i, r in enumerate(rules)
         ]
     )
-    exploded = totals.select(file_name.alias("file"), "total_records", F.explode(checks).alias("check"))
+    exploded = totals.select(
+        file_name.alias("file"), folder.alias("folder"), "total_records", F.explode(checks).alias("check")
+    )
     return exploded.select(
         F.lit(dataset).alias("dataset_name"),
         "check.qc_id",
@@ -236,6 +254,7 @@ def quality_log(totals: DataFrame, rules: Sequence[Rule], dataset: str, cycle_id
         "check.threshold",
         F.when(F.col("check.percentage") <= F.col("check.threshold"), "Y").otherwise("N").alias("qc_passed_flag"),
         F.lit(cycle_id).alias("ingestion_cycle_id"),
+        F.col("folder").alias("input_location_prefix"),
     )
 
 
@@ -252,10 +271,18 @@ def post_load_log(rows: DataFrame, rules: Sequence[Rule], dataset: str, cycle_id
 
 
 def report(quality: DataFrame, file_log: DataFrame, dataset: str, cycle_id: str) -> DataFrame:
-    """Quality log of one run with what became of each file, ordered by file and check."""
+    """Quality log of one run with what became of each file, ordered by file and check.
+
+    Log rows and files that name no folder (those of older ledgers) match by name alone.
+    """
+    if "input_location_prefix" not in quality.columns:
+        quality = quality.withColumn("input_location_prefix", F.lit(None).cast("string"))
+    if "input_location_prefix" not in file_log.columns:
+        file_log = file_log.withColumn("input_location_prefix", F.lit(""))
     checks = quality.where((F.col("dataset_name") == dataset) & (F.col("ingestion_cycle_id") == cycle_id))
     files = file_log.where((F.col("dataset_name") == dataset) & (F.col("execution_cycle_id") == cycle_id)).select(
         "dataset_name",
+        "input_location_prefix",
         "file_name",
         "record_count",
         "execution_start_time",
@@ -266,6 +293,8 @@ def report(quality: DataFrame, file_log: DataFrame, dataset: str, cycle_id: str)
     same = (F.col("q.dataset_name") == F.col("f.dataset_name")) & (
         F.col("q.pre_ingestion_dqm_file") == F.col("f.file_name")
     )
+    own, folder = F.col("q.input_location_prefix"), F.col("f.input_location_prefix")
+    same = same & (own.isNull() | (folder == "") | (own == folder))
     threshold = F.when(F.col("q.threshold").isNull(), "").otherwise(F.concat(F.col("q.threshold"), F.lit("%")))
     percentage = F.concat(F.coalesce(F.col("q.error_percentage").cast("string"), F.lit("0")), F.lit("%"))
     return (

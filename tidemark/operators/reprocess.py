@@ -63,30 +63,41 @@ def forced_files(spark: SparkSession, plan: ReprocessPlan, done: DataFrame) -> D
     return forced.distinct()
 
 
-def clean_staged(table: LakeTable, plan: ReprocessPlan, forced: DataFrame | None = None) -> list[str]:
-    """Remove what earlier runs staged of the forced files, in every date and cycle.
-
-    A partition can hold files of one name from several folders. When only one of them
-    is forced, the rows of the others are kept and put back.
+def clean_staged(
+    table: LakeTable, execution_date: str, cycle_id: str, forced: DataFrame, listed: DataFrame | None = None
+) -> list[str]:
+    """Remove what other dates and cycles than the given one hold of forced files.
+
+    ``forced`` has ``file_name`` and ``input_location_prefix``, where NULL stands for any folder. Where everything is
+    reloaded, ``listed`` has all files that were there to load: only those of them that are not forced keep
+    their old rows. Runs after the new rows have landed, so files that failed, were skipped or are illegal keep their old ones.
+    Partitions that hold rows of other files too are rewritten without the old rows; the rest is dropped.
     """
-    if plan.empty or not table.exists():
+    if not table.exists():
+        return []
+    now = (F.col("execution_date") == execution_date) & (F.col("execution_cycle_id") == cycle_id)
+    names = forced.select(F.col("file_name").alias("source_file_name")).distinct()
+    parts = table.partitions().where(~now)
+    hit = parts if listed is not None else parts.join(names, "source_file_name", "left_semi")
+    doomed = {r["partition"]: tuple(r[k] for k in table.keys) for r in hit.collect()}
+    if not doomed:
         return []
-    if plan.everything:
-        return table.purge()
-    names = sorted({name for name, _ in plan.files})
-    hit = F.col("source_file_name").isin(names)
+    here = table.read().where(~now)
+    placed = here.withColumn("__folder", storage.folder_name(F.col("source_file_location")))
     with TempTables(table.spark, "kept-rows") as temp:
-        kept = None
-        if any(prefix for _, prefix in plan.files):
-            folder = storage.folder_name(F.col("source_file_location"))
-            staged = table.read().where(hit).withColumn("__folder", folder)
-            others = without(staged, forced, "source_file_name", "__folder").drop("__folder")
-            if not others.isEmpty():
-                kept = temp.keep(others, "others")
-        folders = table.purge(hit)
-        if kept is not None:
+        if listed is None:
+            kept = placed.join(names, "source_file_name", "left_semi")
+        else:
+            there = listed.select(F.col("file_name").alias("source_file_name"), F.col("input_location_prefix").alias("__folder"))
+            kept = placed.join(there, ["source_file_name", "__folder"], "left_semi")
+        kept = temp.keep(without(kept, forced, "source_file_name", "__folder").select(*here.columns), "others")
+        stay = {tuple(r) for r in kept.select(*table.keys).distinct().collect()}
+        if stay:
             table.land(kept)
-    return folders
+        drop = [folder for folder, keys in doomed.items() if keys not in stay]
+        if drop:
+            table.purge(F.col("partition").isin(drop))
+    return drop
 
 
 def clean_cycle(table: LakeTable, execution_date: str, cycle_id: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,9 +60,34 @@ def _first_nested(df: DataFrame) -> T.StructField | None:
 def dedup_within_file(df: DataFrame) -> DataFrame:
     """Drop rows that repeat another row of the same file in every column.
 
-    The file's location is one of the columns, so equal rows of two files both stay.
+    The file's location is one of the columns, so equal rows of two files both stay. Columns that
+    hold maps, which have no order of their own, are compared as sorted entries.
     """
-    return df.dropDuplicates()
+    maps = [f for f in df.schema.fields if _has_map(f.dataType)]
+    if not maps:
+        return df.dropDuplicates()
+    plain = [c for c in df.columns if c not in {f.name for f in maps}]
+    keys = {f"__compared_{i}": _comparable(quoted(f.name), f.dataType) for i, f in enumerate(maps)}
+    return df.withColumns(keys).dropDuplicates([*plain, *keys]).drop(*keys)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
+
+
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """The value with its maps as arrays of entries in order of their keys."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(e["key"].alias("key"), _comparable(e["value"], kind.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(value), entry), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _comparable(e, kind.elementType))
+    fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
 
 
 def gather(df: DataFrame, *columns: str) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from tidemark.operators.shape import align
 from tidemark.session import many_open_writers, scratch_path
 from tidemark.sources import storage
-from tidemark.sources.structured import scan_partitioned
 
 CYCLE_KEYS = ("execution_date", "execution_cycle_id")
 STAGING_KEYS = (*CYCLE_KEYS, "source_file_name")
@@ -119,6 +118,21 @@ class LakeTable:
         # The rows' own session counts: a stream's batches have one to themselves.
         with many_open_writers(df.sparkSession):
             align(df, columns).write.insertInto(self.name, overwrite=True)
+        # A stream's session does not tell this one that files were replaced.
+        self.spark.catalog.refreshTable(self.name)
+
+    def add_files(self, df: DataFrame, spec: Mapping[str, str]) -> None:
+        """Add rows to one partition without reading or replacing what is there."""
+        root = scratch_path(self.spark, "added")
+        try:
+            df.coalesce(1).write.partitionBy(*self.keys).parquet(root)
+            found = [p for p in storage.leaf_files(self.spark, root) if p.endswith(".parquet")]
+            base = storage.qualified(self.spark, root).rstrip("/") + "/"
+            storage.move(self.spark, [(p, f"{self.location}/{p.removeprefix(base)}") for p in found])
+        finally:
+            storage.delete(self.spark, [root])
+        self.add_partition(spec)
+        self.spark.catalog.refreshTable(self.name)
 
     def land_partition(self, df: DataFrame, spec: Mapping[str, str]) -> int:
         """Write rows as exactly one partition and return their number, counted by the write.
@@ -140,12 +154,14 @@ class LakeTable:
 
     # -- partitions -----------------------------------------------------------
 
-    def partitions(self) -> DataFrame:
+    def partitions(self, within: Mapping[str, str] | None = None) -> DataFrame:
         """Registered partitions: folder name in ``partition`` and one string column per key.
 
-        Comes from the catalog, so no data file is opened.
+        Comes from the catalog, so no data file is opened. ``within`` fixes leading keys, and the
+        catalog lists only what is below them.
         """
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name}")
+        fixed = ", ".join(f"{_name(k)}={_literal(v)}" for k, v in (within or {}).items())
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name}" + (f" PARTITION ({fixed})" if fixed else ""))
         parts = F.split("partition", "/")
 
         def value(i: int) -> Column:
@@ -184,24 +200,22 @@ class LakeTable:
     def archive(self, current_cycle: str, archive_location: str, only_date: str | None = None) -> int:
         """Move all cycles but the current one to the archive, partition folders included.
 
-        The archive gets every column the files have, also those that the table no
-        longer declares. Source files go only after the copy is committed.
+        Files move as they are, so no data is read, and the archive keeps every column the files
+        have. A partition that the archive has already is replaced; a move that fails leaves its
+        partition in the table's folder, and the next archive takes it up again.
         """
         self.repair()
         old = F.col("execution_cycle_id") != current_cycle
         if only_date is not None:
             old = old & (F.col("execution_date") == only_date)
-        folders = {
-            "/".join(r["partition"].split("/")[:2]) for r in self.partitions().where(old).select("partition").collect()
-        }
-        if not folders:
+        leaves = [r["partition"] for r in self.partitions().where(old).select("partition").collect()]
+        if not leaves:
             return 0
-        rows = scan_partitioned(self.spark, self.location, self.keys, sorted(folders), merge_schema=True)
-        with many_open_writers(self.spark):
-            dynamic = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            dynamic.partitionBy(*self.keys).parquet(archive_location)
+        target = archive_location.rstrip("/")
+        held = [leaf for leaf in leaves if storage.exists(self.spark, f"{self.location}/{leaf}")]
+        storage.move(self.spark, [(f"{self.location}/{leaf}", f"{target}/{leaf}") for leaf in held])
         self.purge(old, depth=2)
-        return len(folders)
+        return len({"/".join(leaf.split("/")[:2]) for leaf in leaves})
 
 
 def publish(

@@ -58,6 +58,9 @@ def read_files(spark: SparkSession, spec: IngestSpec, paths: Sequence[str]) -> D
 def staged_rows(rows: DataFrame, run: RunContext) -> DataFrame:
     """Data columns, audit columns and partition keys, ready for the staging table."""
     data = [c for c in rows.columns if c != LOCATION]
+    clash = {c.lower() for c in data} & {"processed_time", *STAGING_KEYS}
+    if clash:
+        raise ValueError(f"the files have columns with names of audit columns: {sorted(clash)}")
     return scrub_null_token(rows.select(*[F.col(f"`{c}`") for c in data], LOCATION)).withColumns(
         {
             "processed_time": F.lit(run.processed_time),
@@ -68,9 +71,24 @@ def staged_rows(rows: DataFrame, run: RunContext) -> DataFrame:
     )
 
 
-def land_staged(table: LakeTable, rows: DataFrame, run: RunContext) -> None:
+def land_staged(table: LakeTable, rows: DataFrame, run: RunContext, files: DataFrame | None = None) -> None:
+    """Land rows in the run's date and cycle, a partition per file name.
+
+    Rows that the cycle holds already of files with the same name in other folders stay: they are
+    written again with the new ones. ``files`` has the ``source_path`` of the files the rows come from; without it
+    the paths are taken from the rows.
+    """
     staged = staged_rows(rows, run)
     table.register(staged.drop(*table.keys).schema)
+    cycle = {"execution_date": run.execution_date, "execution_cycle_id": run.cycle_id}
+    if not table.partitions(cycle).isEmpty():
+        if files is None:
+            files = rows.select(F.col(LOCATION).alias("source_path")).distinct()
+        paths = files.select(F.col("source_path").alias("__path"))
+        names = paths.select(storage.base_name(F.col("__path")).alias("source_file_name")).distinct()
+        others = landed(table, run).join(names, "source_file_name", "left_semi")
+        others = others.join(paths, F.col(LOCATION) == F.col("__path"), "left_anti")
+        staged = staged.unionByName(others, allowMissingColumns=True)
     table.land(staged)
 
 
@@ -88,19 +106,15 @@ def pending_files(
     reprocess_doc: Mapping | None = None,
     tokens=masks.CUSTOM_TOKENS,
 ) -> DataFrame:
-    """Candidates the ledger does not hold; staged rows of forced files are removed first."""
+    """Candidates the ledger does not hold, and those the reprocess document forces."""
     found = candidates(spark, spec, tokens)
     if spec.static_file:
         return found
     plan = reprocess.plan_for(reprocess_doc, run.execution_date, spec.dataset)
     if plan.everything:
-        reprocess.clean_staged(staging_table(spark, spec), plan)
         return found
     done = ledger.done_files(file_log, spec.dataset)
-    forced = None
-    if not plan.empty:
-        forced = reprocess.forced_files(spark, plan, done)
-        reprocess.clean_staged(staging_table(spark, spec), plan, forced)
+    forced = None if plan.empty else reprocess.forced_files(spark, plan, done)
     identity = listing.by_location(found, spec.source_prefixes)
     return listing.pending(found, done, identity, forced)
 
@@ -120,10 +134,9 @@ def ingest(
         return None
     if (spec.gated and not rules) or (spec.checked_after and not post_rules):
         raise ValueError(f"the spec of {spec.dataset!r} names a quality config, but no rules are given")
+    reprocess_doc = spec.reprocess_doc if reprocess_doc is None else reprocess_doc
     started = run.now()
     table = staging_table(spark, spec)
-    if spec.load_type == "FULL" and spec.archive and table.exists():
-        table.detach()
     todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens)
     # The paths have to come to the driver: Spark's readers take them from there.
     paths = listing.checked_paths(todo)
@@ -135,12 +148,16 @@ def ingest(
         load = _gated_rows if rules else _plain_rows
         rows, statuses = load(spark, spec, paths, run, ledgers, rules, temp)
         if rows is not None:
-            land_staged(table, rows, run)
+            land_staged(table, rows, run, files)
+            _replace_forced(table, spec, run, files, reprocess_doc)
         result = _log_files(table, spec, run, ledgers, files, statuses, started)
     _log_run(spec, run, ledgers, paths, result.record_count, table, started)
 
-    if spec.archive and spec.load_type in ("FULL", "ROLLING") and table.exists():
-        table.archive(run.cycle_id, spec.archive_location)
+    # Older cycles go only when this one has landed rows, so a run without any leaves the table as it was.
+    if spec.archive and spec.load_type in ("FULL", "ROLLING") and result.record_count:
+        table.archive(run.cycle_id, spec.archive_location, run.execution_date if spec.archive_today_only else None)
+        if spec.load_type == "FULL":
+            table.detach(F.col("execution_cycle_id") != run.cycle_id)
     if post_rules:
         if result.loaded_files == 0:
             raise NothingToIngest(f"every file of dataset {spec.dataset!r} was skipped")
@@ -151,6 +168,16 @@ def ingest(
     return result
 
 
+def _replace_forced(table, spec: IngestSpec, run: RunContext, files: DataFrame, reprocess_doc) -> None:
+    """Old rows of forced files go once their new ones are there."""
+    plan = reprocess.plan_for(reprocess_doc, run.execution_date, spec.dataset)
+    if plan.empty or spec.static_file:
+        return
+    present = landed(table, run).select(F.col(LOCATION).alias("source_path")).distinct()
+    fresh = files.join(present, "source_path", "left_semi")
+    reprocess.clean_staged(table, run.execution_date, run.cycle_id, fresh, files if plan.everything else None)
+
+
 def _plain_rows(spark, spec: IngestSpec, paths, *_) -> tuple[DataFrame | None, None]:
     """All rows of the files; None when there is no row, so that no table is made or changed."""
     rows = read_files(spark, spec, paths)
@@ -185,7 +212,8 @@ def _gated_rows(
         quality.route(totals, spec.skip_file, spec.skip_on_non_critical, spec.write_valid), "file-verdicts"
     )
     file_name = storage.base_name(F.col("gated_file"))
-    log = quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name)
+    folder = storage.folder_name(F.col("gated_file"))
+    log = quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name, folder)
     ledger.write_quality_log(ledgers.quality_log, log, spec.dataset, run.cycle_id, "pre_load")
     # As many verdicts as there are paths, which are on the driver already.
     passed = {r.gated_file for r in verdicts.where(F.col("ingestion_status") != quality.SKIPPED).collect()}
@@ -196,7 +224,7 @@ def _gated_rows(
     fixed_schema = spec.schema_doc is not None or spec.file_type in ("csv", "txt", "parquet")
     if not stored and fixed_schema:
         flagged = flag(read_files(spark, wide, kept))
-    rows = quality.admitted(flagged, verdicts, LOCATION, len(paths))
+    rows = quality.admitted(flagged, verdicts, LOCATION)
     if fixed_schema:
         rows = align(rows, read_files(spark, spec, kept).schema)
     return rows, verdicts

@@ -53,6 +53,22 @@ def _location(doc: Mapping, aliases: Mapping[str, str], bucket: str, prefix: str
     return f"{aliases.get(root, root).rstrip('/')}/{str(doc.get(prefix) or '').strip('/')}".rstrip("/")
 
 
+def _archive_location(doc: Mapping, aliases: Mapping[str, str]) -> str:
+    """Without a bucket of its own the archive is in the source bucket."""
+    bucket = "archive_location_bucket" if doc.get("archive_location_bucket") else "source_bucket"
+    _required(doc, "archive_location_prefix")
+    return _location(doc, aliases, bucket, "archive_location_prefix")
+
+
+def _reprocess_document(doc: Mapping, load_document: Callable[[str], object] | None) -> Mapping | None:
+    key = doc.get("reprocess_master_file_s3_key")
+    if not key:
+        return None
+    if load_document is None:
+        raise ValueError(f"no loader for the reprocess document {key!r}")
+    return load_document(key)
+
+
 @dataclass(frozen=True)
 class IngestSpec:
     dataset: str
@@ -73,6 +89,7 @@ class IngestSpec:
     start_cell: str = "A1"
     archive: bool = False
     archive_location: str | None = None
+    archive_today_only: bool = False
     gated: bool = False
     checked_after: bool = False
     skip_file: bool = False
@@ -80,6 +97,7 @@ class IngestSpec:
     write_valid: bool = False
     drop_duplicates: bool = False
     schema_mode: str = "latest"
+    reprocess_doc: Mapping | None = None
 
     @classmethod
     def from_document(
@@ -129,9 +147,8 @@ class IngestSpec:
             sheet=_required(address, "sheet_name") if file_type == "excel" else None,
             start_cell=address.get("starting_cell_id") or "A1",
             archive=archive,
-            archive_location=(
-                _location(doc, aliases, "archive_location_bucket", "archive_location_prefix") if archive else None
-            ),
+            archive_location=_archive_location(doc, aliases) if archive else None,
+            archive_today_only=_flag(doc, "archive_today_only"),
             gated=bool(doc.get("pre_ingestion_dqm_config")),
             checked_after=bool(doc.get("dqm_config_s3_key")),
             skip_file=_flag(doc, "skip_file"),
@@ -139,6 +156,7 @@ class IngestSpec:
             write_valid=_flag(doc, "write_valid_data"),
             drop_duplicates=_flag(doc, "drop_duplicate_records"),
             schema_mode=doc.get("schema_mode") or "latest",
+            reprocess_doc=_reprocess_document(doc, load_document),
         )
 
     @classmethod

@@ -19,6 +19,8 @@ LOCATION = "source_file_location"
 
 def with_location(df: DataFrame) -> DataFrame:
     """Add the path of the file each row came from. Call right after the read."""
+    if LOCATION in (c.lower() for c in df.columns):
+        raise ValueError(f"the files have a column {LOCATION!r}, which is the name of an audit column")
     return df.select("*", storage.plain_path(F.col("_metadata.file_path")).alias(LOCATION))
 
 
@@ -45,7 +47,14 @@ def header_groups(
     """
     options = dict(options or {})
     multiline = str(options.get("multiline", "false")).lower() == "true"
-    heads = storage.first_records(spark, paths, options.get("encoding", "UTF-8"), multiline)
+    heads = storage.first_records(
+        spark,
+        paths,
+        options.get("encoding", "UTF-8"),
+        multiline,
+        options.get("quote", '"'),
+        options.get("escape", "\\"),
+    )
     groups: dict[str, list[str]] = {}
     for path, head in heads.items():
         if head is not None:

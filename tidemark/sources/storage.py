@@ -65,12 +65,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def open_quote(text: str, quote: str = '"', escape: str = "\\") -> bool:
+    """Whether a quoted value is still open at the end of the text."""
+    if escape and escape != quote:
+        text = text.replace(escape + escape, "").replace(escape + quote, "")
+    return text.count(quote) % 2 == 1
+
+
 def first_records(
-    spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multiline: bool = False
+    spark: SparkSession,
+    paths: Sequence[str],
+    encoding: str = "UTF-8",
+    multiline: bool = False,
+    quote: str = '"',
+    escape: str = "\\",
 ) -> dict[str, str | None]:
     """First non-blank line of each file (the whole quoted record with ``multiline``).
 
-    Only the head of each file is fetched. None stands for a file without any line.
+    Only the head of each file is fetched. None stands for a file without any line. Quotes are
+    counted as the reader's own ``quote`` and ``escape`` options have it.
     """
     jvm = spark._jvm
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
@@ -85,12 +98,16 @@ def first_records(
             line = lines.readLine()
             while line is not None and not line.strip():
                 line = lines.readLine()
-            while multiline and line is not None and line.count('"') % 2:
+            if line is None or not multiline or not quote:
+                return line
+            record, is_open = [line], open_quote(line, quote, escape)
+            while is_open:
                 more = lines.readLine()
                 if more is None:
                     break
-                line += "\n" + more
-            return line
+                record.append(more)
+                is_open ^= open_quote(more, quote, escape)
+            return "\n".join(record)
         finally:
             stream.close()
 
@@ -106,6 +123,27 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(remove, paths))
 
 
+def move(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Move files or folders as they are; what stands at the target is replaced.
+
+    A rename within a file system, a copy of the bytes between two.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def one(pair: tuple[str, str]) -> None:
+        source, target = (_path(spark, p) for p in pair)
+        source_fs, target_fs = (_file_system(spark, p) for p in pair)
+        target_fs.mkdirs(target.getParent())
+        target_fs.delete(target, True)
+        if source_fs.getUri().equals(target_fs.getUri()) and source_fs.rename(source, target):
+            return
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, source, target_fs, target, True, conf):
+            raise OSError(f"cannot move {pair[0]} to {pair[1]}")
+
+    with ThreadPoolExecutor(IO_THREADS) as pool:
+        list(pool.map(one, moves))
+
+
 def literal_path(path: str) -> str:
     """A path for Spark's readers, which would take brackets in a file name for a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -28,7 +28,10 @@ BATCH_ROWS = 5_000
 
 # Number formats that the file format defines as dates or times.
 DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
-EPOCH = datetime(1899, 12, 30)
+# Day 0 of a workbook, by its date system.
+EPOCH, EPOCH_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
+# Written before the text of a real date cell of a declared sheet, whose declared format is for text.
+DATE_MARK = "\x00date\x00"
 
 
 def cell_position(reference: str) -> tuple[int, int]:
@@ -45,7 +48,16 @@ def _tag(element) -> str:
 
 
 def _text(element) -> str:
-    return "".join(e.text or "" for e in element.iter() if _tag(e) == "t")
+    """The text of a string, without the phonetic hints that may follow it."""
+    own = [e for e in element if _tag(e) != "rPh"]
+    return (element.text or "" if _tag(element) == "t" else "") + "".join(_text(e) for e in own)
+
+
+def _epoch(book: zipfile.ZipFile) -> datetime:
+    for element in ElementTree.fromstring(book.read("xl/workbook.xml")):
+        if _tag(element) == "workbookPr" and element.get("date1904", "0").lower() in ("1", "true"):
+            return EPOCH_1904
+    return EPOCH
 
 
 def _sheet_member(book: zipfile.ZipFile, sheet: str) -> str:
@@ -85,7 +97,7 @@ def sheet_rows(content: bytes, sheet: str, start: str) -> Iterator[list[tuple[st
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             shared = [_text(e) for e in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
-        dates = _date_styles(book)
+        dates, epoch = _date_styles(book), _epoch(book)
         with book.open(_sheet_member(book, sheet)) as stream:
             for _, row in ElementTree.iterparse(stream):
                 if _tag(row) != "row":
@@ -96,14 +108,14 @@ def sheet_rows(content: bytes, sheet: str, start: str) -> Iterator[list[tuple[st
                     column = position
                     if cell.get("r"):
                         number, column = cell_position(cell.get("r"))
-                    cells[column - first_column] = _cell(cell, shared, dates)
+                    cells[column - first_column] = _cell(cell, shared, dates, epoch)
                 row.clear()
                 if number is None or number >= first_row:
                     width = max(cells, default=-1) + 1
                     yield [cells.get(i, ("empty", "")) for i in range(width)]
 
 
-def _cell(cell, shared: list[str], dates: set[int]) -> tuple[str, str]:
+def _cell(cell, shared: list[str], dates: set[int], epoch: datetime) -> tuple[str, str]:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return "text", _text(cell)
@@ -117,7 +129,7 @@ def _cell(cell, shared: list[str], dates: set[int]) -> tuple[str, str]:
     if kind != "n":
         return "text", value
     if int(cell.get("s", "0")) in dates:
-        moment = EPOCH + timedelta(milliseconds=round(float(value) * 86_400_000))
+        moment = epoch + timedelta(milliseconds=round(float(value) * 86_400_000))
         return "timestamp", moment.isoformat(sep=" ")
     return "number", value
 
@@ -219,6 +231,15 @@ def parse_workbooks(
     else:
         raise ValueError("a workbook without header needs a declared schema")
     names, width, by_name = [n for n, _ in columns], len(columns), schema_doc is None
+    # A declared format is for text; cells that are dates by themselves are told apart by a mark.
+    dated = {
+        i: c["column_data_type"].lower()
+        for i, c in enumerate(schema_doc or ())
+        if c["column_data_type"].lower() in ("date", "timestamp")
+    }
+
+    def text_of(place: int, cell: tuple[str, str]) -> str:
+        return DATE_MARK + cell[1] if place in dated and cell[0] == "timestamp" else cell[1]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def frame(path: str, rows: list[list[str | None]]) -> pd.DataFrame:
@@ -237,7 +258,7 @@ def parse_workbooks(
                 rows: list[list[str | None]] = []
                 for row in cells:
                     # A cell that is not there is empty, a column that is not there is NULL.
-                    rows.append([None if p is None else row[p][1] if p < len(row) else "" for p in places])
+                    rows.append([None if p is None else text_of(p, row[p]) if p < len(row) else "" for p in places])
                     if len(rows) == BATCH_ROWS:
                         yield frame(path, rows)
                         rows = []
@@ -246,10 +267,21 @@ def parse_workbooks(
 
     raw_schema = ", ".join(f"c{i} string" for i in range(width)) + ", path string"
     raw = workbooks.mapInPandas(parse, raw_schema)
+
+    def plain(i: int) -> Column:
+        return F.when(~F.col(f"c{i}").startswith(DATE_MARK), F.col(f"c{i}")) if i in dated else F.col(f"c{i}")
+
+    def real(i: int, kind: str) -> Column:
+        value = F.substr(f"c{i}", F.lit(len(DATE_MARK) + 1))
+        return F.when(F.col(f"c{i}").startswith(DATE_MARK), value.try_cast(kind))
+
     typed = raw.select(
-        *[_cast(F.col(f"c{i}"), dtype).alias(name) for i, (name, dtype) in enumerate(columns)],
+        *[_cast(plain(i), dtype).alias(name) for i, (name, dtype) in enumerate(columns)],
         F.col("path").alias(LOCATION),
+        *[real(i, kind).alias(f"__real_{i}") for i, kind in dated.items()],
     )
     if schema_doc is not None:
         typed = cast_declared(typed, schema_doc)
+        typed = typed.withColumns({names[i]: F.coalesce(f"__real_{i}", F.col(f"`{names[i]}`")) for i in dated})
+        typed = typed.drop(*[f"__real_{i}" for i in dated])
     return standardize_names(typed)

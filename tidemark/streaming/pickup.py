@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import standardize_names
+from tidemark.operators import ledger, quality
 from tidemark.operators.tables import LakeTable
-from tidemark.plans.ingest import land_staged
+from tidemark.plans.ingest import land_staged, landed
 from tidemark.plans.spec import RunContext
-from tidemark.sources.delimited import with_location
+from tidemark.sources import storage
+from tidemark.sources.delimited import LOCATION, with_location
+
+# Spark's file source forgets files older than this beside the newest one, and would leave them out for good.
+NO_AGE_LIMIT = f"{(1 << 63) // 10**6 // 3600}h"
 
 
 def pick_up_available(
@@ -24,23 +31,48 @@ def pick_up_available(
     checkpoint: str,
     options: dict[str, str] | None = None,
     max_files_per_batch: int = 10_000,
+    ledgers: ledger.Ledgers | None = None,
+    dataset: str | None = None,
 ) -> None:
     """Load all files the checkpoint has not seen into the staging table.
 
-    A batch lands in a cycle of its own (the run's cycle id and the batch number), so a
-    batch repeated after a failure replaces its own partitions and nothing else.
+    All batches of a run land in its one cycle, a partition per file, so the newest cycle is the whole
+    run whatever the number of batches. Before a batch lands, its date and cycle are noted beside the
+    checkpoint; a batch repeated after a failure, by a later run too, lands there again and replaces its
+    own rows. Files are picked up however old they are.
+
+    With ``ledgers`` and ``dataset`` the files are logged, so ``ingest`` passes them over, and files
+    that the ledger holds already are passed over here.
     """
+    if (ledgers is None) != (dataset is None):
+        raise ValueError("ledgers and dataset go together")
     reader = (
         spark.readStream.format(file_format)
         .options(**(options or {}))
         .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .option("recursiveFileLookup", "true")
         .schema(schema)
     )
     located = standardize_names(with_location(reader.load(folder)))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_staged(table, batch, replace(run, cycle_id=f"{run.cycle_id}{batch_id:06d}"))
+        note = f"{checkpoint.rstrip('/')}/landed_cycles/{batch_id}.json"
+        if storage.exists(spark, note):
+            noted = json.loads(storage.read_text(spark, note))
+            own = replace(run, execution_date=noted["execution_date"], cycle_id=noted["cycle_id"])
+        else:
+            own = run
+            storage.write_text(spark, note, json.dumps({"execution_date": run.execution_date, "cycle_id": run.cycle_id}))
+        files = batch.select(F.col(LOCATION).alias("source_path")).distinct()
+        if ledgers is not None:
+            done = _done_elsewhere(ledgers, dataset, own)
+            batch = batch.join(done, F.col(LOCATION) == F.col("__done"), "left_anti")
+            files = files.join(done, F.col("source_path") == F.col("__done"), "left_anti")
+        started = own.now()
+        land_staged(table, batch, own, files)
+        if ledgers is not None:
+            _log(table, own, ledgers, dataset, file_format, files, started)
 
     query = (
         located.writeStream.option("checkpointLocation", checkpoint)
@@ -49,3 +81,36 @@ def pick_up_available(
         .start()
     )
     query.awaitTermination()
+
+
+def _done_elsewhere(ledgers: ledger.Ledgers, dataset: str, run: RunContext) -> DataFrame:
+    """Paths that the ledger holds from other cycles. Those of this cycle may be a repeated batch's own."""
+    log = ledgers.file_log
+    if not log.exists():
+        return log.spark.createDataFrame([], "__done string")
+    own = (F.col("execution_date") == run.execution_date) & (F.col("execution_cycle_id") == run.cycle_id)
+    rows = log.read().where((F.col("dataset_name") == dataset) & ~own)
+    return rows.select(F.concat("input_location_prefix", "file_name").alias("__done")).distinct()
+
+
+def _log(table, run: RunContext, ledgers, dataset: str, file_format: str, files: DataFrame, started: str) -> None:
+    """Log the batch's files, those aside that this cycle has logged already."""
+    log = ledgers.file_log
+    path = F.col("source_path")
+    listing = files.select(
+        path, storage.folder_name(path).alias("input_location_prefix"), storage.base_name(path).alias("file_name")
+    )
+    if log.exists():
+        own = (F.col("execution_date") == run.execution_date) & (F.col("execution_cycle_id") == run.cycle_id)
+        known = log.read().where((F.col("dataset_name") == dataset) & own)
+        listing = listing.join(known, ["input_location_prefix", "file_name"], "left_anti")
+    counts = landed(table, run).groupBy(LOCATION).agg(F.count(F.lit(1)).alias("record_count"))
+    literals = {
+        "table_name": table.table,
+        "run_id": run.run_id,
+        "file_type": file_format,
+        "execution_start_time": started,
+        "execution_end_time": run.now(),
+    }
+    rows = ledger.file_log_rows(listing, counts, None, quality.INGESTED, literals)
+    ledger.write(log, ledger.FILE_LOG, rows, run.partition(dataset))

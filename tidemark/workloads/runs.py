@@ -12,6 +12,7 @@ from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS
 from tidemark.plans.ingest import ingest, staging_table
 from tidemark.plans.process import process, publish_table
 from tidemark.plans.spec import ProcessSpec
+from tidemark.sources import storage, structured
 from tidemark.sources.delimited import LOCATION
 from tidemark.streaming.pickup import pick_up_available
 from tidemark.workloads.bench import CYCLE, DATASET, DATE, TIME, Bench, query
@@ -125,7 +126,7 @@ def dq_post_load(bench: Bench) -> DataFrame:
     """The partition just landed, checked as a whole in one aggregate."""
     export_orders(bench)
     ingest(bench.spark, order_spec(bench), bench.run, bench.ledgers, post_rules=POST_RULES)
-    return bench.ledgers.quality_log.read().drop("stage")
+    return bench.ledgers.quality_log.read().drop("stage", "input_location_prefix")
 
 
 @query(
@@ -171,14 +172,56 @@ def incremental_available_now(bench: Bench) -> DataFrame:
     table = bench.lake("picked", STAGING_KEYS)
     second = replace(bench.run, cycle_id=f"{CYCLE[:-1]}2")
     for run, arriving in ((bench.run, "event_type <> 'error'"), (second, "event_type = 'error'")):
-        events.where(arriving).write.mode("append").parquet(f"{bench.root}/arrivals")
+        events.where(arriving).repartition(3).write.mode("append").parquet(f"{bench.root}/arrivals")
         pick_up_available(
-            bench.spark, f"{bench.root}/arrivals", "parquet", events.schema, table, run, f"{bench.root}/checkpoint"
+            bench.spark, f"{bench.root}/arrivals", "parquet", events.schema, table, run, f"{bench.root}/checkpoint",
+            max_files_per_batch=1,
         )
-    pickup = F.when(F.col("execution_cycle_id").startswith(CYCLE), "first").otherwise("second").alias("pickup")
+    pickup = F.when(F.col("execution_cycle_id") == CYCLE, "first").otherwise("second").alias("pickup")
     return table.read().select("event_id", "user_id", "event_type", "processed_time", "execution_date", pickup)
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderpriority < '3' THEN 'a' ELSE 'b' END AS folder FROM orders"""
+)
+def ingest_same_names(bench: Bench) -> DataFrame:
+    """Two folders with files of the same names, loaded by two runs of one cycle: all rows stay."""
+    rows = bench.orders().withColumn("half", F.when(F.col("o_orderpriority") < "3", "a").otherwise("b"))
+    # A file name of its own per status, the same in both folders.
+    spec = order_spec(bench, source_prefixes=[f"{bench.root}/named/a", f"{bench.root}/named/b"])
+    for half in ("a", "b"):
+        bench.export(rows.where(F.col("half") == half).drop("half"), "o_orderstatus", folder=f"made/{half}", header=True)
+        made = storage.leaf_files(bench.spark, f"{bench.root}/made/{half}")
+        by_status = [(p, p.rsplit("split=", 1)[1].split("/")[0], n) for n, p in enumerate(made) if p.endswith(".csv")]
+        numbers: dict[str, int] = {}
+        moves = []
+        for path, status, _ in by_status:
+            numbers[status] = numbers.get(status, 0) + 1
+            moves.append((path, f"{bench.root}/named/{half}/{status}_{numbers[status]}.csv"))
+        storage.move(bench.spark, moves)
+        if half == "a":
+            storage.write_text(bench.spark, f"{bench.root}/named/b/empty.csv", "")
+        ingest(bench.spark, spec, bench.run, bench.ledgers)
+    folder = F.element_at(F.split(LOCATION, "/"), -2).alias("folder")
+    return staging_table(bench.spark, spec).read().select("o_orderkey", "o_custkey", "o_orderstatus", folder)
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, 'now' AS place FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT o_orderkey, o_custkey, 'archive' FROM orders WHERE o_orderstatus <> 'F'"""
+)
+def full_load_archive(bench: Bench) -> DataFrame:
+    """A full load with archive: the second cycle's rows are in the table, the first one's in the archive."""
+    rows = bench.orders()
+    spec = order_spec(bench, load_type="FULL", archive=True, archive_location=f"{bench.root}/archive")
+    for n, arriving in ((1, "o_orderstatus <> 'F'"), (2, "o_orderstatus = 'F'")):
+        bench.export(rows.where(arriving), "o_orderstatus", header=True)
+        ingest(bench.spark, spec, replace(bench.run, cycle_id=f"{CYCLE[:-1]}{n}"), bench.ledgers)
+    now = staging_table(bench.spark, spec).read().select("o_orderkey", "o_custkey", F.lit("now").alias("place"))
+    old = structured.scan_partitioned(bench.spark, f"{bench.root}/archive", STAGING_KEYS)
+    return now.unionByName(old.select("o_orderkey", "o_custkey", F.lit("archive").alias("place")))
+
+
 FEED_RULES = [
     quality.in_list("f1", "o_orderstatus", ["O", "F"], message="status"),
     quality.in_range("f2", "o_totalprice", 0, 450000, criticality="non-critical", message="price", threshold=100),

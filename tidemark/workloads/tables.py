@@ -259,7 +259,7 @@ def reprocess_cleanup(bench: Bench) -> DataFrame:
     """Staged rows of two listed files go from every date and cycle."""
     table = bench.yearly_orders("staged", STAGING_KEYS)
     document = {DATE: {DATASET: {"file_name": ["orders_1996.csv", {"name": ["orders_1999.csv", "unknown.csv"]}]}}}
-    reprocess.clean_staged(table, reprocess.plan_for(document, DATE, DATASET), _forced(bench, document))
+    reprocess.clean_staged(table, bench.run.execution_date, bench.run.cycle_id, _forced(bench, document))
     return table.read().select("o_orderkey", "o_custkey", "source_file_name")
 
 
