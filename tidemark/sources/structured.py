@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import standardize_names
@@ -36,19 +37,19 @@ def read_parquet(
 ) -> DataFrame | None:
     """Parquet files under the schema of the newest one, or of all with ``merge``.
 
-    The newest file with rows decides. ``latest`` reads its footer only, ``merge`` all.
+    The newest file with rows decides. Which files have rows is one job over the footers, as no column
+    is read for it.
     """
     paths = [storage.literal_path(p) for p in paths]
     reader = spark.read.options(**(options or {}))
     if schema_mode == "merge":
         df = reader.option("mergeSchema", True).parquet(*paths)
     else:
-        newest_first = sorted(paths, key=lambda p: p.rsplit("/", 1)[-1], reverse=True)
-        single = (spark.read.parquet(p) for p in newest_first)
-        newest = next((df for df in single if not df.isEmpty()), None)
+        held = with_location(spark.read.schema(T.StructType([])).parquet(*paths)).select(LOCATION)
+        newest = held.agg(F.max(F.struct(storage.base_name(F.col(LOCATION)), LOCATION)).alias("newest")).first()["newest"]
         if newest is None:
             return None
-        df = reader.schema(newest.schema).parquet(*paths)
+        df = reader.schema(spark.read.parquet(storage.literal_path(newest[LOCATION])).schema).parquet(*paths)
     return standardize_names(with_location(df))
 
 
