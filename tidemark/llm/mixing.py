@@ -37,7 +37,7 @@ WEIGHTS = (5, 2, 1)
 STEPS = 60
 CLOSE_ENOUGH = 1e-7
 #: Documents of one (source, size) ranked by one task.
-RANKED_TOGETHER = 100_000
+RANKED_TOGETHER = 1_000
 
 
 def _same(left: Column, right: Column) -> Column:
