@@ -144,6 +144,13 @@ def move(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
         list(pool.map(one, moves))
 
 
+def delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Make a folder, if need be, that is deleted when the application ends."""
+    system = _file_system(spark, folder)
+    system.mkdirs(_path(spark, folder))
+    system.deleteOnExit(_path(spark, folder))
+
+
 def literal_path(path: str) -> str:
     """A path for Spark's readers, which would take brackets in a file name for a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -15,6 +15,7 @@ from tidemark.operators.shape import gather
 from tidemark.operators.tables import CYCLE_KEYS, LakeTable
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.session import scratch_path
+from tidemark.sources import storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,7 @@ class Bench:
 
     def __post_init__(self) -> None:
         self.root = scratch_path(self.spark, self.label)
+        storage.delete_at_exit(self.spark, self.root)
         self.run = RunContext(DATE, CYCLE, TIME, run_id="run-1")
 
     @cached_property

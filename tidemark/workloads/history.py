@@ -56,6 +56,34 @@ def hist_bootstrap(bench: Bench) -> DataFrame:
     return history.unionByName(fresh)
 
 
+STATUS_CYCLES_SQL = "SELECT o_orderkey, o_orderstatus AS d, CASE WHEN o_orderstatus = 'P' THEN '2' ELSE left(o_orderpriority, 1) END AS c FROM orders"
+
+
+@query(
+    f"""WITH t AS ({STATUS_CYCLES_SQL})
+    SELECT o_orderkey, 'independent' AS mode FROM t WHERE d = (SELECT max(d) FROM t) AND c = (SELECT max(c) FROM t)
+    UNION ALL
+    SELECT o_orderkey, 'tuple' FROM t WHERE (d || '/' || c) = (SELECT max(d || '/' || c) FROM t)"""
+)
+def hist_latest_modes(bench: Bench) -> DataFrame:
+    """The last date has no partition of the greatest cycle: each key's own maximum gives no row, the greatest
+    existing pair does."""
+    table = bench.lake("by_status")
+    last = F.col("o_orderstatus") == "P"
+    rows = bench.read("orders").select(
+        "o_orderkey",
+        F.col("o_orderstatus").alias("execution_date"),
+        F.when(last, "2").otherwise(F.substring("o_orderpriority", 1, 1)).alias("execution_cycle_id"),
+    )
+    table.register(rows.drop(*table.keys).schema)
+    table.land(gather(rows, *table.keys))
+    parts = [
+        incremental.newest_rows(bench.spark, table.name, KEYS, mode).select("o_orderkey", F.lit(mode).alias("mode"))
+        for mode in ("independent", "tuple")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(f"SELECT {STAGED_SQL} FROM orders WHERE {NEWEST_SQL}")
 def stg_default(bench: Bench) -> DataFrame:
     return incremental.latest_staging(bench.spark, bench.yearly_orders().name, "", KEYS)
