@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
+from tidemark.sources import storage
 
 #: Fixed value: what a word is in every contract of this subpackage (ASCII blanks part words).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,10 +22,14 @@ def word_count(text: Column) -> Column:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: the lineage ends, a lost executor costs a read."""
+    """Write to the shared folder and read back: the lineage ends, a lost executor costs a read.
+
+    The table is deleted when the application ends.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    storage.delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
