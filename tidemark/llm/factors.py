@@ -151,3 +151,23 @@ def phrase_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 def op3_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup(table(spark, sf_dir, "documents")).drop("_row")
+
+
+ORACLE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM docs),
+windows AS (
+  SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
+  FROM (SELECT r, ws, unnest(range(1, greatest(1, len(ws) - 33))) AS i FROM docs)),
+repeats AS (SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+marked AS (
+  SELECT words.r, words.i, word,
+    max(CASE WHEN repeats.i IS NULL THEN 0 ELSE 1 END)
+      OVER (PARTITION BY words.r ORDER BY words.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) = 1 AS gone
+  FROM words LEFT JOIN repeats ON words.r = repeats.r AND words.i = repeats.i),
+kept AS (
+  SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS said
+  FROM marked GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON docs.r = kept.r"""
