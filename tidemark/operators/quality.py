@@ -223,7 +223,8 @@ def quality_log(
     file_name: Column,
     folder: Column | None = None,
 ) -> DataFrame:
-    """One log row per file and rule. ``folder`` tells files of one name apart."""
+    """One log row per file and rule. ``folder``, where given, tells files of one name apart in a last column."""
+    located = [] if folder is None else [F.col("folder").alias("input_location_prefix")]
     folder = F.lit(None).cast("string") if folder is None else folder
     checks = F.array(
         *[
@@ -254,7 +255,7 @@ def quality_log(
         "check.threshold",
         F.when(F.col("check.percentage") <= F.col("check.threshold"), "Y").otherwise("N").alias("qc_passed_flag"),
         F.lit(cycle_id).alias("ingestion_cycle_id"),
-        F.col("folder").alias("input_location_prefix"),
+        *located,
     )
 
 
