@@ -13,8 +13,8 @@ from tidemark.llm import mixing, resample, simhash, suffixes, tokens
 from tidemark.llm.common import Sealed, numbered, stored, table
 
 #: Near duplicates: shingles of five words, similarity of 0.8 or more. At that similarity 9 of 64 bits are expected
-#: to differ, so candidates are fingerprints up to 10 bits apart; each link is checked on the texts.
-SHINGLE, SIMILARITY, BITS, CHAIN = 5, 0.8, 10, 2
+#: to differ, give or take 3, so candidates are fingerprints up to 15 bits apart; links are decided on the texts.
+SHINGLE, SIMILARITY, BITS, CHAIN = 5, 0.8, 15, 2
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

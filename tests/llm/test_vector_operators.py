@@ -86,6 +86,65 @@ def test_similar_links_only(docs_of):
     assert {tuple(r)[5:] for r in kept.collect()} == {("r", 1, "c", "w", 7)}
 
 
+def jaccard(x, y):
+    shared = len(np.intersect1d(x, y))
+    return shared / max(1, len(x) + len(y) - shared)
+
+
+def test_similar_pair_behind_closer_unlike_texts(spark, docs_of):
+    """a and b are similar; c, not similar to either, is closer to both, so a forest of candidates holds a-c and c-b only."""
+    draw = np.random.default_rng(5)
+
+    def text(changed):
+        return " ".join(changed.get(i, f"w{i}") for i in range(200))
+
+    for _ in range(1000):
+        n = int(draw.integers(1 << 30))
+        places = [20 * i + 10 for i in range(7)]
+        one, two = {p: f"x{n}{p}" for p in places[:4]}, {p: f"x{n}{p}" for p in (*places[:2], *places[4:])}
+        texts = [text({}), text(one), text(two)]
+        prints = [simhash.fingerprint(t, 5) for t in texts]
+        ab, ac, bc = (bin((prints[i] ^ prints[j]) % 2**64).count("1") for i, j in ((0, 1), (0, 2), (1, 2)))
+        if max(ac, bc) < ab <= 12:
+            break
+    a, b, c = (simhash.shingle_set(t, 5) for t in texts)
+    assert max(ac, bc) < ab <= 12 and jaccard(a, b) >= 0.8 > max(jaccard(a, c), jaccard(b, c))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        kept = simhash.one_of_each(docs_of(list(enumerate(texts))), 5, 15, 2, 0.8)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("held", [3, 1_000_000])
+def test_similar_classes_are_those_of_all_candidates(spark, odd_docs, monkeypatch, held):
+    monkeypatch.setattr(simhash, "LINKS_HELD", held)
+    monkeypatch.setattr(simhash, "ROWS_AT_ONCE", 1000 * held)
+    draw = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(120)]
+    near = [" ".join(f"y{n}" if n % 7 and i in own else w for i, w in enumerate(words)) for n, own in enumerate(draw.integers(0, 120, (60, 3)).tolist())]
+    texts = near + [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()] + [r["text"] for r in odd_docs.collect()]
+    docs = spark.createDataFrame([(n, t, n) for n, t in enumerate(texts)], "doc_id long, text string, _row long")
+    found = {r["doc_id"]: r for r in simhash.similar_classes(docs, 5, 15, 2, 0.8).collect()}
+    sets = [simhash.shingle_set(t, 5) for t in texts]
+    prints = {r["_row"]: r["fp"] for r in simhash.set_nodes(docs, 5, ("_row",)).collect()}
+    label = list(range(len(texts)))
+    own = np.array([prints[n] for n in range(len(texts))]).view(np.uint64)
+    links = [(i, j) for i in range(len(texts)) for j in np.flatnonzero(np.bitwise_count(own ^ own[i]) <= 15) if j > i]
+    links = [(i, j) for i, j in links if (not len(sets[i]) and not len(sets[j])) or jaccard(sets[i], sets[j]) >= 0.8]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    roots = [found[n]["root"] for n in range(len(texts))]
+    assert len(set(zip(roots, label))) == len(set(roots)) == len(set(label)) < len(texts)
+
+
 # Quality classifier
 
 

@@ -12,6 +12,12 @@ a clique of near-copies costs as many rows as it has members.
 
 Documents with one fingerprint are one node. Components are by star contraction.
 
+With a similarity to reach, nodes are distinct shingle sets (by a 64-bit hash of the set) instead, and links are decided on
+the sets. Of the candidates of a task a forest is checked first. Nodes of candidates outside the forests are grouped again,
+and every candidate pair that checked links have not joined by then is checked too. So the classes are those of all
+candidate pairs, however they fall into tasks. Set sizes go with the nodes: pairs whose sizes rule the similarity out are
+no candidates. A pair counts in the first group that it shares only.
+
 Defined results: a null or empty text has fingerprint zero and is linked like any other; a
 null id never is a component's name unless all ids of the component are null; rows with one
 id or text stay rows of their own; columns not named here are not read.
@@ -41,6 +47,8 @@ CROWDED_IN_TASK = 1024
 #: Links held in a task before they are reduced to a forest.
 LINKS_HELD = 1_000_000
 WORDS_AT_ONCE = 200_000
+#: Rows of groups compared at once.
+ROWS_AT_ONCE = 100_000
 
 
 def segments(bits: int) -> list[tuple[int, int]]:
@@ -91,9 +99,14 @@ def _joined(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Those links that join the components already, the closest ones first: every component picks its first
-    link, components merge, and so on."""
-    order = np.argsort(np.bitwise_count(a ^ b), kind="stable")
+    """Those links that join the components already, the closest ones first."""
+    used = spanning(a, b, np.bitwise_count(a ^ b))
+    return a[used], b[used]
+
+
+def spanning(a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Places of the links of a forest: every component picks its link with the least ``gap``, components merge, and so on."""
+    order = np.argsort(gap, kind="stable")
     a, b = a[order], b[order]
     nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     u, v = place[: len(a)], place[len(a) :]
@@ -102,7 +115,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     while True:
         left = left[label[u[left]] != label[v[left]]]
         if not len(left):
-            return a[used], b[used]
+            return order[used]
         first = np.full(len(nodes), len(a))
         np.minimum.at(first, label[u[left]], left)
         np.minimum.at(first, label[v[left]], left)
@@ -218,8 +231,18 @@ def links(distinct: DataFrame, bits: int = 2, chain: int = 1) -> DataFrame:
     ``distinct`` has each fingerprint once. ``chain`` is how many segments a group shares; 2 suits
     distances whose single segments are too short to tell groups apart.
     """
-    ring = segments(bits)
     fp = F.col("fp")
+    if bits < 1:
+        return distinct.select(fp.alias("a"), fp.alias("b")).limit(0)
+    n = partitions(distinct.sparkSession)
+    sorted_ = keyed(distinct, bits, chain).repartition(n, "seg", "val", "cut").sortWithinPartitions("seg", "val", "cut", "fp")
+    return sorted_.select(F.col("seg").cast("long"), "val", F.col("cut").cast("long"), "fp").mapInArrow(_link_task(bits), "a long, b long")
+
+
+def keyed(distinct: DataFrame, bits: int, chain: int) -> DataFrame:
+    """The groups (seg, val, cut) of each row, with the row's columns."""
+    ring = segments(bits)
+    fp, own = F.col("fp"), distinct.columns
 
     def start(i: int):
         return F.struct(F.lit(i).alias("seg"), _value(fp, *ring[i]).alias("val"), F.lit(-1).alias("cut"))
@@ -241,22 +264,115 @@ def links(distinct: DataFrame, bits: int = 2, chain: int = 1) -> DataFrame:
     def all_longer(i):
         return F.element_at(F.array(*[longer(k) for k in range(len(ring))]), i + 1)
 
-    if bits < 1:
-        return distinct.select(fp.alias("a"), fp.alias("b")).limit(0)
-    if chain == 1:
-        keyed = distinct.select("fp", F.explode(F.array(*[start(i) for i in range(len(ring))])).alias("k"))
-        keyed = keyed.select("k.*", "fp")
-        counts = keyed.groupBy("seg", "val").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-        marked = keyed.join(counts, ["seg", "val"])
-        few = marked.filter(F.col("_n") <= CROWDED).select("seg", "val", "cut", "fp")
-        many = marked.filter(F.col("_n") > CROWDED).select(F.explode(all_longer(F.col("seg"))).alias("k"), "fp").select("k.*", "fp")
-        keyed = few.unionByName(many)
-    else:
+    if chain > 1:
         every = F.flatten(F.array(*[longer(i) for i in range(len(ring))]))
-        keyed = distinct.select(F.explode(every).alias("k"), "fp").select("k.*", "fp")
-    n = partitions(distinct.sparkSession)
-    sorted_ = keyed.repartition(n, "seg", "val", "cut").sortWithinPartitions("seg", "val", "cut", "fp")
-    return sorted_.select(F.col("seg").cast("long"), "val", F.col("cut").cast("long"), "fp").mapInArrow(_link_task(bits), "a long, b long")
+        return distinct.select(F.explode(every).alias("k"), *own).select("k.*", *own)
+    single = distinct.select(F.explode(F.array(*[start(i) for i in range(len(ring))])).alias("k"), *own).select("k.*", *own)
+    counts = single.groupBy("seg", "val").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    marked = single.join(counts, ["seg", "val"])
+    few = marked.filter(F.col("_n") <= CROWDED).select("seg", "val", "cut", *own)
+    many = marked.filter(F.col("_n") > CROWDED).select(F.explode(all_longer(F.col("seg"))).alias("k"), *own).select("k.*", *own)
+    return few.unionByName(many)
+
+
+class Candidates:
+    """Pairs of nodes with fingerprints at most ``bits`` apart and sizes that allow the similarity."""
+
+    def __init__(self, bits: int, similarity: float, whole: bool):
+        """``whole``: all pairs that no root joins yet; otherwise a forest, and each node of the other pairs with itself."""
+        self.bits, self.similarity, self.whole = bits, similarity, whole
+        self.ring = [np.uint64(((1 << w) - 1) << offset) for offset, w in segments(bits)]
+        self.held, self.n, self.flagged = [], 0, [np.zeros(0, np.int64)]
+
+    def groups(self, seg, val, cut, size, fp, node, root) -> Iterator[pa.RecordBatch]:
+        """Whole groups, sorted by (seg, val, cut, size)."""
+        new = np.ones(len(fp), bool)
+        new[1:] = (seg[1:] != seg[:-1]) | (val[1:] != val[:-1]) | (cut[1:] != cut[:-1])
+        run = np.cumsum(new) << 32
+        most = np.minimum(np.floor(size / self.similarity + 1e-6), (1 << 32) - 1).astype(np.int64)
+        ends = np.searchsorted(run + size, run + most, "right")
+        fp, places, shift = fp.view(np.uint64), np.arange(len(fp)), 1
+        while True:
+            places = places[places + shift < ends[places]]
+            if not len(places):
+                return
+            left = places[np.bitwise_count(fp[places] ^ fp[places + shift]) <= self.bits]
+            right = left + shift
+            if self.whole:
+                open_ = root[left] != root[right]
+                left, right = left[open_], right[open_]
+            if len(left):
+                apart = fp[left] ^ fp[right]
+                here = self.first(apart, seg[left], cut[left])
+                yield from self.add(node[left[here]], node[right[here]], np.bitwise_count(apart[here]))
+            shift += 1
+
+    def first(self, apart: np.ndarray, seg: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Whether a pair shares no earlier group."""
+        m, here = len(self.ring), np.ones(len(apart), bool)
+        for s in range(m):
+            after = np.bitwise_count(apart & self.ring[(s + 1) % m])
+            meets = ((apart & self.ring[s]) == 0) & (after <= 1)
+            here &= ~(meets & (seg > s))
+            here &= ~((seg == s) & (after == 0) & (cut > 0))
+        return here
+
+    def add(self, a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((np.minimum(a, b), np.maximum(a, b), gap))
+        self.n += len(a)
+        if self.n > LINKS_HELD:
+            if self.whole:
+                yield from self.out()
+            else:
+                self.reduce()
+
+    def reduce(self) -> None:
+        a, b, gap = (np.concatenate(x) for x in zip(*self.held))
+        used = spanning(a, b, gap)
+        left = np.ones(len(a), bool)
+        left[used] = False
+        self.flagged = [np.unique(np.concatenate([*self.flagged, a[left], b[left]]))]
+        self.held, self.n = [(a[used], b[used], gap[used])], 0
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        if self.held and not self.whole:
+            self.reduce()
+        pairs = [(a, b) for a, b, _ in self.held] + [(x, x) for x in self.flagged]
+        self.held, self.n, self.flagged = [], 0, []
+        for a, b in pairs:
+            for at in range(0, len(a), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(a[part]), pa.array(b[part])], ["a", "b"])
+
+
+def candidates(nodes: DataFrame, bits: int, chain: int, similarity: float, whole: bool) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, fp, size, root), as ``Candidates`` gives them."""
+    if chain < 2:
+        raise ValueError("candidates are grouped by two segments of the chain")
+    n = partitions(nodes.sparkSession)
+    rows = keyed(nodes, bits, chain).repartition(n, "seg", "val", "cut").sortWithinPartitions("seg", "val", "cut", "size")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, rest, waiting = Candidates(bits, similarity, whole), [], 0
+        for batch in batches:
+            rest.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            waiting += batch.num_rows
+            if waiting < ROWS_AT_ONCE:
+                continue
+            columns = [np.concatenate(c) for c in zip(*rest)]
+            last = np.logical_and.reduce([c == c[-1] for c in columns[:3]])
+            split = len(last) - int(last[::-1].argmin()) if not last.all() else 0
+            if split:
+                yield from found.groups(*(c[:split] for c in columns))
+            rest = [[c[split:] for c in columns]]
+            # A long group is not put together again with every batch.
+            waiting = 0
+        if rest:
+            yield from found.groups(*(np.concatenate(c) for c in zip(*rest)))
+        yield from found.out()
+
+    used = rows.select(F.col("seg").cast("long"), "val", F.col("cut").cast("long"), "size", "fp", "node", "root")
+    return used.mapInArrow(run, "a long, b long")
 
 
 def bits_for(similarity: float) -> int:
@@ -272,24 +388,42 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(found)
 
 
-def similar(edges: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The links whose texts have at least this Jaccard similarity; one text stands for each fingerprint.
+def set_nodes(docs: DataFrame, shingle: int, keep: tuple[str, ...]) -> DataFrame:
+    """Return ``keep``, fp, node (hash of the set of shingles) and size (of the set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(len(keep)).to_pylist():
+                own = shingle_set(text, shingle)
+                found.append((fingerprint(text, shingle), xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own)))
+            numbers = np.array([(f, n - (1 << 64) if n >> 63 else n, size) for f, n, size in found], np.int64).reshape(-1, 3)
+            columns = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.ascontiguousarray(c)) for c in numbers.T)], [*keep, "fp", "node", "size"])
 
-    ``marked`` has fp and _row, ``docs`` _row and text. Only texts with a link are read again.
+    used = docs.select(*keep, F.col("text").alias("_text"))
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in used.drop("_text").dtypes)
+    return used.mapInArrow(run, f"{fields}, fp long, node long, size long")
+
+
+def similar(edges: DataFrame, first: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links whose sets have at least this Jaccard similarity.
+
+    ``first`` has node and _row, a row with the node's set; ``docs`` _row and text. Only texts with a link are read again.
     """
-    ends = edges.select(F.col("a").alias("fp")).unionByName(edges.select(F.col("b").alias("fp"))).distinct()
-    texts = marked.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("_row").alias("_row"))
+    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    texts = first.join(ends, "node", "left_semi").select("node", "_row")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = [shingle_set(t, shingle).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["fp", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
 
-    known = stored(docs.join(texts, "_row").select("fp", "text").mapInArrow(sets, "fp long, shingles binary"), "shingles")
-    left = known.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"))
-    right = known.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"))
+    known = stored(docs.join(texts, "_row").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "shingles")
+    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     pairs = edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,37 +440,42 @@ def similar(edges: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int,
     return pairs.mapInArrow(near, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    shingle: int = 3,
-    bits: int = 2,
-    chain: int = 1,
-    keep: tuple[str, ...] = (),
-    similarity: float | None = None,
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, chain: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
     """Return doc_id, fp, root, component_id and ``keep``: the class of every document.
 
-    ``root`` is the smallest fingerprint of the class, ``component_id`` its smallest id. With ``similarity``, ``docs`` and
-    ``keep`` have a _row, and links of less similar texts are left out: of the closest links that
-    join a class, those that fail are cut.
+    ``root`` is the smallest fingerprint of the class, ``component_id`` its smallest id.
     """
     marked = stored(fingerprints(docs, shingle, ("doc_id", *keep)), "simhash")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    edges = links(distinct.select("fp"), bits, chain)
-    if similarity is not None:
-        edges = similar(stored(edges.distinct(), "links"), marked, docs.select("_row", "text"), shingle, similarity)
-    roots = components(edges)
+    roots = components(links(distinct.select("fp"), bits, chain))
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = linked.select("fp", "root").join(names, "root")
     return marked.join(classes, "fp").select("doc_id", "fp", "root", "component_id", *keep)
 
 
+def similar_classes(docs: DataFrame, shingle: int, bits: int, chain: int, similarity: float) -> DataFrame:
+    """Return doc_id, _row, node and root for ``docs`` (doc_id, text, _row): classes of pairs that are candidates and this similar."""
+    marked = stored(set_nodes(docs, shingle, ("doc_id", "_row")), "simhash")
+    nodes = stored(marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.min("_row").alias("_row")), "simhash-nodes")
+    texts = docs.select("_row", "text")
+    found = stored(candidates(nodes.select("node", "fp", "size", F.col("node").alias("root")), bits, chain, similarity, False).distinct(), "links")
+    tried = found.filter("a <> b")
+    edges = stored(similar(tried, nodes, texts, shingle, similarity), "similar")
+    roots = components(edges)
+    again = found.filter("a = b").select(F.col("a").alias("node"))
+    again = nodes.join(again, "node", "left_semi").join(roots, "node", "left")
+    again = stored(again.select("node", "fp", "size", F.coalesce("root", "node").alias("root")), "open-nodes")
+    rest = stored(candidates(again, bits, chain, similarity, True).join(tried, ["a", "b"], "left_anti"), "open-links")
+    roots = components(edges.unionByName(similar(rest, nodes, texts, shingle, similarity)))
+    return marked.join(roots, "node", "left").select("doc_id", "_row", "node", F.coalesce("root", "node").alias("root"))
+
+
 def one_of_each(docs: DataFrame, shingle: int, bits: int, chain: int, similarity: float) -> DataFrame:
     """The document with the smallest id of each class (no id: last; then the first in the table), with all columns."""
     sealed = Sealed(docs, ("doc_id", "text"))
     rows = numbered(sealed.rows, "_row")
-    classes = near_duplicates(rows.select("doc_id", "text", "_row"), shingle, bits, chain, ("_row",), similarity)
+    classes = similar_classes(rows.select("doc_id", "text", "_row"), shingle, bits, chain, similarity)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
     chosen = classes.groupBy("root").agg(first.alias("_row")).select("_row")
     return sealed.open(rows.join(chosen, "_row", "left_semi"))
