@@ -145,6 +145,15 @@ def test_similar_classes_are_those_of_all_candidates(spark, odd_docs, monkeypatc
     assert len(set(zip(roots, label))) == len(set(roots)) == len(set(label)) < len(texts)
 
 
+def test_texts_around_one_repeated_line_stay(docs_of):
+    """A line of five words 300 times, and 200 words of a text's own: one majority of shingles, similarity near 0.01."""
+    line = "all rights reserved by us\n" * 300
+    texts = [line + " ".join(f"w{n}x{i}" for i in range(200)) for n in range(6)]
+    assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
+    kept = simhash.one_of_each(docs_of(list(enumerate([*texts, texts[0], texts[1].replace("w1x100 ", "other ")]))), 5, 15, 2, 0.8)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
+
+
 # Quality classifier
 
 

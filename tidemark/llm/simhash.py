@@ -12,8 +12,8 @@ a clique of near-copies costs as many rows as it has members.
 
 Documents with one fingerprint are one node. Components are by star contraction.
 
-With a similarity to reach, nodes are distinct shingle sets (by a 64-bit hash of the set) instead, and links are decided on
-the sets. Of the candidates of a task a forest is checked first. Nodes of candidates outside the forests are grouped again,
+With a similarity to reach, nodes are distinct shingle sets (by a 64-bit hash of the set) instead, fingerprints count each
+shingle once, and links are decided on the sets, those of nodes with one fingerprint too. Of the candidates of a task a forest is checked first. Nodes of candidates outside the forests are grouped again,
 and every candidate pair that checked links have not joined by then is checked too. So the classes are those of all
 candidate pairs, however they fall into tasks. Set sizes go with the nodes: pairs whose sizes rule the similarity out are
 no candidates. A pair counts in the first group that it shares only.
@@ -70,6 +70,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """The fingerprint of a set of shingles, each counted once however often a text repeats it, as a signed 64-bit number."""
+    ones = np.zeros(WIDTH, np.int64)
+    for start in range(0, len(shingles), WORDS_AT_ONCE):
+        part = shingles[start : start + WORDS_AT_ONCE]
+        ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, WIDTH).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(shingles), bitorder="little").view("<i8")[0])
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Return ``keep`` and fp (long)."""
 
@@ -389,14 +398,14 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
 
 
 def set_nodes(docs: DataFrame, shingle: int, keep: tuple[str, ...]) -> DataFrame:
-    """Return ``keep``, fp, node (hash of the set of shingles) and size (of the set)."""
+    """Return ``keep``, fp (of the set of shingles), node (hash of the set) and size (of the set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in batch.column(len(keep)).to_pylist():
                 own = shingle_set(text, shingle)
-                found.append((fingerprint(text, shingle), xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own)))
+                found.append((set_fingerprint(own), xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own)))
             numbers = np.array([(f, n - (1 << 64) if n >> 63 else n, size) for f, n, size in found], np.int64).reshape(-1, 3)
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.ascontiguousarray(c)) for c in numbers.T)], [*keep, "fp", "node", "size"])
