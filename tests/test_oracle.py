@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from tools import check_oracle
 from tools.check_oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,3 +22,8 @@ def test_query(spark, duck, name):
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
+
+
+def test_oracle_is_sql_for_every_kind_of_query():
+    assert all(isinstance(sql, str) for sql in contract.oracle_sql().values())
+    assert set(check_oracle.QUERIES) == set(contract.queries()) and check_oracle.ORACLE == contract.oracle_sql()

@@ -23,6 +23,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_rlz_dedup": factors.ORACLE,
-    "op7_lm_scores": ngrams.op7_lm_scores,
     "op8_chat_format": chat.ORACLE,
 }
