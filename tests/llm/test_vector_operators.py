@@ -244,6 +244,15 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.nearest(df.limit(0), "vec_id % 100 = 0").count() == 0
 
 
+def test_neighbours_are_k_beside_a_large_group_of_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 4)
+    draw = np.random.default_rng(2)
+    vectors = [[1.0, 0.0, 0.0]] * 3000 + (10 * draw.normal(size=(100, 3))).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = Counter(r["query_id"] for r in neighbours.nearest(df, "vec_id >= 3000 OR vec_id = 7").collect())
+    assert found == {i: 10 for i in [7, *range(3000, 3100)]}
+
+
 # Pipeline
 
 

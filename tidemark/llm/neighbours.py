@@ -4,8 +4,9 @@ The tree is fitted on ``SAMPLE`` vectors (those with the smallest hash of their
 leaf holds ``LEAF`` of them. Every vector of the table then goes down to its leaf. A query walks the tree through a priority
 queue of nodes by distance to their centre; leaves come out best first.
 
-How many leaves a query visits is calibrated: on queries from the sample, searched in the sample, visits are widened
-until the mean recall reaches ``RECALL``. The same number holds for all queries. With more vectors than
+How many leaves a query visits at least is calibrated: on distinct vectors of the sample as queries, searched among them, visits
+are widened until a share ``RECALL`` of the queries has a recall of ``RECALL``. A query whose leaves hold fewer than ``k`` other
+rows goes on through the tree until they do, or there is no other leaf. With more vectors than
 the sample neighbours are nearer, so they share leaves more often; tests and the README have measured recall.
 
 The search joins queries with rows by leaf, in two rounds: the first leaves of each query give a bound, its k-th distance so
@@ -110,20 +111,21 @@ def grow(vectors: np.ndarray) -> Tree:
 
 
 def calibrate(tree: Tree, vectors: np.ndarray, k: int) -> int:
-    """Leaves to visit for ``RECALL`` among the sample."""
+    """Leaves to visit so that a share ``RECALL`` of the queries finds as much of its neighbours; equal vectors count once."""
+    vectors = vectors[np.sort(np.unique(vectors, axis=0, return_index=True)[1])]
     leaf = tree.leaves_of(vectors)
+    k = min(k, len(vectors) - 1)
+    if k < 1:
+        return 1
     some = np.linspace(0, len(vectors) - 1, min(CALIBRATION_QUERIES, len(vectors))).astype(int)
-    gone = []
+    needed = []
     for q in np.unique(some):
         gap = np.square(vectors - vectors[q]).sum(1)
         gap[q] = np.inf
-        best = np.argsort(gap, kind="stable")[: min(k, len(vectors) - 1)]
+        best = np.argsort(gap, kind="stable")[:k]
         place = {node: i for i, node in enumerate(tree.best_bins(vectors[q]))}
-        gone.append([place[leaf[b]] for b in best])
-    if not gone or not gone[0]:
-        return 1
-    needed = np.sort(np.concatenate(gone))
-    return int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))) - 1)]) + 1
+        needed.append(sorted(place[leaf[b]] for b in best)[int(np.ceil(RECALL * k)) - 1])
+    return int(np.sort(needed)[int(np.ceil(RECALL * len(needed))) - 1]) + 1
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -157,21 +159,28 @@ def nearest(rows: DataFrame, queries: str, k: int = 10) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.leaves_of(vectors))], [*batch.schema.names, "leaf"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, most = Tree(*shared.value[:2]), shared.value[2]
+        own, least = Tree(*shared.value[:2]), shared.value[2]
         for batch in batches:
             if batch.num_rows:
                 found = []
                 for query in _matrix(batch.column("embedding")):
-                    bins = own.best_bins(query)
-                    found.append([leaf for _, leaf in zip(range(most), bins)])
+                    bins, rows_in = [], 0
+                    for leaf in own.best_bins(query):
+                        bins.append(leaf)
+                        rows_in += held.value.get(leaf, 0)
+                        if len(bins) >= least and rows_in > k:
+                            break
+                    found.append(bins)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], [*batch.schema.names, "bins"])
 
     kind = "_row long, vec_id long, embedding array<double>"
     placed = stored(good.mapInArrow(assign, f"{kind}, leaf long"), "leaves")
+    # One row per leaf: a bounded table, as the tree is.
+    counts = stored(placed.groupBy("leaf").count(), "leaf-counts")
+    held = spark.sparkContext.broadcast({r["leaf"]: r["count"] for r in counts.collect()})
     asked = good.filter(queries).mapInArrow(visit, f"{kind}, bins array<long>")
     asked = stored(asked.select("_row", "vec_id", "embedding", F.posexplode("bins").alias("place", "leaf")), "visits")
-    # One row per leaf: a bounded table, as the tree is.
-    sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = counts.select("leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     asking = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("askers"))
     plan = F.broadcast(stored(sizes.join(asking, "leaf"), "leaf-plan"))
 
