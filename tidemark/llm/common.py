@@ -38,6 +38,36 @@ def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``rows`` with the columns of their group; rows without one go.
+
+    ``groups`` is a stored table with one row per key, ``count`` its column with the number of rows that have the key.
+    Groups of at least a thousandth of all rows, of which there are at most a thousand, are broadcast, so a hot key
+    does not meet in one task; the rest is an ordinary join. ``rows`` is read twice.
+    """
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    few = F.broadcast(groups.filter(F.col(count) * 1000 >= total))
+    return rows.join(few, keys).unionByName(
+        rows.join(few.select(*keys), keys, "left_anti").join(groups.join(few.select(*keys), keys, "left_anti"), keys)
+    )
+
+
+def usable_vectors(rows: DataFrame, *more: str) -> DataFrame:
+    """vec_id, ``more`` and embedding (array of double) of rows with a vector of finite numbers, as long as most vectors."""
+    found = rows.select("vec_id", *more, F.col("embedding").cast("array<double>").alias("embedding"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    found = found.filter(F.coalesce((F.size("embedding") > 0) & finite, F.lit(False)))
+    lengths = found.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return found.filter(F.size("embedding") == (lengths["n"] if lengths else 0))
+
+
+def scaled(embedding: str = "embedding", scale: float = 256.0) -> tuple[Column, Column]:
+    """Each number times ``scale``, rounded down to a long; and whether all of them fit one."""
+    whole = F.transform(embedding, lambda c: F.floor(c * scale))
+    fits = F.forall(embedding, lambda c: F.abs(c * scale) < float(2**63))
+    return whole, fits
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, factors, mixing, neighbours, ngrams, quality, resample, simhash, suffixes, tokens
+from tidemark.llm import chat, factors, mixing, negatives, neighbours, ngrams, quality, resample, simhash, suffixes, tokens, warc, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffixes.op1_suffix_dedup,
@@ -19,9 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_quality_classifier": resample.op9_quality_classifier,
     "op10_neighbours": neighbours.op10_neighbours,
+    "op11_warc": warc.op11_warc,
+    "op12_whitening": whiten.op12_whitening,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op3_rlz_dedup": factors.ORACLE,
     "op8_chat_format": chat.ORACLE,
+    "op11_warc": warc.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
