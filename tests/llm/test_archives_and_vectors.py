@@ -262,12 +262,13 @@ def test_cover_tree_covers_and_skips():
     for q in range(0, 4000, 80):
         best = negatives.Best([(negatives.LOWEST, negatives.HIGHEST)], 5)
         every = np.ones(4000, bool)
-        looked.append(negatives.descend(tree, x, tree.order, tree.order, longest, vectors[q], every, best, True))
+        looked.append(negatives.descend(tree, x, tree.order, tree.order, longest, vectors[q], every, best))
         want = sorted((-int(s), i) for i, s in enumerate(vectors @ vectors[q]))[:5]
         assert [(s, i) for s, i, _ in best.found[0]] == want
     assert np.mean(looked) < 4000 / 3
 
 
-def test_hard_negatives_of_large_numbers():
-    x = np.array([[2**30, 3], [-(2**30), 5]])
-    assert negatives.exact_scores(x, np.array([2**30, 1]), False).tolist() == [2**60 + 3, -(2**60) + 5]
+def test_hard_negatives_of_large_numbers(spark, tmp_path):
+    rows = [(50, [2.0**20, 1.0], 1), (51, [2.0**20, 3.0], 1), (52, [2.0**19, 9.0], 2), (53, [2.0**19 + 0.25, 5.0], 2)]
+    got = negatives.hard_negatives(vectors_of(spark, rows, tmp_path), "vec_id % 50 = 0")
+    assert Counter(tuple(r) for r in got.collect()) == brute_negatives(rows)

@@ -42,7 +42,9 @@ from tidemark.llm.common import numbered, scaled, stored, table, usable_vectors
 
 BLOCK = 8192
 SHARDS = 4096
-FAN, LEAF = 32, 64
+FAN, LEAF = 8, 128
+#: How much larger each lot of leaves is than the one before.
+LOT = 4
 SHRINK = 0.75
 FIRST = 2
 ASKS = 8192
@@ -117,11 +119,6 @@ def bounds(point: np.ndarray, centres: np.ndarray, angles: np.ndarray, scale: fl
     return scale * np.cos(np.minimum(np.pi, apart + angles)) - slack, scale * np.cos(np.maximum(0.0, apart - angles)) + slack
 
 
-def exact_scores(x: np.ndarray, query: np.ndarray, safe: bool) -> np.ndarray:
-    """Inner products as longs. Products in floating point are exact where ``safe``, that is, below 2^53."""
-    return (x.astype(np.float64) @ query.astype(np.float64)).astype(np.int64) if safe else x @ query
-
-
 class Best:
     """The first ``k`` rows of each window by (falling score, id)."""
 
@@ -134,41 +131,52 @@ class Best:
         return any(low <= most and high >= least for low, high in zip(self.low, self.high))
 
     def add(self, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Rows that meet any window are put in order once; each window then takes its own from the place of its upper end."""
+        here = np.flatnonzero((score >= min(self.low)) & (score <= max(self.high)))
+        if not len(here):
+            return
+        here = here[np.lexsort((rows[here], ids[here], -score[here]))]
+        falling = -score[here]
         for w, (low, high) in enumerate(zip(self.low, self.high)):
-            here = np.flatnonzero((score >= low) & (score <= high))
-            if not len(here):
-                continue
-            if len(here) > self.k:
-                here = here[np.lexsort((rows[here], ids[here], -score[here]))[: self.k]]
-            mine = self.found[w] + [(-int(score[i]), int(ids[i]), int(rows[i])) for i in here]
-            self.found[w] = sorted(mine)[: self.k]
-            if len(self.found[w]) == self.k:
-                # A row that ties with the last one may have the smaller id.
-                self.low[w] = max(low, -self.found[w][-1][0])
+            at = int(np.searchsorted(falling, -high, "left")) if high < HIGHEST else 0
+            mine = [(-int(score[i]), int(ids[i]), int(rows[i])) for i in here[at : at + self.k] if score[i] >= low]
+            if mine:
+                self.found[w] = sorted(self.found[w] + mine)[: self.k]
+                if len(self.found[w]) == self.k:
+                    # A row that ties with the last one may have the smaller id.
+                    self.low[w] = max(low, -self.found[w][-1][0])
+
 
+def descend(tree: CoverTree, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, longest: float, query: np.ndarray, match: np.ndarray, best: Best) -> int:
+    """Search one tree, best bound first; ``match`` tells which rows (in the tree's order) may be found. Returns the rows looked at.
 
-def descend(tree: CoverTree, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, longest: float, query: np.ndarray, match: np.ndarray, best: Best, safe: bool) -> int:
-    """Search one tree, best bound first; ``match`` tells which rows (in the tree's order) may be found. Returns the rows looked at."""
+    Leaves are looked at in growing lots: the best one, then the next ``LOT`` still open, then ``LOT`` times as many, each
+    lot against the windows as the ones before have left them. ``x`` is of a type in which the products are exact.
+    """
     length = float(np.sqrt(np.square(query.astype(np.float64)).sum()))
     point = query / length if length else np.zeros(len(query))
-    scale = length * longest
-    least, most = bounds(point, tree.centre[:1], tree.angle[:1], scale)
-    queue, looked = [(-most[0], least[0], 0)], 0
+    least, most = (b.tolist() for b in bounds(point, tree.centre, tree.angle, length * longest))
+    first, children, sizes = tree.first, tree.children, tree.rows
+    queue, lot, looked, query = [(-most[0], 0)], 1, 0, query.astype(x.dtype)
     while queue:
-        most_negative, least_here, node = heapq.heappop(queue)
-        if not best.open(least_here, -most_negative):
-            continue
-        at, n = tree.first[node], tree.children[node]
-        if n:
-            least, most = bounds(point, tree.centre[at : at + n], tree.angle[at : at + n], scale)
-            for i in range(n):
-                if best.open(least[i], most[i]):
-                    heapq.heappush(queue, (-most[i], least[i], int(at + i)))
-            continue
-        here = at + np.flatnonzero(match[at : at + tree.rows[node]])
-        looked += int(tree.rows[node])
-        if len(here):
-            best.add(exact_scores(x[here], query, safe), ids[here], rows[here])
+        leaves: list[int] = []
+        while queue and len(leaves) < lot:
+            _, node = heapq.heappop(queue)
+            if not best.open(least[node], most[node]):
+                continue
+            if not children[node]:
+                leaves.append(node)
+                continue
+            for child in range(first[node], first[node] + children[node]):
+                if best.open(least[child], most[child]):
+                    heapq.heappush(queue, (-most[child], child))
+        if leaves:
+            here = np.concatenate([np.arange(first[v], first[v] + sizes[v]) for v in leaves])
+            looked += len(here)
+            here = here[match[here]]
+            if len(here):
+                best.add((x[here] @ query).astype(np.int64), ids[here], rows[here])
+        lot *= LOT
     return looked
 
 
@@ -271,11 +279,13 @@ class Index:
                 centre, angle, first, children, rows, places, ids, labels, x = (np.frombuffer(b, t) for b, t in zip(blobs, kinds))
                 tree = CoverTree(centre.reshape(len(angle), -1), angle, first, children, rows, places)
                 x = x.reshape(len(ids), -1)
+                # Products in floating point are exact below 2^53; beyond, whole numbers are, as no score leaves a long.
+                smooth, greatest = x.astype(np.float64), float(np.sqrt(np.square(x.astype(np.float64)).sum(1).max()))
                 for query, label, own, windows in zip(asked["query"], asked["label"], asked["x"], asked["windows"]):
                     own = np.asarray(own, np.int64)
                     best = Best([(int(w["low"]), int(w["high"])) for w in windows], k)
-                    safe = float(np.sqrt(np.square(own.astype(np.float64)).sum())) * longest < 2**52
-                    descend(tree, x, ids, places, longest, own, (labels == label) == same, best, safe)
+                    safe = float(np.sqrt(np.square(own.astype(np.float64)).sum())) * greatest < 2**52
+                    descend(tree, smooth if safe else x, ids, places, longest, own, (labels == label) == same, best)
                     made += [(query, w, -s, i, r) for w, found in enumerate(best.found) for s, i, r in found]
             return pd.DataFrame(made, columns=columns)
 
