@@ -175,7 +175,9 @@ def descend(tree: CoverTree, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, l
             looked += len(here)
             here = here[match[here]]
             if len(here):
-                best.add((x[here] @ query).astype(np.int64), ids[here], rows[here])
+                # Rows are copied to be multiplied by themselves, which pays for a part of the tree only.
+                score = x[here] @ query if 4 * len(here) < len(x) else (x @ query)[here]
+                best.add(score.astype(np.int64), ids[here], rows[here])
         lot *= LOT
     return looked
 
