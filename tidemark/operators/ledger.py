@@ -81,24 +81,28 @@ class Ledgers:
         return self._table("quality_log", QUALITY_LOG_KEYS)
 
 
-def write(table: LakeTable, schema: T.StructType, rows: DataFrame, partition: Mapping[str, str]) -> None:
+def write(
+    table: LakeTable, schema: T.StructType, rows: DataFrame, partition: Mapping[str, str], name: str | None = None
+) -> None:
     """Add rows to one partition of a ledger, keeping those that are there.
 
     The rows are written to a folder of their own, and the complete files, whose names are
     unique, are moved into the partition. Nothing that is there is read or replaced, so runs of one
-    dataset and cycle may log side by side.
+    dataset and cycle may log side by side. With a ``name``, rows written a second time under it replace the first ones.
     """
     if not table.exists():
         table.register(schema)
     wanted = T.StructType(table.data_schema().fields + _strings(*table.keys))
     fresh = align(scrub_null_token(rows).withColumns({k: F.lit(v) for k, v in partition.items()}), wanted)
-    table.add_files(fresh, partition)
+    table.add_files(fresh, partition, name)
 
 
-def write_quality_log(table: LakeTable, rows: DataFrame, dataset: str, cycle_id: str, stage: str) -> None:
+def write_quality_log(
+    table: LakeTable, rows: DataFrame, dataset: str, cycle_id: str, stage: str, name: str | None = None
+) -> None:
     everything = rows.sparkSession.createDataFrame([], LOCATED_QUALITY_LOG).schema
     schema = T.StructType([f for f in everything.fields if f.name not in table.keys])
-    write(table, schema, rows, {"dataset_name": dataset, "ingestion_cycle_id": cycle_id, "stage": stage})
+    write(table, schema, rows, {"dataset_name": dataset, "ingestion_cycle_id": cycle_id, "stage": stage}, name)
 
 
 def one_row(spark: SparkSession, **values) -> DataFrame:

@@ -100,6 +100,40 @@ def clean_staged(
     return drop
 
 
+def take_back(table: LakeTable, execution_date: str, cycle_id: str, files: DataFrame) -> list[str]:
+    """Remove what a cycle holds of ``files`` (``source_path, file_name``), whether the landing was complete or not.
+
+    Partition folders that a broken write left outside the catalog are taken up first, so their rows do not come back with the
+    next repair. Rows of other files of the same name stay. Returns the partitions dropped.
+    """
+    if not table.exists():
+        return []
+    cycle = {"execution_date": execution_date, "execution_cycle_id": cycle_id}
+    names = sorted(r.file_name for r in files.select("file_name").distinct().collect())
+    known = {r["source_file_name"]: r["partition"] for r in table.partitions(cycle).collect()}
+    folder = "/".join([table.location, *(f"{k}={v}" for k, v in cycle.items())])
+    there = {p.rsplit("/", 1)[-1] for p in storage.children(table.spark, folder)}
+    for name in names:
+        if name not in known and f"source_file_name={name}" in there:
+            table.add_partition({**cycle, "source_file_name": name})
+            known[name] = "/".join(f"{k}={v}" for k, v in {**cycle, "source_file_name": name}.items())
+    hit = [n for n in names if n in known]
+    if not hit:
+        return []
+    table.spark.catalog.refreshTable(table.name)
+    with TempTables(table.spark, "kept-rows") as temp:
+        paths = files.select(F.col("source_path").alias("__path"))
+        rows = table.slices(cycle, "source_file_name", hit)
+        kept = temp.keep(rows.join(paths, F.col("source_file_location") == F.col("__path"), "left_anti"), "others")
+        stay = {r[0] for r in kept.select("source_file_name").distinct().collect()}
+        if stay:
+            table.land(kept)
+    drop = [known[n] for n in hit if n not in stay]
+    if drop:
+        table.purge(F.col("partition").isin(drop))
+    return drop
+
+
 def clean_cycle(table: LakeTable, execution_date: str, cycle_id: str) -> list[str]:
     """Remove what a failed run left behind."""
     return table.purge(

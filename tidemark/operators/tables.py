@@ -18,6 +18,8 @@ CYCLE_KEYS = ("execution_date", "execution_cycle_id")
 STAGING_KEYS = (*CYCLE_KEYS, "source_file_name")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 DDL_BATCH = 200
+#: Values of a key that a scan takes as constants.
+CONSTANTS = 20_000
 
 def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -121,14 +123,21 @@ class LakeTable:
         # A stream's session does not tell this one that files were replaced.
         self.spark.catalog.refreshTable(self.name)
 
-    def add_files(self, df: DataFrame, spec: Mapping[str, str]) -> None:
-        """Add rows to one partition without reading or replacing what is there."""
+    def add_files(self, df: DataFrame, spec: Mapping[str, str], name: str | None = None) -> None:
+        """Add rows to one partition without reading or replacing what is there.
+
+        With a ``name`` for the files, adding the same rows again replaces the first ones.
+        """
         root = scratch_path(self.spark, "added")
         try:
             df.coalesce(1).write.partitionBy(*self.keys).parquet(root)
             found = [p for p in storage.leaf_files(self.spark, root) if p.endswith(".parquet")]
             base = storage.qualified(self.spark, root).rstrip("/") + "/"
-            storage.move(self.spark, [(p, f"{self.location}/{p.removeprefix(base)}") for p in found])
+            moves = []
+            for i, path in enumerate(found):
+                folder, _, own = path.removeprefix(base).rpartition("/")
+                moves.append((path, f"{self.location}/{folder}/{f'{name}-{i}.parquet' if name else own}"))
+            storage.move(self.spark, moves)
         finally:
             storage.delete(self.spark, [root])
         self.add_partition(spec)
@@ -152,6 +161,20 @@ class LakeTable:
             self.add_partition(spec)
         return count
 
+    def slices(self, within: Mapping[str, str], key: str, values: Sequence[str]) -> DataFrame:
+        """Rows of a partition ``within`` whose next key has one of the values, all of them constants.
+
+        So the catalog is asked for these partitions only, whatever else there is beside them. Very many values become a join,
+        which reads the whole of ``within``.
+        """
+        rows = self.read().where(reduce(Column.__and__, [F.col(k) == F.lit(v) for k, v in within.items()]))
+        if len(values) > CONSTANTS:
+            wanted = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(key, T.StringType())]))
+            return rows.join(wanted.distinct(), key, "left_semi")
+        if not values:
+            return rows.limit(0)
+        return rows.where(F.expr(f"{_name(key)} IN ({', '.join(_literal(v) for v in sorted(set(values)))})"))
+
     # -- partitions -----------------------------------------------------------
 
     def partitions(self, within: Mapping[str, str] | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import astuple, dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tidemark.functions import masks
 from tidemark.operators import ledger, quality, reprocess
 from tidemark.operators.shape import align, dedup_within_file, gather, scrub_null_token
 from tidemark.operators.tables import STAGING_KEYS, LakeTable, TempTables
+from tidemark.plans import intent as intents
 from tidemark.plans.spec import IngestSpec, RunContext
 from tidemark.sources import delimited, listing, storage, structured, workbook
 from tidemark.sources.delimited import LOCATION
@@ -71,23 +73,18 @@ def staged_rows(rows: DataFrame, run: RunContext) -> DataFrame:
     )
 
 
-def land_staged(table: LakeTable, rows: DataFrame, run: RunContext, files: DataFrame | None = None) -> None:
-    """Land rows in the run's date and cycle, a partition per file name.
+def land_staged(table: LakeTable, rows: DataFrame, run: RunContext, paths: Sequence[str]) -> None:
+    """Land rows of the files at ``paths`` in the run's date and cycle, a partition per file name.
 
     Rows that the cycle holds already of files with the same name in other folders stay: they are
-    written again with the new ones. ``files`` has the ``source_path`` of the files the rows come from; without it
-    the paths are taken from the rows.
+    written again with the new ones. Only partitions of the files' names are looked at, whatever else the cycle holds.
     """
     staged = staged_rows(rows, run)
     table.register(staged.drop(*table.keys).schema)
-    cycle = {"execution_date": run.execution_date, "execution_cycle_id": run.cycle_id}
-    if not table.partitions(cycle).isEmpty():
-        if files is None:
-            files = rows.select(F.col(LOCATION).alias("source_path")).distinct()
-        paths = files.select(F.col("source_path").alias("__path"))
-        names = paths.select(storage.base_name(F.col("__path")).alias("source_file_name")).distinct()
-        others = landed(table, run).join(names, "source_file_name", "left_semi")
-        others = others.join(paths, F.col(LOCATION) == F.col("__path"), "left_anti")
+    here = landed_files(table, run, paths)
+    own = table.spark.createDataFrame([(p,) for p in paths], "__path string")
+    others = here.join(own, F.col(LOCATION) == F.col("__path"), "left_anti")
+    if not here.isEmpty() and not others.isEmpty():
         staged = staged.unionByName(others, allowMissingColumns=True)
     table.land(staged)
 
@@ -98,6 +95,19 @@ def landed(table: LakeTable, run: RunContext) -> DataFrame:
     )
 
 
+def landed_files(table: LakeTable, run: RunContext, paths: Sequence[str]) -> DataFrame:
+    """What the run's cycle holds under the names of the files at ``paths``."""
+    cycle = {"execution_date": run.execution_date, "execution_cycle_id": run.cycle_id}
+    return table.slices(cycle, "source_file_name", [storage.name_of(p) for p in paths])
+
+
+def landed_counts(table: LakeTable, run: RunContext, paths: Sequence[str]) -> DataFrame:
+    """Rows that have landed of each file, read back from the files' own partitions."""
+    if not table.exists():
+        return table.spark.createDataFrame([], f"{LOCATION} string, record_count bigint")
+    return landed_files(table, run, paths).groupBy(LOCATION).agg(F.count(F.lit(1)).alias("record_count"))
+
+
 def pending_files(
     spark: SparkSession,
     spec: IngestSpec,
@@ -105,8 +115,9 @@ def pending_files(
     file_log: LakeTable,
     reprocess_doc: Mapping | None = None,
     tokens=masks.CUSTOM_TOKENS,
+    again: DataFrame | None = None,
 ) -> DataFrame:
-    """Candidates the ledger does not hold, and those the reprocess document forces."""
+    """Candidates the ledger does not hold, those the reprocess document forces, and those whose ``source_path`` is in ``again``."""
     found = candidates(spark, spec, tokens)
     if spec.static_file:
         return found
@@ -116,7 +127,10 @@ def pending_files(
     done = ledger.done_files(file_log, spec.dataset)
     forced = None if plan.empty else reprocess.forced_files(spark, plan, done)
     identity = listing.by_location(found, spec.source_prefixes)
-    return listing.pending(found, done, identity, forced)
+    todo = listing.pending(found, done, identity, forced)
+    if again is not None:
+        todo = todo.unionByName(found.join(again.select("source_path"), "source_path", "left_semi").select(*todo.columns)).distinct()
+    return todo
 
 
 def ingest(
@@ -129,7 +143,12 @@ def ingest(
     reprocess_doc: Mapping | None = None,
     tokens=masks.CUSTOM_TOKENS,
 ) -> IngestResult | None:
-    """Load the pending files of a dataset. None for a dataset that is switched off."""
+    """Load the pending files of a dataset. None for a dataset that is switched off.
+
+    A run that broke off is dealt with first: one that had landed all its rows is logged and finished under its own date and cycle, one
+    that had not is taken back, and its files are loaded with this run's. Where there is nothing else to load, the
+    finished run's figures are returned. Runs of one dataset go one after another.
+    """
     if not spec.active:
         return None
     if (spec.gated and not rules) or (spec.checked_after and not post_rules):
@@ -137,27 +156,35 @@ def ingest(
     reprocess_doc = spec.reprocess_doc if reprocess_doc is None else reprocess_doc
     started = run.now()
     table = staging_table(spark, spec)
-    todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens)
+    finished, broken = _recover(table, spec, run, ledgers)
+    again = _files_again(table, spec, ledgers, broken)
+    todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens, again)
     # The paths have to come to the driver: Spark's readers take them from there.
     paths = listing.checked_paths(todo)
     if not paths:
+        for intent in broken:
+            intent.close()
+        if finished is not None:
+            return finished
         raise NothingToIngest(f"no files to load for dataset {spec.dataset!r}")
-    files = listing.listing_frame(spark, paths)
 
+    plan = reprocess.plan_for(reprocess_doc, run.execution_date, spec.dataset)
+    if spec.static_file or (plan.empty and again is None):
+        replaced = intents.REPLACE_NONE
+    else:
+        replaced = intents.REPLACE_ALL if plan.everything else intents.REPLACE_FILES
     with TempTables(spark, "ingest") as temp:
         load = _gated_rows if rules else _plain_rows
-        rows, statuses = load(spark, spec, paths, run, ledgers, rules, temp)
+        rows, verdicts, checks = load(spark, spec, paths, run, rules, temp)
+        intent = intents.open_intent(ledgers, spec.dataset, run, started, paths, replaced, verdicts, checks)
+        # From here on this run's intent tells of the files of the broken ones.
+        for old in broken:
+            old.close()
         if rows is not None:
-            land_staged(table, rows, run, files)
-            _replace_forced(table, spec, run, files, reprocess_doc)
-        result = _log_files(table, spec, run, ledgers, files, statuses, started)
-    _log_run(spec, run, ledgers, paths, result.record_count, table, started)
+            land_staged(table, rows, run, paths)
+        intent.mark_landed()
+    result = _finish(table, spec, ledgers, intent, paths)
 
-    # Older cycles go only when this one has landed rows, so a run without any leaves the table as it was.
-    if spec.archive and spec.load_type in ("FULL", "ROLLING") and result.record_count:
-        table.archive(run.cycle_id, spec.archive_location, run.execution_date if spec.archive_today_only else None)
-        if spec.load_type == "FULL":
-            table.detach(F.col("execution_cycle_id") != run.cycle_id)
     if post_rules:
         if result.loaded_files == 0:
             raise NothingToIngest(f"every file of dataset {spec.dataset!r} was skipped")
@@ -168,28 +195,80 @@ def ingest(
     return result
 
 
-def _replace_forced(table, spec: IngestSpec, run: RunContext, files: DataFrame, reprocess_doc) -> None:
+def _recover(table, spec: IngestSpec, run: RunContext, ledgers) -> tuple[IngestResult | None, list[intents.Intent]]:
+    """Finish the runs that had landed, take the others back. The totals of the first, and the intents of the others."""
+    done, broken = [], []
+    for intent in intents.open_intents(ledgers, spec.dataset, run):
+        if intent.landed:
+            done.append(_finish(table, spec, ledgers, intent, intent.paths()))
+        else:
+            reprocess.take_back(table, intent.run.execution_date, intent.run.cycle_id, intent.files)
+            broken.append(intent)
+    if not done:
+        return None, broken
+    return IngestResult(*(sum(column) for column in zip(*(astuple(r) for r in done)))), broken
+
+
+def _files_again(table, spec: IngestSpec, ledgers, broken: Sequence[intents.Intent]) -> DataFrame | None:
+    """Files that broken runs were to load, and those whose rows went with the partition that a broken write was replacing."""
+    if not broken:
+        return None
+    again = reduce(DataFrame.unionByName, [i.files.select("source_path") for i in broken])
+    log = ledgers.file_log
+    if log.exists():
+        for intent in broken:
+            logged = log.read().where((F.col("dataset_name") == spec.dataset) & (F.col("record_count") > 0))
+            logged = logged.where(
+                (F.col("execution_date") == intent.run.execution_date) & (F.col("execution_cycle_id") == intent.run.cycle_id)
+            )
+            logged = logged.join(intent.files.select("file_name"), "file_name", "left_semi")
+            logged = logged.select(F.concat("input_location_prefix", "file_name").alias("source_path"))
+            counts = landed_counts(table, intent.run, intent.paths()).select(F.col(LOCATION).alias("source_path"))
+            again = again.unionByName(logged.join(counts, "source_path", "left_anti"))
+    return again.distinct()
+
+
+def _finish(table, spec: IngestSpec, ledgers, intent: intents.Intent, paths: Sequence[str]) -> IngestResult:
+    """Everything after the landing. Each step may be done again without harm, so a run that breaks off here is finished by the next one."""
+    run = intent.run
+    if table.exists():
+        _replace_forced(table, run, intent)
+    if intent.checks is not None:
+        ledger.write_quality_log(ledgers.quality_log, intent.checks, spec.dataset, run.cycle_id, "pre_load", intent.name)
+    result = _log_files(table, spec, ledgers, intent, paths)
+    _log_run(spec, ledgers, intent, paths, result.record_count, table)
+    # Older cycles go only when this one has landed rows, so a run without any leaves the table as it was.
+    if spec.archive and spec.load_type in ("FULL", "ROLLING") and result.record_count:
+        table.archive(run.cycle_id, spec.archive_location, run.execution_date if spec.archive_today_only else None)
+        if spec.load_type == "FULL":
+            table.detach(F.col("execution_cycle_id") != run.cycle_id)
+    intent.close()
+    return result
+
+
+def _replace_forced(table, run: RunContext, intent: intents.Intent) -> None:
     """Old rows of forced files go once their new ones are there."""
-    plan = reprocess.plan_for(reprocess_doc, run.execution_date, spec.dataset)
-    if plan.empty or spec.static_file:
+    if intent.replace == intents.REPLACE_NONE:
         return
+    files = intent.files
     present = landed(table, run).select(F.col(LOCATION).alias("source_path")).distinct()
     fresh = files.join(present, "source_path", "left_semi")
-    reprocess.clean_staged(table, run.execution_date, run.cycle_id, fresh, files if plan.everything else None)
+    everything = files if intent.replace == intents.REPLACE_ALL else None
+    reprocess.clean_staged(table, run.execution_date, run.cycle_id, fresh, everything)
 
 
-def _plain_rows(spark, spec: IngestSpec, paths, *_) -> tuple[DataFrame | None, None]:
+def _plain_rows(spark, spec: IngestSpec, paths, *_) -> tuple[DataFrame | None, None, None]:
     """All rows of the files; None when there is no row, so that no table is made or changed."""
     rows = read_files(spark, spec, paths)
     if rows is None or rows.isEmpty():
-        return None, None
-    return (gather(dedup_within_file(rows), LOCATION) if spec.drop_duplicates else rows), None
+        return None, None, None
+    return (gather(dedup_within_file(rows), LOCATION) if spec.drop_duplicates else rows), None, None
 
 
 def _gated_rows(
-    spark, spec: IngestSpec, paths, run: RunContext, ledgers, rules, temp: TempTables
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows that pass the gate and the verdict per file.
+    spark, spec: IngestSpec, paths, run: RunContext, rules, temp: TempTables
+) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+    """Rows that pass the gate, the verdict per file, and the rows of the quality log.
 
     Rules see the columns of all files. They are evaluated twice, once for the totals and
     once for the rows of the files that are kept, which is cheaper than storing every row
@@ -198,7 +277,7 @@ def _gated_rows(
     wide = replace(spec, schema_mode="merge")
     rows = read_files(spark, wide, paths)
     if rows is None or rows.isEmpty():
-        return None, None
+        return None, None, None
 
     def flag(rows: DataFrame) -> DataFrame:
         return quality.flag_failures(dedup_within_file(rows) if spec.drop_duplicates else rows, rules, LOCATION)
@@ -214,12 +293,11 @@ def _gated_rows(
     file_name = storage.base_name(F.col("gated_file"))
     folder = storage.folder_name(F.col("gated_file"))
     log = quality.quality_log(verdicts, rules, spec.dataset, run.cycle_id, file_name, folder)
-    ledger.write_quality_log(ledgers.quality_log, log, spec.dataset, run.cycle_id, "pre_load")
     # As many verdicts as there are paths, which are on the driver already.
     passed = {r.gated_file for r in verdicts.where(F.col("ingestion_status") != quality.SKIPPED).collect()}
     kept = [p for p in paths if p in passed]
     if not kept:
-        return None, verdicts
+        return None, verdicts, log
     # Skipped files are not read again, unless their schema would have to be inferred again.
     fixed_schema = spec.schema_doc is not None or spec.file_type in ("csv", "txt", "parquet")
     if not stored and fixed_schema:
@@ -227,25 +305,22 @@ def _gated_rows(
     rows = quality.admitted(flagged, verdicts, LOCATION)
     if fixed_schema:
         rows = align(rows, read_files(spark, spec, kept).schema)
-    return rows, verdicts
+    return rows, verdicts, log
 
 
-def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuses, started: str) -> IngestResult:
+def _log_files(table, spec: IngestSpec, ledgers, intent: intents.Intent, paths: Sequence[str]) -> IngestResult:
     """Write the file log; the totals of the run are observed on the way."""
-    if table.exists():
-        counts = landed(table, run).groupBy(LOCATION).agg(F.count(F.lit(1)).alias("record_count"))
-    else:
-        counts = files.sparkSession.createDataFrame([], f"{LOCATION} string, record_count bigint")
+    run = intent.run
     rows = ledger.file_log_rows(
-        files,
-        counts,
-        statuses,
+        intent.files,
+        landed_counts(table, run, paths),
+        intent.verdicts,
         quality.INGESTED,
         {
             "table_name": spec.target_table,
             "run_id": run.run_id,
             "file_type": spec.file_type,
-            "execution_start_time": started,
+            "execution_start_time": intent.started,
             "execution_end_time": run.now(),
         },
     )
@@ -257,11 +332,12 @@ def _log_files(table, spec: IngestSpec, run: RunContext, ledgers, files, statuse
         (F.count(F.lit(1)) - skipped).alias("loaded"),
         skipped.alias("skipped"),
     )
-    ledger.write(ledgers.file_log, ledger.FILE_LOG, observed, run.partition(spec.dataset))
+    ledger.write(ledgers.file_log, ledger.FILE_LOG, observed, run.partition(spec.dataset), intent.name)
     return IngestResult(seen.get["records"], seen.get["loaded"], seen.get["skipped"])
 
 
-def _log_run(spec: IngestSpec, run: RunContext, ledgers, paths, records: int, table, started: str) -> None:
+def _log_run(spec: IngestSpec, ledgers, intent: intents.Intent, paths: Sequence[str], records: int, table) -> None:
+    run = intent.run
     row = ledger.one_row(
         table.spark,
         table_name=spec.target_table,
@@ -279,7 +355,7 @@ def _log_run(spec: IngestSpec, run: RunContext, ledgers, paths, records: int, ta
         target_schema=spec.target_schema,
         target_table=spec.target_table,
         record_count=records,
-        execution_start_datetime=started,
+        execution_start_datetime=intent.started,
         execution_end_time=run.now(),
     )
-    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, row, run.partition(spec.dataset))
+    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, row, run.partition(spec.dataset), intent.name)

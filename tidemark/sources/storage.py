@@ -29,6 +29,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return _file_system(spark, path).makeQualified(_path(spark, path)).toString()
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Files and folders right below a folder; none where there is no such folder."""
+    if not exists(spark, folder):
+        return []
+    return sorted(s.getPath().toString() for s in _file_system(spark, folder).listStatus(_path(spark, folder)))
+
+
 def leaf_files(spark: SparkSession, folder: str) -> list[str]:
     """All files below a folder, hidden ones left out as Spark's readers leave them out.
 
@@ -164,6 +171,10 @@ def plain_path(encoded: Column) -> Column:
     return F.when(encoded.startswith("file://"), F.regexp_replace(plain, "^file:/+", "file:/")).otherwise(plain)
 
 
+def name_of(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

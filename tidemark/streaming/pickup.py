@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import replace
 
@@ -12,9 +13,9 @@ from pyspark.sql import types as T
 from tidemark.functions.names import standardize_names
 from tidemark.operators import ledger, quality
 from tidemark.operators.tables import LakeTable
-from tidemark.plans.ingest import land_staged, landed
+from tidemark.plans.ingest import land_staged, landed_counts
 from tidemark.plans.spec import RunContext
-from tidemark.sources import storage
+from tidemark.sources import listing, storage
 from tidemark.sources.delimited import LOCATION, with_location
 
 # Spark's file source forgets files older than this beside the newest one, and would leave them out for good.
@@ -55,6 +56,7 @@ def pick_up_available(
         .schema(schema)
     )
     located = standardize_names(with_location(reader.load(folder)))
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def land(batch: DataFrame, batch_id: int) -> None:
         note = f"{checkpoint.rstrip('/')}/landed_cycles/{batch_id}.json"
@@ -64,15 +66,17 @@ def pick_up_available(
         else:
             own = run
             storage.write_text(spark, note, json.dumps({"execution_date": run.execution_date, "cycle_id": run.cycle_id}))
-        files = batch.select(F.col(LOCATION).alias("source_path")).distinct()
         if ledgers is not None:
             done = _done_elsewhere(ledgers, dataset, own)
             batch = batch.join(done, F.col(LOCATION) == F.col("__done"), "left_anti")
-            files = files.join(done, F.col("source_path") == F.col("__done"), "left_anti")
+        # At most as many as a batch has files.
+        paths = sorted(r[0] for r in batch.select(LOCATION).distinct().collect())
+        if not paths:
+            return
         started = own.now()
-        land_staged(table, batch, own, files)
+        land_staged(table, batch, own, paths)
         if ledgers is not None:
-            _log(table, own, ledgers, dataset, file_format, files, started)
+            _log(table, own, ledgers, dataset, file_format, paths, started, f"{stream}-{batch_id}")
 
     query = (
         located.writeStream.option("checkpointLocation", checkpoint)
@@ -93,18 +97,8 @@ def _done_elsewhere(ledgers: ledger.Ledgers, dataset: str, run: RunContext) -> D
     return rows.select(F.concat("input_location_prefix", "file_name").alias("__done")).distinct()
 
 
-def _log(table, run: RunContext, ledgers, dataset: str, file_format: str, files: DataFrame, started: str) -> None:
-    """Log the batch's files, those aside that this cycle has logged already."""
-    log = ledgers.file_log
-    path = F.col("source_path")
-    listing = files.select(
-        path, storage.folder_name(path).alias("input_location_prefix"), storage.base_name(path).alias("file_name")
-    )
-    if log.exists():
-        own = (F.col("execution_date") == run.execution_date) & (F.col("execution_cycle_id") == run.cycle_id)
-        known = log.read().where((F.col("dataset_name") == dataset) & own)
-        listing = listing.join(known, ["input_location_prefix", "file_name"], "left_anti")
-    counts = landed(table, run).groupBy(LOCATION).agg(F.count(F.lit(1)).alias("record_count"))
+def _log(table, run: RunContext, ledgers, dataset: str, file_format: str, paths, started: str, name: str) -> None:
+    """Log the batch's files, under a name of the batch: one that is repeated replaces its own rows."""
     literals = {
         "table_name": table.table,
         "run_id": run.run_id,
@@ -112,5 +106,6 @@ def _log(table, run: RunContext, ledgers, dataset: str, file_format: str, files:
         "execution_start_time": started,
         "execution_end_time": run.now(),
     }
-    rows = ledger.file_log_rows(listing, counts, None, quality.INGESTED, literals)
-    ledger.write(log, ledger.FILE_LOG, rows, run.partition(dataset))
+    found = listing.listing_frame(table.spark, paths)
+    rows = ledger.file_log_rows(found, landed_counts(table, run, paths), None, quality.INGESTED, literals)
+    ledger.write(ledgers.file_log, ledger.FILE_LOG, rows, run.partition(dataset), name)

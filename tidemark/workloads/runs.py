@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental, quality
 from tidemark.operators.tables import CYCLE_KEYS, STAGING_KEYS
-from tidemark.plans.ingest import ingest, staging_table
+from tidemark.plans import intent as intents
+from tidemark.plans.ingest import ingest, land_staged, pending_files, read_files, staging_table
 from tidemark.plans.process import process, publish_table
 from tidemark.plans.spec import ProcessSpec
-from tidemark.sources import storage, structured
+from tidemark.sources import listing, storage, structured
 from tidemark.sources.delimited import LOCATION
 from tidemark.streaming.pickup import pick_up_available
 from tidemark.workloads.bench import CYCLE, DATASET, DATE, TIME, Bench, query
@@ -206,6 +207,41 @@ def ingest_same_names(bench: Bench) -> DataFrame:
     return staging_table(bench.spark, spec).read().select("o_orderkey", "o_custkey", "o_orderstatus", folder)
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'third' ELSE 'second' END AS cycle,
+              CAST(1 AS BIGINT) AS times_logged FROM orders"""
+)
+def ingest_after_failures(bench: Bench) -> DataFrame:
+    """The first run breaks off in the middle of landing, the third when it has landed: the runs after them leave each order once,
+    and each file logged once."""
+    rows, spec = bench.orders(), order_spec(bench)
+    table = staging_table(bench.spark, spec)
+
+    def cycle(n: int):
+        return replace(bench.run, cycle_id=f"{CYCLE[:-1]}{n}")
+
+    def broken(run, share: int) -> intents.Intent:
+        """What a run leaves that stops when it has landed a part of its files."""
+        paths = listing.checked_paths(pending_files(bench.spark, spec, run, bench.ledgers.file_log))
+        intent = intents.open_intent(bench.ledgers, spec.dataset, run, run.now(), paths, intents.REPLACE_NONE)
+        some = paths[: max(1, len(paths) // share)]
+        land_staged(table, read_files(bench.spark, spec, some), run, some)
+        return intent
+
+    bench.export(rows.where("o_orderstatus = 'F'"), "o_orderstatus", header=True)
+    broken(cycle(1), 2)
+    bench.export(rows.where("o_orderstatus = 'O'"), "o_orderstatus", header=True)
+    ingest(bench.spark, spec, cycle(2), bench.ledgers)
+    bench.export(rows.where("o_orderstatus = 'P'"), "o_orderstatus", header=True)
+    broken(cycle(3), 1).mark_landed()
+    ingest(bench.spark, spec, cycle(4), bench.ledgers)
+    log = bench.ledgers.file_log.read().groupBy(F.concat("input_location_prefix", "file_name").alias(LOCATION))
+    names = {f"{CYCLE[:-1]}{n}": name for n, name in ((1, "first"), (2, "second"), (3, "third"), (4, "fourth"))}
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("execution_cycle_id")].alias("cycle")
+    staged = table.read().join(log.agg(F.count(F.lit(1)).alias("times_logged")), LOCATION)
+    return staged.select("o_orderkey", "o_custkey", "o_orderstatus", named, "times_logged")
+
+
 @query(
     """SELECT o_orderkey, o_custkey, 'now' AS place FROM orders WHERE o_orderstatus = 'F'
        UNION ALL SELECT o_orderkey, o_custkey, 'archive' FROM orders WHERE o_orderstatus <> 'F'"""
