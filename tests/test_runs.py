@@ -131,16 +131,21 @@ def test_prefix_list_keeps_same_names_apart(lake):
     assert staged(lake, "id", "execution_cycle_id") == [("1", "1"), ("22", "3"), ("3", "2")]
 
 
-def test_subfolders_and_flat_identity(lake):
+def test_identity_does_not_follow_from_the_listing(lake):
+    """A flat folder that gets its first sub-folder loads what is new, and nothing again."""
     lake.put("a.csv", "Id\n1\n")
-    flat = listing.source_files(lake.spark, lake.src)
-    assert listing.by_location(flat, lake.src) == ["file_name"]
+    assert ingest(lake.spark, lake.spec(), lake.run("1"), lake.ledgers).record_count == 1
     lake.put("sub/src/a.csv", "Id\n2\n")
-    nested = listing.source_files(lake.spark, lake.src)
-    assert listing.by_location(nested, lake.src) == ["input_location_prefix", "file_name"]
-    assert ingest(lake.spark, lake.spec(), lake.run(), lake.ledgers).record_count == 2
+    assert ingest(lake.spark, lake.spec(), lake.run("2"), lake.ledgers).record_count == 1
+    assert staged(lake, "id", "execution_cycle_id") == [("1", "1"), ("2", "2")]
     with pytest.raises(FileNotFoundError):
         listing.source_files(lake.spark, f"{lake.src}/missing")
+    # By name alone the file in the sub-folder is the one that was loaded, and so is one of a folder that moved.
+    by_name = lake.spec(file_identity="name", source_prefixes=f"{lake.src}/sub")
+    with pytest.raises(NothingToIngest):
+        ingest(lake.spark, by_name, lake.run("3"), lake.ledgers)
+    with pytest.raises(ValueError, match="file_identity"):
+        lake.spec(file_identity="folder")
 
 
 def test_static_file_is_always_read_again(lake):

@@ -235,10 +235,13 @@ class LakeTable:
         if not leaves:
             return 0
         target = archive_location.rstrip("/")
-        held = [leaf for leaf in leaves if storage.exists(self.spark, f"{self.location}/{leaf}")]
-        storage.move(self.spark, [(f"{self.location}/{leaf}", f"{target}/{leaf}") for leaf in held])
+        cycles = sorted({"/".join(leaf.split("/")[:2]) for leaf in leaves})
+        there = {c for c in cycles if storage.exists(self.spark, f"{target}/{c}")}
+        # A whole cycle is one rename. Into a cycle that the archive has, the partitions go one by one.
+        moved = [c for c in cycles if c not in there] + [leaf for leaf in leaves if "/".join(leaf.split("/")[:2]) in there]
+        storage.move(self.spark, [(f"{self.location}/{p}", f"{target}/{p}") for p in moved], missing_ok=True)
         self.purge(old, depth=2)
-        return len({"/".join(leaf.split("/")[:2]) for leaf in leaves})
+        return len(cycles)
 
 
 def publish(

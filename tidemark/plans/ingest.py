@@ -34,11 +34,11 @@ def staging_table(spark: SparkSession, spec: IngestSpec) -> LakeTable:
     return LakeTable(spark, spec.target_schema, spec.target_table, spec.target_location, STAGING_KEYS)
 
 
-def candidates(spark: SparkSession, spec: IngestSpec, tokens=masks.CUSTOM_TOKENS) -> DataFrame:
+def candidates(spark: SparkSession, spec: IngestSpec, tokens=masks.CUSTOM_TOKENS, keep=None) -> DataFrame:
     """Files the spec names, before the ledger is asked."""
     if spec.static_file:
         return listing.static_file(spark, spec.source_prefixes, spec.mask)
-    found = listing.source_files(spark, spec.source_prefixes)
+    found = listing.source_files(spark, spec.source_prefixes, keep)
     return listing.masked(found, spec.mask, spec.custom_mask, tokens)
 
 
@@ -116,9 +116,10 @@ def pending_files(
     reprocess_doc: Mapping | None = None,
     tokens=masks.CUSTOM_TOKENS,
     again: DataFrame | None = None,
+    keep=None,
 ) -> DataFrame:
     """Candidates the ledger does not hold, those the reprocess document forces, and those whose ``source_path`` is in ``again``."""
-    found = candidates(spark, spec, tokens)
+    found = candidates(spark, spec, tokens, keep)
     if spec.static_file:
         return found
     plan = reprocess.plan_for(reprocess_doc, run.execution_date, spec.dataset)
@@ -126,8 +127,7 @@ def pending_files(
         return found
     done = ledger.done_files(file_log, spec.dataset)
     forced = None if plan.empty else reprocess.forced_files(spark, plan, done)
-    identity = listing.by_location(found, spec.source_prefixes)
-    todo = listing.pending(found, done, identity, forced)
+    todo = listing.pending(found, done, listing.IDENTITIES[spec.file_identity], forced)
     if again is not None:
         todo = todo.unionByName(found.join(again.select("source_path"), "source_path", "left_semi").select(*todo.columns)).distinct()
     return todo
@@ -158,9 +158,10 @@ def ingest(
     table = staging_table(spark, spec)
     finished, broken = _recover(table, spec, run, ledgers)
     again = _files_again(table, spec, ledgers, broken)
-    todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens, again)
-    # The paths have to come to the driver: Spark's readers take them from there.
-    paths = listing.checked_paths(todo)
+    with TempTables(spark, "listing") as temp:
+        todo = pending_files(spark, spec, run, ledgers.file_log, reprocess_doc, tokens, again, temp.keep)
+        # The paths of what is to be loaded have to come to the driver, once: Spark's readers take them from there.
+        paths = listing.checked_paths(todo)
     if not paths:
         for intent in broken:
             intent.close()

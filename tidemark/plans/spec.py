@@ -98,6 +98,12 @@ class IngestSpec:
     drop_duplicates: bool = False
     schema_mode: str = "latest"
     reprocess_doc: Mapping | None = None
+    #: What tells files apart in the ledger, which holds both: ``path``, or ``name`` alone. It never follows from what is listed.
+    file_identity: str = "path"
+
+    def __post_init__(self) -> None:
+        if self.file_identity not in ("path", "name"):
+            raise ValueError(f"file_identity must be 'path' or 'name', not {self.file_identity!r}")
 
     @classmethod
     def from_document(
@@ -157,6 +163,7 @@ class IngestSpec:
             drop_duplicates=_flag(doc, "drop_duplicate_records"),
             schema_mode=doc.get("schema_mode") or "latest",
             reprocess_doc=_reprocess_document(doc, load_document),
+            file_identity=doc.get("file_identity") or "path",
         )
 
     @classmethod

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.names import require_distinct, standard_name, standardize_names
 from tidemark.operators.schema import flat_schema
 from tidemark.operators.shape import align, cast_declared
-from tidemark.sources import storage
+from tidemark.sources import storage, tasks
 
 LOCATION = "source_file_location"
 
@@ -43,23 +43,21 @@ def header_groups(
     """Files grouped by header: ``(column names, paths)``, the greatest file name last.
 
     Spark takes the names of a multi-file read from one file and fills them by position,
-    so files whose headers differ must not share a read.
+    so files whose headers differ must not share a read. Tasks fetch the heads, in one job for all files.
     """
     options = dict(options or {})
     multiline = str(options.get("multiline", "false")).lower() == "true"
-    heads = storage.first_records(
-        spark,
-        paths,
-        options.get("encoding", "UTF-8"),
-        multiline,
-        options.get("quote", '"'),
-        options.get("escape", "\\"),
-    )
-    groups: dict[str, list[str]] = {}
-    for path, head in heads.items():
-        if head is not None:
-            groups.setdefault(head, []).append(path)
-    ordered = sorted(groups.values(), key=lambda group: max(p.rsplit("/", 1)[-1] for p in group))
+    how = (options.get("encoding", "UTF-8"), multiline, options.get("quote", '"'), options.get("escape", "\\"))
+    named = {storage.qualified(spark, p): p for p in paths} if paths and not tasks.scheme(paths[0]) else {p: p for p in paths}
+    if tasks.reachable(list(named)):
+        groups = [[named[p] for p in group] for group in tasks.header_paths(spark, list(named), *how)] if paths else []
+    else:
+        by_head: dict[str, list[str]] = {}
+        for path, head in storage.first_records(spark, paths, *how).items():
+            if head is not None:
+                by_head.setdefault(head, []).append(path)
+        groups = list(by_head.values())
+    ordered = sorted(groups, key=lambda group: max(p.rsplit("/", 1)[-1] for p in group))
     reader = spark.read.options(**options).option("header", True)
     return [(reader.csv(storage.literal_path(group[0])).columns, group) for group in ordered]
 

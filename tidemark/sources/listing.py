@@ -8,16 +8,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import masks
-from tidemark.sources import storage
+from tidemark.session import scratch_path
+from tidemark.sources import storage, tasks
 
 LISTING = "source_path string, input_location_prefix string, file_name string"
 
 
-def source_files(spark: SparkSession, prefixes: str | Sequence[str]) -> DataFrame:
-    """One row per file below the prefix or prefixes."""
+def source_files(spark: SparkSession, prefixes: str | Sequence[str], keep=None) -> DataFrame:
+    """One row per file below the prefix or prefixes, files without bytes included.
+
+    Tasks list the folders (``tasks.files_below``), so the driver's part does not grow with the files. ``keep`` stores a
+    DataFrame under a name; without one the listing is stored until the application ends.
+    """
     folders = [prefixes] if isinstance(prefixes, str) else list(prefixes)
     if not folders:
         raise ValueError("no source prefix given")
+    full = {storage.qualified(spark, f).rstrip("/"): f for f in folders}
+    if not tasks.reachable(list(full)):
+        return _listed_by_driver(spark, folders)
+    if keep is None:
+        root = scratch_path(spark, "listing")
+        storage.delete_at_exit(spark, root)
+
+        def keep(rows: DataFrame, name: str) -> DataFrame:
+            rows.write.parquet(f"{root}/{name}")
+            return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    found = tasks.files_below(spark, list(full), keep)
+    # One row per prefix.
+    empty = set(full) - {r.root for r in found.select("root").distinct().collect()}
+    if empty:
+        raise FileNotFoundError(f"no files in source location {', '.join(sorted(full[f] for f in empty))}")
+    path = F.col("source_path")
+    # Prefixes may lie within each other.
+    paths = found.select(F.col("path").alias("source_path"))
+    paths = paths.distinct() if len(full) > 1 else paths
+    return paths.select(path, storage.folder_name(path).alias("input_location_prefix"), storage.base_name(path).alias("file_name"))
+
+
+def _listed_by_driver(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """For file systems that only Spark's own classes can open."""
     paths = []
     for folder in folders:
         found = storage.leaf_files(spark, folder)
@@ -55,14 +85,8 @@ def checked_paths(listing: DataFrame) -> list[str]:
     return sorted(r.source_path for r in found)
 
 
-def by_location(listing: DataFrame, prefixes: str | Sequence[str]) -> list[str]:
-    """Columns that identify a file: the name alone for one flat prefix, else the folder too."""
-    if isinstance(prefixes, str):
-        root = storage.qualified(listing.sparkSession, prefixes).rstrip("/") + "/"
-        elsewhere = F.col("input_location_prefix") != root
-        if not listing.agg(F.coalesce(F.bool_or(elsewhere), F.lit(False))).first()[0]:
-            return ["file_name"]
-    return ["input_location_prefix", "file_name"]
+#: What tells files apart, by the words of a spec: the name alone, or with the folder.
+IDENTITIES = {"name": ["file_name"], "path": ["input_location_prefix", "file_name"]}
 
 
 def pending(listing: DataFrame, done: DataFrame, identity: Sequence[str], forced: DataFrame | None = None) -> DataFrame:

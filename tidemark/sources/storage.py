@@ -9,6 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import tasks
+from tidemark.sources.tasks import open_quote
+
 # Each call is a short wait on the file system, so many may be under way at once.
 IO_THREADS = 48
 
@@ -72,13 +75,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def open_quote(text: str, quote: str = '"', escape: str = "\\") -> bool:
-    """Whether a quoted value is still open at the end of the text."""
-    if escape and escape != quote:
-        text = text.replace(escape + escape, "").replace(escape + quote, "")
-    return text.count(quote) % 2 == 1
-
-
 def first_records(
     spark: SparkSession,
     paths: Sequence[str],
@@ -130,25 +126,47 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(remove, paths))
 
 
-def move(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+def _same_system(spark: SparkSession, source: str, target: str) -> bool:
+    return _file_system(spark, source).getUri().equals(_file_system(spark, target).getUri())
+
+
+def move(spark: SparkSession, moves: Iterable[tuple[str, str]], missing_ok: bool = False) -> None:
     """Move files or folders as they are; what stands at the target is replaced.
 
-    A rename within a file system, a copy of the bytes between two.
+    A rename within a file system. Between two, tasks copy the bytes (``tasks.copy_folders``), and the sources go when all copies are
+    complete; file systems that tasks cannot open are copied by the driver. ``missing_ok`` passes over sources that are not there.
     """
+    moves = list(moves)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
-    def one(pair: tuple[str, str]) -> None:
+    def one(pair: tuple[str, str]) -> tuple[str, str] | None:
+        """Rename, or say what has to be copied."""
         source, target = (_path(spark, p) for p in pair)
         source_fs, target_fs = (_file_system(spark, p) for p in pair)
+        if missing_ok and not source_fs.exists(source):
+            return None
         target_fs.mkdirs(target.getParent())
         target_fs.delete(target, True)
-        if source_fs.getUri().equals(target_fs.getUri()) and source_fs.rename(source, target):
-            return
+        if not _same_system(spark, *pair):
+            return source_fs.makeQualified(source).toString(), target_fs.makeQualified(target).toString()
+        if not source_fs.rename(source, target):
+            raise OSError(f"cannot move {pair[0]} to {pair[1]}")
+        return None
+
+    def copy(pair: tuple[str, str]) -> None:
+        source, target = (_path(spark, p) for p in pair)
+        source_fs, target_fs = (_file_system(spark, p) for p in pair)
         if not jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, source, target_fs, target, True, conf):
             raise OSError(f"cannot move {pair[0]} to {pair[1]}")
 
     with ThreadPoolExecutor(IO_THREADS) as pool:
-        list(pool.map(one, moves))
+        far = [pair for pair in pool.map(one, moves) if pair is not None]
+        if far and not tasks.reachable([p for pair in far for p in pair]):
+            list(pool.map(copy, far))
+            return
+    if far:
+        tasks.copy_folders(spark, far)
+        delete(spark, [source for source, _ in far])
 
 
 def delete_at_exit(spark: SparkSession, folder: str) -> None:
