@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import incremental, ledger
 from tidemark.operators.conform import conform
-from tidemark.operators.tables import LakeTable, TempTables, publish
+from tidemark.operators.tables import STAGING_KEYS, LakeTable, TempTables, publish
 
 KEYS = ("execution_date", "execution_cycle_id")
 
@@ -272,3 +272,56 @@ def test_migrations(spark, lake, rows):
     runs.write.partitionBy("execution_date", "execution_cycle_id").parquet(f"{lake.root}/old_runs")
     assert ledger.migrate_ingestion_log(f"{lake.root}/old_runs", lake.ledgers.ingestion_log) == 1
     assert rows(lake.ledgers.ingestion_log.read(), "dataset_name", "table_name", "record_count") == [("B", "B", 5)]
+
+
+def statements(monkeypatch, spark):
+    """SQL texts that the session is given from here on."""
+    said, plain = [], type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        said.append(text)
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    return said
+
+
+def test_newest_rows_do_not_list_partitions_per_file(lake, monkeypatch):
+    """Dates and cycles come from folder names; what is not registered, or has no rows, is passed over."""
+    table = LakeTable(lake.spark, lake.schema, "many", f"{lake.root}/many", STAGING_KEYS)
+    rows = lake.spark.range(60).select(
+        "id",
+        F.format_string("2024060%d", F.col("id") % 2 + 1).alias("execution_date"),
+        (F.col("id") % 3).cast("string").alias("execution_cycle_id"),
+        F.format_string("f%d.csv", "id").alias("source_file_name"),
+    )
+    table.register(rows.select("id").schema)
+    table.land(rows)
+    table.add_partition({"execution_date": "20240609", "execution_cycle_id": "0", "source_file_name": "none.csv"})
+    os.makedirs(f"{lake.root}/many/execution_date=20240608/execution_cycle_id=9/source_file_name=x.csv")
+    said = statements(monkeypatch, lake.spark)
+    tops = incremental.newest_rows(lake.spark, table.name, ["execution_date", "execution_cycle_id"])
+    combined = incremental.newest_rows(lake.spark, table.name, ["execution_date", "execution_cycle_id"], "tuple")
+    want = rows.where("execution_date = '20240602' AND execution_cycle_id = '2'")
+    assert sorted(r.id for r in tops.collect()) == sorted(r.id for r in combined.collect()) == sorted(r.id for r in want.collect())
+    assert not [s for s in said if "SHOW PARTITIONS" in s]
+    # All keys, and tables that others laid out, ask the catalog.
+    lake.spark.sql(f"ALTER TABLE {table.name} UNSET TBLPROPERTIES ('tidemark.partitions.in.folders')")
+    again = incremental.newest_rows(lake.spark, table.name, ["execution_date"])
+    assert again.count() == 30 and [s for s in said if "SHOW PARTITIONS" in s]
+
+
+def test_columns_added_at_the_end_list_no_folder(lake, monkeypatch):
+    table = LakeTable(lake.spark, lake.schema, "wider", f"{lake.root}/wider")
+    keys = [F.lit("20240601").alias("execution_date"), F.lit("1").alias("execution_cycle_id")]
+    table.register(lake.spark.range(1).schema)
+    table.land(lake.spark.range(3).select("id", *keys))
+    said = statements(monkeypatch, lake.spark)
+    wide = lake.spark.range(2).select("id", F.lit("x").alias("New Name"), F.lit(1.5).alias("amount"), *keys[:1], F.lit("2").alias("execution_cycle_id"))
+    assert table.register(wide.drop(*table.keys).schema) == "extended"
+    assert not [s for s in said if "DROP" in s or "MSCK" in s]
+    table.land(wide)
+    got = sorted((r["id"], r["New Name"], r["amount"], r["execution_cycle_id"]) for r in table.read().where("execution_cycle_id = '2'").collect())
+    assert got == [(0, "x", 1.5, "2"), (1, "x", 1.5, "2")]
+    assert table.read().where("amount IS NULL").count() == 3
+    assert table.register(lake.spark.range(1).selectExpr("'a' AS id").schema) == "recreated"

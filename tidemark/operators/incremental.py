@@ -64,8 +64,8 @@ def newest_rows(spark: SparkSession, table: str, keys: Sequence[str], mode: str
     """Rows at the greatest key values.
 
     ``independent`` takes the maximum of each key by itself, ``tuple`` the greatest
-    combination. Partition keys are looked up in the catalog, without opening a data
-    file, and prune the scan as constants; other columns use a scalar subquery.
+    combination. Partition keys are looked up without opening a data file, in the folder names of their own levels where
+    lower keys follow and else in the catalog, and prune the scan as constants; other columns use a scalar subquery.
     """
     if not keys:
         raise ValueError("no keys given")
@@ -74,12 +74,16 @@ def newest_rows(spark: SparkSession, table: str, keys: Sequence[str], mode: str
     groups = [list(keys)] if mode == "tuple" else [[k] for k in keys]
     if mode not in ("independent", "tuple"):
         raise ValueError(f"mode must be 'independent' or 'tuple', not {mode!r}")
+    depth = max((partitioned.index(k) + 1 for group in groups for k in group if k in partitioned), default=0)
     listing = None
     tests = []
     for group in groups:
         if all(k in partitioned for k in group):
             if listing is None:
-                listing = LakeTable(spark, *_split(spark, table), "", tuple(partitioned)).partitions()
+                lake = LakeTable(spark, *_split(spark, table), "", tuple(partitioned))
+                # The last level of keys is as long as there are files; above it folder names say enough.
+                listing = lake.leading(depth) if depth < len(partitioned) else None
+                listing = lake.partitions() if listing is None else listing
             tests.append(_newest(rows, listing, group))
         else:
             key = quoted(group[0]) if len(group) == 1 else F.struct(*[quoted(k) for k in group])

@@ -18,6 +18,8 @@ CYCLE_KEYS = ("execution_date", "execution_cycle_id")
 STAGING_KEYS = (*CYCLE_KEYS, "source_file_name")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 DDL_BATCH = 200
+#: Property of a table whose partitions are all in the folders of their names, as this module lays them out.
+IN_FOLDERS = "tidemark.partitions.in.folders"
 #: Values of a key that a scan takes as constants.
 CONSTANTS = 20_000
 
@@ -59,7 +61,7 @@ class LakeTable:
     # -- registration ---------------------------------------------------------
 
     def register(self, schema: T.StructType) -> str:
-        """Create the table, or recreate it when the columns changed: latest schema wins.
+        """Create the table, extend it by columns that came in at the end, or recreate it when others changed: latest schema wins.
 
         Names, types and their order all count. Files stay where they are; older
         partitions are read by the new columns afterwards, NULL where they have none.
@@ -77,6 +79,12 @@ class LakeTable:
             if now == new:
                 self._overwrite_dynamically()
                 return "unchanged"
+            if now == new[: len(now)]:
+                # Columns came in at the end: partitions stay registered, and no folder is looked at.
+                added = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields[len(now) :]]
+                self._overwrite_dynamically()
+                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(added)})")
+                return "extended"
             self.spark.sql(f"DROP TABLE {self.name}")
             created = "recreated"
         columns = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
@@ -86,7 +94,8 @@ class LakeTable:
             f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}) USING parquet "
             # On the table, not the session: overlapping jobs must not change it for each other.
             f"OPTIONS (partitionOverwriteMode 'dynamic') "
-            f"PARTITIONED BY ({', '.join(_name(k) for k in self.keys)}) LOCATION {_literal(self.location)}"
+            f"PARTITIONED BY ({', '.join(_name(k) for k in self.keys)}) LOCATION {_literal(self.location)} "
+            f"TBLPROPERTIES ('{IN_FOLDERS}' = 'true')"
         )
         if storage.exists(self.spark, self.location):
             self.repair()
@@ -186,13 +195,28 @@ class LakeTable:
         fixed = ", ".join(f"{_name(k)}={_literal(v)}" for k, v in (within or {}).items())
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name}" + (f" PARTITION ({fixed})" if fixed else ""))
         parts = F.split("partition", "/")
+        return listed.select("partition", *[self._value(parts[i]).alias(k) for i, k in enumerate(self.keys)])
 
-        def value(i: int) -> Column:
-            text = F.regexp_replace(parts[i], "^[^=]*=", "")
-            decoded = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
-            return F.when(text != NO_VALUE, F.when(text.contains("%"), decoded).otherwise(text))
+    def leading(self, depth: int) -> DataFrame | None:
+        """Values of the first ``depth`` keys, from the folders' names: one listing per level, and none of what is below.
 
-        return listed.select("partition", *[value(i).alias(k) for i, k in enumerate(self.keys)])
+        They may have folders that are not registered. None for a table that others laid out, whose partitions may be anywhere.
+        """
+        properties = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        if properties.get(IN_FOLDERS) != "true":
+            return None
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'").first()
+        folders = storage.matching(self.spark, described["data_type"], [f"{k}=*" for k in self.keys[:depth]])
+        rows = [tuple(f.split("/")[-depth:]) for f in folders]
+        found = self.spark.createDataFrame(rows, T.StructType([T.StructField(k, T.StringType()) for k in self.keys[:depth]]))
+        return found.select(*[self._value(F.col(k)).alias(k) for k in self.keys[:depth]])
+
+    @staticmethod
+    def _value(folder: Column) -> Column:
+        """The key's value in a partition folder's name."""
+        text = F.regexp_replace(folder, "^[^=]*=", "")
+        decoded = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(text != NO_VALUE, F.when(text.contains("%"), decoded).otherwise(text))
 
     def detach(self, which: Column | None = None) -> list[str]:
         """Take partitions out of the catalog; their files stay. Returns their folders."""

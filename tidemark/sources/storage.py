@@ -39,6 +39,15 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().toString() for s in _file_system(spark, folder).listStatus(_path(spark, folder)))
 
 
+def matching(spark: SparkSession, folder: str, levels: Sequence[str]) -> list[str]:
+    """Folders below a folder whose names match one pattern per level. One call, and one listing per folder above the last level."""
+    base = _path(spark, folder)
+    names = "/".join(levels)
+    found = _file_system(spark, folder).globStatus(spark._jvm.org.apache.hadoop.fs.Path(base, names))
+    told = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(found)
+    return sorted(re.findall(r"\bpath=(.*?); isDirectory=true", told, re.DOTALL))
+
+
 def leaf_files(spark: SparkSession, folder: str) -> list[str]:
     """All files below a folder, hidden ones left out as Spark's readers leave them out.
 

@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
+from pyarrow import parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,6 +181,36 @@ def header_paths(
     return [r["paths"] for r in heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()]
 
 
+# -- Parquet footers --------------------------------------------------------------
+
+
+def parquet_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str | None, list[str]]]:
+    """Files that share a footer schema: ``(newest file with rows or None, paths)``, one row per schema, in one job.
+
+    Tasks read footers only.
+    """
+    s3 = settings(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                system, place = opened(path, s3)
+                with system.open_input_file(place) as file:
+                    footer = parquet.read_metadata(file)
+                # Without the object's address and the root's name.
+                fields = str(footer.schema).split("\n", 2)[2]
+                found.append((path, path.rsplit("/", 1)[-1], footer.num_rows > 0, fields))
+            if found:
+                yield _frame(list(zip(*found)), ["path", "name", "filled", "fields"], [pa.string(), pa.string(), pa.bool_(), pa.string()])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    footers = listed.mapInArrow(run, "path string, name string, filled boolean, fields string")
+    newest = F.max(F.when(F.col("filled"), F.struct("name", "path")))["path"]
+    groups = footers.groupBy("fields").agg(newest.alias("newest"), F.sort_array(F.collect_list("path")).alias("paths"))
+    return [(r["newest"], r["paths"]) for r in groups.collect()]
+
+
 # -- copies ---------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from dataclasses import replace
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -17,6 +18,7 @@ from tidemark.functions.names import lowercase_names, standardize_names
 from tidemark.operators.shape import cast_declared, gather, scrub_null_token
 from tidemark.operators.shape import dedup_within_file as drop_repeated
 from tidemark.plans.ingest import ingest, landed, staging_table
+from tidemark.plans.ingest import pending_files as files_to_do
 from tidemark.sources import delimited, listing, storage, structured, workbook
 from tidemark.sources.delimited import LOCATION
 from tidemark.workloads.bench import CYCLE, DATE, TIME, Bench, query
@@ -189,6 +191,46 @@ def parquet_ingest(bench: Bench) -> DataFrame:
     return landed(staging_table(bench.spark, spec), bench.run).drop(LOCATION, "source_file_name")
 
 
+@query(
+    """SELECT s_suppkey, s_name, CASE WHEN s_nationkey < 10 THEN CAST(s_nationkey AS VARCHAR) ELSE 'nation ' || s_nationkey END AS s_nationkey,
+              CASE WHEN s_nationkey < 10 THEN NULL ELSE s_acctbal END AS s_acctbal FROM supplier"""
+)
+def parquet_changed_types(bench: Bench) -> DataFrame:
+    """An older delivery with numbers where the newer one has text, and without one of its columns."""
+    rows = bench.read("supplier")
+    nation = F.col("s_nationkey")
+    older = rows.where(nation < 10).select(F.col("s_suppkey").cast("int"), "s_name", "s_nationkey")
+    newer = rows.where(nation >= 10).select("s_suppkey", "s_name", F.concat(F.lit("nation "), nation).alias("s_nationkey"), "s_acctbal")
+    for name, part in (("1_older", older), ("2_newer", newer)):
+        made = f"{bench.root}/made/{name}"
+        part.write.parquet(made)
+        files = [p for p in storage.leaf_files(bench.spark, made) if p.endswith(".parquet")]
+        storage.move(bench.spark, [(p, f"{bench.root}/src/{name}_{n}.parquet") for n, p in enumerate(files)])
+    spec = bench.spec(file_type="parquet", mask="*.parquet", options={})
+    ingest(bench.spark, spec, bench.run, bench.ledgers)
+    return staging_table(bench.spark, spec).read().select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
+@query(
+    """SELECT CASE WHEN o_orderstatus = 'F' THEN 'loaded' ELSE 'pending' END AS state, o_orderkey FROM orders"""
+)
+def pending_real_folders(bench: Bench) -> DataFrame:
+    """Folders of source files, one of them loaded, and files without bytes among them: what is pending has all the other rows."""
+    rows = bench.orders()
+    spec = bench.spec(source_prefixes=[f"{bench.root}/src/split=F", f"{bench.root}/src/split=O", f"{bench.root}/src/split=P"])
+    bench.export(rows, "o_orderstatus", header=True)
+    for status in "FOP":
+        storage.write_text(bench.spark, f"{bench.root}/src/split={status}/empty.csv", "")
+    ingest(bench.spark, replace(spec, source_prefixes=f"{bench.root}/src/split=F"), bench.run, bench.ledgers)
+    todo = files_to_do(bench.spark, spec, bench.run, bench.ledgers.file_log)
+    paths = listing.checked_paths(todo)
+    assert sum(p.endswith("/empty.csv") for p in paths) == 2
+    waiting = delimited.read_header_strings(bench.spark, paths)
+    loaded = staging_table(bench.spark, spec).read()
+    states = [rows.select(F.lit(state).alias("state"), F.col("o_orderkey").cast("long")) for state, rows in (("loaded", loaded), ("pending", waiting))]
+    return states[0].unionByName(states[1])
+
+
 def _workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One workbook per batch of rows, with the least a workbook needs. Data starts at B3."""
     names = ["C CustKey", "C Name", "C Acctbal", "Owing", "Note"]
