@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.names import lowercase_names, standardize_names
 from tidemark.operators.schema import decimal_type, flat_schema, json_schema
-from tidemark.operators.shape import cast_declared, dedup_within_file, flatten, scrub_null_token
+from tidemark.operators.shape import cast_declared, dedup_within_file, flatten, flatten_apart, scrub_null_token
 
 
 def test_flat_schema_types():
@@ -125,3 +125,23 @@ def test_decimal_in_flat_file_round_trip(spark, tmp_path):
     row = read_declared(spark, [str(tmp_path / "a.csv")], doc, header=False).first()
     assert (row.a, row.b) == (1, Decimal("2.500"))
     assert isinstance(flat_schema(doc)["B"].dataType, T.DecimalType)
+
+
+def test_arrays_apart(spark):
+    """Each element has a row of its own; NULL and empty arrays keep the document's row."""
+    docs = spark.sql(
+        """SELECT * FROM VALUES
+             (1, array(10, 11), array(named_struct('k', 'a', 'deep', array(1, 2)), named_struct('k', 'b', 'deep', array()))),
+             (2, array(), NULL),
+             (3, array(NULL), array()) AS t(id, xs, ys)"""
+    )
+    got = flatten_apart(docs)
+    assert got.columns == ["id", "xs", "ys_k", "ys_deep"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        [(1, 10, None, None), (1, 11, None, None), (1, None, "a", 1), (1, None, "a", 2), (1, None, "b", None), (2, None, None, None), (3, None, None, None)],
+        key=repr,
+    )
+    one = spark.sql("SELECT 1 AS id, array(1, 2) AS xs")
+    assert sorted(map(tuple, flatten_apart(one).collect())) == sorted(map(tuple, flatten(one).collect()))
+    flat = spark.sql("SELECT 1 AS id, 'x' AS name")
+    assert flatten_apart(flat).columns == ["id", "name"]

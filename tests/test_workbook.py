@@ -1,9 +1,13 @@
 import io
+import os
+import uuid
 import zipfile
 
 import pytest
 
+from tidemark.operators import quality
 from tidemark.plans.ingest import ingest, staging_table
+from tidemark.sources import workbook as workbook_source
 from tidemark.sources.workbook import cell_position, sheet_rows
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -140,3 +144,22 @@ def test_date_cells_formats_and_date_systems(lake):
         for name in ("a.xlsx", "b.xlsx")
         for who, born in (("bad", "None"), ("cell", "2024-01-01"), ("text", "2024-02-01"))
     ]
+
+
+@pytest.mark.parametrize("gated", [False, True])
+def test_a_run_parses_each_workbook_twice(lake, tmp_path, monkeypatch, gated):
+    """Once for the types and once for the rows, whatever the run counts, checks and writes afterwards."""
+    put(lake, "a.xlsx", workbook(ROWS))
+    put(lake, "b.xlsx", workbook(ROWS))
+    marks, plain = str(tmp_path / "marks"), workbook_source.sheet_rows
+    os.makedirs(marks)
+
+    def counted(content, sheet, start):
+        open(os.path.join(marks, uuid.uuid4().hex), "w").close()
+        return plain(content, sheet, start)
+
+    monkeypatch.setattr(workbook_source, "sheet_rows", counted)
+    spec = lake.spec(file_type="excel", options={}, sheet="Data", start_cell="B3", mask="*.xlsx")
+    rules = [quality.not_null("q", "score", message="score")] if gated else []
+    assert ingest(lake.spark, spec, lake.run(), lake.ledgers, rules=rules).record_count == 4
+    assert len(os.listdir(marks)) == 4

@@ -53,6 +53,54 @@ def flatten(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.toDF(*renamed)
 
 
+def flatten_apart(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Expand structs to ``parent_child`` columns and arrays to rows, each array by itself.
+
+    Where :func:`flatten` gives the product of arrays that stand side by side, here every element has a row of its own with the columns
+    of its document, NULL in the columns of the other arrays: a document has as many rows as its arrays have elements
+    together, and one if it has none. One pass, whatever the number of arrays. Names are as in :func:`flatten`.
+    """
+    first = _first_nested(df)
+    while (field := _first_nested(df)) is not None:
+        structs = [f for f in df.schema.fields if isinstance(f.dataType, T.StructType)]
+        if structs:
+            nested = {f.name: f for f in structs}
+            columns = []
+            for f in df.schema.fields:
+                inner = nested[f.name].dataType.names if f.name in nested else None
+                columns += [quoted(f.name)] if inner is None else [quoted(f.name, c).alias(f"{f.name}_{c}") for c in inner]
+            df = df.select(*columns)
+            continue
+        arrays = [f for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+        if len(arrays) == 1:
+            df = df.withColumn(field.name, F.explode_outer(quoted(field.name)))
+            continue
+        elements = [f.dataType.elementType for f in arrays]
+
+        def alone(place: int):
+            """An element of one array as a struct that has a place for each of them."""
+            return lambda x: F.struct(
+                *[(x if i == place else F.lit(None).cast(kind)).alias(f"e{i}") for i, kind in enumerate(elements)]
+            )
+
+        every = F.concat(
+            *[F.coalesce(F.transform(quoted(f.name), alone(i)), F.array().cast(_places(elements))) for i, f in enumerate(arrays)]
+        )
+        at = {f.name: i for i, f in enumerate(arrays)}
+        df = df.withColumn("__element", F.explode_outer(every)).select(
+            *[F.col(f"__element.e{at[c]}").alias(c) if c in at else quoted(c) for c in df.columns]
+        )
+    if first is None:
+        return df
+    renamed = [c if c in keep else c.removeprefix(f"{first.name}_") for c in df.columns]
+    require_distinct(df.columns, renamed)
+    return df.toDF(*renamed)
+
+
+def _places(elements: Sequence[T.DataType]) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(f"e{i}", kind) for i, kind in enumerate(elements)]))
+
+
 def _first_nested(df: DataFrame) -> T.StructField | None:
     return next((f for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType))), None)
 

@@ -53,7 +53,7 @@ def read_files(spark: SparkSession, spec: IngestSpec, paths: Sequence[str]) -> D
             spark, paths, spec.sheet, spec.start_cell, spec.header, spec.schema_doc, spec.schema_mode
         )
     if spec.file_type == "json":
-        return structured.read_json(spark, paths, spec.options, spec.schema_doc)
+        return structured.read_json(spark, paths, spec.options, spec.schema_doc, spec.arrays)
     return structured.read_parquet(spark, paths, spec.options, spec.schema_mode)
 
 
@@ -258,9 +258,15 @@ def _replace_forced(table, run: RunContext, intent: intents.Intent) -> None:
     reprocess.clean_staged(table, run.execution_date, run.cycle_id, fresh, everything)
 
 
-def _plain_rows(spark, spec: IngestSpec, paths, *_) -> tuple[DataFrame | None, None, None]:
-    """All rows of the files; None when there is no row, so that no table is made or changed."""
+def _read_once(spark, spec: IngestSpec, paths, temp: TempTables) -> DataFrame | None:
+    """Rows of the files. Those of workbooks are stored: parsing one takes longer than reading its rows back, which happens several times."""
     rows = read_files(spark, spec, paths)
+    return temp.keep(rows, "sheet-rows") if spec.file_type == "excel" and rows is not None else rows
+
+
+def _plain_rows(spark, spec: IngestSpec, paths, run: RunContext, rules, temp: TempTables) -> tuple[DataFrame | None, None, None]:
+    """All rows of the files; None when there is no row, so that no table is made or changed."""
+    rows = _read_once(spark, spec, paths, temp)
     if rows is None or rows.isEmpty():
         return None, None, None
     return (gather(dedup_within_file(rows), LOCATION) if spec.drop_duplicates else rows), None, None
@@ -276,7 +282,7 @@ def _gated_rows(
     in between. Rows that come out of a shuffle are stored once and read twice instead.
     """
     wide = replace(spec, schema_mode="merge")
-    rows = read_files(spark, wide, paths)
+    rows = _read_once(spark, wide, paths, temp)
     if rows is None or rows.isEmpty():
         return None, None, None
 
@@ -301,7 +307,7 @@ def _gated_rows(
         return None, verdicts, log
     # Skipped files are not read again, unless their schema would have to be inferred again.
     fixed_schema = spec.schema_doc is not None or spec.file_type in ("csv", "txt", "parquet")
-    if not stored and fixed_schema:
+    if not stored and fixed_schema and spec.file_type != "excel":
         flagged = flag(read_files(spark, wide, kept))
     rows = quality.admitted(flagged, verdicts, LOCATION)
     if fixed_schema:

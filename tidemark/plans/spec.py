@@ -100,8 +100,12 @@ class IngestSpec:
     reprocess_doc: Mapping | None = None
     #: What tells files apart in the ledger, which holds both: ``path``, or ``name`` alone. It never follows from what is listed.
     file_identity: str = "path"
+    #: Rows of nested documents whose arrays stand side by side: their ``product``, or each array ``apart``.
+    arrays: str = "product"
 
     def __post_init__(self) -> None:
+        if self.arrays not in ("product", "apart"):
+            raise ValueError(f"arrays must be 'product' or 'apart', not {self.arrays!r}")
         if self.file_identity not in ("path", "name"):
             raise ValueError(f"file_identity must be 'path' or 'name', not {self.file_identity!r}")
 
@@ -164,6 +168,7 @@ class IngestSpec:
             schema_mode=doc.get("schema_mode") or "latest",
             reprocess_doc=_reprocess_document(doc, load_document),
             file_identity=doc.get("file_identity") or "path",
+            arrays=doc.get("arrays") or "product",
         )
 
     @classmethod

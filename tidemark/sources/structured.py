@@ -11,23 +11,31 @@ from pyspark.sql import types as T
 
 from tidemark.functions.names import standardize_names
 from tidemark.operators.schema import json_schema
-from tidemark.operators.shape import flatten
+from tidemark.operators.shape import flatten, flatten_apart
 from tidemark.sources import storage, tasks
 from tidemark.sources.delimited import LOCATION, with_location
 
 
+#: Ways to make rows of nested arrays, by the words of a spec.
+FLATTENERS = {"product": flatten, "apart": flatten_apart}
+
+
 def read_json(
     spark: SparkSession,
     paths: Sequence[str],
     options: Mapping[str, str] | None = None,
     schema_doc: Mapping | Sequence | None = None,
+    arrays: str = "product",
 ) -> DataFrame:
-    """Nested documents as flat rows. Without a declared schema Spark infers one."""
+    """Nested documents as flat rows. Without a declared schema Spark infers one.
+
+    ``arrays``: ``product`` gives a row for each combination of elements of arrays that stand side by side, ``apart`` one for each element.
+    """
     reader = spark.read.options(**(options or {}))
     if schema_doc is not None:
         reader = reader.schema(json_schema(schema_doc))
     located = with_location(reader.json([storage.literal_path(p) for p in paths]))
-    return standardize_names(flatten(standardize_names(located), keep=(LOCATION,)))
+    return standardize_names(FLATTENERS[arrays](standardize_names(located), keep=(LOCATION,)))
 
 
 def read_parquet(
