@@ -280,7 +280,7 @@ def _hashes(text):
     from tidemark.llm.factors import words_of
 
     data = text.encode()
-    return words_of(Chunk(np.array([0]), np.array([len(data)]), data, np.array([0]))).symbols
+    return words_of(Chunk(np.array([0]), np.array([len(data)]), data, np.array([0]), np.array([True]))).symbols
 
 
 def test_language_model_beats_base_on_held_out_text(spark):

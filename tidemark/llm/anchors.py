@@ -44,6 +44,7 @@ CHUNK_BYTES = 2_000_000
 PIECE = 1 << 20
 #: Different runs of one gram in a chunk from which the gram is crowded.
 CROWDED = 16
+#: Where rows without an id stand in the order: last.
 NO_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
@@ -100,20 +101,21 @@ def unpack(block: bytes) -> list[np.ndarray]:
 
 @dataclass
 class Chunk:
-    """Some documents: ids (``NO_ID`` for null), sorted, ties as in the table; their bytes, one after another; row numbers."""
+    """Some documents: ids, sorted, null ones (``known`` is false) last, ties as in the table; their bytes, one after another; row numbers."""
 
     ids: np.ndarray
     ends: np.ndarray
     data: bytes
     rows: np.ndarray
+    known: np.ndarray
 
     def pack(self) -> bytes:
-        return pack(self.ids, self.ends, np.frombuffer(self.data, np.uint8), self.rows)
+        return pack(self.ids, self.ends, np.frombuffer(self.data, np.uint8), self.rows, self.known)
 
     @staticmethod
     def unpack(block: bytes) -> Chunk:
-        ids, ends, data, rows = unpack(block)
-        return Chunk(ids, ends, data.tobytes(), rows)
+        ids, ends, data, rows, known = unpack(block)
+        return Chunk(ids, ends, data.tobytes(), rows, known)
 
     @property
     def starts(self) -> np.ndarray:
@@ -131,9 +133,10 @@ def chunked(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Itera
 
     def close() -> tuple[int, Chunk]:
         keys = np.array([NO_ID if i is None else i for i in ids], np.int64)
-        order = np.argsort(keys, kind="stable")
+        known = np.array([i is not None for i in ids], bool)
+        order = np.lexsort((~known, keys))
         ends = np.cumsum([len(texts[i]) for i in order], dtype=np.int64)
-        return first + made, Chunk(keys[order], ends, b"".join([texts[i] for i in order]), np.array(rows, np.int64)[order])
+        return first + made, Chunk(keys[order], ends, b"".join([texts[i] for i in order]), np.array(rows, np.int64)[order], known[order])
 
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

@@ -14,6 +14,9 @@ Everything is built-in functions. Defined results:
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +31,7 @@ LOSS_ROLE = "assistant"
 _TURNS = "array<struct<role:string,text:string>>"
 
 #: Field paths of each known layout, and the expression that turns a record into canonical turns.
-#: In JSON records the expression reads the variant ``r``; in typed rows it reads the columns.
-ROW_LAYOUT = ("conv_id", "role", "text", "turn")
+#: In JSON records the expression reads the variant ``r``.
 LAYOUTS: dict[str, tuple[tuple[str, ...], str]] = {
     "messages": (
         ("messages[].content", "messages[].role"),
@@ -61,6 +63,46 @@ LAYOUTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+#: The same for tables with a row per turn: field paths, and the expressions of conv_id, turn, role and text.
+ROW_LAYOUTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "text": (("conv_id", "role", "text", "turn"), ("conv_id", "turn", "role", "text")),
+    "content": (("content", "conv_id", "role", "turn"), ("conv_id", "turn", "role", "content AS text")),
+    "value": (
+        ("conv_id", "from", "turn", "value"),
+        (
+            "conv_id",
+            "turn",
+            "CASE `from` WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE `from` END AS role",
+            "value AS text",
+        ),
+    ),
+    "message": (
+        ("conv_id", "message.content", "message.role", "turn"),
+        ("conv_id", "turn", "message.role AS role", "message.content AS text"),
+    ),
+}
+
+
+def fingerprint(paths: Iterable[str]) -> str:
+    """The hash of field paths that a mapping is looked up by; ``_hash`` is the same for paths in a column."""
+    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
+
+
+def row_mapping(schema: T.StructType) -> tuple[str, ...]:
+    """Expressions of conv_id, turn, role and text for a table with a row per turn.
+
+    For each set of field paths that mappings name, the paths which the table has of it are hashed and looked up. A table with the
+    paths of several layouts takes the first of them; other columns do not matter. No layout at all is an error.
+    """
+    present = paths_of(schema)
+    known = {fingerprint(paths): mapping for paths, mapping in ROW_LAYOUTS.values()}
+    for paths, _ in ROW_LAYOUTS.values():
+        mapping = known.get(fingerprint(p for p in present if p in paths))
+        if mapping is not None:
+            return mapping
+    raise ValueError(f"no mapping for {present}")
+
+
 def paths_of(schema: T.DataType, at: str = "") -> list[str]:
     """Nested field paths of a type, sorted; arrays are written ``[]``."""
     if isinstance(schema, T.StructType):
@@ -147,14 +189,13 @@ def _turn_texts(role: Column, text: Column) -> tuple[Column, Column, Column]:
 def format_rows(rows: DataFrame) -> DataFrame:
     """One formatted text per conversation of a table with a row per turn.
 
-    The layout is checked by fingerprint against (conv_id, role, text, turn); columns beside
-    those are left out first. Returns conv_id, formatted, loss: one entry per turn, the (start,
+    The fingerprint of the table's field paths selects the mapping (``row_mapping``). Returns conv_id, formatted, loss: one entry per turn, the (start,
     length) in characters of the learnt text within that turn, null for turns not learnt.
     """
-    used = rows.select(*ROW_LAYOUT)
-    if paths_of(used.schema) != list(ROW_LAYOUT):
-        raise ValueError(f"no mapping for {paths_of(used.schema)}")
-    turn = F.struct(F.col("turn").isNull().alias("last"), "turn", "role", "text")
+    used = rows.selectExpr(*row_mapping(rows.schema))
+    # What counts as empty is empty before rows are put in order.
+    role, text = (F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text"))
+    turn = F.struct(F.col("turn").isNull().alias("last"), "turn", role, text)
     gathered = used.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     return format_turns(gathered, ["conv_id"])
 

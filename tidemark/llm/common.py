@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bytes_of(column: pa.Array) -> list[bytes | None]:
+    """Texts of an Arrow column as they are stored; a Spark string may hold any bytes, UTF-8 or not."""
+    return column.cast(pa.binary()).to_pylist()
+
+
+def raw(text: str | bytes | None) -> bytes:
+    """Bytes of a text, none for null."""
+    return text.encode() if isinstance(text, str) else text or b""
+
+
 class Sealed:
     """A table whose other columns are out of the way: those not in ``used`` get neutral names until ``open``."""
 

@@ -9,7 +9,8 @@ Where a factor ends, the phrase across the boundary is looked up anew and may st
 source. Every factor has at least ``LENGTH`` words, and what factors cover are the duplicate spans.
 
 Defined results: a null text has no words; texts of fewer than ``LENGTH`` words lose nothing; repeated rows are
-repeats of each other and lose the same words; an empty table gives an empty result; columns other than doc_id
+repeats of each other and lose the same words; bytes that are no UTF-8 are word bytes like any other; texts of any length
+are whole; ids may be any long; an empty table gives an empty result; columns other than doc_id
 and text are not read.
 """
 
@@ -20,14 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.anchors import NO_ID, PIECE, Chunk, Method, Sequence, Sums, mix, repeated
+from tidemark.llm.anchors import PIECE, Chunk, Method, Sequence, Sums, mix, repeated
 from tidemark.llm.common import table
 
 #: Fixed value: words of a window that counts as repeated.
 LENGTH = 35
 GRAM = 8
+#: Bytes from which a word is hashed by itself: sums modulo 2^64 are weak on long words with a pattern, not on short ones.
+LONG_WORD = 64
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -60,6 +64,8 @@ def words_of(chunk: Chunk) -> Words:
         low = begin[i]
         hashes[i:j] = Sums(data[low : stop[j - 1]]).hashes(begin[i:j] - low, stop[i:j] - low)
         i = j
+    for i in np.flatnonzero(stop - begin >= LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(chunk.data[begin[i] : stop[i]])
     hashes = mix(hashes ^ (stop - begin).astype(np.uint64))
     starts = np.searchsorted(begin, chunk.starts)
     return Words(hashes, starts, np.append(starts[1:], len(begin)), begin, stop)
@@ -129,16 +135,19 @@ class Phrases(Method):
         steps[repeats + self.length] -= 1
         gone = np.cumsum(steps[:-1]) > 0
         rows = []
-        for r, i, start, end, low, high in zip(chunk.rows, chunk.ids, seq.starts, seq.ends, chunk.starts, chunk.ends):
+        for r, i, known, start, end, low, high in zip(chunk.rows, chunk.ids, chunk.known, seq.starts, seq.ends, chunk.starts, chunk.ends):
             words = chunk.data[low:high].split()
             removed = int(gone[start:end].sum())
             if removed:
                 words = [w for w, g in zip(words, gone[start:end]) if not g]
             kept = b" ".join(words)
-            row = [r, None if i == NO_ID else i, end - start, removed, hashlib.sha256(kept).hexdigest()]
-            rows.append([*row, kept.decode()] if self.with_text else row)
+            row = [r, i if known else None, end - start, removed, hashlib.sha256(kept).hexdigest()]
+            rows.append([*row, kept.decode("utf-8", errors="ignore")] if self.with_text else row)
         names = ["_row", "doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * self.with_text
-        return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        made = pd.DataFrame(rows, columns=names)
+        # Through floating point, which a column with nulls would take, large ids would lose digits.
+        made["doc_id"] = pd.array([row[1] for row in rows], "Int64")
+        return made
 
 
 SCHEMA = "_row long, doc_id long, n_words long, n_removed long, kept_sha256 string"

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.anchors import NO_ID, Chunk, chunked, mix, pack, scanned, unpack
+from tidemark.llm.anchors import Chunk, chunked, mix, pack, scanned, unpack
 from tidemark.llm.common import partitions, stored, table
 from tidemark.llm.factors import words_of
 
@@ -183,7 +183,7 @@ class Grams:
     """Tokens of a chunk and its distinct words, bigrams and trigrams."""
 
     def __init__(self, chunk: Chunk):
-        words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower(), chunk.rows))
+        words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower(), chunk.rows, chunk.known))
         docs = len(chunk.ids)
         counts = words.ends - words.starts + 1
         self.ends = np.cumsum(counts)
@@ -193,7 +193,7 @@ class Grams:
         is_end = np.zeros(len(hashes), bool)
         is_end[last] = True
         hashes[is_end], hashes[~is_end] = _END, words.symbols
-        self.held = np.array([held_out(i) for i in chunk.ids], bool)
+        self.held = np.array([known and held_out(i) for i, known in zip(chunk.ids, chunk.known)], bool)
         train = np.repeat(~self.held, counts)
         word = hashes & _U(CLASSES - 1)
         before = np.empty_like(word)
@@ -220,7 +220,7 @@ class Grams:
 
 
 def held_out(doc_id: int) -> bool:
-    return doc_id != NO_ID and zlib.crc32(str(doc_id).encode()) % HELD_MODULUS == HELD_REMAINDER
+    return zlib.crc32(str(doc_id).encode()) % HELD_MODULUS == HELD_REMAINDER
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -325,7 +325,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         base = np.add.reduceat(np.log10(known + 1.0) - np.log10(train + distinct + 1.0), starts)
         return pd.DataFrame(
             {
-                "doc_id": pd.array([None if i == NO_ID else i for i in chunk.ids], "Int64"),
+                "doc_id": pd.array([i if known else None for i, known in zip(chunk.ids, chunk.known)], "Int64"),
                 "held_out": grams.held,
                 "n_tokens": grams.counts,
                 "n_known": np.add.reduceat((known > 0).astype(np.int64), starts),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import bytes_of, raw, stored, table
 
 #: Fixed values of the base rules: least words, most words in repeated windows (percent), words of a window.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
@@ -99,19 +99,19 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(steps[:-1]) > 0).sum())
 
 
-def measures(text: str | None) -> tuple[int, ...]:
-    """The values of ``MEASURES``."""
-    raw = (text or "").encode()
-    words = raw.split()
+def measures(text: str | bytes | None) -> tuple[int, ...]:
+    """The values of ``MEASURES``. In bytes that are no UTF-8 each part that cannot be read counts as one character."""
+    whole = raw(text)
+    words = whole.split()
     joined = b"".join(words)
-    lines = [line for line in raw.split(b"\n") if line.strip()]
+    lines = [line for line in whole.split(b"\n") if line.strip()]
 
     def of(some: bytes) -> int:
         return len(joined) - len(joined.translate(None, some))
 
     return (
         len(words),
-        len(joined.decode()),
+        len(joined.decode("utf-8", "replace")),
         of(SYMBOLS.encode()),
         len(lines) - len(set(lines)),
         repeated_words(words),
@@ -129,7 +129,7 @@ def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [measures(t) for t in batch.column(len(keep)).to_pylist()]
+            found = [measures(t) for t in bytes_of(batch.column(len(keep)))]
             columns = [batch.column(i) for i in range(len(keep))]
             values = [pa.array([m[i] for m in found], pa.int64()) for i in range(len(MEASURES))]
             yield pa.RecordBatch.from_arrays([*columns, *values], [*keep, *MEASURES])

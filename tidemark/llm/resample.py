@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import Sums, mix
-from tidemark.llm.common import Sealed, stored, table
+from tidemark.llm.common import Sealed, bytes_of, raw, stored, table
 
 BUCKETS = 1 << 18
 TOKENS = 200.0
@@ -43,9 +43,9 @@ _KIND = np.array(
 )
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str | bytes | None) -> np.ndarray:
     """Buckets of a text's unigrams and bigrams, with repeats."""
-    data = np.frombuffer((text or "").encode().lower(), np.uint8)
+    data = np.frombuffer(raw(text).lower(), np.uint8)
     if not len(data):
         return np.zeros(0, np.int64)
     kind = _KIND[data]
@@ -84,7 +84,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            for text, use in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for text, use in zip(bytes_of(part.column(0)), part.column(1).to_pylist()):
                 found = features(text)
                 np.add.at(raw, found, 1)
                 if use:
@@ -104,7 +104,7 @@ def weigh(docs: DataFrame, model: Model, name: str = "weight") -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                weights = pa.array([own.weight(t) for t in part.column(at).to_pylist()], pa.float64())
+                weights = pa.array([own.weight(t) for t in bytes_of(part.column(at))], pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, weights], [*fields, name])
 
     schema = docs.select("*", F.lit(0.0).alias(name)).schema

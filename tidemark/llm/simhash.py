@@ -13,14 +13,16 @@ a clique of near-copies costs as many rows as it has members.
 Documents with one fingerprint are one node. Components are by star contraction.
 
 With a similarity to reach, nodes are distinct shingle sets (by a 64-bit hash of the set) instead, fingerprints count each
-shingle once, and links are decided on the sets, those of nodes with one fingerprint too. Of the candidates of a task a forest is checked first. Nodes of candidates outside the forests are grouped again,
-and every candidate pair that checked links have not joined by then is checked too. So the classes are those of all
+shingle once, and links are decided on the sets, those of nodes with one fingerprint too. Of the candidates of a task a forest is checked first. Nodes of candidates outside the forests are grouped again, with bitmaps
+of their sets, which bound from above what two sets share: in the tasks they rule out pairs that cannot be that similar, and
+none that are. Every candidate pair that is left and that checked links have not joined by then is checked too. So the classes are those of all
 candidate pairs, however they fall into tasks. Set sizes go with the nodes: pairs whose sizes rule the similarity out are
 no candidates. A pair counts in the first group that it shares only.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; a
 null id never is a component's name unless all ids of the component are null; rows with one
-id or text stay rows of their own; columns not named here are not read.
+id or text stay rows of their own; texts are words of any bytes, so what is no UTF-8 is hashed as it stands; texts of any
+length are whole; columns not named here are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Sealed, numbered, partitions, stored, table
+from tidemark.llm.common import Sealed, bytes_of, numbered, partitions, raw, stored, table
 from tidemark.llm.components import components
 
 #: Fixed value: the seed of the shingle hash.
@@ -49,6 +51,9 @@ LINKS_HELD = 1_000_000
 WORDS_AT_ONCE = 200_000
 #: Rows of groups compared at once.
 ROWS_AT_ONCE = 100_000
+#: Bits of a shingle set's bitmap, and pairs of bitmaps compared at once.
+SKETCH = 4096
+PAIRS_AT_ONCE = 20_000
 
 
 def segments(bits: int) -> list[tuple[int, int]]:
@@ -58,9 +63,9 @@ def segments(bits: int) -> list[tuple[int, int]]:
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
+def fingerprint(text: str | bytes | None, shingle: int) -> int:
     """The fingerprint as a signed 64-bit number."""
-    words = (text or "").encode().lower().split()
+    words = raw(text).lower().split()
     n = max(len(words) - shingle + 1, 1 if words else 0)
     ones, digest = np.zeros(WIDTH, np.int64), xxhash.xxh64_intdigest
     for start in range(0, n, WORDS_AT_ONCE):
@@ -84,7 +89,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in batch.column(len(keep)).to_pylist()]
+            found = [fingerprint(t, shingle) for t in bytes_of(batch.column(len(keep)))]
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], [*keep, "fp"])
 
@@ -284,8 +289,19 @@ def keyed(distinct: DataFrame, bits: int, chain: int) -> DataFrame:
     return few.unionByName(many)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """A bitmap of a shingle set: bit h mod ``SKETCH`` for each hash h.
+
+    A bit that one set has and another has not stands for at least one shingle that the other set lacks, so two bitmaps bound
+    the shingles that two sets share from above.
+    """
+    bits = np.zeros(SKETCH, np.uint8)
+    bits[(shingles % np.uint64(SKETCH)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
 class Candidates:
-    """Pairs of nodes with fingerprints at most ``bits`` apart and sizes that allow the similarity."""
+    """Pairs of nodes with fingerprints at most ``bits`` apart, sizes that allow the similarity and, where there are any, sketches that do."""
 
     def __init__(self, bits: int, similarity: float, whole: bool):
         """``whole``: all pairs that no root joins yet; otherwise a forest, and each node of the other pairs with itself."""
@@ -293,7 +309,19 @@ class Candidates:
         self.ring = [np.uint64(((1 << w) - 1) << offset) for offset, w in segments(bits)]
         self.held, self.n, self.flagged = [], 0, [np.zeros(0, np.int64)]
 
-    def groups(self, seg, val, cut, size, fp, node, root) -> Iterator[pa.RecordBatch]:
+    def alike(self, left: np.ndarray, right: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+        """Whether the bitmaps leave room for the similarity; never false for a pair that has it."""
+        fit = np.ones(len(left), bool)
+        for at in range(0, len(left), PAIRS_AT_ONCE):
+            part = slice(at, at + PAIRS_AT_ONCE)
+            a, b = sketches[left[part]], sketches[right[part]]
+            mine, others = np.bitwise_count(a & ~b).sum(1, dtype=np.int64), np.bitwise_count(b & ~a).sum(1, dtype=np.int64)
+            n, m = size[left[part]], size[right[part]]
+            shared = np.minimum(n - mine, m - others)
+            fit[part] = shared >= self.similarity * (n + m - shared) - 1e-6
+        return fit
+
+    def groups(self, seg, val, cut, size, fp, node, root, sketches=None) -> Iterator[pa.RecordBatch]:
         """Whole groups, sorted by (seg, val, cut, size)."""
         new = np.ones(len(fp), bool)
         new[1:] = (seg[1:] != seg[:-1]) | (val[1:] != val[:-1]) | (cut[1:] != cut[:-1])
@@ -310,6 +338,9 @@ class Candidates:
             if self.whole:
                 open_ = root[left] != root[right]
                 left, right = left[open_], right[open_]
+            if sketches is not None and len(left):
+                fit = self.alike(left, right, size, sketches)
+                left, right = left[fit], right[fit]
             if len(left):
                 apart = fp[left] ^ fp[right]
                 here = self.first(apart, seg[left], cut[left])
@@ -355,7 +386,7 @@ class Candidates:
 
 
 def candidates(nodes: DataFrame, bits: int, chain: int, similarity: float, whole: bool) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (node, fp, size, root), as ``Candidates`` gives them."""
+    """Pairs (a, b) of ``nodes`` (node, fp, size, root and maybe sketch), as ``Candidates`` gives them."""
     if chain < 2:
         raise ValueError("candidates are grouped by two segments of the chain")
     n = partitions(nodes.sparkSession)
@@ -364,7 +395,9 @@ def candidates(nodes: DataFrame, bits: int, chain: int, similarity: float, whole
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, rest, waiting = Candidates(bits, similarity, whole), [], 0
         for batch in batches:
-            rest.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:7]]
+            bitmaps = [np.frombuffer(b"".join(c.to_pylist()), "<u8").reshape(-1, SKETCH // 64) for c in batch.columns[7:]]
+            rest.append(numbers + bitmaps)
             waiting += batch.num_rows
             if waiting < ROWS_AT_ONCE:
                 continue
@@ -380,7 +413,8 @@ def candidates(nodes: DataFrame, bits: int, chain: int, similarity: float, whole
             yield from found.groups(*(np.concatenate(c) for c in zip(*rest)))
         yield from found.out()
 
-    used = rows.select(F.col("seg").cast("long"), "val", F.col("cut").cast("long"), "size", "fp", "node", "root")
+    more = ["sketch"] if "sketch" in nodes.columns else []
+    used = rows.select(F.col("seg").cast("long"), "val", F.col("cut").cast("long"), "size", "fp", "node", "root", *more)
     return used.mapInArrow(run, "a long, b long")
 
 
@@ -389,9 +423,9 @@ def bits_for(similarity: float) -> int:
     return int(WIDTH * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+def shingle_set(text: str | bytes | None, shingle: int) -> np.ndarray:
     """Hashes of a text's distinct shingles, sorted."""
-    words = (text or "").encode().lower().split()
+    words = raw(text).lower().split()
     n = max(len(words) - shingle + 1, 1 if words else 0)
     found = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)), "<u8", n)
     return np.unique(found)
@@ -403,7 +437,7 @@ def set_nodes(docs: DataFrame, shingle: int, keep: tuple[str, ...]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for text in batch.column(len(keep)).to_pylist():
+            for text in bytes_of(batch.column(len(keep))):
                 own = shingle_set(text, shingle)
                 found.append((set_fingerprint(own), xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own)))
             numbers = np.array([(f, n - (1 << 64) if n >> 63 else n, size) for f, n, size in found], np.int64).reshape(-1, 3)
@@ -415,6 +449,20 @@ def set_nodes(docs: DataFrame, shingle: int, keep: tuple[str, ...]) -> DataFrame
     return used.mapInArrow(run, f"{fields}, fp long, node long, size long")
 
 
+def with_sketches(nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """``nodes`` (with _row, a row that has the node's set) and the bitmaps of their sets. Only these nodes' texts are read again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [sketch(shingle_set(t, shingle)).tobytes() for t in bytes_of(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["node", "sketch"])
+
+    texts = docs.join(nodes.select("node", "_row"), "_row").select("node", "text")
+    return nodes.join(texts.mapInArrow(run, "node long, sketch binary"), "node")
+
+
 def similar(edges: DataFrame, first: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The links whose sets have at least this Jaccard similarity.
 
@@ -427,7 +475,7 @@ def similar(edges: DataFrame, first: DataFrame, docs: DataFrame, shingle: int, s
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [shingle_set(t, shingle).tobytes() for t in part.column(1).to_pylist()]
+                found = [shingle_set(t, shingle).tobytes() for t in bytes_of(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
 
     known = stored(docs.join(texts, "_row").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "shingles")
@@ -474,7 +522,8 @@ def similar_classes(docs: DataFrame, shingle: int, bits: int, chain: int, simila
     roots = components(edges)
     again = found.filter("a = b").select(F.col("a").alias("node"))
     again = nodes.join(again, "node", "left_semi").join(roots, "node", "left")
-    again = stored(again.select("node", "fp", "size", F.coalesce("root", "node").alias("root")), "open-nodes")
+    again = stored(again.select("node", "fp", "size", F.coalesce("root", "node").alias("root"), "_row"), "open-nodes")
+    again = stored(with_sketches(again, texts, shingle).drop("_row"), "open-sketches")
     rest = stored(candidates(again, bits, chain, similarity, True).join(tried, ["a", "b"], "left_anti"), "open-links")
     roots = components(edges.unionByName(similar(rest, nodes, texts, shingle, similarity)))
     return marked.join(roots, "node", "left").select("doc_id", "_row", "node", F.coalesce("root", "node").alias("root"))

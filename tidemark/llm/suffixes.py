@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.anchors import NO_ID, PIECE, Chunk, Method, Sequence, Sums, repeated
+from tidemark.llm.anchors import PIECE, Chunk, Method, Sequence, Sums, repeated
 from tidemark.llm.common import table
 
 #: Fixed value: bytes of a string that counts as repeated.
@@ -108,15 +108,17 @@ class Bytes(Method):
         steps[repeats + self.length] -= 1
         gone = np.cumsum(steps[:-1]) > 0
         data, rows = seq.symbols, []
-        for r, i, start, end in zip(chunk.rows, chunk.ids, seq.starts, seq.ends):
+        for r, i, known, start, end in zip(chunk.rows, chunk.ids, chunk.known, seq.starts, seq.ends):
             cover = gone[start:end]
             kept = data[start:end][~cover].tobytes()
             spans = int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum()) if end > start else 0
-            row = [r, None if i == NO_ID else i, end - start, int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()]
+            row = [r, i if known else None, end - start, int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()]
             rows.append([*row, kept.decode("utf-8", errors="ignore")] if self.with_text else row)
         names = ["_row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * self.with_text
         made = pd.DataFrame(rows, columns=names)
-        return made.astype({"doc_id": "Int64"})
+        # Through floating point, which a column with nulls would take, large ids would lose digits.
+        made["doc_id"] = pd.array([row[1] for row in rows], "Int64")
+        return made
 
 
 SCHEMA = "_row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import numbered, table
+from tidemark.llm.common import bytes_of, numbered, raw, table
 
 #: Pieces a worker keeps before it starts its table anew.
 TABLE_ROWS = 300_000
@@ -138,7 +138,7 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables.get(shared.value)
         for batch in small(batches):
-            packed = [tables.encode(t or "") for t in batch.column(len(keep)).to_pylist()]
+            packed = [tables.encode(raw(t).decode("utf-8", "replace")) for t in bytes_of(batch.column(len(keep)))]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             columns = [batch.column(i) for i in range(len(keep))]
