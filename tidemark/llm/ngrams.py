@@ -1,26 +1,32 @@
-"""Scoring texts with a class-based trigram model in Elias-Fano tries.
+"""Scoring texts with a trigram model of words in Elias-Fano tries.
 
-A word's class is part of its hash. The model is
+Each order is interpolated with the one below it (Witten-Bell), so all orders are proper:
 
-    P(text) = product over tokens of P(class | two classes before) * P(word | class)
+* ``P(w)``: the count of the word plus one, over the tokens plus the distinct words plus one; all words that were not seen in training
+  are one word.
+* ``P(w | v)`` and ``P(w | u, v)``: with ``c`` the context's count and ``d`` its distinct successors, the gram's count over ``c + d``, plus
+  the lower order times ``d / (c + d)``. A context that was not seen leaves the lower order as it is. The first word of a
+  text has the beginning as its context, the second the beginning and the first.
 
-* ``P(word | class)``: add-one over the words of the class seen in training, one share for all others.
-* ``P(class | u, v)`` and ``P(class | v)``: the count plus ``PRIOR`` times the lower order, over the context's
-  count plus ``PRIOR``; the lowest order is add-one over the classes. So all orders are proper.
+A word is its 64-bit hash. Words seen in training are numbered by shard and falling count, so that frequent ones have small numbers; the
+numbers are joined back per chunk of documents, as are all answers. Counts cover all training documents:
 
-Counts cover all training documents. Documents are cut into chunks; each chunk sends its distinct n-grams with
-their training counts to shards, by context. A shard adds up the counts, builds the trie of its contexts, looks up the
-n-grams of every chunk in it and answers with one probability and one back-off weight each, quantised to
-a byte. Chunks turn answers into scores. What a shard gets of one n-gram is one entry per chunk, however
-often it occurs, and a trie holds distinct n-grams only.
+1. Each chunk is cut into tokens once; its distinct words go to shards, with counts, and its tokens are stored as places in its own list of words.
+2. A shard of words adds up the counts and answers with count and number of each word.
+3. Chunks turn places into numbers and send their distinct bigrams and trigrams to shards, by context.
+4. A shard of grams builds the trie of its contexts and looks each distinct gram up, once for all chunks.
+5. Chunks turn answers into scores.
 
-A trie level is an Elias-Fano sequence: monotone contexts, monotone pointers to where the context's successors
-begin, and the successors, each relative to its context's number so that they are monotone as well. Levels lie
+What a shard gets of one gram is one entry per chunk, however often it occurs. The number of shards grows with the bytes of the texts.
+
+A trie level is an Elias-Fano sequence: monotone contexts, monotone pointers to where the context's successors begin, and the successors,
+each relative to its context's number so that they are monotone as well. A look-up finds the context, reads its two pointers and halves
+the range of successors between them. Values are smoothed probabilities and back-off weights, quantised to a byte. Levels lie
 in one file that the task maps into memory and unlinks at once.
 
 Defined results: a null or empty text is the end token alone; a null id trains; repeated rows count as often as they
 occur; without training documents every probability is that of an empty model; an empty table gives an empty result;
-columns other than doc_id and text are not read.
+columns other than doc_id and text are not read; more than 2^32 distinct training words are an error.
 """
 
 from __future__ import annotations
@@ -40,12 +46,10 @@ from tidemark.llm.common import partitions, stored, table
 from tidemark.llm.factors import words_of
 
 CHUNK = 8_000_000
-CLASS_BITS = 14
-CLASSES = 1 << CLASS_BITS
-#: The class before the first word.
-BEFORE = CLASSES
-FIELD = CLASS_BITS + 1
-PRIOR = 100.0
+#: Bytes of text to a shard.
+SHARD_BYTES = 64_000_000
+#: Numbers that are not words: not seen in training, and the beginning of a text.
+UNKNOWN, BEFORE, WORDS_FROM = 0, 1, 2
 #: Step of the quantised logarithms, in powers of ten; code 255 stands for zero.
 STEP = 0.025
 #: Every seventh remainder is held out.
@@ -65,6 +69,7 @@ class EliasFano:
         self.high = words[3 + size :]
         ones = np.bitwise_count(self.high).astype(np.int64)
         self.zeros_before = np.concatenate([[0], np.cumsum(64 - ones)])
+        self.ones_before = np.concatenate([[0], np.cumsum(ones)])
 
     @staticmethod
     def make(values: np.ndarray) -> np.ndarray:
@@ -86,9 +91,12 @@ class EliasFano:
 
     def _select0(self, k: np.ndarray) -> np.ndarray:
         """Place of the k-th zero of the high bits, from 0."""
-        word = np.searchsorted(self.zeros_before, k, "right") - 1
-        rest = k - self.zeros_before[word]
-        bits, at = ~self.high[word], np.zeros(len(k), np.int64)
+        return self._select(k, self.zeros_before, ~self.high)
+
+    def _select(self, k: np.ndarray, before: np.ndarray, words: np.ndarray) -> np.ndarray:
+        word = np.searchsorted(before, k, "right") - 1
+        rest = k - before[word]
+        bits, at = words[word], np.zeros(len(k), np.int64)
         for width in (32, 16, 8, 4, 2, 1):
             half = np.bitwise_count(bits & _U((1 << width) - 1)).astype(np.int64)
             up = rest >= half
@@ -97,6 +105,11 @@ class EliasFano:
             bits = np.where(up, bits >> _U(width), bits)
         return word * 64 + at
 
+    def at(self, i: np.ndarray) -> np.ndarray:
+        """The i-th value."""
+        high = self._select(i, self.ones_before, self.high) - i
+        return (high.astype(np.uint64) << _U(self.low_bits)) | self._low(i)
+
     def _low(self, i: np.ndarray) -> np.ndarray:
         bit = i * self.low_bits
         word = np.lib.stride_tricks.as_strided(self.low[: 8].view(np.uint64), (len(self.low) - 7,), (1,))[bit >> 3]
@@ -145,199 +158,277 @@ _VALUES = np.append(10.0 ** (-STEP * np.arange(255)), 0.0)
 
 
 class Trie:
-    """Contexts and their successors with quantised values; built from distinct (context, word) counts."""
+    """Contexts and their successors with quantised values; built from distinct (context, word) counts in order."""
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray):
+    def __init__(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, words: int):
+        """``words`` is above every word."""
+        self.words = _U(words)
         new = np.ones(len(context), bool)
         new[1:] = context[1:] != context[:-1]
         first = np.flatnonzero(new)
         number = np.cumsum(new) - 1
         total = np.bincount(number, count, len(first)) if len(first) else np.zeros(0)
-        successors = (number.astype(np.uint64) << _U(FIELD)) | word
-        value = codes(count / (total[number] + PRIOR)) if len(first) else np.zeros(0, np.uint8)
-        weight = codes(PRIOR / (total + PRIOR))
         pointers = np.append(first, len(context)).astype(np.uint64)
+        distinct = np.diff(pointers.astype(np.int64))
+        successors = number.astype(np.uint64) * self.words + word
+        value = codes(count / (total + distinct)[number]) if len(first) else np.zeros(0, np.uint8)
+        weight = codes(distinct / (total + distinct))
         levels = [EliasFano.make(context[first]), EliasFano.make(pointers), EliasFano.make(successors)]
         levels += [np.pad(x, (0, -len(x) % 8)).view(np.uint64) for x in (value, weight)]
         ends = np.cumsum([len(x) for x in levels])
         with tempfile.TemporaryFile() as file:
             file.write(np.concatenate(levels).tobytes())
             file.flush()
-            mapped = np.memmap(file, np.uint64, "r") if ends[-1] else np.zeros(0, np.uint64)
+            mapped = np.memmap(file, np.uint64, "r")
         a, b, c, d = ends[:4]
         self.contexts, self.pointers, self.successors = EliasFano(mapped[:a]), EliasFano(mapped[a:b]), EliasFano(mapped[b:c])
         self.value, self.weight = mapped[c:d].view(np.uint8), mapped[d:].view(np.uint8)
 
-    def lookup(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the probability and of the weight of the lower order."""
+    def lookup(self, context: np.ndarray, gram: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the probability and of the weight of the lower order; gram i is ``word[i]`` after ``context[gram[i]]``."""
         value, weight = np.full(len(word), 255, np.uint8), np.zeros(len(word), np.uint8)
-        at, known = self.contexts.successor(context)
-        number = at[known]
-        weight[known] = self.weight[number]
-        place, hit = self.successors.successor((number.astype(np.uint64) << _U(FIELD)) | word[known])
-        value[np.flatnonzero(known)[hit]] = self.value[place[hit]]
+        number, seen = self.contexts.successor(context)
+        known = np.flatnonzero(seen[gram])
+        if not len(known):
+            return value, weight
+        start, stop = np.zeros(len(context), np.int64), np.zeros(len(context), np.int64)
+        start[seen] = self.pointers.at(number[seen]).astype(np.int64)
+        stop[seen] = self.pointers.at(number[seen] + 1).astype(np.int64)
+        weight[known] = self.weight[number[gram[known]]]
+        target = number[gram[known]].astype(np.uint64) * self.words + word[known]
+        low, high, end = start[gram[known]], stop[gram[known]], stop[gram[known]]
+        on = np.arange(len(known))
+        while len(on):
+            middle = (low[on] + high[on]) >> 1
+            below = self.successors.at(middle) < target[on]
+            low[on[below]] = middle[below] + 1
+            high[on[~below]] = middle[~below]
+            on = on[low[on] < high[on]]
+        inside = np.flatnonzero(low < end)
+        hit = inside[self.successors.at(low[inside]) == target[inside]]
+        value[known[hit]] = self.value[low[hit]]
         return value, weight
 
 
-class Grams:
-    """Tokens of a chunk and its distinct words, bigrams and trigrams."""
+class Tokens:
+    """A chunk's documents: their tokens as places in the chunk's distinct words, which stand in order of shard and hash."""
 
-    def __init__(self, chunk: Chunk):
+    def __init__(self, chunk: Chunk, shards: int):
         words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower(), chunk.rows, chunk.known))
-        docs = len(chunk.ids)
-        counts = words.ends - words.starts + 1
-        self.ends = np.cumsum(counts)
-        self.counts = counts
-        last = self.ends - 1
-        hashes = np.empty(int(counts.sum()), np.uint64)
+        self.ids, self.known = chunk.ids, chunk.known
+        self.counts = words.ends - words.starts + 1
+        hashes = np.empty(int(self.counts.sum()), np.uint64)
         is_end = np.zeros(len(hashes), bool)
-        is_end[last] = True
+        is_end[np.cumsum(self.counts) - 1] = True
         hashes[is_end], hashes[~is_end] = _END, words.symbols
         self.held = np.array([known and held_out(i) for i, known in zip(chunk.ids, chunk.known)], bool)
-        train = np.repeat(~self.held, counts)
-        word = hashes & _U(CLASSES - 1)
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        before[self.ends - counts] = BEFORE
-        older = np.empty_like(word)
-        older[1:] = before[:-1]
-        older[self.ends - counts] = BEFORE
-        del words
-        keys = [hashes, (before << _U(FIELD)) | word, (before << _U(2 * FIELD)) | (older << _U(FIELD)) | word]
-        self.keys, self.place, self.count = [], [], []
-        for key in keys:
-            own, place = np.unique(key, return_inverse=True)
-            self.keys.append(own)
-            self.place.append(place.astype(np.int32))
-            self.count.append(np.bincount(place, train, len(own)).astype(np.int64))
-        self.word, self.docs = word, docs
-
-    def shards(self, order: int, shards: int) -> np.ndarray:
-        """Words go by class, n-grams by context."""
-        key = self.keys[order]
-        route = key & _U(CLASSES - 1) if order == 0 else key >> _U(FIELD)
-        return (mix(route) % _U(shards)).astype(np.int64)
+        own, place = np.unique(hashes, return_inverse=True)
+        shard = (mix(own) % _U(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        rank = np.empty(len(own), np.int32)
+        rank[order] = np.arange(len(own), dtype=np.int32)
+        self.place = rank[place]
+        self.words, self.shard = own[order], shard[order]
 
+    def pack(self) -> bytes:
+        return pack(self.ids, self.known, self.counts, self.held, self.place)
 
-def held_out(doc_id: int) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % HELD_MODULUS == HELD_REMAINDER
+    @staticmethod
+    def unpack(block: bytes) -> Tokens:
+        made = object.__new__(Tokens)
+        made.ids, made.known, made.counts, made.held, made.place = unpack(block)
+        return made
+
+    def training(self) -> np.ndarray:
+        return np.repeat(~self.held, self.counts)
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    own, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return own, np.bincount(place, np.concatenate(counts), len(own)).astype(np.int64)
+class Grams:
+    """Distinct bigrams (order 0) and trigrams (order 1) of a chunk, with training counts, by context and word.
+
+    ``tokens`` are the tokens' numbers. Grams whose context holds a word that was not seen in training are left out of ``asked``.
+    """
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, train: np.ndarray, words: int, shards: int):
+        first = np.cumsum(counts) - counts
+        many = _U(words)
+        tokens = tokens.astype(np.uint64)
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[first] = BEFORE
+        pairs, place = np.unique(before * many + tokens, return_inverse=True)
+        #: Trigrams begin at the second word of a text; their context is the pair before the word.
+        self.third = np.ones(len(tokens), bool)
+        self.third[first] = False
+        third = np.flatnonzero(self.third)
+        triples, place3 = np.unique(place[third - 1].astype(np.uint64) * many + tokens[third], return_inverse=True)
+        older = pairs[(triples // many).astype(np.int64)]
+        self.place = [place, place3]
+        self.count = [np.bincount(place, train, len(pairs)).astype(np.int32), np.bincount(place3, train[third], len(triples)).astype(np.int32)]
+        self.context = [pairs // many, older]
+        self.word = [(pairs % many).astype(np.uint32), (triples % many).astype(np.uint32)]
+        self.asked = [self.context[0] != UNKNOWN, (older // many != UNKNOWN) & (older % many != UNKNOWN)]
+        self.shard = [(mix(c) % _U(shards)).astype(np.int64) for c in self.context]
+
+    def by_shard(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams asked for, in order of shard and key, and the shards in that order."""
+        asked = np.flatnonzero(self.asked[order])
+        at = asked[np.argsort(self.shard[order][asked], kind="stable")]
+        return at, self.shard[order][at]
 
 
-def _answer_words(keys, counts):
-    """Per chunk, the training count of each word and its log10 probability within its class; class totals."""
-    own, count = _merge(keys, counts)
-    kind = (own & _U(CLASSES - 1)).astype(np.int64)
-    tokens = np.bincount(kind, count, CLASSES)
-    distinct = np.bincount(kind, count > 0, CLASSES)
-    within = np.log10((count + 1) / (tokens + distinct + 1)[kind])
-    answers = []
-    for key in keys:
-        at = np.searchsorted(own, key)
-        answers.append(pack(count[at], within[at].astype(np.float32)))
-    used = np.flatnonzero(tokens)
-    return answers, pack(used, tokens[used].astype(np.int64)), int(count.sum()), int((count > 0).sum())
+def held_out(doc_id: int) -> bool:
+    return zlib.crc32(str(doc_id).encode()) % HELD_MODULUS == HELD_REMAINDER
 
 
-def _answer_grams(keys, counts):
-    own, count = _merge(keys, counts)
+def _stretches(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each stretch of equal values: the value, begin, end."""
+    cuts = np.flatnonzero(np.diff(values)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)]):
+        if b > a:
+            yield int(values[a]), a, b
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, their summed counts, and for each key its place among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[first], np.add.reduceat(counts[order].astype(np.int64), first), place
+
+
+def _answer_words(keys: list[np.ndarray], counts: list[np.ndarray], shard: int, shards: int) -> tuple[list[bytes], int, int]:
+    """Per chunk, training count and number of each word; training tokens and distinct training words of the shard."""
+    _, count, place = _added(np.concatenate(keys), np.concatenate(counts))
+    seen = int((count > 0).sum())
+    number = np.zeros(len(count), np.int64)
+    number[np.argsort(-count, kind="stable")[:seen]] = WORDS_FROM + shard + shards * np.arange(seen)
+    parts = np.split(place, np.cumsum([len(k) for k in keys])[:-1])
+    return [pack(count[p], number[p]) for p in parts], int(count.sum()), seen
+
+
+def _answer_grams(blocks: list[bytes], words: int) -> list[bytes]:
+    parts = [unpack(b) for b in blocks]
+    own = []
+    for step, _, _ in parts:
+        new = step != 0
+        new[0] = True
+        own.append((np.cumsum(step, dtype=np.uint64)[new], np.cumsum(new) - 1))
+    contexts = np.unique(np.concatenate([c for c, _ in own]))
+    ranks = np.concatenate([np.searchsorted(contexts, c)[at] for c, at in own]).astype(np.uint64)
+    keys = (ranks << _U(32)) | np.concatenate([p[1] for p in parts])
+    del ranks, own
+    grams, count, place = _added(keys, np.concatenate([p[2] for p in parts]))
+    context, word = (grams >> _U(32)).astype(np.int64), grams & _U((1 << 32) - 1)
     seen = count > 0
-    own, count = own[seen], count[seen]
-    trie = Trie(own >> _U(FIELD), own & _U((1 << FIELD) - 1), count)
-    return [pack(*trie.lookup(key >> _U(FIELD), key & _U((1 << FIELD) - 1))) for key in keys]
+    trie = Trie(contexts[context[seen]], word[seen], count[seen], words)
+    value, weight = trie.lookup(contexts, context, word)
+    return [pack(value[p], weight[p]) for p in np.split(place, np.cumsum([len(p[1]) for p in parts])[:-1])]
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Return doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    shards = 2 * partitions(spark)
     used = scanned(docs)
+    size = used.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(2 * partitions(spark), -(-size // SHARD_BYTES))
     fields = "shard long, chunk long, block binary"
 
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, chunk in chunked(batches, CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([chunk.pack()], pa.binary())], ["chunk", "block"])
+    def rows_of(number: int, shard: list[int], blocks: list[bytes]) -> pa.RecordBatch:
+        columns = [pa.array(shard, pa.int64()), pa.array([number] * len(shard), pa.int64()), pa.array(blocks, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "block"])
 
-    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in chunked(batches, CHUNK):
-            grams = Grams(chunk)
-            for order in range(3):
-                shard = grams.shards(order, shards)
-                at = np.argsort(shard, kind="stable")
-                names, blocks = [], []
-                for part in np.split(at, np.flatnonzero(np.diff(shard[at])) + 1):
-                    if len(part):
-                        names.append(order * shards + int(shard[part[0]]))
-                        key = grams.keys[order][part]
-                        blocks.append(pack(np.diff(key, prepend=_U(0)), grams.count[order][part]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array([number] * len(names), pa.int64()), pa.array(blocks, pa.binary())],
-                    ["shard", "chunk", "block"],
-                )
-
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+            own = Tokens(chunk, shards)
+            count = np.bincount(own.place, own.training(), len(own.words)).astype(np.int64)
+            names, blocks = [-1], [own.pack()]
+            for shard, a, b in _stretches(own.shard):
+                names.append(shard)
+                blocks.append(pack(np.diff(own.words[a:b], prepend=_U(0)), count[a:b]))
+            yield rows_of(number, names, blocks)
+
+    def answer_words(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         parts = [unpack(b) for b in rows["block"]]
-        keys, counts = [np.cumsum(p[0], dtype=np.uint64) for p in parts], [p[1] for p in parts]
-        made = pd.DataFrame({"shard": rows["shard"], "chunk": rows["chunk"], "tokens": 0, "words": 0})
-        if shard >= shards:
-            return made.assign(block=_answer_grams(keys, counts))
-        answers, totals, tokens, words = _answer_words(keys, counts)
-        stat = pd.DataFrame({"shard": [shard], "chunk": [-1], "tokens": [tokens], "words": [words], "block": [totals]})
-        return pd.concat([made.assign(block=answers), stat])
-
-    answers = stored(
-        used.mapInArrow(requests, fields).groupBy("shard").applyInPandas(answer, fields + ", tokens long, words long"), "ngrams"
-    )
-    stats = answers.filter("chunk = -1")
-    sums = stats.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
+        answers, tokens, seen = _answer_words([np.cumsum(p[0], dtype=np.uint64) for p in parts], [p[1] for p in parts], shard, shards)
+        made = pd.DataFrame({"shard": rows["shard"], "chunk": rows["chunk"], "block": answers, "tokens": 0, "words": 0})
+        return pd.concat([made, pd.DataFrame({"shard": [shard], "chunk": [-1], "block": [b""], "tokens": [tokens], "words": [seen]})])
+
+    cuts = stored(used.mapInArrow(cut, fields), "tokens")
+    held = cuts.filter("shard = -1").groupBy("chunk")
+    answers = stored(cuts.filter("shard >= 0").groupBy("shard").applyInPandas(answer_words, fields + ", tokens long, words long"), "words")
+    sums = answers.filter("chunk = -1").agg(F.sum("tokens").alias("n"), F.sum("words").alias("v"), F.max("words").alias("most")).first()
     train, distinct = sums["n"] or 0, sums["v"] or 0
-    by_class = np.zeros(CLASSES)  # bounded: one number per class
-    for row in stats.select("block").collect():
-        kinds, tokens = unpack(row["block"])
-        by_class[kinds] += tokens
-    lowest = (by_class + 1) / (by_class.sum() + CLASSES)
-
-    def finish(held: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        chunk = Chunk.unpack(held["block"].iloc[0])
-        grams = Grams(chunk)
-        filled = [[np.zeros(len(k), kind) for kind in kinds] for k, kinds in zip(grams.keys, ((np.int64, np.float32), (np.uint8, np.uint8), (np.uint8, np.uint8)))]
-        routes = [grams.shards(order, shards) for order in range(3)]
-        sorts = [np.argsort(r, kind="stable") for r in routes]
-        sorted_ = [r[s] for r, s in zip(routes, sorts)]
-        for shard, block in zip(got["shard"], got["block"]):
-            order, own = divmod(int(shard), shards)
-            a, b = np.searchsorted(sorted_[order], [own, own + 1])
-            for target, values in zip(filled[order], unpack(block)):
-                target[sorts[order][a:b]] = values
-        count, within = filled[0]
-        p = lowest[grams.word.astype(np.int64)]
-        for order in (1, 2):
+    #: Above every number of a word.
+    words = WORDS_FROM + (sums["most"] or 0) * shards + 1
+    if words > 1 << 32:
+        raise ValueError(f"{distinct} distinct training words are more than numbers of 32 bits tell apart")
+    answers = answers.filter("chunk >= 0").select("shard", "chunk", "block")
+
+    def grams_of(own: Tokens, blocks: list[bytes]) -> tuple[np.ndarray, Grams]:
+        """Training count of the chunk's words, and its grams; ``blocks`` in order of shard."""
+        parts = [unpack(b) for b in blocks]
+        count, number = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        return count, Grams(number[own.place], own.counts, own.training(), words, shards)
+
+    def request(has: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        _, grams = grams_of(Tokens.unpack(has["block"].iloc[0]), got.sort_values("shard")["block"])
+        names, blocks = [], []
+        for order in (0, 1):
+            at, shard = grams.by_shard(order)
+            for name, a, b in _stretches(shard):
+                part = at[a:b]
+                names.append(order * shards + name)
+                blocks.append(pack(np.diff(grams.context[order][part], prepend=_U(0)), grams.word[order][part], grams.count[order][part]))
+        return pd.DataFrame({"shard": names, "chunk": has["chunk"].iloc[0], "block": blocks})
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(block=_answer_grams(list(rows["block"]), words))
+
+    asked = held.cogroup(answers.groupBy("chunk")).applyInPandas(request, fields)
+    found = stored(asked.groupBy("shard").applyInPandas(answer, fields), "ngrams")
+    # Answers on words have negative numbers of shards, so that one group per chunk has all answers.
+    both = answers.withColumn("shard", F.expr("-1 - shard")).unionByName(found)
+
+    def finish(has: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        own = Tokens.unpack(has["block"].iloc[0])
+        got = got.sort_values("shard")
+        of_words = got["shard"] < 0
+        count, grams = grams_of(own, got["block"][of_words][::-1])
+        known = count[own.place]
+        base = np.log10(known + 1.0) - np.log10(train + distinct + 1.0)
+        p = 10.0**base
+        filled = [(np.full(len(w), 255, np.uint8), np.zeros(len(w), np.uint8)) for w in grams.word]
+        sent = [grams.by_shard(order) for order in (0, 1)]
+        for name, block in zip(got["shard"][~of_words], got["block"][~of_words]):
+            order, shard = divmod(int(name), shards)
+            at, shards_of = sent[order]
+            a, b = np.searchsorted(shards_of, [shard, shard + 1])
+            for target, codes_ in zip(filled[order], unpack(block)):
+                target[at[a:b]] = codes_
+        for order, place in enumerate((slice(None), grams.third)):
             value, weight = (_VALUES[x][grams.place[order]] for x in filled[order])
-            p = value + weight * p
-        token = np.log10(p) + within[grams.place[0]]
-        known = count[grams.place[0]]
-        starts = grams.ends - grams.counts
-        base = np.add.reduceat(np.log10(known + 1.0) - np.log10(train + distinct + 1.0), starts)
+            p[place] = value + weight * p[place]
+        starts = np.cumsum(own.counts) - own.counts
         return pd.DataFrame(
             {
-                "doc_id": pd.array([i if known else None for i, known in zip(chunk.ids, chunk.known)], "Int64"),
-                "held_out": grams.held,
-                "n_tokens": grams.counts,
+                "doc_id": pd.array([i if k else None for i, k in zip(own.ids.tolist(), own.known)], "Int64"),
+                "held_out": own.held,
+                "n_tokens": own.counts,
                 "n_known": np.add.reduceat((known > 0).astype(np.int64), starts),
                 "train_tokens": train,
-                "base_score": base,
-                "score": np.add.reduceat(token, starts),
+                "base_score": np.add.reduceat(base, starts),
+                "score": np.add.reduceat(np.log10(p), starts),
             }
         )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    held = used.mapInArrow(texts, "chunk long, block binary")
-    return held.groupBy("chunk").cogroup(answers.filter("chunk >= 0").select(*"shard chunk block".split()).groupBy("chunk")).applyInPandas(finish, schema)
+    return held.cogroup(both.groupBy("chunk")).applyInPandas(finish, schema)
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
