@@ -5,8 +5,9 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators import quality, reprocess
+from tidemark.operators import ledger, quality, reprocess
 from tidemark.plans.ingest import NothingToIngest, ingest, landed, staging_table
 from tidemark.plans.process import process, processed_table, publish_table, run_sql, run_sql_script
 from tidemark.plans.spec import IngestSpec, ProcessSpec
@@ -54,10 +55,32 @@ def test_three_cycles_with_new_header_and_empty_files(lake):
     assert row.city == "Rome" and row.processed_time == "2024-06-01 12:00:00"
     assert row.source_file_location.endswith("/src/b.csv")
     run_log = lake.ledgers.ingestion_log.read().where("execution_cycle_id = '2'").first()
-    assert run_log.source_files == "['b.csv']" and run_log.record_count == 1 and run_log.delimiter == ","
+    assert run_log.source_files == ["b.csv"] and run_log.record_count == 1 and run_log.delimiter == ","
     assert lake.ledgers.file_log.table == "file_log_my_app"
 
 
+def test_file_names_of_a_run_come_in_lots(lake, monkeypatch):
+    """No cell grows with the run; the record count is there once."""
+    monkeypatch.setattr(ledger, "NAMES_PER_ROW", 2)
+    for n in range(7):
+        lake.put(f"f{n}.csv", f"Id\n{n}\n")
+    ingest(lake.spark, lake.spec(), lake.run("1"), lake.ledgers)
+    logged = lake.ledgers.ingestion_log.read().collect()
+    assert len(logged) > 1 and sum(r.record_count for r in logged) == 7
+    assert sorted(n for r in logged for n in r.source_files) == [f"f{n}.csv" for n in range(7)]
+    assert {r.run_id for r in logged} == {lake.run("1").run_id}
+
+
+def test_ledger_of_text_lists_gets_json(spark, lake):
+    """A run ledger made before names were an array keeps its column."""
+    log = lake.ledgers.ingestion_log
+    log.register(T.StructType([T.StructField(f.name, T.StringType() if f.name == "source_files" else f.dataType) for f in ledger.INGESTION_LOG]))
+    files = spark.createDataFrame([("s/", "a.csv"), ("s/", "it's.csv")], "input_location_prefix string, file_name string")
+    ledger.write(log, ledger.INGESTION_LOG, ledger.run_rows(files, 2, record_count=3), lake.run("1").partition("d"))
+    row = log.read().first()
+    assert (row.source_files, row.record_count) == ('["a.csv","it\'s.csv"]', 3)
+
+
 def test_differing_headers_in_one_run(lake):
     lake.put("a.csv", "Id,Name\n1,x\n")
     lake.put("b.csv", "Name,Id\ny,2\n")
@@ -522,7 +545,6 @@ def test_header_with_escaped_quote(lake):
 def test_runs_of_one_cycle_log_side_by_side(lake, spark):
     from concurrent.futures import ThreadPoolExecutor
 
-    from tidemark.operators import ledger
 
     log = lake.ledgers.process_log
     log.register(ledger.PROCESS_LOG)

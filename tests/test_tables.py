@@ -268,10 +268,10 @@ def test_migrations(spark, lake, rows):
     assert not os.path.exists(f"{lake.root}/old")
     assert rows(ledger.done_files(lake.ledgers.file_log, "A")) == [("", "a.csv", "Ingested")]
 
-    runs = spark.createDataFrame([("B", "r", 5, "d", "c")], "dataset_name string, run_id string, record_count int, execution_date string, execution_cycle_id string")
+    runs = spark.createDataFrame([("B", "r", str(["b.csv", "it's.csv"]), 5, "d", "c")], "dataset_name string, run_id string, source_files string, record_count int, execution_date string, execution_cycle_id string")
     runs.write.partitionBy("execution_date", "execution_cycle_id").parquet(f"{lake.root}/old_runs")
     assert ledger.migrate_ingestion_log(f"{lake.root}/old_runs", lake.ledgers.ingestion_log) == 1
-    assert rows(lake.ledgers.ingestion_log.read(), "dataset_name", "table_name", "record_count") == [("B", "B", 5)]
+    assert rows(lake.ledgers.ingestion_log.read(), "dataset_name", "table_name", "record_count", "source_files") == [("B", "B", 5, ["b.csv", "it's.csv"])]
 
 
 def statements(monkeypatch, spark):

@@ -27,7 +27,7 @@ def _strings(*names: str) -> list[T.StructField]:
 
 
 def _fields(text: str) -> T.StructType:
-    kinds = {"string": T.StringType(), "bigint": T.LongType()}
+    kinds = {"string": T.StringType(), "bigint": T.LongType(), "array<string>": T.ArrayType(T.StringType())}
     return T.StructType([T.StructField(n, kinds[kind]) for n, kind in (c.split() for c in text.split(", "))])
 
 
@@ -39,7 +39,7 @@ FILE_LOG = _fields(
     "source_file_name string"
 )
 INGESTION_LOG = _fields(
-    "table_name string, run_id string, application string, source_files string, static_file_pattern string, "
+    "table_name string, run_id string, application string, source_files array<string>, static_file_pattern string, "
     "source_file_pattern string, file_type string, encoding string, escape string, multiline string, "
     "delimiter string, table_location string, target_schema string, target_table string, record_count bigint, "
     "execution_start_datetime string, execution_end_time string"
@@ -50,6 +50,9 @@ PROCESS_LOG = _fields(
     "publish_table_record_count bigint, execution_start_time string, execution_end_time string"
 )
 
+#: File names in one row of the run ledger. A run of more files has more rows.
+NAMES_PER_ROW = 10_000
+
 
 @dataclass(frozen=True)
 class Ledgers:
@@ -89,10 +92,14 @@ def write(
     The rows are written to a folder of their own, and the complete files, whose names are
     unique, are moved into the partition. Nothing that is there is read or replaced, so runs of one
     dataset and cycle may log side by side. With a ``name``, rows written a second time under it replace the first ones.
+    A ledger made when file names were one text gets them as JSON.
     """
     if not table.exists():
         table.register(schema)
     wanted = T.StructType(table.data_schema().fields + _strings(*table.keys))
+    texts = {f.name for f in wanted.fields if isinstance(f.dataType, T.StringType)}
+    lists = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.ArrayType) and f.name in texts]
+    rows = rows.withColumns({n: F.to_json(n) for n in lists}) if lists else rows
     fresh = align(scrub_null_token(rows).withColumns({k: F.lit(v) for k, v in partition.items()}), wanted)
     table.add_files(fresh, partition, name)
 
@@ -112,6 +119,20 @@ def one_row(spark: SparkSession, **values) -> DataFrame:
     return spark.createDataFrame([tuple(values.values())], schema)
 
 
+def run_rows(files: DataFrame, number: int, **values) -> DataFrame:
+    """Rows of one run for the run ledger, with the names of its ``number`` files (``file_name``) in lots of about ``NAMES_PER_ROW``.
+
+    All rows have the run's values, but the record count is in one of them only, so that sums over the ledger are right.
+    """
+    lots = max(1, -(-number // NAMES_PER_ROW))
+    # Names may repeat from folder to folder, so the folder is part of the key.
+    lot = F.pmod(F.xxhash64("input_location_prefix", "file_name"), F.lit(lots)) if lots > 1 else F.lit(0)
+    first = files.agg(F.min(lot)).first()[0] if lots > 1 else 0
+    named = files.groupBy(lot.alias("lot")).agg(F.sort_array(F.collect_list("file_name")).alias("source_files"))
+    counts = {k: F.when(F.col("lot") == first, v).otherwise(0).cast("long") for k, v in values.items() if isinstance(v, int)}
+    return named.withColumns(counts | {k: F.lit(v).cast("string") for k, v in values.items() if k not in counts}).drop("lot")
+
+
 def file_log_rows(
     listing: DataFrame, counts: DataFrame, statuses: DataFrame | None, ingested: str, literals: dict[str, str]
 ) -> DataFrame:
@@ -173,6 +194,11 @@ def migrate_file_log(old_location: str, table: LakeTable, remove_old: bool = Fal
 def migrate_ingestion_log(old_location: str, table: LakeTable, remove_old: bool = False) -> int:
     old = scan_partitioned(table.spark, old_location, OLD_KEYS)
     rows = old.withColumnRenamed("dataset_name", "table_name").withColumn("dataset_name", F.col("table_name"))
+    if dict(rows.dtypes).get("source_files") == "string":
+        # A printed list of names, in either kind of quotes; other text is one name.
+        names = F.from_json("source_files", "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
+        one = F.when(F.length("source_files") > 0, F.array("source_files"))
+        rows = rows.withColumn("source_files", F.coalesce(names, one))
     return _migrate(rows, INGESTION_LOG, table, old_location, remove_old)
 
 

@@ -345,12 +345,12 @@ def _log_files(table, spec: IngestSpec, ledgers, intent: intents.Intent, paths:
 
 def _log_run(spec: IngestSpec, ledgers, intent: intents.Intent, paths: Sequence[str], records: int, table) -> None:
     run = intent.run
-    row = ledger.one_row(
-        table.spark,
+    rows = ledger.run_rows(
+        intent.files,
+        len(paths),
         table_name=spec.target_table,
         run_id=run.run_id,
         application=ledgers.application,
-        source_files=str([p.rsplit("/", 1)[-1] for p in paths]),
         static_file_pattern="Y" if spec.static_file else "N",
         source_file_pattern=spec.mask,
         file_type=spec.file_type,
@@ -365,4 +365,4 @@ def _log_run(spec: IngestSpec, ledgers, intent: intents.Intent, paths: Sequence[
         execution_start_datetime=intent.started,
         execution_end_time=run.now(),
     )
-    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, row, run.partition(spec.dataset), intent.name)
+    ledger.write(ledgers.ingestion_log, ledger.INGESTION_LOG, rows, run.partition(spec.dataset), intent.name)

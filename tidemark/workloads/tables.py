@@ -180,14 +180,22 @@ def file_log(bench: Bench) -> DataFrame:
 @query(
     f"""SELECT 'STAGED' AS table_name, 'run-1' AS run_id, 'bench' AS application, 'N' AS static_file_pattern,
                '*.csv' AS source_file_pattern, 'csv' AS file_type, ',' AS delimiter, count(*) AS record_count,
+               'csv' AS source_files, CAST(0 AS BIGINT) AS differing_names,
                '{TIME}' AS execution_start_datetime, '{TIME}' AS execution_end_time, '{DATASET}' AS dataset_name,
                '{DATE}' AS execution_date, '{CYCLE}' AS execution_cycle_id FROM orders"""
 )
 def ingestion_log(bench: Bench) -> DataFrame:
     export_orders(bench)
     ingest(bench.spark, order_spec(bench), bench.run, bench.ledgers)
-    unstable = ("source_files", "table_location", "target_schema", "target_table", "encoding", "escape", "multiline")
-    return bench.ledgers.ingestion_log.read().drop(*unstable)
+    unstable = ("table_location", "target_schema", "target_table", "encoding", "escape", "multiline")
+    logged = bench.ledgers.ingestion_log.read().drop(*unstable)
+    # Which names the files get is up to the writer; that they are the file log's is not.
+    written = bench.ledgers.file_log.read().select("file_name").distinct()
+    names = logged.select(F.explode("source_files").alias("file_name")).distinct()
+    differing = names.exceptAll(written).unionAll(written.exceptAll(names)).count()
+    return logged.withColumns({"source_files": F.transform("source_files", lambda n: F.regexp_extract(n, "[.]([^.]*)$", 1))}).withColumns(
+        {"source_files": F.array_join(F.array_distinct("source_files"), ","), "differing_names": F.lit(differing).cast("long")}
+    )
 
 
 @query(
