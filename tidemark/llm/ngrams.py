@@ -211,7 +211,10 @@ class Trie:
 
 
 class Tokens:
-    """A chunk's documents: their tokens as places in the chunk's distinct words, which stand in order of shard and hash."""
+    """A chunk's documents: their tokens as ranks of the chunk's distinct words by falling count, which pack well.
+
+    ``words``, ``shard`` and ``count`` (in training) are in order of shard and hash, as answers are; ``at`` has each rank's place there.
+    """
 
     def __init__(self, chunk: Chunk, shards: int):
         words = words_of(Chunk(chunk.ids, chunk.ends, chunk.data.lower(), chunk.rows, chunk.known))
@@ -222,21 +225,22 @@ class Tokens:
         is_end[np.cumsum(self.counts) - 1] = True
         hashes[is_end], hashes[~is_end] = _END, words.symbols
         self.held = np.array([known and held_out(i) for i, known in zip(chunk.ids, chunk.known)], bool)
-        own, place = np.unique(hashes, return_inverse=True)
+        own, place, often = np.unique(hashes, return_inverse=True, return_counts=True)
         shard = (mix(own) % _U(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        rank = np.empty(len(own), np.int32)
-        rank[order] = np.arange(len(own), dtype=np.int32)
-        self.place = rank[place]
-        self.words, self.shard = own[order], shard[order]
+        order, common = np.argsort(shard, kind="stable"), np.argsort(-often, kind="stable")
+        numbers = np.arange(len(own), dtype=np.int32)
+        where, rank = np.empty_like(numbers), np.empty_like(numbers)
+        where[order], rank[common] = numbers, numbers
+        self.words, self.shard, self.at, self.place = own[order], shard[order], where[common], rank[place]
+        self.count = np.bincount(place, self.training(), len(own))[order].astype(np.int64)
 
     def pack(self) -> bytes:
-        return pack(self.ids, self.known, self.counts, self.held, self.place)
+        return pack(self.ids, self.known, self.counts, self.held, self.at, self.place)
 
     @staticmethod
     def unpack(block: bytes) -> Tokens:
         made = object.__new__(Tokens)
-        made.ids, made.known, made.counts, made.held, made.place = unpack(block)
+        made.ids, made.known, made.counts, made.held, made.at, made.place = unpack(block)
         return made
 
     def training(self) -> np.ndarray:
@@ -301,14 +305,14 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return ordered[first], np.add.reduceat(counts[order].astype(np.int64), first), place
 
 
-def _answer_words(keys: list[np.ndarray], counts: list[np.ndarray], shard: int, shards: int) -> tuple[list[bytes], int, int]:
-    """Per chunk, training count and number of each word; training tokens and distinct training words of the shard."""
+def _answer_words(keys: list[np.ndarray], counts: list[np.ndarray], shard: int, shards: int) -> tuple[list[bytes], list[bytes], int, int]:
+    """Per chunk, number and training count of each word; training tokens and distinct training words of the shard."""
     _, count, place = _added(np.concatenate(keys), np.concatenate(counts))
     seen = int((count > 0).sum())
     number = np.zeros(len(count), np.int64)
     number[np.argsort(-count, kind="stable")[:seen]] = WORDS_FROM + shard + shards * np.arange(seen)
     parts = np.split(place, np.cumsum([len(k) for k in keys])[:-1])
-    return [pack(count[p], number[p]) for p in parts], int(count.sum()), seen
+    return [pack(number[p]) for p in parts], [pack(count[p]) for p in parts], int(count.sum()), seen
 
 
 def _answer_grams(blocks: list[bytes], words: int) -> list[bytes]:
@@ -345,39 +349,40 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in chunked(batches, CHUNK):
             own = Tokens(chunk, shards)
-            count = np.bincount(own.place, own.training(), len(own.words)).astype(np.int64)
             names, blocks = [-1], [own.pack()]
             for shard, a, b in _stretches(own.shard):
                 names.append(shard)
-                blocks.append(pack(np.diff(own.words[a:b], prepend=_U(0)), count[a:b]))
+                blocks.append(pack(np.diff(own.words[a:b], prepend=_U(0)), own.count[a:b]))
             yield rows_of(number, names, blocks)
 
     def answer_words(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         parts = [unpack(b) for b in rows["block"]]
-        answers, tokens, seen = _answer_words([np.cumsum(p[0], dtype=np.uint64) for p in parts], [p[1] for p in parts], shard, shards)
-        made = pd.DataFrame({"shard": rows["shard"], "chunk": rows["chunk"], "block": answers, "tokens": 0, "words": 0})
-        return pd.concat([made, pd.DataFrame({"shard": [shard], "chunk": [-1], "block": [b""], "tokens": [tokens], "words": [seen]})])
+        numbers, counts, tokens, seen = _answer_words([np.cumsum(p[0], dtype=np.uint64) for p in parts], [p[1] for p in parts], shard, shards)
+        made = pd.DataFrame({"shard": rows["shard"], "chunk": rows["chunk"], "block": numbers, "counts": counts, "tokens": 0, "words": 0})
+        sums = {"shard": [shard], "chunk": [-1], "block": [b""], "counts": [b""], "tokens": [tokens], "words": [seen]}
+        return pd.concat([made, pd.DataFrame(sums)])
 
     cuts = stored(used.mapInArrow(cut, fields), "tokens")
     held = cuts.filter("shard = -1").groupBy("chunk")
-    answers = stored(cuts.filter("shard >= 0").groupBy("shard").applyInPandas(answer_words, fields + ", tokens long, words long"), "words")
+    answers = stored(cuts.filter("shard >= 0").groupBy("shard").applyInPandas(answer_words, fields + ", counts binary, tokens long, words long"), "words")
     sums = answers.filter("chunk = -1").agg(F.sum("tokens").alias("n"), F.sum("words").alias("v"), F.max("words").alias("most")).first()
     train, distinct = sums["n"] or 0, sums["v"] or 0
     #: Above every number of a word.
     words = WORDS_FROM + (sums["most"] or 0) * shards + 1
     if words > 1 << 32:
         raise ValueError(f"{distinct} distinct training words are more than numbers of 32 bits tell apart")
-    answers = answers.filter("chunk >= 0").select("shard", "chunk", "block")
+    answers = answers.filter("chunk >= 0").select("shard", "chunk", "block", "counts")
+
+    def joined(own: Tokens, blocks: pd.Series) -> np.ndarray:
+        """Answers on words, which are in order of shard, by rank."""
+        return np.concatenate([unpack(b)[0] for b in blocks])[own.at]
 
-    def grams_of(own: Tokens, blocks: list[bytes]) -> tuple[np.ndarray, Grams]:
-        """Training count of the chunk's words, and its grams; ``blocks`` in order of shard."""
-        parts = [unpack(b) for b in blocks]
-        count, number = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        return count, Grams(number[own.place], own.counts, own.training(), words, shards)
+    def grams_of(own: Tokens, numbers: pd.Series) -> Grams:
+        return Grams(joined(own, numbers)[own.place], own.counts, own.training(), words, shards)
 
     def request(has: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        _, grams = grams_of(Tokens.unpack(has["block"].iloc[0]), got.sort_values("shard")["block"])
+        grams = grams_of(Tokens.unpack(has["block"].iloc[0]), got.sort_values("shard")["block"])
         names, blocks = [], []
         for order in (0, 1):
             at, shard = grams.by_shard(order)
@@ -390,17 +395,17 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         return rows.assign(block=_answer_grams(list(rows["block"]), words))
 
-    asked = held.cogroup(answers.groupBy("chunk")).applyInPandas(request, fields)
+    asked = held.cogroup(answers.drop("counts").groupBy("chunk")).applyInPandas(request, fields)
     found = stored(asked.groupBy("shard").applyInPandas(answer, fields), "ngrams")
     # Answers on words have negative numbers of shards, so that one group per chunk has all answers.
-    both = answers.withColumn("shard", F.expr("-1 - shard")).unionByName(found)
+    both = answers.withColumn("shard", F.expr("-1 - shard")).unionByName(found.withColumn("counts", F.lit(None).cast("binary")))
 
     def finish(has: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         own = Tokens.unpack(has["block"].iloc[0])
         got = got.sort_values("shard")
         of_words = got["shard"] < 0
-        count, grams = grams_of(own, got["block"][of_words][::-1])
-        known = count[own.place]
+        grams = grams_of(own, got["block"][of_words][::-1])
+        known = joined(own, got["counts"][of_words][::-1])[own.place]
         base = np.log10(known + 1.0) - np.log10(train + distinct + 1.0)
         p = 10.0**base
         filled = [(np.full(len(w), 255, np.uint8), np.zeros(len(w), np.uint8)) for w in grams.word]
