@@ -89,16 +89,38 @@ def test_bpe_agrees_with_the_library(spark, odd_docs, no_docs, monkeypatch):
     for row in docs.collect():
         ids = library.encode(row["text"] or "", add_special_tokens=False).ids
         want[(row["doc_id"], tuple(ids), library.decode(ids, skip_special_tokens=False))] += 1
-    for run in (tokens.encode, tokens.encode_by_join):
-        coded = run(docs)
+    for size in (tokens.CHUNK_BYTES, 500):
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", size)
+        coded = tokens.encode(docs)
         back = tokens.decode(coded.withColumn("key", F.to_json("ids")), keep=("doc_id", "key"))
         got = Counter((r["doc_id"], tuple(map(int, re.findall(r"\d+", r["key"]))), r["decoded"]) for r in back.collect())
         assert got == want
-        assert run(no_docs).count() == 0
+        assert tokens.encode(no_docs).count() == 0
+
+
+def test_bpe_encodes_each_distinct_word_once():
     tables = tokens.Tables(tokens.read_description(tokens.default_tokenizer()))
-    monkeypatch.setattr(tokens, "TABLE_ROWS", 3)
-    for text in ("one two three four five", "one two", "x y z one"):
-        assert np.frombuffer(tables.encode(text), "<i4").tolist() == library.encode(text).ids
+    met = Counter()
+
+    class Counted:
+        def coded(self, piece):
+            met[piece] += 1
+            return tables.coded(piece)
+
+    blocks = [["one", " two", " two."], [" two", "é", "<|endoftext|>"], ["one", "é"]]
+    answers = [tokens.unpack(b) for b in tokens.answers_to(map(tokens._pieces_packed, blocks), Counted())]
+    assert set(met.values()) == {1} and set(met) == {p for b in blocks for p in b}
+    for block, (sizes, ids) in zip(blocks, answers):
+        assert [tables.coded(p) for p in block] == [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_bpe_keeps_columns_of_any_name(docs_of):
+    texts = ["one two three", "three two", "", None, "one two three one two three"] * 20
+    rows = tokens.encode(docs_of(list(enumerate(texts)), parts=4), keep=("doc_id", "_copy", "c0", "source")).collect()
+    assert len(rows) == 100 and all((r["_copy"], r["c0"]) == (7, "c") for r in rows)
+    assert all((r["source"] is None) == (r["doc_id"] % 5 == 0) for r in rows)
+    of = {r["doc_id"] % 5: r["ids"] for r in rows}
+    assert all(r["ids"] == of[r["doc_id"] % 5] for r in rows) and of[2] == of[3] == [] and of[4][:len(of[0]) - 1] == of[0][:-1]
 
 
 # Quality rules

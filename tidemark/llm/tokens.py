@@ -1,37 +1,43 @@
-"""BPE encoding and decoding through distinct words.
+"""BPE encoding and decoding through a table of distinct words.
 
 A byte-level BPE never merges across the pieces its pattern cuts a text into, so a piece has the
-same ids wherever it stands. Texts are cut into pieces, each distinct piece is encoded once, and its
-ids are joined back by position. Decoding joins ids with the table of id and bytes.
+same ids wherever it stands. Encoding has three steps:
 
-Two forms give the same ids:
+1. Tasks cut texts into pieces, ``CHUNK_BYTES`` of text at a time. A chunk keeps its positions as places in its own
+   list of distinct pieces, and the list is dealt out to shards by the hash of the piece. Both are stored.
+2. A shard encodes each distinct piece once and answers every chunk that asked for it. A piece reaches its shard once per
+   chunk, however often it occurs, so a very frequent word makes no hot key. The number of shards grows with the bytes of the texts.
+3. The answers meet their chunk again, and ids are joined back by position.
 
-* ``encode`` keeps the table of distinct pieces in each Python worker, filled as pieces turn up and
-  emptied when it reaches ``TABLE_ROWS``, so memory is bounded, nothing is shuffled, and a lost
-  executor costs only its own tasks. The query uses this form.
-* ``encode_by_join`` is the same in DataFrame joins: one row per position, one table of distinct
-  pieces for the whole corpus. It shuffles every position twice.
+Decoding looks ids up in the table of id and bytes, which has the size of the vocabulary and travels with the tasks.
 
-Defined results: null counts as empty; an empty text has no ids and decodes to the empty text;
-special tokens in a text become their own id, as the library has it; rows stay as they are, with
-repeats, and columns not named here are not read.
+Defined results: null counts as empty; an empty text has no ids and decodes to the empty text; bytes that are not UTF-8
+count as U+FFFD, as Python's "replace" has it; special tokens in a text become their own id, as the library has it; a text
+longer than a chunk is a chunk of its own; rows stay as they are, with repeats, null ids and ties included; an empty table
+gives an empty result; columns not named are not read, and named ones may have any name and type.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, numbered, raw, table
+from tidemark.llm.anchors import pack, unpack
+from tidemark.llm.common import bytes_of, partitions, raw, stored, table
 
-#: Pieces a worker keeps before it starts its table anew.
-TABLE_ROWS = 300_000
+#: Text of one chunk.
+CHUNK_BYTES = 4_000_000
+#: Text per shard; its distinct pieces are about a sixth of that at most, and fewer as they meet again.
+SHARD_BYTES = 64_000_000
 
 
 def default_tokenizer() -> str:
@@ -49,7 +55,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Tables:
-    """What one Python worker needs: the cutting pattern, the pieces met so far, and id to bytes."""
+    """What one Python worker needs: the cutting pattern, the merges, and id to bytes."""
 
     _of: dict[str, Tables] = {}
 
@@ -64,7 +70,7 @@ class Tables:
         letters = _byte_letters()
         pieces = {bytes(letters[c] for c in piece): i for piece, i in spec["model"]["vocab"].items()}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = {text: np.array([i], "<i4").tobytes() for text, i in special.items()}
+        self.special = {text: [i] for text, i in special.items()}
         self.bytes_of = np.empty(max([*pieces.values(), *special.values()]) + 1, object)
         for piece, i in [*pieces.items(), *((text.encode(), i) for text, i in special.items())]:
             self.bytes_of[i] = piece
@@ -76,7 +82,6 @@ class Tables:
         else:
             whole = Tokenizer.from_str(json.dumps(spec))
             self._encode = lambda piece: whole.encode(piece, add_special_tokens=False).ids
-        self.ids_of: dict[str, bytes] = dict(self.special)
 
     @classmethod
     def get(cls, description: str) -> Tables:
@@ -93,20 +98,9 @@ class Tables:
             found += [part] if part in self.special else self.cut(part)
         return found
 
-    def coded(self, piece: str) -> bytes:
-        """Ids of one piece, packed as little-endian 32-bit numbers."""
-        return np.array(self._encode(piece), "<i4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Packed ids: each piece that is new to the table is encoded once, then all are joined by position."""
-        pieces = self.pieces(text)
-        new = [p for p in set(pieces) if p not in self.ids_of]
-        if len(self.ids_of) + len(new) > TABLE_ROWS:
-            self.ids_of = dict(self.special)
-            new = [p for p in set(pieces) if p not in self.special]
-        for piece in new:
-            self.ids_of[piece] = self.coded(piece)
-        return b"".join(map(self.ids_of.__getitem__, pieces))
+    def coded(self, piece: str) -> list[int]:
+        """Ids of one piece."""
+        return self.special.get(piece) or self._encode(piece)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(self.bytes_of[ids].tolist()).decode("utf-8", errors="replace")
@@ -131,22 +125,120 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
-def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None):
-    """Return ``keep`` and ids (array of int)."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables.get(shared.value)
-        for batch in small(batches):
-            packed = [tables.encode(raw(t).decode("utf-8", "replace")) for t in bytes_of(batch.column(len(keep)))]
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, ids], [*keep, "ids"])
-
-    used = docs.select(*keep, F.col(text).alias("_text"))
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in used.drop("_text").dtypes)
-    return used.mapInArrow(run, f"{fields}, ids array<int>")
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.StructArray, list[bytes]]]:
+    """Rows of a partition in lots of about ``CHUNK_BYTES`` of text, the last column: the other columns, and the texts."""
+    kept, texts, size = [], [], 0
+    for batch in small(batches):
+        own = [raw(t) for t in bytes_of(batch.column(batch.num_columns - 1))]
+        others = pa.StructArray.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1])
+        start = 0
+        for i, text in enumerate(own):
+            if size and size + len(text) > CHUNK_BYTES:
+                kept.append(others[start:i])
+                yield pa.concat_arrays(kept), texts
+                kept, texts, size, start = [], [], 0, i
+            texts.append(text)
+            size += len(text)
+        kept.append(others[start:])
+    if texts:
+        yield pa.concat_arrays(kept), texts
+
+
+def _pieces_packed(pieces: list[str]) -> bytes:
+    data = [p.encode() for p in pieces]
+    return pack(np.array([len(d) for d in data], np.int32), np.frombuffer(b"".join(data), np.uint8))
+
+
+def _pieces_unpacked(block: bytes) -> list[str]:
+    sizes, data = unpack(block)
+    data, ends = data.tobytes(), np.cumsum(sizes).tolist()
+    return [data[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def _by_place(values: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Stretches of ``values`` in the order of ``place``; stretch i has ``sizes[i]`` values."""
+    starts, taken = np.cumsum(sizes) - sizes, sizes[place]
+    first = np.cumsum(taken) - taken
+    return values[np.repeat(starts[place] - first, taken) + np.arange(int(taken.sum()))]
+
+
+def answers_to(blocks: Iterable[bytes], tables: Tables) -> Iterator[bytes]:
+    """For each block of pieces, how many ids each has, and the ids; a piece that comes again is not encoded again."""
+    ids_of: dict[str, list[int]] = {}
+    for block in blocks:
+        pieces = _pieces_unpacked(block)
+        for piece in pieces:
+            if piece not in ids_of:
+                ids_of[piece] = tables.coded(piece)
+        own = [ids_of[p] for p in pieces]
+        yield pack(np.array([len(x) for x in own], np.int32), np.array([i for x in own for i in x], np.int32))
+
+
+def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None) -> DataFrame:
+    """Return ``keep`` and ids (array of int). Texts are cut when this is called; the rest is lazy."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    shards = max(2 * partitions(spark), -(-size // SHARD_BYTES))
+    used = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").cast("binary").alias("_text"))
+    kinds = [kind for _, kind in used.drop("_text").dtypes]
+    kept = f"array<struct<{', '.join(f'k{i}:{kind}' for i, kind in enumerate(kinds))}>>"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, number = Tables.get(shared.value), TaskContext.get().partitionId() << 32
+        for rows, texts in _chunks(batches):
+            found: dict[str, int] = {}
+            places, counts = [], []
+            for data in texts:
+                pieces = tables.pieces(data.decode("utf-8", "replace"))
+                places.append(np.array([found.setdefault(p, len(found)) for p in pieces], np.int32))
+                counts.append(len(pieces))
+            own = list(found)
+            shard = np.array([zlib.crc32(p.encode()) % shards for p in own], np.int64)
+            # Within a shard pieces stand in order, which packs better; answers come in order of shard and piece.
+            order = np.array(sorted(range(len(own)), key=lambda i: (shard[i], own[i])), np.int64)
+            at = np.empty(len(own), np.int32)
+            at[order] = np.arange(len(own), dtype=np.int32)
+            names, starts = np.unique(shard[order], return_index=True)
+            ends = [*starts[1:].tolist(), len(own)]
+            sent = [{"shard": int(n), "pieces": _pieces_packed([own[i] for i in order[a:b]])} for n, a, b in zip(names, starts, ends)]
+            code = pack(np.array(counts, np.int64), at[np.concatenate(places)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                    pa.array([code], pa.binary()),
+                    pa.array([sent], pa.list_(pa.struct([("shard", pa.int64()), ("pieces", pa.binary())]))),
+                ],
+                ["chunk", "kept", "code", "sent"],
+            )
+            number += 1
+
+    chunks = stored(used.mapInArrow(cut, f"chunk long, kept {kept}, code binary, sent array<struct<shard:long, pieces:binary>>"), "pieces")
+
+    def answer(asked: pd.DataFrame) -> pd.DataFrame:
+        made = list(answers_to(asked["pieces"], Tables.get(shared.value)))
+        return pd.DataFrame({"chunk": asked["chunk"], "shard": asked["shard"], "ids": made})
+
+    asked = chunks.select("chunk", F.explode("sent").alias("s")).select("chunk", "s.shard", "s.pieces")
+    answers = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard long, ids binary")
+
+    def join(chunk: pa.Table, answered: pa.Table) -> pa.Table:
+        counts, place = unpack(chunk.column("code")[0].as_py())
+        blocks = [unpack(b) for b in answered.sort_by("shard").column("ids").to_pylist()]
+        sizes = np.concatenate([b[0] for b in blocks]) if blocks else np.zeros(0, np.int32)
+        values = np.concatenate([b[1] for b in blocks]) if blocks else np.zeros(0, np.int32)
+        ids = _by_place(values, sizes.astype(np.int64), place)
+        per_row = np.add.reduceat(np.append(sizes[place], 0), np.minimum(np.cumsum(counts) - counts, len(place))) if len(place) else 0 * counts
+        ends = np.append(0, np.cumsum(np.where(counts > 0, per_row, 0)))
+        rows = pa.concat_arrays(chunk.column("kept").chunks).flatten()
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        return pa.Table.from_arrays([*rows.flatten(), lists], [*(f"k{i}" for i in range(len(keep))), "ids"])
+
+    fields = ", ".join(f"k{i} {kind}" for i, kind in enumerate(kinds))
+    whole = chunks.select("chunk", "kept", "code").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    coded = whole.applyInArrow(join, f"{fields}, ids array<int>")
+    return coded.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "ids")
 
 
 def decode(coded: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None):
@@ -166,26 +258,6 @@ def decode(coded: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id"
     return used.mapInArrow(run, f"{fields}, decoded string")
 
 
-def encode_by_join(docs: DataFrame, text: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """The form in DataFrame joins: doc_id, ids. Every position is a row; each distinct piece is encoded once."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
-    pieces_of = F.udf(lambda t: Tables.get(shared.value).pieces(t or ""), "array<string>")
-    rows = numbered(docs.select("doc_id", F.col(text).alias("_text")), "_row")
-    places = rows.select("_row", F.posexplode(pieces_of("_text")).alias("_at", "piece"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables.get(shared.value)
-        for batch in batches:
-            coded = [tables.special.get(p) or tables.coded(p) for p in batch.column(0).to_pylist()]
-            ids = pa.array([np.frombuffer(c, "<i4") for c in coded], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["piece", "word_ids"])
-
-    words = places.select("piece").distinct().mapInArrow(run, "piece string, word_ids array<int>")
-    joined = places.join(words, "piece").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_at", "word_ids"))).alias("w"))
-    ids = F.coalesce(F.flatten(F.transform("w", lambda x: x["word_ids"])), F.array().cast("array<int>"))
-    return rows.join(joined, "_row", "left").select("doc_id", ids.alias("ids"))
-
-
 def digest(ids: Column) -> Column:
     """Lowercase hex SHA-256 of decimal ids joined by commas."""
     return F.sha2(F.array_join(ids, ","), 256)
