@@ -59,8 +59,9 @@ def test_measures_and_weights(odd_bytes, spark):
 
 
 def test_tokens(odd_bytes):
-    coded = by_id(tokens.decode(tokens.encode(odd_bytes)).collect())
-    assert coded[1]["decoded"] == BAD.decode("utf-8", "replace") and coded[5]["decoded"] == LONG.decode()
+    for encode in (tokens.encode, tokens.encode_distinct):
+        coded = by_id(tokens.decode(encode(odd_bytes)).collect())
+        assert coded[1]["decoded"] == BAD.decode("utf-8", "replace") and coded[5]["decoded"] == LONG.decode()
 
 
 def test_scores_and_mix(odd_bytes):

@@ -89,13 +89,17 @@ def test_bpe_agrees_with_the_library(spark, odd_docs, no_docs, monkeypatch):
     for row in docs.collect():
         ids = library.encode(row["text"] or "", add_special_tokens=False).ids
         want[(row["doc_id"], tuple(ids), library.decode(ids, skip_special_tokens=False))] += 1
-    for size in (tokens.CHUNK_BYTES, 500):
+    for run, size in ((tokens.encode, 500), (tokens.encode_distinct, 500), (tokens.encode_distinct, tokens.CHUNK_BYTES)):
         monkeypatch.setattr(tokens, "CHUNK_BYTES", size)
-        coded = tokens.encode(docs)
+        coded = run(docs)
         back = tokens.decode(coded.withColumn("key", F.to_json("ids")), keep=("doc_id", "key"))
         got = Counter((r["doc_id"], tuple(map(int, re.findall(r"\d+", r["key"]))), r["decoded"]) for r in back.collect())
         assert got == want
-        assert tokens.encode(no_docs).count() == 0
+        assert run(no_docs).count() == 0
+    tables = tokens.Tables(tokens.read_description(tokens.default_tokenizer()))
+    monkeypatch.setattr(tokens, "TABLE_ROWS", 3)
+    for text in ("one two three four five", "one two", "x y z one"):
+        assert np.frombuffer(tables.encode(text), "<i4").tolist() == library.encode(text).ids
 
 
 def test_bpe_encodes_each_distinct_word_once():
@@ -116,7 +120,10 @@ def test_bpe_encodes_each_distinct_word_once():
 
 def test_bpe_keeps_columns_of_any_name(docs_of):
     texts = ["one two three", "three two", "", None, "one two three one two three"] * 20
-    rows = tokens.encode(docs_of(list(enumerate(texts)), parts=4), keep=("doc_id", "_copy", "c0", "source")).collect()
+    coded = tokens.encode_distinct(docs_of(list(enumerate(texts)), parts=4), keep=("doc_id", "_copy", "c0", "source"))
+    rows = coded.collect()
+    # Texts are cut once.
+    assert "ReusedExchange" in coded._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 100 and all((r["_copy"], r["c0"]) == (7, "c") for r in rows)
     assert all((r["source"] is None) == (r["doc_id"] % 5 == 0) for r in rows)
     of = {r["doc_id"] % 5: r["ids"] for r in rows}

@@ -1,14 +1,17 @@
 """BPE encoding and decoding through a table of distinct words.
 
 A byte-level BPE never merges across the pieces its pattern cuts a text into, so a piece has the
-same ids wherever it stands. Encoding has three steps:
+same ids wherever it stands. ``encode_distinct``, which the query uses, has three steps:
 
 1. Tasks cut texts into pieces, ``CHUNK_BYTES`` of text at a time. A chunk keeps its positions as places in its own
-   list of distinct pieces, and the list is dealt out to shards by the hash of the piece. Both are stored.
+   list of distinct pieces, and the list is dealt out to shards by the hash of the piece.
 2. A shard encodes each distinct piece once and answers every chunk that asked for it. A piece reaches its shard once per
    chunk, however often it occurs, so a very frequent word makes no hot key. The number of shards grows with the bytes of the texts.
 3. The answers meet their chunk again, and ids are joined back by position.
 
+``encode``, which the pipeline uses, gives the same ids without a shuffle, from a table of pieces in each Python worker that is
+emptied when it reaches ``TABLE_ROWS``; a piece is encoded anew in another worker.
+
 Decoding looks ids up in the table of id and bytes, which has the size of the vocabulary and travels with the tasks.
 
 Defined results: null counts as empty; an empty text has no ids and decodes to the empty text; bytes that are not UTF-8
@@ -25,17 +28,18 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import pack, unpack
-from tidemark.llm.common import bytes_of, partitions, raw, stored, table
+from tidemark.llm.common import bytes_of, partitions, raw, table
 
+#: Pieces a worker of ``encode`` keeps before it starts its table anew.
+TABLE_ROWS = 300_000
 #: Text of one chunk.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 #: Text per shard; its distinct pieces are about a sixth of that at most, and fewer as they meet again.
 SHARD_BYTES = 64_000_000
 
@@ -82,6 +86,7 @@ class Tables:
         else:
             whole = Tokenizer.from_str(json.dumps(spec))
             self._encode = lambda piece: whole.encode(piece, add_special_tokens=False).ids
+        self.ids_of: dict[str, bytes] = {}
 
     @classmethod
     def get(cls, description: str) -> Tables:
@@ -102,6 +107,16 @@ class Tables:
         """Ids of one piece."""
         return self.special.get(piece) or self._encode(piece)
 
+    def encode(self, text: str) -> bytes:
+        """Packed ids: each piece that is new to the table is encoded once, then all are joined by position."""
+        pieces = self.pieces(text)
+        new = {p for p in pieces if p not in self.ids_of}
+        if len(self.ids_of) + len(new) > TABLE_ROWS:
+            self.ids_of, new = {}, set(pieces)
+        for piece in new:
+            self.ids_of[piece] = np.array(self.coded(piece), "<i4").tobytes()
+        return b"".join(map(self.ids_of.__getitem__, pieces))
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(self.bytes_of[ids].tolist()).decode("utf-8", errors="replace")
 
@@ -162,6 +177,11 @@ def _by_place(values: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.nd
     return values[np.repeat(starts[place] - first, taken) + np.arange(int(taken.sum()))]
 
 
+def _home(chunk: int) -> int:
+    """Key of a chunk's own row; shards have keys from 0."""
+    return -1 - chunk
+
+
 def answers_to(blocks: Iterable[bytes], tables: Tables) -> Iterator[bytes]:
     """For each block of pieces, how many ids each has, and the ids; a piece that comes again is not encoded again."""
     ids_of: dict[str, list[int]] = {}
@@ -174,11 +194,11 @@ def answers_to(blocks: Iterable[bytes], tables: Tables) -> Iterator[bytes]:
         yield pack(np.array([len(x) for x in own], np.int32), np.array([i for x in own for i in x], np.int32))
 
 
-def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None) -> DataFrame:
-    """Return ``keep`` and ids (array of int). Texts are cut when this is called; the rest is lazy."""
+def encode_distinct(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None) -> DataFrame:
+    """Return ``keep`` and ids (array of int), by one table of distinct words. ``docs`` has to be a scan, so that a repeated task makes the same chunks."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(f"`{text}`"))).first()[0] or 0
     shards = max(2 * partitions(spark), -(-size // SHARD_BYTES))
     used = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").cast("binary").alias("_text"))
     kinds = [kind for _, kind in used.drop("_text").dtypes]
@@ -203,44 +223,68 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
             ends = [*starts[1:].tolist(), len(own)]
             sent = [{"shard": int(n), "pieces": _pieces_packed([own[i] for i in order[a:b]])} for n, a, b in zip(names, starts, ends)]
             code = pack(np.array(counts, np.int64), at[np.concatenate(places)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                    pa.array([code], pa.binary()),
-                    pa.array([sent], pa.list_(pa.struct([("shard", pa.int64()), ("pieces", pa.binary())]))),
-                ],
-                ["chunk", "kept", "code", "sent"],
-            )
+            yield rows_of([_home(number)], [number], [code], rows)
+            yield rows_of(names, [number] * len(names), [_pieces_packed([own[i] for i in order[a:b]]) for a, b in zip(starts, ends)], rows[:0])
             number += 1
 
-    chunks = stored(used.mapInArrow(cut, f"chunk long, kept {kept}, code binary, sent array<struct<shard:long, pieces:binary>>"), "pieces")
+    def rows_of(keys, numbers, blocks, kept: pa.StructArray) -> pa.RecordBatch:
+        """Rows of (key, chunk, block, kept); the first one has all of ``kept``."""
+        lists = pa.ListArray.from_arrays(pa.array([0] + [len(kept)] * len(keys), pa.int32()), kept)
+        arrays = [pa.array(keys, pa.int64()), pa.array(numbers, pa.int64()), pa.array(blocks, pa.binary()), lists]
+        return pa.RecordBatch.from_arrays(arrays, ["key", "chunk", "block", "kept"])
 
-    def answer(asked: pd.DataFrame) -> pd.DataFrame:
-        made = list(answers_to(asked["pieces"], Tables.get(shared.value)))
-        return pd.DataFrame({"chunk": asked["chunk"], "shard": asked["shard"], "ids": made})
-
-    asked = chunks.select("chunk", F.explode("sent").alias("s")).select("chunk", "s.shard", "s.pieces")
-    answers = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard long, ids binary")
+    def answer(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            asked = asked[:0]
+        homes = [_home(n) for n in asked.column("chunk").to_pylist()]
+        made = list(answers_to((b.as_py() for b in asked.column("block")), Tables.get(shared.value)))
+        arrays = [pa.array(homes, pa.int64()), asked.column("key"), pa.array(made, pa.binary())]
+        return pa.Table.from_arrays(arrays, ["home", "shard", "ids"])
 
     def join(chunk: pa.Table, answered: pa.Table) -> pa.Table:
-        counts, place = unpack(chunk.column("code")[0].as_py())
+        names = [*(f"k{i}" for i in range(len(keep))), "ids"]
+        if not chunk.num_rows or chunk.column("key")[0].as_py() >= 0:
+            none = pa.concat_arrays(chunk.column("kept").chunks).flatten()[:0] if chunk.num_rows else None
+            rows = none.flatten() if none is not None else [pa.nulls(0) for _ in keep]
+            return pa.Table.from_arrays([*rows, pa.array([], pa.list_(pa.int32()))], names)
+        counts, place = unpack(chunk.column("block")[0].as_py())
         blocks = [unpack(b) for b in answered.sort_by("shard").column("ids").to_pylist()]
         sizes = np.concatenate([b[0] for b in blocks]) if blocks else np.zeros(0, np.int32)
         values = np.concatenate([b[1] for b in blocks]) if blocks else np.zeros(0, np.int32)
         ids = _by_place(values, sizes.astype(np.int64), place)
-        per_row = np.add.reduceat(np.append(sizes[place], 0), np.minimum(np.cumsum(counts) - counts, len(place))) if len(place) else 0 * counts
-        ends = np.append(0, np.cumsum(np.where(counts > 0, per_row, 0)))
+        before = np.append(0, np.cumsum(sizes[place], dtype=np.int64))
+        ends = before[np.append(0, np.cumsum(counts))]
         rows = pa.concat_arrays(chunk.column("kept").chunks).flatten()
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.Table.from_arrays([*rows.flatten(), lists], [*(f"k{i}" for i in range(len(keep))), "ids"])
+        return pa.Table.from_arrays([*rows.flatten(), lists], names)
 
+    # Rows for shards and rows of chunks go through one exchange, which both readers share, so texts are cut once and no
+    # position is written twice. Each reader passes over the other's groups itself: a filter would part the exchange in two.
+    sent = used.mapInArrow(cut, f"key long, chunk long, block binary, kept {kept}")
+    answers = sent.groupBy("key").applyInArrow(answer, "home long, shard long, ids binary")
     fields = ", ".join(f"k{i} {kind}" for i, kind in enumerate(kinds))
-    whole = chunks.select("chunk", "kept", "code").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    coded = whole.applyInArrow(join, f"{fields}, ids array<int>")
+    coded = sent.groupBy("key").cogroup(answers.groupBy("home")).applyInArrow(join, f"{fields}, ids array<int>")
     return coded.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "ids")
 
 
+def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None):
+    """Return ``keep`` and ids (array of int), by a table of pieces in each Python worker."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = Tables.get(shared.value)
+        for batch in small(batches):
+            packed = [tables.encode(raw(t).decode("utf-8", "replace")) for t in bytes_of(batch.column(len(keep)))]
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            columns = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*columns, ids], [*keep, "ids"])
+
+    used = docs.select(*keep, F.col(text).alias("_text"))
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in used.drop("_text").dtypes)
+    return used.mapInArrow(run, f"{fields}, ids array<int>")
+
+
 def decode(coded: DataFrame, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), tokenizer: str | None = None):
     """Return ``keep`` and decoded."""
     shared = coded.sparkSession.sparkContext.broadcast(read_description(tokenizer or default_tokenizer()))
@@ -264,7 +308,7 @@ def digest(ids: Column) -> Column:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode(table(spark, sf_dir, "documents"))
+    coded = encode_distinct(table(spark, sf_dir, "documents"))
     back = decode(coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("sha", digest(F.col("ids"))), keep=("doc_id", "n_tokens", "sha"))
     return back.select(
         "doc_id", "n_tokens", F.col("sha").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
