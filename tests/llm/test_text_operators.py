@@ -14,6 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, mixing, ngrams, quality, tokens
+from tidemark.llm.anchors import Chunk
+from tidemark.llm.factors import words_of
 
 SMALL = "/root/testdata/sf0.001"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -366,3 +368,76 @@ def test_language_model_beats_base_on_held_out_text(spark):
     found = ngrams.op7_lm_scores(spark, "/root/testdata/sf0.01").toPandas()
     held = found[found.held_out]
     assert held.score.sum() > held.base_score.sum() + 0.6 * held.n_tokens.sum()
+
+
+@pytest.mark.parametrize("top", [400, 1 << 20, 1 << 62])
+def test_elias_fano_look_ups_in_lots(monkeypatch, top):
+    """Ascending look-ups in ascending ranges: as a search of the plain values, without halving the sequence for each of them."""
+    monkeypatch.setattr(ngrams, "LOT", 64)
+    draw = np.random.default_rng(3)
+    values = np.sort(draw.integers(0, top, 3000).astype(np.uint64))
+    sequence = ngrams.EliasFano(ngrams.EliasFano.make(values))
+    for a, b in ((0, 0), (0, 3000), (0, 1), (63, 65), (1000, 1000), (2999, 3000), (700, 2100)):
+        assert (sequence.values(a, b) == values[a:b]).all()
+    # Ranges of successors, some empty, with look-ups below, inside and above what they hold.
+    cuts = np.sort(draw.integers(0, 3001, 41))
+    x = np.sort(np.concatenate([values[::3], draw.integers(0, top, 2000).astype(np.uint64)]))
+    of = np.minimum(np.searchsorted(values[np.minimum(cuts, 2999)], x), 39)
+    start, stop = cuts[of], cuts[of + 1]
+    asked = []
+    at = ngrams.EliasFano.at
+    monkeypatch.setattr(ngrams.EliasFano, "at", lambda self, i: asked.append(len(i)) or at(self, i))
+    index, found = sequence.between(x, start, stop)
+    want = np.clip(np.searchsorted(values, x), start, stop)
+    assert (index == want).all()
+    assert (found == ((want < stop) & (values[np.minimum(want, 2999)] == x))).all()
+    assert sum(asked) < len(x)
+    empty = ngrams.EliasFano(ngrams.EliasFano.make(values[:0]))
+    assert [y.tolist() for y in empty.successor(x[:2])] == [[0, 0], [False, False]]
+
+
+@pytest.mark.parametrize("top", [50, 1 << 40, 1 << 64])
+def test_distinct_keys_with_and_without_room_for_places(top):
+    keys = np.random.default_rng(4).integers(0, top - 1, 5000, np.uint64, endpoint=True)
+    keys[::7] = top - 1
+    found, place = ngrams._distinct(keys, top)
+    want, inverse = np.unique(keys, return_inverse=True)
+    assert (found == want).all() and (place == inverse).all()
+    found, total, place = ngrams._added(keys, np.arange(5000), top)
+    assert (total == np.bincount(inverse, np.arange(5000))).all() and (found[place] == keys).all()
+    assert [len(x) for x in ngrams._distinct(keys[:0], top)] == [0, 0]
+
+
+def test_a_chunk_of_tokens_is_rebuilt_without_its_order():
+    """The order of a chunk's words is not sent, as it follows from how often each occurs."""
+    texts = [b"b a a zz", b"", b"A b q a"]
+    ids = np.array([1, 2, 3])
+    own = ngrams.Tokens(Chunk(ids, np.cumsum([len(t) for t in texts]), b"".join(texts), ids, ids > 0), 5)
+    again = ngrams.Tokens.unpack(own.pack())
+    assert (again.at == own.at).all() and (np.diff(own.often[again.at]) <= 0).all()
+    words = words_of(Chunk(ids, np.cumsum([len(t) for t in texts]), b"".join(texts).lower(), ids, ids > 0)).symbols
+    of_words = own.words[again.at][again.place]
+    ends = np.cumsum(own.counts) - 1
+    assert (np.delete(of_words, ends) == words).all() and len(set(of_words[ends].tolist())) == 1
+
+
+def test_trie_look_ups_share_decoded_stretches(monkeypatch):
+    """Looking up many grams reads single values of the coded levels for a few of them only."""
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 20, 200_000).astype(np.uint64))
+    context, word = keys >> np.uint64(8), keys & np.uint64(255)
+    trie = ngrams.Trie(context, word, np.ones(len(keys), np.int64), 256)
+    contexts, gram = np.unique(context, return_inverse=True)
+    asked = []
+    at = ngrams.EliasFano.at
+    monkeypatch.setattr(ngrams.EliasFano, "at", lambda self, i: asked.append(len(i)) or at(self, i))
+    value, weight = trie.lookup(contexts, gram, word)
+    assert (value < 255).all() and (weight > 0).all()
+    assert sum(asked) < len(keys) / 10
+
+
+def test_language_model_sends_a_chunk_once(spark):
+    """The step that asks for grams and the one that scores read one exchange of the chunks."""
+    found = ngrams.op7_lm_scores(spark, SMALL)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan

@@ -83,7 +83,7 @@ class Sums:
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block; bytes of equal weight stand together, which is what compresses."""
     head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode() + b"\n"
-    body = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]
+    body = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T) for a in arrays]
     return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *body]))
 
 
